@@ -1,0 +1,146 @@
+"""Dispatch of files to extractors by extension, and metadata."""
+
+from __future__ import annotations
+
+import io
+from collections.abc import Callable, Iterator
+from functools import reduce
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from foliospark.functions.text import extension, file_name, size_mb
+from foliospark.schemas import DOCUMENT_PROPERTIES, EXTRACTED, conform
+from foliospark.sources.files import decode_text
+from foliospark.sources.office import extract_docx, extract_xlsx
+
+Extractor = Callable[[DataFrame], DataFrame]
+
+
+def extract_plain(files: DataFrame) -> DataFrame:
+    """Text files, decoded without leaving the JVM."""
+    return conform(files.select("path", decode_text("content").alias("content")), EXTRACTED)
+
+
+def extract_pdf(files: DataFrame) -> DataFrame:
+    """Page-marked text of PDF files where the optional ``pypdf`` package is installed.
+
+    Without it every PDF becomes an error row; page rows from any other reader can be put
+    together by :func:`foliospark.sources.assemble.assemble_pages`.
+    """
+    fields = EXTRACTED.fieldNames()
+
+    def one(path: str, content: bytes) -> dict:
+        try:
+            from pypdf import PdfReader
+        except ImportError:
+            return {"path": path, "error": "No PDF reader installed"}
+        row, pages = {"path": path}, []
+        try:
+            reader = PdfReader(io.BytesIO(content))
+            for number, page in enumerate(reader.pages, 1):
+                try:
+                    text = page.extract_text()
+                except Exception:  # noqa: BLE001 - a broken page does not fail its file
+                    continue
+                if text.strip():
+                    pages.append(f"[Page {number}]\n{text}")
+            row["content"], row["page_count"] = "\n\n".join(pages), len(reader.pages)
+            info = reader.metadata or {}
+            keys = {"title": "/Title", "author": "/Author", "subject": "/Subject", "keywords": "/Keywords",
+                    "creator": "/Creator", "producer": "/Producer", "created": "/CreationDate",
+                    "modified": "/ModDate"}
+            row.update({f"document_{k}": str(info[v]) for k, v in keys.items() if info.get(v)})
+        except Exception as failure:  # noqa: BLE001 - any broken file becomes an error row
+            row["error"] = f"Error extracting content from {path}: {failure}"
+        return row
+
+    def job(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [one(p, c) for p, c in zip(batch["path"], batch["content"])]
+            out = pd.DataFrame(rows, columns=fields, dtype=object)
+            yield out.where(out.notna(), None)
+
+    return files.select("path", "content").mapInPandas(job, EXTRACTED)
+
+
+EXTRACTORS: dict[str, Extractor] = {
+    ".txt": extract_plain,
+    ".md": extract_plain,
+    ".log": extract_plain,
+    ".docx": extract_docx,
+    ".xlsx": extract_xlsx,
+    ".pdf": extract_pdf,
+}
+
+
+def unsupported(path: Column | str) -> Column:
+    return F.concat(F.lit("Unsupported file type: "), extension(path))
+
+
+def extract(files: DataFrame, registry: dict[str, Extractor] | None = None,
+            contents: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Text, properties and errors of every file, one output row per input row.
+
+    Files are split by extension and each branch runs its own extractor, so text files stay
+    JVM-side. With ``contents`` the branches take a listing without bytes and load only
+    the files they extract.
+    """
+    registry = EXTRACTORS if registry is None else registry
+    load = contents or (lambda df: df)
+    by_extractor: dict[Extractor, list[str]] = {}
+    for suffix, extractor in registry.items():
+        by_extractor.setdefault(extractor, []).append(suffix)
+    branches = [
+        conform(extractor(load(files.filter(extension("path").isin(suffixes)))), EXTRACTED)
+        for extractor, suffixes in by_extractor.items()
+    ]
+    rest = files.filter(~extension("path").isin(list(registry)))
+    branches.append(conform(rest.select("path", unsupported("path").alias("error")), EXTRACTED))
+    return reduce(DataFrame.unionByName, branches)
+
+
+def extraction_status(path: Column | str, registry: dict[str, Extractor] | None = None) -> Column:
+    """What dispatch will say about a path before any content is read: null when it has an extractor."""
+    known = list(EXTRACTORS if registry is None else registry)
+    return F.when(~extension(path).isin(known), unsupported(path))
+
+
+def file_metadata(files: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
+    """Filesystem columns of a listing.
+
+    Creation time, access time and owner are not known to Spark's file sources; they come
+    from an optional manifest table (path, created_time, accessed_time, owner).
+    """
+    base = files.select(
+        file_name("path").alias("file_name"),
+        F.col("path").alias("file_path"),
+        extension("path").alias("file_extension"),
+        F.col("length").alias("file_size_bytes"),
+        size_mb("length").alias("file_size_mb"),
+        F.col("modificationTime").alias("modified_time"),
+    )
+    if manifest is None:
+        return base.select(
+            "*", F.lit(None).cast("timestamp").alias("created_time"),
+            F.lit(None).cast("timestamp").alias("accessed_time"), F.lit("Unknown").alias("owner"))
+    known = manifest.select(F.col("path").alias("file_path"), "created_time", "accessed_time", "owner")
+    return base.join(known, "file_path", "left").withColumn("owner", F.coalesce("owner", F.lit("Unknown")))
+
+
+def merge_metadata(base: DataFrame, extracted: DataFrame, key: str = "file_path") -> DataFrame:
+    """Left join of document properties onto filesystem metadata; a document field wins
+    where both sides have it, and a file without properties keeps what it has."""
+    shared = [c for c in extracted.columns if c != key and c in base.columns]
+    new = [c for c in extracted.columns if c != key and c not in base.columns]
+    renamed = extracted.select(key, *new, *[F.col(c).alias(f"_doc_{c}") for c in shared])
+    joined = base.join(renamed, key, "left")
+    return joined.select(*[
+        F.coalesce(F.col(f"_doc_{c}"), F.col(c)).alias(c) if c in shared else F.col(c)
+        for c in [*base.columns, *new]
+    ])
+
+
+def property_columns() -> list[str]:
+    return [f.name for f in DOCUMENT_PROPERTIES]
