@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.functions.scoring import RRF_CONSTANT, reciprocal_rank, rounded
+from foliospark.functions.scoring import RRF_CONSTANT, reciprocal_rank
 from foliospark.operators.keyword import keyword_scores
 from foliospark.operators.topk import top, with_rank
 from foliospark.operators.vector import vector_search
@@ -21,7 +21,7 @@ def fuse(keyword_ranks: DataFrame, vector_ranks: DataFrame, constant: int = RRF_
     right = vector_ranks.select("id", F.col("rank").alias("_vec"))
     both = left.join(right, "id", "full_outer")
     score = reciprocal_rank(F.col("_kw"), constant) + reciprocal_rank(F.col("_vec"), constant)
-    return both.select("id", rounded(score).alias("score"))
+    return both.select("id", score.alias("score"))
 
 
 def ranks_of(scores: DataFrame, wanted: DataFrame) -> DataFrame:

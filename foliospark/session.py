@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +72,26 @@ def read_table(spark: SparkSession, path: str, spread_by: str | None = None) ->
     if spread_by and os.path.isfile(path):
         return df.repartition(spark.sparkContext.defaultParallelism, spread_by)
     return df
+
+
+def ship_packages(spark: SparkSession, *packages: str) -> None:
+    """Send pure-Python packages to the executors of a session started without ``--py-files``.
+
+    Done once per context; ``packages`` are folders, by default this library's own.
+    """
+    context = spark.sparkContext
+    folders = packages or (os.path.dirname(os.path.abspath(__file__)),)
+    sent = context.__dict__.setdefault("_shipped_packages", set())
+    for folder in folders:
+        if folder in sent:
+            continue
+        sent.add(folder)
+        parent, name = os.path.split(folder)
+        archive = os.path.join(tempfile.mkdtemp(prefix="foliospark-py-"), f"{name}.zip")
+        with zipfile.ZipFile(archive, "w") as out:
+            for base, _, files in os.walk(folder):
+                for file in files:
+                    if file.endswith(".py"):
+                        path = os.path.join(base, file)
+                        out.write(path, os.path.relpath(path, parent))
+        context.addPyFile(archive)
