@@ -41,6 +41,10 @@ def term_frequencies(docs: DataFrame, fields: Sequence[str] = ("content",)) -> D
         .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 
+def _occurrences(tokens: str, word: str) -> Column:
+    return F.size(F.filter(tokens, lambda t: t == word))
+
+
 def term_table(docs: DataFrame, terms: list[str], fields: Sequence[str], id_col: str,
                where: Column | None = None) -> DataFrame:
     """(id, keep, length, one count per query term), a few numbers per document.
@@ -53,7 +57,7 @@ def term_table(docs: DataFrame, terms: list[str], fields: Sequence[str], id_col:
     hits = tokens.select(
         "id", "keep", F.size("_tokens").alias("length"),
         F.filter("_tokens", lambda t: t.isin(terms)).alias("_hits"))
-    counts = [F.size(F.filter("_hits", lambda t, w=w: t == F.lit(w))).alias(f"tf{i}") for i, w in enumerate(terms)]
+    counts = [_occurrences("_hits", w).alias(f"tf{i}") for i, w in enumerate(terms)]
     return hits.select("id", "keep", "length", *counts).repartition("id")
 
 
