@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliospark.schemas import AUDIT
 
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 CSV_FIELDS = ("name", "filePath", "extension", "score")
 
 # Which document sets take which file types; a type may go to several sets.
@@ -43,7 +44,7 @@ def audit_rows(rows: DataFrame, action: Column, user: Column, resource: Column,
 
 def audit_append(entries: DataFrame, path: str) -> None:
     """Append entries as JSON lines."""
-    entries.select(*AUDIT.fieldNames()).write.mode("append").json(path)
+    entries.select(*AUDIT.fieldNames()).write.mode("append").option("timestampFormat", TIME_FORMAT).json(path)
 
 
 def audit_append_csv(outcomes: DataFrame, path: str) -> None:
@@ -52,7 +53,7 @@ def audit_append_csv(outcomes: DataFrame, path: str) -> None:
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(AUDIT).json(path)
+    return spark.read.schema(AUDIT).option("timestampFormat", TIME_FORMAT).json(path)
 
 
 def routed(rows: DataFrame, routes: dict[str, tuple[str, ...]] | None = None) -> DataFrame:

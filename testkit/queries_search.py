@@ -63,15 +63,15 @@ def _(spark, d):
 
 
 @register("prefilter_vs_post", with_parts("""
-    SELECT 'before' AS way, id, score FROM (SELECT id, score FROM scores JOIN files USING (id) WHERE extension = '.docx'
+    SELECT 'before' AS way, id, score FROM (SELECT id, score FROM scores JOIN files USING (id) WHERE extension = '.pdf'
       ORDER BY score DESC, id LIMIT 10)
-    UNION ALL SELECT 'after', id, score FROM hits JOIN files USING (id) WHERE extension = '.docx'""", "scores", "hits", "files"))
+    UNION ALL SELECT 'after', id, score FROM hits JOIN files USING (id) WHERE extension = '.pdf'""", "scores", "hits", "files"))
 def _(spark, d):
     table = rel.files(spark, d, spread=True)
-    before = keyword.keyword_search(table, QUERY, 10, where=C.equals("extension", ".docx"))
+    before = keyword.keyword_search(table, QUERY, 10, where=C.equals("extension", ".pdf"))
     after = results.fetch_fields(keyword.keyword_search(table, QUERY, 10), rel.files(spark, d), ["extension"])
     return before.select(F.lit("before").alias("way"), "id", "score").unionByName(
-        after.filter(C.equals("extension", ".docx")).select(F.lit("after").alias("way"), "id", "score"))
+        after.filter(C.equals("extension", ".pdf")).select(F.lit("after").alias("way"), "id", "score"))
 
 
 @register("batch_keyword_search", with_parts("SELECT query_id, id, score, rank FROM batch_hits", "batch_hits"))
