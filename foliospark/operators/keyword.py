@@ -41,24 +41,22 @@ def term_frequencies(docs: DataFrame, fields: Sequence[str] = ("content",)) -> D
         .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 
-def _occurrences(tokens: str, word: str) -> Column:
-    return F.size(F.filter(tokens, lambda t: t == word))
-
-
 def term_table(docs: DataFrame, terms: list[str], fields: Sequence[str], id_col: str,
                where: Column | None = None) -> DataFrame:
     """(id, keep, length, one count per query term), a few numbers per document.
 
-    The text ends here: it is read and tokenised once, and the statistics, the scores and
-    the ranks of a search all read the same exchange of these narrow rows.
+    The text ends here: it is read and tokenised once, query words are counted before the
+    shuffle, and statistics, scores and ranks of a search all reuse the one exchange of
+    these narrow rows. (The counts are aggregates, so no later filter on them is pushed
+    back into the tokenising stage, which would tokenise again per condition.)
     """
     keep = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     tokens = docs.select(F.col(id_col).alias("id"), keep.alias("keep"), field_tokens(fields).alias("_tokens"))
     hits = tokens.select(
         "id", "keep", F.size("_tokens").alias("length"),
-        F.filter("_tokens", lambda t: t.isin(terms)).alias("_hits"))
-    counts = [_occurrences("_hits", w).alias(f"tf{i}") for i, w in enumerate(terms)]
-    return hits.select("id", "keep", "length", *counts).repartition("id")
+        F.explode_outer(F.filter("_tokens", lambda t: t.isin(terms))).alias("_word"))
+    counts = [F.count_if(F.col("_word") == w).alias(f"tf{i}") for i, w in enumerate(terms)]
+    return hits.groupBy("id").agg(F.bool_or("keep").alias("keep"), F.max("length").alias("length"), *counts)
 
 
 def keyword_scores(docs: DataFrame, query: str, fields: Sequence[str] = ("content",), id_col: str = "id",
@@ -99,9 +97,9 @@ def bm25_weights(docs: DataFrame, terms: list[str], fields: Sequence[str] = ("co
     stats = table.agg(
         F.count(F.lit(1)).alias("documents"), F.avg("length").alias("mean_length"), F.count_if("keep").alias("kept"),
         F.array(*[F.count_if(F.col(f"tf{i}") > 0) for i in range(len(terms))]).alias("doc_freq"))
-    pairs = F.array(*[F.struct(F.lit(w).alias("term"), F.col(f"tf{i}").alias("tf"), F.lit(i).alias("pos"))
+    pairs = F.array(*[F.struct(F.lit(w).alias("term"), F.col(f"tf{i}").cast("int").alias("tf"), F.lit(i).alias("pos"))
                       for i, w in enumerate(terms)])
-    rows = table.withColumn("_s", stats.select(F.struct("*")).scalar()) \
+    rows = table.filter("keep").withColumn("_s", stats.select(F.struct("*")).scalar()) \
         .select("id", "length", "_s", F.inline(pairs)).filter(F.col("tf") > 0)
     weight = bm25(F.col("tf"), F.col("length"), F.col("_s.mean_length"), F.col("_s.documents"),
                   F.get(F.col("_s.doc_freq"), F.col("pos")))

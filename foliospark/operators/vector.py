@@ -9,12 +9,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from foliospark.functions.scoring import cosine, rounded
 from foliospark.operators.embedding import valid_dimensions
 from foliospark.operators.topk import MATRIX_CELLS, Leaders, query_passes, ranked, top
 
@@ -23,26 +22,18 @@ QUERIES_PER_MATRIX = 256
 CELL_SAMPLE = 1_000_000
 
 
-def query_vector(vector: Sequence[float] | DataFrame) -> Column:
-    """A query vector given as numbers or as a one-row, one-column table."""
+def query_table(spark: SparkSession, vector: Sequence[float] | DataFrame) -> DataFrame:
+    """A query vector, given as numbers or as a one-row, one-column table, as a table of one query."""
     if isinstance(vector, DataFrame):
-        return vector.scalar()
-    return F.array(*[F.lit(float(x)) for x in vector])
-
-
-def vector_scores(table: DataFrame, vector: Sequence[float] | DataFrame, id_col: str = "id",
-                  vector_col: str = "contentVector", where: Column | None = None) -> DataFrame:
-    """(id, score) of every row with a comparable vector."""
-    rows = table if where is None else table.filter(where)
-    rows = rows.select(F.col(id_col).alias("id"), F.col(vector_col).alias("_v"), query_vector(vector).alias("_q"))
-    return rows.filter(F.size("_v") == F.size("_q")) \
-        .select("id", rounded(cosine(F.col("_v"), F.col("_q"))).alias("score")).filter(F.col("score").isNotNull())
+        return vector.select(F.lit("q").alias("query_id"), F.col(vector.columns[0]).alias("vector")).limit(1)
+    return spark.createDataFrame([("q", [float(x) for x in vector])], "query_id string, vector array<double>")
 
 
 def vector_search(table: DataFrame, vector: Sequence[float] | DataFrame, k: int = 5, id_col: str = "id",
                   vector_col: str = "contentVector", where: Column | None = None) -> DataFrame:
-    """The k nearest rows; scoring is a map stage and every task forwards at most k rows."""
-    return top(vector_scores(table, vector, id_col, vector_col, where), k)
+    """(id, score) of the k nearest rows, exact; a batch search with one query."""
+    queries = query_table(table.sparkSession, vector)
+    return top(batch_vector_search(table, queries, k, id_col, vector_col, where).select("id", "score"), k)
 
 
 def _rows_of(lists: pa.ListArray) -> np.ndarray:
