@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.functions.scoring import RRF_CONSTANT, reciprocal_rank
-from foliospark.operators.keyword import keyword_scores
-from foliospark.operators.topk import top, with_rank
-from foliospark.operators.vector import vector_search
+from foliospark.operators.keyword import keyword_passes, keyword_scores
+from foliospark.operators.topk import ranked, top, with_rank
+from foliospark.operators.vector import batch_vector_search, vector_search
 
 VECTOR_POOL = 50
 
@@ -53,6 +54,40 @@ def hybrid_search(table: DataFrame, query: str, vector: Sequence[float] | DataFr
     """
     scores = keyword_scores(table, query, fields, id_col, where)
     near = with_rank(vector_search(table, vector, pool, id_col, vector_col, where))
+    # At most ``pool`` rows, used in three places.
+    near = table.sparkSession.createDataFrame(near.collect(), near.schema)
     first = with_rank(top(scores, k + pool)).select("id", "rank")
     rest = ranks_of(scores, near).join(first, "id", "left_anti")
     return top(fuse(first.unionByName(rest), near), k)
+
+
+def batch_hybrid_search(table: DataFrame, queries: DataFrame, k: int = 5, fields: Sequence[str] = ("content",),
+                        id_col: str = "id", vector_col: str = "contentVector", where: Column | None = None,
+                        pool: int = VECTOR_POOL) -> DataFrame:
+    """(query_id, id, score, rank) for a table of queries (query_id, text, vector).
+
+    Per block of queries: one pass for the nearest vectors, one for word statistics, one for
+    the keyword leaders and the keyword scores of the vector pools, and one that counts the exact
+    rank of pool members behind the leaders. Blocks and pools are bounded, and only per-task
+    leaders and counts are shuffled.
+    """
+    near = batch_vector_search(table, queries.select("query_id", "vector"), pool, id_col, vector_col, where)
+    lists = []
+    for one in keyword_passes(table, queries.select("query_id", "text"), fields, id_col, where):
+        # pool rows per query of this bounded block
+        mine = near.filter(F.col("query_id").isin(one.query_ids)).select("query_id", "id").collect()
+        wanted: dict = {}
+        for row in mine:
+            wanted.setdefault(row["query_id"], []).append(row["id"])
+        leading = ranked(one.leaders(k + pool), k + pool).select("query_id", "id", "rank")
+        known = {(r["query_id"], r["id"]) for r in leading.select("query_id", "id").collect()}
+        marks: dict = {}
+        for row in one.scores_of(wanted).collect():
+            if (row["query_id"], row["id"]) not in known:
+                marks.setdefault(row["query_id"], []).append((row["id"], row["score"]))
+        lists += [leading, one.ranks_of(marks)] if marks else [leading]
+    words = reduce(DataFrame.unionByName, lists, near.select("query_id", "id", "rank").limit(0))
+    both = words.withColumnRenamed("rank", "_kw").join(
+        near.select("query_id", "id", F.col("rank").alias("_vec")), ["query_id", "id"], "full_outer")
+    score = reciprocal_rank(F.col("_kw")) + reciprocal_rank(F.col("_vec"))
+    return ranked(both.select("query_id", "id", score.alias("score")), k)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliospark.functions.scoring import BM25_B, BM25_K1, bm25, idf_value, rounded
 from foliospark.functions.text import query_terms, word_tokens
-from foliospark.operators.topk import MATRIX_CELLS, Leaders, query_passes, ranked, top
+from foliospark.operators.topk import MATRIX_CELLS, BetterCounts, Finder, Leaders, query_passes, ranked, top
 
 QUERIES_PER_MATRIX = 256
 TERMS_PER_PASS = 200_000
@@ -139,57 +139,103 @@ def batch_keyword_search(docs: DataFrame, queries: DataFrame, k: int = 5, fields
     Repeated query texts are searched once. Reads the corpus twice per pass over the
     queries: for the document frequencies of the query words, then for the scores.
     """
-    spark = docs.sparkSession
-    texts = queries.select(F.md5(F.col("text").cast("binary")).alias("query_id"),
-                           F.array_distinct(word_tokens("text")).alias("terms")).dropDuplicates(["query_id"])
-    texts = texts.filter(F.size("terms") > 0)
+    text_key = F.md5(F.col("text").cast("binary"))
+    texts = queries.select(text_key.alias("query_id"), "text").dropDuplicates(["query_id"])
+    passes = keyword_passes(docs, texts, fields, id_col, where)
+    hits = reduce(DataFrame.unionByName, [p.leaders(k) for p in passes], _no_hits(docs, texts, id_col))
+    best = ranked(hits, k).withColumnRenamed("query_id", "_text")
+    return queries.select("query_id", text_key.alias("_text")).join(best, "_text") \
+        .select("query_id", "id", "score", "rank")
+
+
+def _hit_schema(docs: DataFrame, queries: DataFrame, id_col: str) -> T.StructType:
+    return T.StructType([queries.schema["query_id"], docs.select(F.col(id_col).alias("id")).schema[0],
+                         T.StructField("score", T.DoubleType())])
+
+
+def _no_hits(docs: DataFrame, queries: DataFrame, id_col: str) -> DataFrame:
+    return docs.sparkSession.createDataFrame([], _hit_schema(docs, queries, id_col))
+
+
+def keyword_passes(docs: DataFrame, queries: DataFrame, fields: Sequence[str], id_col: str,
+                   where: Column | None = None) -> list[KeywordPass]:
+    """One pass over the corpus per bounded block of queries (query_id, text)."""
+    worded = queries.select("query_id", F.array_distinct(word_tokens("text")).alias("terms")) \
+        .filter(F.size("terms") > 0)
     tokens = docs.select(F.col(id_col).alias("id"), field_tokens(fields).alias("tokens"),
                          (F.lit(True) if where is None else F.coalesce(where, F.lit(False))).alias("keep"))
-    schema = T.StructType([T.StructField("query_id", T.StringType()), docs.select(F.col(id_col).alias("id")).schema[0],
-                           T.StructField("score", T.DoubleType())])
-    results = [_search_pass(spark, tokens, rows, k, schema) for rows in
-               query_passes(texts, F.size("terms"), TERMS_PER_PASS)]
-    if not results:
-        hits = spark.createDataFrame([], schema)
-    else:
-        hits = reduce(DataFrame.unionByName, results)
-    best = ranked(hits, k).withColumnRenamed("query_id", "_text")
-    return queries.select("query_id", F.md5(F.col("text").cast("binary")).alias("_text")) \
-        .join(best, "_text").select("query_id", "id", "score", "rank")
-
-
-def _search_pass(spark, tokens: DataFrame, rows: list, k: int, schema: T.StructType) -> DataFrame:
-    vocabulary = spark.createDataFrame([(w,) for w in {w for r in rows for w in r["terms"]}], "term string")
-    per_doc = tokens.select("id", F.size("tokens").alias("length"), F.array_distinct("tokens").alias("words"))
-    # Bounded: one row per query word of this pass, plus one for the corpus.
-    found = per_doc.select(F.explode("words").alias("term")).join(F.broadcast(vocabulary), "term", "left_semi") \
-        .groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.lit(0.0).alias("mean"))
-    whole = per_doc.agg(F.lit(None).cast("string").alias("term"), F.count(F.lit(1)).alias("n"),
-                        F.avg("length").alias("mean"))
-    counted = {r["term"]: r for r in found.unionByName(whole).collect()}
-    corpus = counted.pop(None)
-    doc_freq = {term: r["n"] for term, r in counted.items()}
-    query_ids = [r["query_id"] for r in rows]
-    blocks = [(start, _QueryBlock([r["terms"] for r in rows[start:start + QUERIES_PER_MATRIX]], doc_freq, corpus["n"]))
-              for start in range(0, len(rows), QUERIES_PER_MATRIX)]
-    shared = spark.sparkContext.broadcast((query_ids, blocks, corpus["mean"]))
-    out_schema = to_arrow_schema(schema)
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        query_ids, blocks, mean_length = shared.value
-        leaders = Leaders(k)
-        for batch in batches:
-            for first, block in blocks:
-                if not block.words:
-                    continue
-                step = max(1, MATRIX_CELLS // max(len(block.words), block.uses.shape[1]))
-                for start in range(0, batch.num_rows, step):
-                    part = batch.slice(start, step)
-                    lists = part.column("tokens")
-                    lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-                    scores = block.scores(lists, lengths, mean_length)
-                    ids = np.array(part.column("id").to_pylist())
-                    leaders.offer_matrix(scores, scores > 0, ids, first)
-        yield from leaders.batch(query_ids, out_schema)
-
-    return tokens.filter("keep").select("id", "tokens").mapInArrow(search, schema)
+    schema = _hit_schema(docs, queries, id_col)
+    return [KeywordPass(tokens, rows, schema) for rows in query_passes(worded, F.size("terms"), TERMS_PER_PASS)]
+
+
+class KeywordPass:
+    """A block of queries with the corpus statistics of their words, ready to score documents."""
+
+    def __init__(self, tokens: DataFrame, rows: list, schema: T.StructType):
+        spark, self.tokens, self.schema = tokens.sparkSession, tokens, schema
+        self.query_ids = [r["query_id"] for r in rows]
+        vocabulary = spark.createDataFrame([(w,) for w in {w for r in rows for w in r["terms"]}], "term string")
+        per_doc = tokens.select(F.size("tokens").alias("length"), F.array_distinct("tokens").alias("words"))
+        # One aggregation gives both: a row per query word, and the row of the null word that
+        # every document brings once for the corpus totals. Its result is bounded by the query words.
+        words = per_doc.select(
+            F.explode(F.concat(F.array(F.lit(None).cast("string")), F.col("words"))).alias("term"), "length")
+        counted = words.join(F.broadcast(vocabulary.withColumn("_known", F.lit(True))), "term", "left") \
+            .filter(F.col("_known") | F.col("term").isNull()) \
+            .groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"))
+        found = {r["term"]: r for r in counted.collect()}
+        corpus = found.pop(None, None)
+        doc_freq = {term: r["n"] for term, r in found.items()}
+        blocks = [(first, _QueryBlock([r["terms"] for r in rows[first:first + QUERIES_PER_MATRIX]], doc_freq,
+                                      corpus["n"] if corpus else 0))
+                  for first in range(0, len(rows), QUERIES_PER_MATRIX)]
+        self.shared = spark.sparkContext.broadcast((blocks, corpus["mean"] if corpus else 0.0))
+
+    def scan(self, visitor: Callable[[], object], schema: T.StructType) -> DataFrame:
+        """Score every document against every query; each task's ``visitor`` decides what is kept."""
+        shared, arrow = self.shared, to_arrow_schema(schema)
+
+        def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            blocks, mean_length = shared.value
+            seen = visitor()
+            for batch in batches:
+                for first, block in blocks:
+                    if not block.words:
+                        continue
+                    step = max(1, MATRIX_CELLS // max(len(block.words), block.uses.shape[1]))
+                    for start in range(0, batch.num_rows, step):
+                        part = batch.slice(start, step)
+                        lists = part.column("tokens")
+                        lengths = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+                        scores = block.scores(lists, lengths, mean_length)
+                        ids = np.array(part.column("id").to_pylist())
+                        seen.offer_matrix(scores, scores > 0, ids, first)
+            yield from seen.batches(arrow)
+
+        return self.tokens.filter("keep").select("id", "tokens").mapInArrow(search, schema)
+
+    def leaders(self, k: int) -> DataFrame:
+        """(query_id, id, score): the k best of each task."""
+        query_ids = self.query_ids
+        return self.scan(lambda: Leaders(k, query_ids), self.schema)
+
+    def scores_of(self, wanted: dict[object, list]) -> DataFrame:
+        """(query_id, id, score) of the matches among the wanted query-to-ids pairs."""
+        place = {q: i for i, q in enumerate(self.query_ids)}
+        pairs: dict[object, list[int]] = {}
+        for query, ids in wanted.items():
+            for one in ids if query in place else ():
+                pairs.setdefault(one, []).append(place[query])
+        shared, query_ids = self.tokens.sparkSession.sparkContext.broadcast(pairs), self.query_ids
+        return self.scan(lambda: Finder(shared.value, query_ids), self.schema)
+
+    def ranks_of(self, marks: dict[object, list[tuple]]) -> DataFrame:
+        """(query_id, id, rank) of marked matches, given as query to (id, score) pairs: how many
+        matches are better is counted per task and then added up."""
+        place = {q: i for i, q in enumerate(self.query_ids)}
+        placed = {place[q]: (np.array([s for _, s in m]), np.array([i for i, _ in m]))
+                  for q, m in marks.items() if q in place and m}
+        shared, query_ids = self.tokens.sparkSession.sparkContext.broadcast(placed), self.query_ids
+        schema = T.StructType([*self.schema.fields[:2], T.StructField("better", T.LongType())])
+        counted = self.scan(lambda: BetterCounts(shared.value, query_ids), schema)
+        return counted.groupBy("query_id", "id").agg((F.sum("better") + 1).cast("int").alias("rank"))

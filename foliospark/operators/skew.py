@@ -13,7 +13,7 @@ def hot_keys(facts: DataFrame, key: str, share: int = HOT_SHARE, min_rows: int =
     """Keys holding more than 1/``share`` of all rows: fewer than ``share`` by arithmetic,
     whatever the data, so this table may be broadcast."""
     counts = facts.groupBy(key).count()
-    total = facts.select(F.count(F.lit(1)).alias("n"))
+    total = counts.agg(F.sum("count").alias("n"))
     limit = F.greatest(total.scalar() / F.lit(share), F.lit(min_rows).cast("double"))
     return counts.filter(F.col("count") > limit).select(key)
 

@@ -48,8 +48,8 @@ def best_rows(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 class Leaders:
     """The running k best per query of one task."""
 
-    def __init__(self, k: int):
-        self.k = k
+    def __init__(self, k: int, query_ids: list):
+        self.k, self.query_ids = k, query_ids
         self.kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def offer(self, query: int, scores: np.ndarray, ids: np.ndarray) -> None:
@@ -57,7 +57,7 @@ class Leaders:
             old_scores, old_ids = self.kept[query]
             if len(old_scores) == self.k:
                 # Equal scores stay in: the id may still win the tie.
-                near = scores >= old_scores.min()
+                near = scores >= old_scores.min(initial=np.inf)
                 scores, ids = scores[near], ids[near]
             if not len(scores):
                 return
@@ -72,12 +72,56 @@ class Leaders:
             rows = matched[:, q]
             self.offer(first_query + int(q), scores[rows, q], ids[rows])
 
-    def batch(self, query_ids: list, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         for query, (scores, ids) in self.kept.items():
-            yield pa.RecordBatch.from_arrays([
-                pa.array([query_ids[query]] * len(ids), schema.field(0).type),
-                pa.array(ids.tolist(), schema.field(1).type),
-                pa.array(scores, pa.float64())], schema=schema)
+            yield _result(schema, [self.query_ids[query]] * len(ids), ids.tolist(), scores)
+
+
+class Finder:
+    """The scores of given (id, query) pairs."""
+
+    def __init__(self, pairs: dict[object, list[int]], query_ids: list):
+        self.pairs, self.query_ids = pairs, query_ids
+        self.found: list[tuple] = []
+
+    def offer_matrix(self, scores: np.ndarray, matched: np.ndarray, ids: np.ndarray, first_query: int = 0) -> None:
+        last = first_query + scores.shape[1]
+        for row, one in enumerate(ids.tolist()):
+            for query in self.pairs.get(one, ()):
+                if first_query <= query < last and matched[row, query - first_query]:
+                    score = round(float(scores[row, query - first_query]), SCORE_DIGITS)
+                    self.found.append((self.query_ids[query], one, score))
+
+    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        if self.found:
+            yield _result(schema, *map(list, zip(*self.found)))
+
+
+class BetterCounts:
+    """For given (query, score, id) marks, how many rows of one task rank before each."""
+
+    def __init__(self, marks: dict[int, tuple[np.ndarray, np.ndarray]], query_ids: list):
+        self.marks, self.query_ids = marks, query_ids
+        self.counts = {q: np.zeros(len(ids), dtype=np.int64) for q, (_, ids) in marks.items()}
+
+    def offer_matrix(self, scores: np.ndarray, matched: np.ndarray, ids: np.ndarray, first_query: int = 0) -> None:
+        scores = np.round(scores, SCORE_DIGITS)
+        for column in range(scores.shape[1]):
+            query = first_query + column
+            if query in self.marks:
+                rows = matched[:, column]
+                mine, names = scores[rows, column][:, None], ids[rows][:, None]
+                mark_scores, mark_ids = self.marks[query]
+                better = (mine > mark_scores) | ((mine == mark_scores) & (names < mark_ids))
+                self.counts[query] += better.sum(axis=0)
+
+    def batches(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        for query, counts in self.counts.items():
+            yield _result(schema, [self.query_ids[query]] * len(counts), self.marks[query][1].tolist(), counts)
+
+
+def _result(schema: pa.Schema, *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 def ranked(hits: DataFrame, k: int) -> DataFrame:

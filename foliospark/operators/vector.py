@@ -91,7 +91,7 @@ def _search_pass(rows: DataFrame, queries: list[Row], k: int, schema: T.StructTy
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, matrix, query_sound, probe = shared.value
-        leaders = Leaders(k)
+        leaders = Leaders(k, query_ids)
         step = max(1, MATRIX_CELLS // max(dim, QUERIES_PER_MATRIX))
         for batch in batches:
             for start in range(0, batch.num_rows, step):
@@ -105,7 +105,7 @@ def _search_pass(rows: DataFrame, queries: list[Row], k: int, schema: T.StructTy
                         cell = part.column("cell").to_numpy(zero_copy_only=False)
                         matched = matched & probe[block, :][:, cell].T
                     leaders.offer_matrix(vectors @ matrix[block].T, matched, ids, first)
-        yield from leaders.batch(query_ids, out_schema)
+        yield from leaders.batches(out_schema)
 
     kept = rows.filter(valid_dimensions("vector", dim))
     if probe is not None:

@@ -13,6 +13,7 @@ from foliospark.operators import filters as C
 from foliospark.operators import hybrid, keyword, rerank, results, stats, vector
 from foliospark.operators.topk import top, with_rank
 from foliospark.plans.search import SearchTable
+from foliospark.session import staged
 from testkit import relations as rel
 from testkit.registry import CHUNK_OVERLAP, CHUNK_SIZE, QUERY, TERM_LIST, TERM_SET, TERMS, register, with_parts, words_sql
 
@@ -241,13 +242,33 @@ def _(spark, d):
         F.round(cosine(F.col("embedding"), F.col("other")), 5).alias("same_as_document"))
 
 
-@register("multi_query_search", with_parts("""
-    SELECT filePath, query_id, id, score, rank FROM (
-      SELECT f.filePath, b.* FROM batch_hits b JOIN files f USING (id) WHERE rank <= 3)
-    QUALIFY row_number() OVER (PARTITION BY filePath ORDER BY score DESC, query_id, rank) = 1""", "batch_hits", "files"))
+_BATCH_HYBRID = """,
+    qc AS (SELECT q.vec_id AS query_id, f.id, round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 6) AS s
+      FROM embeddings q JOIN benchmark ON item_id = q.vec_id, embeddings v JOIN files f ON f.doc_id = v.vec_id),
+    qv AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS r FROM qc QUALIFY r <= 50),
+    qk AS (SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS r FROM
+      (SELECT query_id, id, round(sum(weight), 6) AS s FROM weights JOIN query_terms USING (term) GROUP BY query_id, id)),
+    qh AS (SELECT coalesce(k.query_id, v.query_id) AS query_id, coalesce(k.id, v.id) AS id,
+      coalesce(1.0 / (60 + k.r), 0.0) + coalesce(1.0 / (60 + v.r), 0.0) AS score
+      FROM qk k FULL JOIN qv v ON k.query_id = v.query_id AND k.id = v.id),
+    qt AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM qh QUALIFY rank <= 5)
+    """
+
+
+@register("batch_hybrid_search", with_parts(_BATCH_HYBRID + "SELECT query_id, id, round(score, 6) AS score, rank FROM qt",
+                                            "weights", "query_terms", "files"))
+def _(spark, d):
+    hits = hybrid.batch_hybrid_search(rel.search_table(spark, d), rel.hybrid_queries(spark, d), 5)
+    return hits.withColumn("score", F.round("score", 6))
+
+
+@register("multi_query_search", with_parts(_BATCH_HYBRID + """
+    SELECT filePath, query_id, id, round(score, 6) AS score, rank FROM qt JOIN files USING (id) WHERE rank <= 3
+    QUALIFY row_number() OVER (PARTITION BY filePath ORDER BY score DESC, query_id, rank) = 1""", "weights", "query_terms", "files"))
 def _(spark, d):
-    hits = keyword.batch_keyword_search(rel.files(spark, d, spread=True), rel.query_texts(spark, d), 3)
-    return results.best_per_file(results.fetch_fields(hits, rel.files(spark, d), ["filePath"]))
+    hits = hybrid.batch_hybrid_search(rel.search_table(spark, d), rel.hybrid_queries(spark, d), 3)
+    best = results.best_per_file(results.fetch_fields(hits, rel.files(spark, d), ["filePath"]))
+    return best.withColumn("score", F.round("score", 6))
 
 
 # ---------------------------------------------------------------- hits
@@ -350,7 +371,8 @@ def _chunks(spark, d) -> DataFrame:
       CASE WHEN len({words_sql('chunk')}) > 0 THEN 64 END AS dimensions,
       CASE WHEN len({words_sql('chunk')}) > 0 THEN 1.0::DOUBLE END AS length FROM chunks""", "chunks"))
 def _(spark, d):
-    chunks = _chunks(spark, d).select("id", "chunk")
+    # Written once, then read by column: texts to embed, keys to look up.
+    chunks = staged(_chunks(spark, d).select("id", "chunk"), "chunks")
     embedded = E.attach_vectors(chunks, E.new_embeddings(chunks, E.HashingEmbedder(64)), min_rows=50)
     length = F.sqrt(F.aggregate("contentVector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     return embedded.select("id", F.when(F.col("contentVector").isNotNull(), F.size("contentVector")).alias("dimensions"),

@@ -20,8 +20,15 @@ FILES_SQL = """
 """
 
 
+_HANDLES: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread_by: str | None = None) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", spread_by)
+    """A given table. The handle is kept per session, which saves reading the schema again."""
+    key = (id(spark), sf_dir, name, spread_by)
+    if key not in _HANDLES or _HANDLES[key][0] is not spark:
+        _HANDLES[key] = spark, read_table(spark, f"{sf_dir}/{name}.parquet", spread_by)
+    return _HANDLES[key][1]
 
 
 def files(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
@@ -99,6 +106,12 @@ def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
 
 
+def hybrid_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every query text with the vector of the same number."""
+    embeddings = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return query_texts(spark, sf_dir).join(embeddings, "query_id")
+
+
 def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per file with a run status: labels decide pass or fail, other files were unchanged."""
     labels = table(spark, sf_dir, "labels")
