@@ -81,14 +81,18 @@ def build_chunk_rows(metadata: DataFrame, size: int | None = None, overlap: int
     return chunks.withColumn("id", chunk_id("filePath", "chunkNumber"))
 
 
-def attach_content(chunks: DataFrame, contents: DataFrame) -> DataFrame:
+def attach_content(chunks: DataFrame, contents: DataFrame, first_only: bool = False) -> DataFrame:
     """Copy the capped file content into every chunk row, as the chunk table declares it.
 
     ``contents`` (filePath, content) is unique per file. The join is last so that the long
-    text travels through no other shuffle.
+    text travels through no other shuffle. With ``first_only`` just the first chunk of a file
+    carries it, which keeps a large table many times smaller.
     """
     full = contents.select("filePath", capped("content").alias("content"))
-    return conform(chunks.join(full, "filePath", "left"), CHUNK_DOCUMENT)
+    if first_only:
+        full = full.withColumn("chunkNumber", F.lit(0))
+    keys = ["filePath", "chunkNumber"] if first_only else ["filePath"]
+    return conform(chunks.join(full, keys, "left"), CHUNK_DOCUMENT)
 
 
 def with_vectors(embedded: DataFrame) -> DataFrame:

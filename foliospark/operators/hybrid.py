@@ -12,6 +12,7 @@ from foliospark.functions.scoring import RRF_CONSTANT, reciprocal_rank
 from foliospark.operators.keyword import keyword_passes, keyword_scores
 from foliospark.operators.topk import ranked, top, with_rank
 from foliospark.operators.vector import batch_vector_search, vector_search
+from foliospark.session import staged
 
 VECTOR_POOL = 50
 
@@ -25,23 +26,34 @@ def fuse(keyword_ranks: DataFrame, vector_ranks: DataFrame, constant: int = RRF_
     return both.select("id", score.alias("score"))
 
 
-def ranks_of(scores: DataFrame, wanted: DataFrame) -> DataFrame:
+def ranks_of(scores: DataFrame, wanted: list) -> DataFrame:
     """(id, rank) within all of ``scores`` for the few ids in ``wanted``.
 
-    A global ``row_number`` would sort every match in one task. The wanted rows, sorted, cut
-    the ranking into sections instead; each match falls into one section, sections are
-    counted with map-side combining, and the running total at a wanted row is its rank.
+    A global ``row_number`` would sort every match in one task. The wanted rows, in ranked
+    order, cut the ranking into sections instead; each match falls into one section, sections
+    are counted with map-side combining, and the running total at a wanted row is its rank.
     """
-    marks = scores.join(F.broadcast(wanted.select("id")), "id") \
-        .select(F.struct((-F.col("score")).alias("s"), "id").alias("m"))
-    sorted_marks = marks.agg(F.array_sort(F.collect_list("m")).alias("marks"))
-    here = F.struct((-F.col("score")).alias("s"), F.col("id"))
-    section = F.size(F.filter("_marks", lambda m: m < here))
-    counted = scores.withColumn("_marks", sorted_marks.scalar()) \
-        .select(section.alias("pos")).groupBy("pos").count()
+    spark, kind = scores.sparkSession, scores.schema["id"].dataType.simpleString()
+    ids = spark.createDataFrame([(i,) for i in wanted], f"id {kind}")
+    # At most as many rows as ``wanted``.
+    found = scores.join(F.broadcast(ids), "id").select("id", "score").collect()
+    marks = sorted(((r["score"], r["id"]) for r in found), key=lambda m: (-m[0], m[1]))
+    if not marks:
+        return scores.select("id", F.lit(0).alias("rank")).limit(0)
+
+    def section(low: int, high: int) -> Column:
+        """How many marks rank before a row, by binary search among marks low to high."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        score, name = F.lit(marks[middle][0]), F.lit(marks[middle][1])
+        behind = (F.col("score") < score) | ((F.col("score") == score) & (F.col("id") > name))
+        return F.when(behind, section(middle + 1, high)).otherwise(section(low, middle))
+
+    counted = scores.select(section(0, len(marks)).alias("pos")).groupBy("pos").count()
     totals = counted.select("pos", F.sum("count").over(Window.orderBy("pos")).cast("int").alias("rank"))
-    return sorted_marks.select(F.posexplode("marks").alias("pos", "m")) \
-        .join(F.broadcast(totals), "pos").select(F.col("m.id").alias("id"), "rank")
+    placed = spark.createDataFrame([(pos, name) for pos, (_, name) in enumerate(marks)], f"pos int, id {kind}")
+    return placed.join(F.broadcast(totals), "pos").select("id", "rank")
 
 
 def hybrid_search(table: DataFrame, query: str, vector: Sequence[float] | DataFrame, k: int = 5,
@@ -50,14 +62,16 @@ def hybrid_search(table: DataFrame, query: str, vector: Sequence[float] | DataFr
     """The k best by fused rank of the keyword list and the ``pool`` nearest vectors.
 
     The whole keyword list takes part. Only rows that can reach the top k need a rank,
-    though: those in the vector pool, and the first ``k`` + ``pool`` of the keyword list.
+    though: those in the vector pool, and the first ``k`` + ``pool`` of the keyword list. The
+    keyword scores are written once, so the text is read and tokenised a single time.
     """
-    scores = keyword_scores(table, query, fields, id_col, where)
+    scores = staged(keyword_scores(table, query, fields, id_col, where), "scores")
     near = with_rank(vector_search(table, vector, pool, id_col, vector_col, where))
-    # At most ``pool`` rows, used in three places.
-    near = table.sparkSession.createDataFrame(near.collect(), near.schema)
+    # At most ``pool`` rows.
+    near_rows = near.collect()
+    near = table.sparkSession.createDataFrame(near_rows, near.schema)
     first = with_rank(top(scores, k + pool)).select("id", "rank")
-    rest = ranks_of(scores, near).join(first, "id", "left_anti")
+    rest = ranks_of(scores, [r["id"] for r in near_rows]).join(F.broadcast(first), "id", "left_anti")
     return top(fuse(first.unionByName(rest), near), k)
 
 

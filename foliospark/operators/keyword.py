@@ -52,7 +52,8 @@ def term_table(docs: DataFrame, terms: list[str], fields: Sequence[str], id_col:
     """
     keep = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     tokens = docs.select(F.col(id_col).alias("id"), keep.alias("keep"), field_tokens(fields).alias("_tokens"))
-    hits = tokens.select(
+    # Stated here so that joins on the id infer nothing new and all branches keep the same plan.
+    hits = tokens.filter(F.col("id").isNotNull()).select(
         "id", "keep", F.size("_tokens").alias("length"),
         F.explode_outer(F.filter("_tokens", lambda t: t.isin(terms))).alias("_word"))
     counts = [F.count_if(F.col("_word") == w).alias(f"tf{i}") for i, w in enumerate(terms)]

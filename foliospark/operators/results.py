@@ -35,12 +35,17 @@ def default_fields(search_type: str, table: DataFrame) -> list[str]:
     return [f for f in wanted if f in table.columns]
 
 
-def fetch_fields(hits: DataFrame, table: DataFrame, fields: Sequence[str], id_col: str = "id") -> DataFrame:
-    """Join the top hits back to their rows. The hits are at most k rows and are broadcast;
-    the search itself never carries these columns."""
+def fetch_fields(hits: DataFrame, table: DataFrame, fields: Sequence[str], id_col: str = "id",
+                 few: bool = False) -> DataFrame:
+    """Join hits back to their rows; the search itself never carries these columns.
+
+    ``few`` states that the hits are the k rows of one query and may be broadcast. The hits
+    of a table of queries have no such bound; Spark then chooses by measured size.
+    """
     extra = [c for c in hits.columns if c != "id"]
     rows = table.select(F.col(id_col).alias("id"), *[f for f in fields if f != id_col])
-    return rows.join(F.broadcast(hits), "id").select("id", *[f for f in fields if f != id_col], *extra)
+    found = rows.join(F.broadcast(hits) if few else hits, "id")
+    return found.select("id", *[f for f in fields if f != id_col], *extra)
 
 
 def sort_by(table: DataFrame, field: str, descending: bool = False) -> DataFrame:

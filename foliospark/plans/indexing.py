@@ -44,6 +44,7 @@ class IndexSettings:
     chunk_size: int = 1000
     chunk_overlap: int = 200
     tokenizer: str = "whitespace"
+    content_in_first_chunk_only: bool = False
     rows_per_file: int | None = None
     registry: dict[str, Extractor] = field(default_factory=lambda: dict(EXTRACTORS))
     hooks: tuple[Column, ...] = ()
@@ -136,7 +137,7 @@ def index_vector(spark: SparkSession, roots: str | Iterable[str] | DataFrame, ta
     calls = cache.append(new_embeddings(chunks, embedder, cache.read()))
     embedded = staged(with_vectors(attach_vectors(chunks, cache.read())), "embedded")
     contents = run.extracted.select(F.col("path").alias("filePath"), "content")
-    run.table.upsert(attach_content(embedded, contents))
+    run.table.upsert(attach_content(embedded, contents, settings.content_in_first_chunk_only))
     per_file = embedded.groupBy(F.col("filePath").alias("path")).agg(F.count(F.lit(1)).alias("chunks"))
     run.record(per_file.select("path"))
     outcomes = run.outcomes(per_file).join(per_file, "path", "left") \

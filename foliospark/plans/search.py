@@ -50,7 +50,7 @@ class SearchTable:
 
     def _finish(self, hits: DataFrame, search_type: str, select: Sequence[str] | None) -> DataFrame:
         fields = list(select) if select else default_fields(search_type, self.table)
-        return fetch_fields(hits, self.table, fields, self.id_col).orderBy(F.desc("score"), "id")
+        return fetch_fields(hits, self.table, fields, self.id_col, few=True).orderBy(F.desc("score"), "id")
 
     def keyword(self, query: str, top: int | None = None, where: Column | None = None,
                 select: Sequence[str] | None = None) -> DataFrame:

@@ -61,9 +61,9 @@ class TableStore:
     """A table at ``path`` whose rows are replaced by ``key``."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "filePath",
-                 rows_per_file: int | None = None):
+                 rows_per_file: int | None = None, compact_after: int = 50):
         self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
-        self.rows_per_file = rows_per_file
+        self.rows_per_file, self.compact_after = rows_per_file, compact_after
 
     def commits(self) -> list[Row]:
         """Commits since the last clean folder, oldest first: one small row each."""
@@ -127,6 +127,8 @@ class TableStore:
         if key is not None:
             written.select(key).distinct().write.parquet(f"{self.path}/{folder}/keys")
         self._log("rows", folder, key, tag)
+        if len(self.commits()) > self.compact_after:
+            self.compact()
         return written.count()
 
     def _write(self, rows: DataFrame, folder: str) -> None:

@@ -20,18 +20,20 @@ def not_blank(text: Column | str) -> Column:
     return F.length(strip(text)) > 0
 
 
+def _joined(order: str, text: str, separator: str) -> Column:
+    """Aggregate: the texts of a group in ascending order, joined."""
+    return F.array_join(
+        F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda s: s[text]), separator)
+
+
 def ordered_join(parts: DataFrame, keys: list[str], position: str, text: str, separator: str,
                  output: str = "content", run_length: int = RUN_LENGTH) -> DataFrame:
     """Join ``text`` by ascending ``position`` within ``keys``."""
-    def joined(order: str) -> Column:
-        return F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda s: s[text]), separator)
-
     runs = (
         parts.withColumn("_run", F.floor(F.col(position) / run_length))
-        .groupBy(*keys, "_run").agg(joined(position).alias(text))
+        .groupBy(*keys, "_run").agg(_joined(position, text, separator).alias(text))
     )
-    return runs.groupBy(*keys).agg(joined("_run").alias(output))
+    return runs.groupBy(*keys).agg(_joined("_run", text, separator).alias(output))
 
 
 def assemble_pages(pages: DataFrame, doc: str = "doc", page: str = "page", text: str = "text") -> DataFrame:
@@ -43,16 +45,24 @@ def assemble_pages(pages: DataFrame, doc: str = "doc", page: str = "page", text:
 
 
 def assemble_sheets(cells: DataFrame, doc: str = "doc", sheet: str = "sheet", title: str = "title",
-                    row: str = "row", column: str = "column", value: str = "value") -> DataFrame:
+                    row: str = "row", column: str = "column", value: str = "value",
+                    run_length: int = RUN_LENGTH) -> DataFrame:
     """(doc, sheet number, title, row, column, value) rows to text: a header per sheet, then one
-    line per row with its non-null cells; a row without values gives no line."""
-    lines = ordered_join(cells.filter(F.col(value).isNotNull()), [doc, sheet, row], column, value, " | ", "_line")
-    body = ordered_join(lines, [doc, sheet], row, "_line", "\n", "_body")
-    headers = cells.groupBy(doc, sheet).agg(F.min(title).alias("_title"))
-    sheets = headers.join(body, [doc, sheet], "left").select(
-        doc, sheet,
-        F.concat_ws("\n", F.concat(F.lit("[Sheet: "), F.col("_title"), F.lit("]")), F.col("_body")).alias("_text"))
-    return ordered_join(sheets, [doc], sheet, "_text", "\n")
+    line per row with its non-null cells; a row without values gives no line.
+
+    Cells are shuffled once, by runs of rows; that placement serves both the joining of cells
+    to lines and of lines to runs. The headers are a small table of their own, put in front as
+    run -1 of each sheet.
+    """
+    placed = cells.filter(F.col(value).isNotNull()) \
+        .withColumn("_run", F.floor(F.col(row) / run_length)).repartition(doc, sheet, "_run")
+    lines = placed.groupBy(doc, sheet, "_run", row).agg(_joined(column, value, " | ").alias("_text"))
+    runs = lines.groupBy(doc, sheet, "_run").agg(_joined(row, "_text", "\n").alias("_text"))
+    headers = cells.groupBy(doc, sheet).agg(F.min(title).alias("_title")).select(
+        doc, sheet, F.lit(-1).cast("bigint").alias("_run"),
+        F.concat(F.lit("[Sheet: "), F.col("_title"), F.lit("]")).alias("_text"))
+    parts = headers.unionByName(runs).withColumn("_place", F.struct(sheet, "_run"))
+    return parts.groupBy(doc).agg(_joined("_place", "_text", "\n").alias("content"))
 
 
 def assemble_paragraphs(parts: DataFrame, doc: str = "doc", kind: str = "kind", position: str = "position",

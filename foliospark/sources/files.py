@@ -143,10 +143,13 @@ def fetch_contents(files: DataFrame, total_bytes: int) -> DataFrame:
 
 def _is_utf16(content: Column) -> Column:
     """A byte-order mark, whole code units, and no surrogate outside a high-low pair."""
-    units = F.regexp_replace(F.hex(content), "(....)", "$1 ")
+    digits = F.hex(content)
 
-    def sound(high: str, low: str, any_surrogate: str) -> Column:
-        return ~F.rlike(F.regexp_replace(units, f"{high} {low} ", ""), F.lit(f"{any_surrogate} "))
+    def sound(high: str, low: str, surrogate: str) -> Column:
+        # Most texts have no surrogate at all, which one scan shows; else the proper pairs are removed first.
+        units = F.regexp_replace(digits, "(....)", "$1 ")
+        return F.when(~F.rlike(digits, F.lit(f"^(?:....)*?{surrogate}")), True) \
+            .otherwise(~F.rlike(F.regexp_replace(units, f"{high} {low} ", ""), F.lit(f"{surrogate} ")))
 
     mark = F.hex(F.substring(content, 1, 2))
     sound_units = F.when(mark == "FFFE", sound("..D[89AB]", "..D[C-F]", "..D[89A-F]")) \

@@ -79,7 +79,8 @@ def ingest_stream(stream: DataFrame, table: TableStore, state: TableStore, cache
         chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks")
         cache.append(new_embeddings(chunks, embedder, cache.read()), tag=tag)
         embedded = staged(with_vectors(attach_vectors(chunks, cache.read())), "embedded")
-        table.upsert(attach_content(embedded, extracted.select(F.col("path").alias("filePath"), "content")), tag=tag)
+        contents = extracted.select(F.col("path").alias("filePath"), "content")
+        table.upsert(attach_content(embedded, contents, settings.content_in_first_chunk_only), tag=tag)
         written = files.join(embedded.select(F.col("filePath").alias("path")).distinct(), "path", "left_semi")
         state.upsert(written.select(F.col("path").alias("filePath"), F.col("modificationTime").alias("mtime")), tag=tag)
 

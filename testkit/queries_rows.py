@@ -266,7 +266,7 @@ def _(spark, d):
         .when(way == 1, F.encode(text, "UTF-16")) \
         .when(way == 2, F.concat(F.unhex(F.lit("FFFE")), F.encode(text, "UTF-16LE"))) \
         .otherwise(F.encode(text, "ISO-8859-1"))
-    return rel.table(spark, d, "documents").select("doc_id", content.alias("content")) \
+    return rel.table(spark, d, "documents", "doc_id").select("doc_id", content.alias("content")) \
         .select("doc_id", X.text_hash(files.decode_text("content")).alias("decoded"))
 
 

@@ -42,7 +42,7 @@ def _(spark, d):
 @register("keyword_search", with_parts("SELECT id, name, score FROM hits JOIN files USING (id)", "hits", "files"))
 def _(spark, d):
     table = rel.files(spark, d, spread=True)
-    return results.fetch_fields(keyword.keyword_search(table, QUERY, 10), rel.files(spark, d), ["name"])
+    return results.fetch_fields(keyword.keyword_search(table, QUERY, 10), rel.files(spark, d), ["name"], few=True)
 
 
 @register("match_all", with_parts("SELECT id, 1.0::DOUBLE AS score FROM files ORDER BY id LIMIT 10", "files"))
@@ -70,7 +70,7 @@ def _(spark, d):
 def _(spark, d):
     table = rel.files(spark, d, spread=True)
     before = keyword.keyword_search(table, QUERY, 10, where=C.equals("extension", ".pdf"))
-    after = results.fetch_fields(keyword.keyword_search(table, QUERY, 10), rel.files(spark, d), ["extension"])
+    after = results.fetch_fields(keyword.keyword_search(table, QUERY, 10), rel.files(spark, d), ["extension"], few=True)
     return before.select(F.lit("before").alias("way"), "id", "score").unionByName(
         after.filter(C.equals("extension", ".pdf")).select(F.lit("after").alias("way"), "id", "score"))
 
@@ -145,7 +145,7 @@ def _hybrid(spark, d, k: int) -> DataFrame:
     SELECT id, name, round(score, 6) AS score FROM (SELECT * FROM fused ORDER BY score DESC, id LIMIT 10) JOIN files USING (id)""",
     "fused", "files"))
 def _(spark, d):
-    return results.fetch_fields(_hybrid(spark, d, 10), rel.files(spark, d), ["name"]).withColumn("score", F.round("score", 6))
+    return results.fetch_fields(_hybrid(spark, d, 10), rel.files(spark, d), ["name"], few=True).withColumn("score", F.round("score", 6))
 
 
 @register("rrf_fusion", with_parts("""
@@ -168,7 +168,7 @@ def _(spark, d):
 
 def _captioned(spark, d) -> DataFrame:
     table = rel.files(spark, d, spread=True)
-    hits = results.fetch_fields(keyword.keyword_search(table, QUERY, 10), rel.files(spark, d), ["content"])
+    hits = results.fetch_fields(keyword.keyword_search(table, QUERY, 10), rel.files(spark, d), ["content"], few=True)
     return rerank.with_captions(hits, QUERY)
 
 
@@ -306,7 +306,7 @@ def _(spark, d):
 
 def _hits(spark, d, *fields: str, k: int = 10) -> DataFrame:
     table = rel.files(spark, d, spread=True)
-    return results.fetch_fields(keyword.keyword_search(table, QUERY, k), rel.files(spark, d), fields)
+    return results.fetch_fields(keyword.keyword_search(table, QUERY, k), rel.files(spark, d), fields, few=True)
 
 
 @register("select_fields", with_parts("SELECT id, name, filePath, extension, score FROM hits JOIN files USING (id)", "hits", "files"))
