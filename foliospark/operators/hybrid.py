@@ -58,14 +58,17 @@ def ranks_of(scores: DataFrame, wanted: list) -> DataFrame:
 
 def hybrid_search(table: DataFrame, query: str, vector: Sequence[float] | DataFrame, k: int = 5,
                   fields: Sequence[str] = ("content",), id_col: str = "id", vector_col: str = "contentVector",
-                  where: Column | None = None, pool: int = VECTOR_POOL) -> DataFrame:
+                  where: Column | None = None, pool: int = VECTOR_POOL, scores: DataFrame | None = None) -> DataFrame:
     """The k best by fused rank of the keyword list and the ``pool`` nearest vectors.
 
     The whole keyword list takes part. Only rows that can reach the top k need a rank,
     though: those in the vector pool, and the first ``k`` + ``pool`` of the keyword list. The
-    keyword scores are written once, so the text is read and tokenised a single time.
+    keyword scores are written once, so the text is read and tokenised a single time; ``scores``
+    may bring them from a written term index instead.
     """
-    scores = staged(keyword_scores(table, query, fields, id_col, where), "scores")
+    if scores is None:
+        scores = keyword_scores(table, query, fields, id_col, where)
+    scores = staged(scores, "scores")
     near = with_rank(vector_search(table, vector, pool, id_col, vector_col, where))
     # At most ``pool`` rows.
     near_rows = near.collect()

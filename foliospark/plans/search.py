@@ -11,9 +11,11 @@ from foliospark.functions.text import text_hash
 from foliospark.operators.embedding import Embedder
 from foliospark.operators.filters import metadata_filter
 from foliospark.operators.hybrid import hybrid_search
-from foliospark.operators.keyword import keyword_search
+from foliospark.operators.keyword import MATCH_ALL, keyword_scores
+from foliospark.operators.postings import posting_scores
 from foliospark.operators.rerank import CANDIDATES, extract_answer, rerank, with_captions
 from foliospark.operators.results import DEFAULT_TOP, boost_recent, default_fields, fall_back, fetch_fields, format_hits
+from foliospark.operators.topk import top as best_of
 from foliospark.operators.vector import vector_search
 from foliospark.schemas import SEARCHABLE
 
@@ -24,14 +26,16 @@ class SearchTable:
     """Keyword, vector, hybrid, semantic and filtered search over one table.
 
     Without vectors, vector search raises and the hybrid types fall back to keyword search;
-    with reranking off, semantic search is hybrid search.
+    with reranking off, semantic search is hybrid search. With ``postings``, the folder of a
+    term index written from this table, keyword scores come from there.
     """
 
     def __init__(self, table: DataFrame, embedder: Embedder | None = None, fields: Sequence[str] | None = None,
-                 id_col: str = "id", vector_col: str = "contentVector", reranking: bool = True):
+                 id_col: str = "id", vector_col: str = "contentVector", reranking: bool = True,
+                 postings: str | None = None):
         self.table, self.embedder, self.id_col, self.vector_col = table, embedder, id_col, vector_col
         self.fields = list(fields) if fields else [c for c in table.columns if c in SEARCHABLE]
-        self.reranking = reranking
+        self.reranking, self.postings = reranking, postings
         self.text = "chunk" if "chunk" in table.columns else "content"
 
     @property
@@ -48,6 +52,12 @@ class SearchTable:
     def _vector(self, query: str, vector: Vector | None) -> Vector:
         return self.query_embedding(query) if vector is None else vector
 
+    def _keyword_scores(self, query: str, where: Column | None) -> DataFrame:
+        if self.postings is None or query.strip() == MATCH_ALL:
+            return keyword_scores(self.table, query, self.fields, self.id_col, where)
+        allowed = None if where is None else self.table.filter(where).select(F.col(self.id_col).alias("id"))
+        return posting_scores(self.table.sparkSession, self.postings, query, allowed)
+
     def _finish(self, hits: DataFrame, search_type: str, select: Sequence[str] | None) -> DataFrame:
         fields = list(select) if select else default_fields(search_type, self.table)
         return fetch_fields(hits, self.table, fields, self.id_col, few=True).orderBy(F.desc("score"), "id")
@@ -55,7 +65,7 @@ class SearchTable:
     def keyword(self, query: str, top: int | None = None, where: Column | None = None,
                 select: Sequence[str] | None = None) -> DataFrame:
         k = DEFAULT_TOP if top is None else top
-        return self._finish(keyword_search(self.table, query, k, self.fields, self.id_col, where), "keyword", select)
+        return self._finish(best_of(self._keyword_scores(query, where), k), "keyword", select)
 
     def vector(self, query: str, top: int | None = None, where: Column | None = None,
                select: Sequence[str] | None = None, vector: Vector | None = None) -> DataFrame:
@@ -67,7 +77,7 @@ class SearchTable:
 
     def _hybrid_hits(self, query: str, k: int, where: Column | None, vector: Vector | None) -> DataFrame:
         return hybrid_search(self.table, query, self._vector(query, vector), k, self.fields, self.id_col,
-                             self.vector_col, where)
+                             self.vector_col, where, scores=self._keyword_scores(query, where))
 
     def hybrid(self, query: str, top: int | None = None, where: Column | None = None,
                select: Sequence[str] | None = None, vector: Vector | None = None) -> DataFrame:

@@ -47,7 +47,8 @@ def latest_version(rows: DataFrame, key: str, version: str) -> DataFrame:
 
 def replace_by_key(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """All rows of ``old`` whose key is not in ``new``, and all rows of ``new``."""
-    return old.join(new.select(key).distinct(), key, "left_anti").unionByName(new)
+    kept = old.join(new.select(key).distinct(), key, "left_anti").select(*old.columns)
+    return kept.unionByName(new)
 
 
 def checked_vectors(rows: DataFrame, dim: int, column: str = "contentVector") -> DataFrame:

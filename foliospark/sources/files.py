@@ -86,10 +86,28 @@ def scan_roots(spark: SparkSession, roots: Iterable[str], **options) -> DataFram
     return reduce(DataFrame.unionByName, [scan_directory(spark, r, **options) for r in roots])
 
 
+def _open(path: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Exactly the named files; explicit names may start with ``_`` or ``.``."""
-    files = spark.read.format("binaryFile").load(paths)
-    return files.select(plain_path("path").alias("path"), "modificationTime", "length", "content")
+    """A listing (path, modificationTime, length) of exactly the named files, whatever their names.
+
+    The tasks ask for size and time of each path; a missing file has length 0 and fails later.
+    """
+    schema = T.StructType([T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+                           T.StructField("length", T.LongType())])
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column("path").to_pylist()
+            found = [system.get_file_info(inner) for system, inner in map(_open, names)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), pa.array([(i.mtime_ns or 0) // 1000 for i in found], pa.timestamp("us", "UTC")),
+                 pa.array([i.size or 0 for i in found], pa.int64())], names=schema.fieldNames())
+
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").select(plain_path("path").alias("path"))
+    return listed.mapInArrow(look, schema)
 
 
 def listed_in(files: DataFrame, paths: DataFrame) -> DataFrame:
@@ -116,19 +134,20 @@ def fetch_contents(files: DataFrame, total_bytes: int) -> DataFrame:
 
     A scan that selects ``content`` reads every file it lists; after the incremental gate
     only the survivors should be read. Paths are dealt out so that a task reads about
-    128 MiB; the paths must be reachable from all executors.
+    128 MiB; the paths must be reachable from all executors. A file that is gone or closed to
+    us has no content; other read errors fail the task, so that Spark tries it again.
     """
     others = [c for c in files.columns if c != "content"]
     schema = T.StructType([*[files.schema[c] for c in others], T.StructField("content", T.BinaryType())])
     tasks = max(files.sparkSession.sparkContext.defaultParallelism, -(-total_bytes // READ_BYTES_PER_TASK))
 
-    def read(path: str) -> bytes:
-        if "://" in path:
-            system, path = fs.FileSystem.from_uri(path)
-        else:
-            system = fs.LocalFileSystem()
-        with system.open_input_file(path) as stream:
-            return stream.readall()
+    def read(path: str) -> bytes | None:
+        system, inner = _open(path)
+        try:
+            with system.open_input_file(inner) as stream:
+                return stream.readall()
+        except (FileNotFoundError, PermissionError):
+            return None
 
     def read_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -10,10 +10,10 @@ from foliospark.functions.chunking import explode_chunks
 from foliospark.functions.scoring import cosine, rounded
 from foliospark.operators import embedding as E
 from foliospark.operators import filters as C
-from foliospark.operators import hybrid, keyword, rerank, results, stats, vector
+from foliospark.operators import hybrid, keyword, postings, rerank, results, stats, vector
 from foliospark.operators.topk import top, with_rank
 from foliospark.plans.search import SearchTable
-from foliospark.session import staged
+from foliospark.session import scratch_path, staged
 from testkit import relations as rel
 from testkit.registry import CHUNK_OVERLAP, CHUNK_SIZE, QUERY, TERM_LIST, TERM_SET, TERMS, register, with_parts, words_sql
 
@@ -45,6 +45,18 @@ def _(spark, d):
     return results.fetch_fields(keyword.keyword_search(table, QUERY, 10), rel.files(spark, d), ["name"], few=True)
 
 
+@register("keyword_search_indexed", with_parts("""
+    SELECT 'all' AS way, id, score FROM hits UNION ALL
+    SELECT 'pdf', id, score FROM (SELECT id, score FROM scores JOIN files USING (id) WHERE extension = '.pdf' ORDER BY score DESC, id LIMIT 5)""",
+    "hits", "scores", "files"))
+def _(spark, d):
+    path, table = scratch_path(spark, "postings"), rel.files(spark, d, spread=True)
+    postings.write_postings(table, path, buckets=8)
+    allowed = rel.files(spark, d).filter(C.equals("extension", ".pdf")).select("id")
+    return postings.posting_search(spark, path, QUERY, 10).select(F.lit("all").alias("way"), "id", "score").unionByName(
+        postings.posting_search(spark, path, QUERY, 5, allowed).select(F.lit("pdf").alias("way"), "id", "score"))
+
+
 @register("match_all", with_parts("SELECT id, 1.0::DOUBLE AS score FROM files ORDER BY id LIMIT 10", "files"))
 def _(spark, d):
     return keyword.keyword_search(rel.files(spark, d), "*", 10)
