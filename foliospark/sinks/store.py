@@ -66,16 +66,14 @@ class TableStore:
         self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
         self.rows_per_file, self.compact_after = rows_per_file, compact_after
 
-    def commits(self) -> list[Row]:
-        """Commits since the last clean folder, oldest first: one small row each."""
+    def _entries(self) -> list[Row]:
+        """The whole log, oldest first: one small row per commit."""
         log = read_or_empty(self.spark, f"{self.path}/log", LOG)
-        rows = sorted(log.collect(), key=lambda r: r["version"])
-        bases = [i for i, r in enumerate(rows) if r["kind"] == "base"]
-        return rows[bases[-1]:] if bases else rows
+        return sorted(log.collect(), key=lambda r: r["version"])
 
-    def has_tag(self, tag: str) -> bool:
-        log = read_or_empty(self.spark, f"{self.path}/log", LOG)
-        return not log.filter(F.col("tag") == tag).isEmpty()
+    def commits(self) -> list[Row]:
+        """Commits since the last clean folder, oldest first."""
+        return _since_base(self._entries())
 
     def read(self) -> DataFrame:
         commits = self.commits()
@@ -120,15 +118,19 @@ class TableStore:
         self._log("base", folder, None, None)
 
     def _commit(self, rows: DataFrame, key: str | None, tag: str | None) -> int:
-        if tag is not None and self.has_tag(tag):
+        entries = self._entries()
+        if tag is not None and any(e["tag"] == tag for e in entries):
             return 0
         folder = self._folder()
         self._write(conform(rows, self.schema), folder)
         written = self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}/rows")
+        earlier = _since_base(entries)
+        if not any(e["kind"] in ("base", "rows") for e in earlier):
+            key = None  # nothing to replace, so the first load needs no keys and no join when reading
         if key is not None:
             written.select(key).distinct().write.parquet(f"{self.path}/{folder}/keys")
-        self._log("rows", folder, key, tag)
-        if len(self.commits()) > self.compact_after:
+        self._log("rows", folder, key, tag, entries)
+        if len(earlier) >= self.compact_after:
             self.compact()
         return written.count()
 
@@ -145,13 +147,17 @@ class TableStore:
     def _folder() -> str:
         return f"commit-{uuid.uuid4().hex}"
 
-    def _log(self, kind: str, folder: str, key: str | None, tag: str | None) -> None:
-        log = read_or_empty(self.spark, f"{self.path}/log", LOG)
-        last = log.agg(F.max("version")).first()[0]
-        row = (0 if last is None else last + 1, kind, folder, key, tag)
+    def _log(self, kind: str, folder: str, key: str | None, tag: str | None, entries: list[Row] | None = None) -> None:
+        entries = self._entries() if entries is None else entries
+        row = (entries[-1]["version"] + 1 if entries else 0, kind, folder, key, tag)
         self.spark.createDataFrame([row], LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
 
 
+def _since_base(entries: list[Row]) -> list[Row]:
+    bases = [i for i, e in enumerate(entries) if e["kind"] == "base"]
+    return entries[bases[-1]:] if bases else entries
+
+
 def erase_owner(table: TableStore, cache: TableStore, owner: str, text_hash) -> None:
     """Remove an owner's rows from the table and the vectors of their texts from the cache."""
     mine = table.read().filter(F.col("createdBy") == owner)

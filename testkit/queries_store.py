@@ -369,7 +369,7 @@ def _(spark, d):
     table = store.TableStore(spark, f"{base}/documents", STANDARD_DOCUMENT).read()
     return _by_directory(table, root).select(
         "directory", "size", F.length("content").cast("bigint").alias("chars"), "extension",
-        F.lit(first["successful"]).alias("first_successful"), F.lit(second["skipped"]).alias("second_skipped"))
+        F.lit(first["successful"]).cast("bigint").alias("first_successful"), F.lit(second["skipped"]).cast("bigint").alias("second_skipped"))
 
 
 @register("index_vector_run", _CHUNKED_DIRS)

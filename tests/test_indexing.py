@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark.operators.embedding import HashingEmbedder
+from foliospark.operators.stats import extraction_statistics
 from foliospark.plans.indexing import IndexSettings, index_files, index_standard, index_vector, run_statistics
 from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STANDARD_DOCUMENT
 from foliospark.session import scratch_path
@@ -95,6 +96,12 @@ def test_single_files(spark, share):
     assert stats(row) == {"total_files": 3, "successful": 2, "failed": 1, "skipped": 0, "oversize": 0}
 
 
+def test_extraction_statistics(spark):
+    rows = spark.createDataFrame([(".txt", None), (".txt", None), (".pdf", "bad"), (".docx", None)], "extension string, error string")
+    row = extraction_statistics(rows).first()
+    assert (row["total_extracted"], row["failed"], row["by_type"]) == (3, 1, {".txt": 2, ".docx": 1})
+
+
 def test_stream_takes_each_file_once(spark, share):
     base = scratch_path(spark, "stream")
     table = TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT)
