@@ -12,7 +12,7 @@ from foliospark.functions.scoring import RRF_CONSTANT, reciprocal_rank
 from foliospark.operators.keyword import keyword_passes, keyword_scores
 from foliospark.operators.topk import ranked, top, with_rank
 from foliospark.operators.vector import batch_vector_search, vector_search
-from foliospark.session import staged
+from foliospark.session import local_rows, staged
 
 VECTOR_POOL = 50
 
@@ -34,7 +34,7 @@ def ranks_of(scores: DataFrame, wanted: list) -> DataFrame:
     are counted with map-side combining, and the running total at a wanted row is its rank.
     """
     spark, kind = scores.sparkSession, scores.schema["id"].dataType.simpleString()
-    ids = spark.createDataFrame([(i,) for i in wanted], f"id {kind}")
+    ids = local_rows(spark, [(i,) for i in wanted], f"id {kind}")
     # At most as many rows as ``wanted``.
     found = scores.join(F.broadcast(ids), "id").select("id", "score").collect()
     marks = sorted(((r["score"], r["id"]) for r in found), key=lambda m: (-m[0], m[1]))
@@ -52,7 +52,7 @@ def ranks_of(scores: DataFrame, wanted: list) -> DataFrame:
 
     counted = scores.select(section(0, len(marks)).alias("pos")).groupBy("pos").count()
     totals = counted.select("pos", F.sum("count").over(Window.orderBy("pos")).cast("int").alias("rank"))
-    placed = spark.createDataFrame([(pos, name) for pos, (_, name) in enumerate(marks)], f"pos int, id {kind}")
+    placed = local_rows(spark, [(pos, name) for pos, (_, name) in enumerate(marks)], f"pos int, id {kind}")
     return placed.join(F.broadcast(totals), "pos").select("id", "rank")
 
 
@@ -72,7 +72,7 @@ def hybrid_search(table: DataFrame, query: str, vector: Sequence[float] | DataFr
     near = with_rank(vector_search(table, vector, pool, id_col, vector_col, where))
     # At most ``pool`` rows.
     near_rows = near.collect()
-    near = table.sparkSession.createDataFrame(near_rows, near.schema)
+    near = local_rows(table.sparkSession, near_rows, near.schema)
     first = with_rank(top(scores, k + pool)).select("id", "rank")
     rest = ranks_of(scores, [r["id"] for r in near_rows]).join(F.broadcast(first), "id", "left_anti")
     return top(fuse(first.unionByName(rest), near), k)

@@ -16,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from foliospark.functions.scoring import BM25_B, BM25_K1, bm25, idf_value, rounded
 from foliospark.functions.text import query_terms, word_tokens
 from foliospark.operators.topk import MATRIX_CELLS, BetterCounts, Finder, Leaders, query_passes, ranked, top
+from foliospark.session import local_rows
 
 QUERIES_PER_MATRIX = 256
 TERMS_PER_PASS = 200_000
@@ -155,7 +156,7 @@ def _hit_schema(docs: DataFrame, queries: DataFrame, id_col: str) -> T.StructTyp
 
 
 def _no_hits(docs: DataFrame, queries: DataFrame, id_col: str) -> DataFrame:
-    return docs.sparkSession.createDataFrame([], _hit_schema(docs, queries, id_col))
+    return local_rows(docs.sparkSession, [], _hit_schema(docs, queries, id_col))
 
 
 def keyword_passes(docs: DataFrame, queries: DataFrame, fields: Sequence[str], id_col: str,
@@ -175,7 +176,7 @@ class KeywordPass:
     def __init__(self, tokens: DataFrame, rows: list, schema: T.StructType):
         spark, self.tokens, self.schema = tokens.sparkSession, tokens, schema
         self.query_ids = [r["query_id"] for r in rows]
-        vocabulary = spark.createDataFrame([(w,) for w in {w for r in rows for w in r["terms"]}], "term string")
+        vocabulary = local_rows(spark, [(w,) for w in sorted({w for r in rows for w in r["terms"]})], "term string")
         per_doc = tokens.select(F.size("tokens").alias("length"), F.array_distinct("tokens").alias("words"))
         # One aggregation gives both: a row per query word, and the row of the null word that
         # every document brings once for the corpus totals. Its result is bounded by the query words.

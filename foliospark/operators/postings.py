@@ -17,7 +17,7 @@ from foliospark.functions.scoring import bm25, rounded
 from foliospark.functions.text import query_terms
 from foliospark.operators.keyword import field_tokens
 from foliospark.operators.topk import top
-from foliospark.session import staged
+from foliospark.session import local_rows, staged
 
 BUCKETS = 256
 FILES_PER_BUCKET = 4
@@ -56,7 +56,7 @@ def posting_scores(spark: SparkSession, path: str, query: str, allowed: DataFram
     corpus = spark.read.parquet(f"{path}/corpus")
     buckets = corpus.select("buckets").first()["buckets"]
     # The buckets of the query words as constants, for partition pruning.
-    words = spark.createDataFrame([(t,) for t in terms], "term string")
+    words = local_rows(spark, [(t,) for t in terms], "term string")
     wanted = [r["b"] for r in words.select(_bucket(F.col("term"), buckets).alias("b")).distinct().collect()]
 
     def read(name: str) -> DataFrame:

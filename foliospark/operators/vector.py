@@ -16,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliospark.operators.embedding import valid_dimensions
 from foliospark.operators.topk import MATRIX_CELLS, Leaders, query_passes, ranked, top
+from foliospark.session import local_rows
 
 BYTES_PER_PASS = 64 * 2**20
 QUERIES_PER_MATRIX = 256
@@ -26,7 +27,7 @@ def query_table(spark: SparkSession, vector: Sequence[float] | DataFrame) -> Dat
     """A query vector, given as numbers or as a one-row, one-column table, as a table of one query."""
     if isinstance(vector, DataFrame):
         return vector.select(F.lit("q").alias("query_id"), F.col(vector.columns[0]).alias("vector")).limit(1)
-    return spark.createDataFrame([("q", [float(x) for x in vector])], "query_id string, vector array<double>")
+    return local_rows(spark, [("q", [float(x) for x in vector])], "query_id string, vector array<double>")
 
 
 def vector_search(table: DataFrame, vector: Sequence[float] | DataFrame, k: int = 5, id_col: str = "id",
@@ -67,7 +68,7 @@ def _search_passes(rows: DataFrame, queries: DataFrame, k: int, id_col: str, vec
     for block in query_passes(wanted, F.size("vector") * 8, BYTES_PER_PASS):
         for dim in sorted({len(q["vector"]) for q in block}):
             results.append(_search_pass(rows, [q for q in block if len(q["vector"]) == dim], k, schema, cells))
-    hits = reduce(DataFrame.unionByName, results) if results else spark.createDataFrame([], schema)
+    hits = reduce(DataFrame.unionByName, results) if results else local_rows(spark, [], schema)
     return ranked(hits, k)
 
 

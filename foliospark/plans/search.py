@@ -18,6 +18,7 @@ from foliospark.operators.results import DEFAULT_TOP, boost_recent, default_fiel
 from foliospark.operators.topk import top as best_of
 from foliospark.operators.vector import vector_search
 from foliospark.schemas import SEARCHABLE
+from foliospark.session import local_rows
 
 Vector = Sequence[float] | DataFrame
 
@@ -46,7 +47,7 @@ class SearchTable:
         """The query's vector, from the same embedder as the documents, as a one-row table."""
         if self.embedder is None:
             raise ValueError("vector search needs an embedder or a query vector")
-        one = self.table.sparkSession.createDataFrame([(query,)], "text string")
+        one = local_rows(self.table.sparkSession, [(query,)], "text string")
         return self.embedder(one.select(text_hash("text").alias("text_hash"), "text")).select("embedding")
 
     def _vector(self, query: str, vector: Vector | None) -> Vector:

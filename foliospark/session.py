@@ -6,8 +6,12 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -61,6 +65,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_rows(spark: SparkSession, rows: Sequence[Sequence], schema: StructType | str) -> DataFrame:
+    """A handful of rows of the driver as a table, without starting Python workers for them."""
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(schema)
+    columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.fieldNames()), schema)
+
+
 def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
     """Read one parquet table.
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.schemas import AUDIT
+from foliospark.session import local_rows
 
 TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 CSV_FIELDS = ("name", "filePath", "extension", "score")
@@ -29,7 +30,7 @@ def export_csv(hits: DataFrame, path: str) -> None:
 
 def export_schema(table: DataFrame, path: str) -> None:
     """The table's schema as one JSON text."""
-    table.sparkSession.createDataFrame([(table.schema.json(),)], "value string").coalesce(1).write.text(path)
+    local_rows(table.sparkSession, [(table.schema.json(),)], "value string").coalesce(1).write.text(path)
 
 
 def audit_rows(rows: DataFrame, action: Column, user: Column, resource: Column, status: Column,

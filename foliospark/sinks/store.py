@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from foliospark.operators.embedding import valid_dimensions
 from foliospark.schemas import conform
+from foliospark.session import local_rows
 
 LOG = T.StructType([
     T.StructField("version", T.LongType()),
@@ -35,7 +36,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     except AnalysisException as failure:
         if failure.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return local_rows(spark, [], schema)
 
 
 def latest_version(rows: DataFrame, key: str, version: str) -> DataFrame:
@@ -80,7 +81,7 @@ class TableStore:
         parts = [self._rows(c).withColumn("_version", F.lit(c["version"]))
                  for c in commits if c["kind"] in ("base", "rows")]
         if not parts:
-            return self.spark.createDataFrame([], self.schema)
+            return local_rows(self.spark, [], self.schema)
         table = reduce(DataFrame.unionByName, parts)
         for key in sorted({c["key"] for c in commits if c["key"]}):
             replaced = reduce(DataFrame.unionByName, [
@@ -150,7 +151,7 @@ class TableStore:
     def _log(self, kind: str, folder: str, key: str | None, tag: str | None, entries: list[Row] | None = None) -> None:
         entries = self._entries() if entries is None else entries
         row = (entries[-1]["version"] + 1 if entries else 0, kind, folder, key, tag)
-        self.spark.createDataFrame([row], LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
+        local_rows(self.spark, [row], LOG).coalesce(1).write.mode("append").parquet(f"{self.path}/log")
 
 
 def _since_base(entries: list[Row]) -> list[Row]:

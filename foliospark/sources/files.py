@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliospark.functions.text import extension
+from foliospark.session import local_rows
 
 # File types taken by default and the size limit in MiB.
 DEFAULT_EXTENSIONS = (".txt", ".docx", ".pdf", ".xlsx", ".pptx")
@@ -106,7 +107,7 @@ def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
                 [batch.column("path"), pa.array([(i.mtime_ns or 0) // 1000 for i in found], pa.timestamp("us", "UTC")),
                  pa.array([i.size or 0 for i in found], pa.int64())], names=schema.fieldNames())
 
-    listed = spark.createDataFrame([(p,) for p in paths], "path string").select(plain_path("path").alias("path"))
+    listed = local_rows(spark, [(p,) for p in paths], "path string").select(plain_path("path").alias("path"))
     return listed.mapInArrow(look, schema)
 
 
