@@ -123,7 +123,7 @@ _BATCH_VECTOR = """
     SELECT q.vec_id AS query_id, v.vec_id AS id,
       round(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(v.embedding AS DOUBLE[])), 6) AS score,
       CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY score DESC, v.vec_id) AS INTEGER) AS rank
-    FROM embeddings q, embeddings v WHERE q.vec_id < 20 QUALIFY rank <= 10"""
+    FROM embeddings q JOIN benchmark ON item_id = q.vec_id, embeddings v QUALIFY rank <= 10"""
 
 
 @register("batch_vector_search", _BATCH_VECTOR)
@@ -362,12 +362,9 @@ def _(spark, d):
     return results.boost_recent(_hits(spark, d, "modifiedDateTime"), F.lit(AS_OF).cast("timestamp_ntz"))
 
 
-@register("sort_by_field", with_parts("""
-    SELECT id, size, CAST(row_number() OVER (ORDER BY size DESC, id) AS INTEGER) AS place FROM files QUALIFY place <= 50""", "files"))
+@register("sort_by_field", with_parts("SELECT id, size FROM files ORDER BY size DESC, id", "files"))
 def _(spark, d):
-    # The first fifty of the sorted table, numbered in order.
-    first = results.sort_by(rel.files(spark, d), "size", descending=True).limit(50)
-    return with_rank(first.select("id", "size", F.col("size").alias("score"))).select("id", "size", F.col("rank").alias("place"))
+    return results.sort_by(rel.files(spark, d), "size", descending=True).select("id", "size")
 
 
 # ---------------------------------------------------------------- embedding

@@ -101,9 +101,8 @@ def query_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def query_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The vectors of the first twenty items stand for twenty queries; the corpus stays whole."""
-    return table(spark, sf_dir, "embeddings").filter("vec_id < 20") \
-        .select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    """One query vector per item of the query table."""
+    return hybrid_queries(spark, sf_dir).select("query_id", "vector")
 
 
 def hybrid_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

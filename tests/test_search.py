@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliospark.operators import hybrid, keyword, postings, topk, vector
 from foliospark.operators.embedding import HashingEmbedder, ModelEmbedder, attach_vectors, new_embeddings
-from foliospark.operators.results import fall_back
+from foliospark.operators.results import fall_back, sort_by
 from foliospark.operators.skew import hot_keys, lookup_join
 from foliospark.session import scratch_path
 from foliospark.plans.search import SearchTable, render_results
@@ -200,6 +200,14 @@ def test_rendering(documents):
     assert "Score" not in render_results(table.keyword("health"), show_scores=False)
 
 
+def test_sorting_by_a_sortable_field(documents):
+    def order(field, **kw):
+        return [r["id"] for r in sort_by(documents, field, **kw).collect()]
+    assert order("title") == ["1", "3", "2"] and order("modifiedDateTime", descending=True) == ["3", "2", "1"]
+    with pytest.raises(ValueError):
+        sort_by(documents, "name")
+
+
 def test_low_scores_switch_to_the_other_list(spark):
     low = spark.createDataFrame([("a", 0.2)], "id string, score double")
     other = spark.createDataFrame([("b", 3.0)], "id string, score double")
