@@ -81,8 +81,12 @@ def fill_missing(df: DataFrame, column: str) -> Column:
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Classes of bytes; 0 is white space. A token is a run of bytes of one class.
+WORDS = np.ones(256, np.uint8)
+WORDS[[0x20, *range(0x09, 0x0E)]] = 0
+#: Letters, digits and all bytes of other alphabets apart from signs.
+WORDS_AND_SIGNS = WORDS.copy()
+WORDS_AND_SIGNS[[b for b in range(33, 127) if not chr(b).isalnum()]] = 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -109,11 +113,11 @@ def _powers(n: int, base: np.uint64, name: str) -> np.ndarray:
     return held[:n]
 
 
-def word_hashes(text: str, lower: bool, block: int = 1 << 20) -> np.ndarray:
-    """One 64-bit hash per word (run of characters other than blanks, tabs and line ends) in text order.
+def word_hashes(text: str, lower: bool, classes: np.ndarray = WORDS, block: int = 1 << 20) -> np.ndarray:
+    """One 64-bit hash per token, that is per run of bytes of one class other than 0, in text order.
 
-    A word's hash is a polynomial of its bytes, taken from one running sum over the text, so there is no loop
-    over words. Long texts go block by block; a word that crosses a block's end is moved to the next block.
+    A token's hash is a polynomial of its bytes, taken from one running sum over the text, so there is no loop over
+    tokens. Long texts go block by block; a token that crosses a block's end is moved to the next block.
     """
     data = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     if lower:
@@ -121,17 +125,18 @@ def word_hashes(text: str, lower: bool, block: int = 1 << 20) -> np.ndarray:
     found, at = [], 0
     while at < data.size:
         end = min(data.size, at + block)
-        part = data[at:end]
-        blank = _IS_SPACE[part]
-        if end < data.size and not blank[-1]:
-            holes = np.flatnonzero(blank)
+        kind = classes[data[at:end]]
+        if end < data.size and kind[-1]:
+            holes = np.flatnonzero(kind == 0)
             if holes.size == 0:
                 block *= 2
                 continue
             end = at + int(holes[-1]) + 1
-            part, blank = data[at:end], blank[:end - at]
-        edges = np.flatnonzero(np.diff(np.concatenate([[True], blank, [True]]).view(np.int8)))
-        starts, ends = edges[::2], edges[1::2]
+            kind = kind[:end - at]
+        part = data[at:end]
+        edges = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1], [True]]))
+        real = kind[edges[:-1]] != 0
+        starts, ends = edges[:-1][real], edges[1:][real]
         if starts.size:
             n = part.size
             total = np.zeros(n + 1, np.uint64)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import exact, language, mixing, omh, packing
+from foliospark.llm import exact, language, layout, mixing, omh, packing, pii, quality, tokens, vectors
 from foliospark.llm.common import remainder
 from foliospark.session import ship_packages
 
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, sql: str | None = None):
@@ -45,6 +46,34 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(documents(spark, sf_dir)).drop("keep_locator")
 
 
+@query("op2_quality")
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder("doc_id", 4) != 2)
+    labelled = docs.select("doc_id", "text").join(labels.select("doc_id", "quality"), "doc_id").select(
+        F.col("doc_id").alias("id"), "text", F.col("quality").alias("label"))
+    scored = quality.score(docs, quality.train(labelled))
+    return scored.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@query("op3_html_layout")
+def op3_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.rendered_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op4_personal_data")
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(documents(spark, sf_dir))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
+    return found.select("doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
+                        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 @query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir), BYTE_PAIRS)
@@ -91,3 +120,13 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = language.learn_profiles(docs.where("NOT held_out"))
     found = language.identify(docs, profiles)
     return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(documents(spark, sf_dir), PIECES)
+
+
+@query("op10_vectors")
+def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
