@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,19 +49,58 @@ class Node:
                 or (self.name == "dialog" and "open" not in a))
 
 
+class Open:
+    """The open elements, with how many there are of each name, so that a search for none ends at once."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.count = [root], Counter([root.name])
+
+    def push(self, node: Node) -> None:
+        self.nodes.append(node)
+        self.count[node.name] += 1
+
+    def cut(self, at: int) -> None:
+        for node in self.nodes[at:]:
+            self.count[node.name] -= 1
+        del self.nodes[at:]
+
+    def close(self, name: str) -> None:
+        """End the innermost element of that name, if no barrier stands before it."""
+        if not self.count[name]:
+            return
+        for i in range(len(self.nodes) - 1, 0, -1):
+            if self.nodes[i].name == name:
+                self.cut(i)
+                return
+            if self.nodes[i].name in BARRIERS and name not in ("table", "tr", "thead", "tbody", "tfoot"):
+                return
+
+    def imply(self, ends: set[str], limit: set[str]) -> None:
+        """End open elements of these names up to the innermost of the limit."""
+        while any(self.count[n] for n in ends):
+            for i in range(len(self.nodes) - 1, 0, -1):
+                if self.nodes[i].name in limit:
+                    return
+                if self.nodes[i].name in ends:
+                    self.cut(i)
+                    break
+            else:
+                return
+
+
 def parse(page: str) -> Node:
     """The tree of a page; end tags that are left out are implied by what follows, stray ones are ignored."""
     root = Node("html")
-    stack, at = [root], 0
+    stack, at = Open(root), 0
     while at < len(page):
         lt = page.find("<", at)
         match = _TAG.match(page, lt) if lt >= 0 else None
         if lt > at or lt < 0:
-            stack[-1].children.append(html.unescape(page[at:lt if lt >= 0 else len(page)]))
+            stack.nodes[-1].children.append(html.unescape(page[at:lt if lt >= 0 else len(page)]))
         if lt < 0:
             break
         if match is None:
-            stack[-1].children.append("<")
+            stack.nodes[-1].children.append("<")
             at = lt + 1
             continue
         at = match.end()
@@ -68,40 +108,26 @@ def parse(page: str) -> Node:
         if not name:
             continue
         if match["e"]:
-            _close(stack, name)
+            stack.close(name)
             continue
         attributes = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(match["a"])} if match["a"].strip(" /") else {}
-        if name in ("html", "body") and any(n.name == name for n in stack):
+        if name in ("html", "body") and stack.count[name]:
             continue
         if name in CLOSES_P:
-            _close(stack, "p")
+            stack.close("p")
         if name in IMPLIED:
-            ends, limit = IMPLIED[name]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name in limit:
-                    break
-                if stack[i].name in ends:
-                    del stack[i:]
+            stack.imply(*IMPLIED[name])
         node = Node(name, attributes)
-        stack[-1].children.append(node)
+        stack.nodes[-1].children.append(node)
         if name in RAW:
             close = re.compile(f"</{re.escape(name)}\\s*>", re.IGNORECASE).search(page, at)
             node.children.append(page[at:close.start() if close else len(page)])
             at = close.end() if close else len(page)
         elif name not in VOID:
-            stack.append(node)
+            stack.push(node)
     return root
 
 
-def _close(stack: list[Node], name: str) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].name == name:
-            del stack[i:]
-            return
-        if stack[i].name in BARRIERS and name not in ("table", "tr", "thead", "tbody", "tfoot"):
-            return
-
-
 class Writer:
     """Lines of text; white space between words is one blank, blank lines stand between spaced blocks."""
 
