@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections import defaultdict
 
@@ -99,13 +98,12 @@ def best_fit(counts: dict[int, int], window: int = WINDOW) -> tuple[list[tuple[i
 class Encoder:
     """Token ids of a text as little-endian 32-bit numbers, by a byte-level vocabulary.
 
-    Between two single blanks that stand next to no other white space, a text's ids depend on that part alone. Parts
-    are therefore looked up in a table of those seen first and encoded once otherwise; a text with other white space
-    around a blank, or with a special token in it, is encoded as a whole. Both ways give the same ids.
+    Where a blank stands between two characters that are no white space, a text's ids before and after it do not
+    depend on each other. The parts between such blanks are looked up in a table of those seen first; the others are
+    encoded together, and a token that starts with a blank is then the first one of its part. A text with other white
+    space beside a blank, or with a special token in it, is encoded as a whole. Both ways give the same ids.
     """
 
-    ODD = re.compile(r"\s\s|^\s|\s$")
-
     def __init__(self, vocabulary: str, special: str = "<|endoftext|>", held: int = 300_000):
         """``vocabulary`` is the content of the tokenizer's JSON file."""
         table, vocab = byte_of_letter(), json.loads(vocabulary)["model"]["vocab"]
@@ -113,26 +111,32 @@ class Encoder:
         self.special, self.held, self.seen = special, held, {}
         self.codec = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks,
                                        special_tokens={special: vocab.get(special, len(ranks))})
+        self.spaced = np.zeros(max(ranks.values()) + 1, bool)
+        self.spaced[[i for token, i in ranks.items() if token.startswith(b" ")]] = True
 
-    def _ids(self, text: str) -> bytes:
+    def _whole(self, text: str) -> bytes:
         return self.codec.encode_to_numpy(text, allowed_special="all").astype("<u4").tobytes()
 
-    def part(self, part: str) -> bytes:
-        found = self.seen.get(part)
-        if found is None:
-            found = self._ids(" " + part)
-            if len(self.seen) < self.held:
-                self.seen[part] = found
-        return found
+    def _parts(self, parts: list[str]) -> list[bytes]:
+        ids = np.array(self.codec.encode_ordinary(" " + " ".join(parts)), "<u4")
+        starts = [*(4 * np.flatnonzero(self.spaced[ids])).tolist(), 4 * ids.size]
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip(starts[:-1], starts[1:], strict=True)]
 
     def __call__(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if self.special in text or self.ODD.search(text):
-            return self._ids(text)
         first, *rest = text.split(" ")
-        get, part = self.seen.get, self.part
-        return self._ids(first) + b"".join([get(w) or part(w) for w in rest])
+        if not rest or not first or first[-1].isspace() or self.special in text:
+            return self._whole(text)
+        found = list(map(self.seen.get, rest))
+        if None in found:
+            new = list(dict.fromkeys([w for w, ids in zip(rest, found, strict=True) if ids is None]))
+            if any(not w or w[0].isspace() or w[-1].isspace() for w in new):
+                return self._whole(text)
+            made = dict(zip(new, self._parts(new), strict=True))
+            found = [made[w] if ids is None else ids for w, ids in zip(rest, found, strict=True)]
+            if len(self.seen) < self.held:
+                self.seen.update(made)
+        return self._whole(first) + b"".join(found)
 
 
 #: Fixed value: the split of a text before byte pairs are merged, as the vocabulary's own documentation gives it.
