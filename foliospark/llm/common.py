@@ -51,6 +51,16 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
+_KEPT: dict[tuple, object] = {}
+
+
+def once(key: tuple, make: Callable[[], object]):
+    """What ``make`` returns, built once per Python process and shared by the tasks that run in it, one at a time."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[tuple], tuple]], schema: str | StructType) -> DataFrame:
     """Apply a function to each row inside Arrow batches; ``make`` builds it once per task.
 

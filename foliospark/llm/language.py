@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import bounded_batches
+from foliospark.llm.common import bounded_batches, once
 
 LONGEST = 3
 PROFILE = 400
@@ -101,7 +101,7 @@ def count_grams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
     bounded_batches(docs.sparkSession)
 
     def run(batches):
-        grams_of = Grams()
+        grams_of = once(("grams",), Grams)
         held: dict[str, list] = {}
 
         def flush():
@@ -156,7 +156,7 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     held = docs.sparkSession.sparkContext.broadcast(profiles)  # some hundred numbers for each language
 
     def run(batches):
-        grams_of, known = Grams(), held.value
+        grams_of, known = once(("grams",), Grams), held.value
         for batch in batches:
             langs, scores = [], []
             for text in batch.column(1):
@@ -177,7 +177,7 @@ def in_known_language(docs: DataFrame, profiles: Profiles, text_col: str = "text
     held = docs.sparkSession.sparkContext.broadcast(profiles)
 
     def run(batches):
-        grams_of, known = Grams(), held.value
+        grams_of, known = once(("grams",), Grams), held.value
         for batch in batches:
             keep = []
             for text in batch.column(text_col):

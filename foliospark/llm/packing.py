@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import bounded_batches, shuffle_width
+from foliospark.llm.common import bounded_batches, once, shuffle_width
 from foliospark.session import staged
 
 WINDOW = 1024
@@ -164,7 +164,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     kinds += [("ids", pa.binary())] * with_ids
 
     def run(batches):
-        encode = Encoder(content.value)
+        encode = once(("encoder", vocabulary), lambda: Encoder(content.value))
         for batch in batches:
             out = [[] for _ in kinds]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

@@ -11,7 +11,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import WORD, bounded_batches
+from foliospark.llm.common import WORD, bounded_batches, once
 
 MARK = "▁"
 #: Words whose counts a task keeps between its batches; it starts anew beyond, with the same results.
@@ -105,7 +105,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     held = docs.sparkSession.sparkContext.broadcast(Unigram.load(model_path))  # one vocabulary
 
     def run(batches):
-        trie = Trie(held.value)
+        trie = once(("trie", model_path), lambda: Trie(held.value))
         for batch in batches:
             made = [trie.count(t.as_py() or "") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w for w, _ in made], pa.int64()), pa.array([t for _, t in made], pa.int64())],
