@@ -9,16 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions.chunking import explode_chunks
-from foliospark.functions.text import chunk_id, document_id, strip, title_or_stem
-from foliospark.schemas import CHUNK_DOCUMENT, STANDARD_DOCUMENT, conform
+from foliospark.functions.text import chunk_id, document_id, strip, text_hash, title_or_stem
+from foliospark.schemas import CHUNK_DOCUMENT, CONTENT_HASH, STORED_DOCUMENT, conform
 
 CONTENT_CAP = 50_000
 MIN_CONTENT = 10
 
 
-def capped(content: Column | str, limit: int = CONTENT_CAP) -> Column:
-    """The stored copy of a text; chunks are always cut from the whole text."""
-    return F.left(F.col(content) if isinstance(content, str) else content, F.lit(limit))
+def capped(content: Column | str, limit: int | None = CONTENT_CAP) -> Column:
+    """The stored copy of a text, whole without a limit; chunks are always cut from the whole text."""
+    content = F.col(content) if isinstance(content, str) else content
+    return content if limit is None else F.left(content, F.lit(limit))
 
 
 def is_truncated(content: Column | str, limit: int = CONTENT_CAP) -> Column:
@@ -64,12 +65,12 @@ def _header_columns() -> dict[str, Column]:
     }
 
 
-def build_documents(metadata: DataFrame) -> DataFrame:
-    """One search-table row per file from metadata columns and ``content``."""
+def build_documents(metadata: DataFrame, content_limit: int | None = CONTENT_CAP) -> DataFrame:
+    """One search-table row per file from metadata columns and ``content``, with the hash of the whole text."""
     rows = metadata.select(
-        document_id("file_path").alias("id"), capped("content").alias("content"),
-        *[c.alias(n) for n, c in _header_columns().items()])
-    return conform(rows, STANDARD_DOCUMENT)
+        document_id("file_path").alias("id"), capped("content", content_limit).alias("content"),
+        text_hash("content").alias(CONTENT_HASH.name), *[c.alias(n) for n, c in _header_columns().items()])
+    return conform(rows, STORED_DOCUMENT)
 
 
 def build_chunk_rows(metadata: DataFrame, size: int | None = None, overlap: int | None = None,
@@ -81,14 +82,14 @@ def build_chunk_rows(metadata: DataFrame, size: int | None = None, overlap: int
     return chunks.withColumn("id", chunk_id("filePath", "chunkNumber"))
 
 
-def attach_content(chunks: DataFrame, contents: DataFrame, first_only: bool = False) -> DataFrame:
-    """Copy the capped file content into every chunk row, as the chunk table declares it.
+def attach_content(chunks: DataFrame, contents: DataFrame, first_only: bool = True,
+                   content_limit: int | None = CONTENT_CAP) -> DataFrame:
+    """Add the file content to the first chunk row of a file, or to every row without ``first_only``.
 
     ``contents`` (filePath, content) is unique per file. The join is last so that the long
-    text travels through no other shuffle. With ``first_only`` just the first chunk of a file
-    carries it, which keeps a large table many times smaller.
+    text travels through no other shuffle. Content in every row makes a table many times larger.
     """
-    full = contents.select("filePath", capped("content").alias("content"))
+    full = contents.select("filePath", capped("content", content_limit).alias("content"))
     if first_only:
         full = full.withColumn("chunkNumber", F.lit(0))
     keys = ["filePath", "chunkNumber"] if first_only else ["filePath"]

@@ -99,16 +99,26 @@ def cache_misses(texts: DataFrame, cache: DataFrame) -> DataFrame:
     return texts.join(cache.select("text_hash"), "text_hash", "left_anti")
 
 
+def model_input(text: Column | str, max_tokens: int | None = MAX_TOKENS) -> Column:
+    """What a model sees of a text: its first ``max_tokens`` tokens, all of it without a limit."""
+    return (F.col(text) if isinstance(text, str) else text) if max_tokens is None else truncate_tokens(text, max_tokens)
+
+
+def succeeded(embeddings: DataFrame) -> DataFrame:
+    """Rows with a vector; a failed call leaves none, so that it is made again."""
+    return embeddings.filter(F.col("embedding").isNotNull() & (F.size("embedding") > 0))
+
+
 def new_embeddings(chunks: DataFrame, embedder: Embedder, cache: DataFrame | None = None,
-                   text: str = "chunk", max_tokens: int = MAX_TOKENS) -> DataFrame:
-    """(text_hash, embedding) for every distinct text the cache lacks.
+                   text: str = "chunk", max_tokens: int | None = MAX_TOKENS) -> DataFrame:
+    """(text_hash, embedding) for every distinct text the cache lacks and the model has a vector for.
 
     The hash is that of the original text, the model sees its first ``max_tokens`` tokens.
     """
     texts = distinct_texts(chunks, text)
     if cache is not None:
         texts = cache_misses(texts, cache)
-    return embedder(texts.select("text_hash", truncate_tokens("text", max_tokens).alias("text")))
+    return succeeded(embedder(texts.select("text_hash", model_input("text", max_tokens).alias("text"))))
 
 
 def attach_vectors(chunks: DataFrame, embeddings: DataFrame, row_id: Column | str = "id",

@@ -56,6 +56,22 @@ def ranks_of(scores: DataFrame, wanted: list) -> DataFrame:
     return placed.join(F.broadcast(totals), "pos").select("id", "rank")
 
 
+def all_ranks(scores: DataFrame) -> DataFrame:
+    """(id, rank) of every row of ``scores``, a stored table, by score and then id.
+
+    A range shuffle brings the rows into order; rows are numbered inside their range and the number of rows of the
+    ranges before, one number for each, is added, so no task holds more than its range.
+    """
+    order = [F.desc("score"), F.col("id")]
+    parts = int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = staged(scores.repartitionByRange(parts, *order).select("id", "score", F.spark_partition_id().alias("part")), "ranges")
+    sizes = dealt.groupBy("part").count()
+    before = F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    ahead = sizes.select("part", F.coalesce(before, F.lit(0)).alias("ahead"))
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    return dealt.withColumn("inside", inside).join(ahead, "part").select("id", (F.col("inside") + F.col("ahead")).cast("int").alias("rank"))
+
+
 def hybrid_search(table: DataFrame, query: str, vector: Sequence[float] | DataFrame, k: int = 5,
                   fields: Sequence[str] = ("content",), id_col: str = "id", vector_col: str = "contentVector",
                   where: Column | None = None, pool: int = VECTOR_POOL, scores: DataFrame | None = None) -> DataFrame:

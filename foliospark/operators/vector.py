@@ -20,13 +20,15 @@ from foliospark.session import local_rows
 
 BYTES_PER_PASS = 64 * 2**20
 QUERIES_PER_MATRIX = 256
-CELL_SAMPLE = 1_000_000
 
 
 def query_table(spark: SparkSession, vector: Sequence[float] | DataFrame) -> DataFrame:
     """A query vector, given as numbers or as a one-row, one-column table, as a table of one query."""
     if isinstance(vector, DataFrame):
-        return vector.select(F.lit("q").alias("query_id"), F.col(vector.columns[0]).alias("vector")).limit(1)
+        rows = vector.select(F.col(vector.columns[0]).cast("array<double>")).limit(2).collect()
+        if len(rows) > 1:
+            raise ValueError("a search takes one query vector; use batch_vector_search for a table of them")
+        return local_rows(spark, [("q", r[0]) for r in rows], "query_id string, vector array<double>")
     return local_rows(spark, [("q", [float(x) for x in vector])], "query_id string, vector array<double>")
 
 
@@ -115,17 +117,10 @@ def _search_pass(rows: DataFrame, queries: list[Row], k: int, schema: T.StructTy
     return kept.mapInArrow(search, schema)
 
 
-def train_cells(table: DataFrame, cells: int, vector_col: str = "contentVector", seed: int = 7,
-                rows: int | None = None) -> np.ndarray:
-    """Cell centres by k-means on unit vectors.
-
-    Only the centres are learnt from a sample of about a million vectors when the table is
-    larger (``rows`` is its size if known); every vector is then assigned to a cell.
-    """
-    total = table.count() if rows is None else rows
-    training = table if total <= CELL_SAMPLE else table.sample(CELL_SAMPLE / total, seed=seed)
+def train_cells(table: DataFrame, cells: int, vector_col: str = "contentVector", seed: int = 7) -> np.ndarray:
+    """Cell centres by distributed k-means on all vectors, scaled to unit length."""
     length = F.sqrt(F.aggregate(vector_col, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    unit = training.withColumn("_n", length).filter(F.col("_n") > 0).select(
+    unit = table.withColumn("_n", length).filter(F.col("_n") > 0).select(
         array_to_vector(F.transform(vector_col, lambda x: x.cast("double") / F.col("_n"))).alias("features"))
     model: KMeansModel = KMeans(k=cells, seed=seed, maxIter=10).fit(unit)
     return np.array(model.clusterCenters())

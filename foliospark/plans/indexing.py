@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliospark.operators.build import (admitted, attach_content, build_chunk_rows, build_documents, has_meaning,
+from foliospark.functions.text import word_tokens
+from foliospark.operators.build import (CONTENT_CAP, admitted, attach_content, build_chunk_rows, build_documents, has_meaning,
                                         with_vectors)
-from foliospark.operators.embedding import Embedder, HashingEmbedder, attach_vectors, new_embeddings
+from foliospark.operators.embedding import MAX_TOKENS, Embedder, HashingEmbedder, attach_vectors, new_embeddings
 from foliospark.operators.stats import run_summary, vector_run_summary
-from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STANDARD_DOCUMENT
+from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STORED_DOCUMENT
 from foliospark.session import staged
 from foliospark.sinks.store import TableStore
 from foliospark.sources.extract import EXTRACTORS, Extractor, extract, file_metadata, property_columns
@@ -44,7 +45,9 @@ class IndexSettings:
     chunk_size: int = 1000
     chunk_overlap: int = 200
     tokenizer: str = "whitespace"
-    content_in_first_chunk_only: bool = False
+    content_in_first_chunk_only: bool = True
+    content_limit: int | None = CONTENT_CAP  # characters of a text that are stored; None stores it whole
+    max_tokens: int | None = MAX_TOKENS  # tokens of a chunk that the model sees; None passes it whole
     rows_per_file: int | None = None
     registry: dict[str, Extractor] = field(default_factory=lambda: dict(EXTRACTORS))
     hooks: tuple[Column, ...] = ()
@@ -111,9 +114,9 @@ def index_standard(spark: SparkSession, roots: str | Iterable[str] | DataFrame,
     """
     settings = settings or IndexSettings()
     listing = roots if isinstance(roots, DataFrame) else _scan(spark, roots, settings)
-    run = _Run(spark, listing, table_path, STANDARD_DOCUMENT, settings, manifest)
+    run = _Run(spark, listing, table_path, STORED_DOCUMENT, settings, manifest)
     good = run.metadata.filter(F.col("error").isNull() & F.col("content").isNotNull())
-    run.table.upsert(build_documents(good))
+    run.table.upsert(build_documents(good, settings.content_limit), unique=True)
     written = run.extracted.filter(F.col("error").isNull() & F.col("content").isNotNull()).select("path")
     run.record(written)
     return run.finish(run_summary(run.outcomes(written), run.seconds()), "standard")
@@ -134,18 +137,27 @@ def index_vector(spark: SparkSession, roots: str | Iterable[str] | DataFrame, ta
     cache = TableStore(spark, f"{table_path}/embeddings", EMBEDDING_CACHE, key="text_hash")
     good = run.metadata.filter(F.col("error").isNull() & has_meaning("content"))
     chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks")
-    calls = cache.append(new_embeddings(chunks, embedder, cache.read()))
-    embedded = staged(with_vectors(attach_vectors(chunks, cache.read())), "embedded")
+    calls = cache.append(new_embeddings(chunks, embedder, cache.read(), max_tokens=settings.max_tokens))
+    tried = staged(attach_vectors(chunks, cache.read()), "embedded")
+    embedded = with_vectors(tried)
     contents = run.extracted.select(F.col("path").alias("filePath"), "content")
-    run.table.upsert(attach_content(embedded, contents, settings.content_in_first_chunk_only))
+    run.table.upsert(attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit), unique=True)
     per_file = embedded.groupBy(F.col("filePath").alias("path")).agg(F.count(F.lit(1)).alias("chunks"))
-    run.record(per_file.select("path"))
+    run.record(complete_files(tried))
     outcomes = run.outcomes(per_file).join(per_file, "path", "left") \
         .withColumn("embeddings", F.col("chunks")).withColumn("new_embeddings", F.lit(0))
     summary = vector_run_summary(outcomes, run.seconds()).withColumn("embedding_calls", F.lit(calls))
     return run.finish(summary, "vector")
 
 
+def complete_files(tried: DataFrame) -> DataFrame:
+    """(path) of the files whose chunks with words all have a vector; the others are tried again by the next run."""
+    failed = F.col("contentVector").isNull() & (F.size(word_tokens("chunk")) > 0)
+    per_file = tried.groupBy(F.col("filePath").alias("path")).agg(
+        F.count_if(failed).alias("failed"), F.count_if(F.col("contentVector").isNotNull()).alias("done"))
+    return per_file.filter("failed = 0 AND done > 0").select("path")
+
+
 def index_files(spark: SparkSession, paths: list[str], table_path: str, vectors: bool = False, **options) -> DataFrame:
     """Index exactly the named files."""
     job = index_vector if vectors else index_standard

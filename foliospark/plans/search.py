@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions.text import text_hash
-from foliospark.operators.embedding import Embedder
+from foliospark.operators.embedding import MAX_TOKENS, Embedder, model_input
 from foliospark.operators.filters import metadata_filter
 from foliospark.operators.hybrid import hybrid_search
 from foliospark.operators.keyword import MATCH_ALL, keyword_scores
@@ -33,7 +33,8 @@ class SearchTable:
 
     def __init__(self, table: DataFrame, embedder: Embedder | None = None, fields: Sequence[str] | None = None,
                  id_col: str = "id", vector_col: str = "contentVector", reranking: bool = True,
-                 postings: str | None = None):
+                 postings: str | None = None, max_tokens: int | None = MAX_TOKENS):
+        self.max_tokens = max_tokens
         self.table, self.embedder, self.id_col, self.vector_col = table, embedder, id_col, vector_col
         self.fields = list(fields) if fields else [c for c in table.columns if c in SEARCHABLE]
         self.reranking, self.postings = reranking, postings
@@ -48,7 +49,7 @@ class SearchTable:
         if self.embedder is None:
             raise ValueError("vector search needs an embedder or a query vector")
         one = local_rows(self.table.sparkSession, [(query,)], "text string")
-        return self.embedder(one.select(text_hash("text").alias("text_hash"), "text")).select("embedding")
+        return self.embedder(one.select(text_hash("text").alias("text_hash"), model_input("text", self.max_tokens).alias("text"))).select("embedding")
 
     def _vector(self, query: str, vector: Vector | None) -> Vector:
         return self.query_embedding(query) if vector is None else vector

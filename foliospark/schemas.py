@@ -58,6 +58,10 @@ STANDARD_DOCUMENT = T.StructType([
     T.StructField("keywords", T.StringType()),
 ])
 
+# Hash of the whole text of a file, kept beside the stored copy, which may be cut.
+CONTENT_HASH = T.StructField("contentHash", T.StringType())
+STORED_DOCUMENT = T.StructType([*STANDARD_DOCUMENT.fields, CONTENT_HASH])
+
 CHUNK_DOCUMENT = T.StructType([
     *[f for f in STANDARD_DOCUMENT.fields if f.name != "keywords"],
     T.StructField("chunk", T.StringType()),

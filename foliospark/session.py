@@ -76,14 +76,12 @@ def local_rows(spark: SparkSession, rows: Sequence[Sequence], schema: StructType
 def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
     """Read one parquet table.
 
-    A table that is a single local file often has one row group, which one task would read
-    and process alone. With ``spread_by`` such a file is hash-distributed over the cores.
-    Directory tables already bring enough splits and are left as they are.
+    A table that is a single file often has one row group, which one task would read and
+    process alone. With ``spread_by`` it is written once, dealt over the cores by that column,
+    and read from there; leave it out for tables of many files.
     """
     df = spark.read.parquet(path)
-    if spread_by and os.path.isfile(path):
-        return df.repartition(spark.sparkContext.defaultParallelism, spread_by)
-    return df
+    return staged(df.repartition(spark.sparkContext.defaultParallelism, spread_by), "spread") if spread_by else df
 
 
 def ship_packages(spark: SparkSession, *packages: str) -> None:

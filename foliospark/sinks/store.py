@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliospark.operators.embedding import valid_dimensions
-from foliospark.schemas import conform
-from foliospark.session import local_rows
+from foliospark.schemas import AUDIT, conform
+from foliospark.session import local_rows, staged
 
 LOG = T.StructType([
     T.StructField("version", T.LongType()),
@@ -63,9 +63,12 @@ class TableStore:
     """A table at ``path`` whose rows are replaced by ``key``."""
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "filePath",
-                 rows_per_file: int | None = None, compact_after: int = 50):
+                 rows_per_file: int | None = None, compact_after: int = 50, row_id: str = "id",
+                 version: str = "modifiedDateTime"):
         self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
         self.rows_per_file, self.compact_after = rows_per_file, compact_after
+        self.row_id = row_id if row_id in schema.fieldNames() else key
+        self.version = version if version in schema.fieldNames() else None
 
     def _entries(self) -> list[Row]:
         """The whole log, oldest first: one small row per commit."""
@@ -92,13 +95,19 @@ class TableStore:
             table = table.drop("_at")
         return table.select(*self.schema.fieldNames())
 
-    def upsert(self, rows: DataFrame, key: str | None = None, tag: str | None = None) -> int:
+    def upsert(self, rows: DataFrame, key: str | None = None, tag: str | None = None, unique: bool = False) -> int:
         """Replace all rows that share a key with ``rows``; returns the number of rows written.
 
         By default the key is the file, so a file that now has fewer chunks leaves none
-        behind; ``key="id"`` replaces row by row and keeps them. A commit with a known
-        ``tag`` is not repeated.
+        behind; ``key="id"`` replaces row by row and keeps them. Of several rows with one id the
+        one with the latest version stays; ``unique`` says that there are none, which saves a
+        shuffle. A commit with a known ``tag`` is not repeated.
         """
+        if not unique and self.row_id in rows.columns:
+            if self.version is not None and self.version in rows.columns:
+                rows = latest_version(rows, self.row_id, self.version)
+            else:
+                rows = rows.dropDuplicates([self.row_id])
         return self._commit(rows, key or self.key, tag)
 
     def append(self, rows: DataFrame, tag: str | None = None) -> int:
@@ -112,11 +121,22 @@ class TableStore:
         keys.select(key).distinct().write.parquet(f"{self.path}/{folder}/keys")
         self._log("erase", folder, key, tag)
 
-    def compact(self) -> None:
-        """Write the current content as one clean folder."""
-        folder = self._folder()
+    def compact(self, retain: int = 0) -> None:
+        """Write the current content as one clean folder and delete what it supersedes.
+
+        The folders of the last ``retain`` commits before it stay, for readers that began with them.
+        """
+        entries, folder = self._entries(), self._folder()
         self._write(self.read(), folder)
-        self._log("base", folder, None, None)
+        self._log("base", folder, None, None, entries)
+        for old in entries[:len(entries) - retain] if retain else entries:
+            self._delete(old["folder"])
+
+    def _delete(self, folder: str) -> None:
+        """Remove a commit's folder by the file system that Spark itself uses for it."""
+        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        path.getFileSystem(conf).delete(path, True)
 
     def _commit(self, rows: DataFrame, key: str | None, tag: str | None) -> int:
         entries = self._entries()
@@ -159,8 +179,22 @@ def _since_base(entries: list[Row]) -> list[Row]:
     return entries[bases[-1]:] if bases else entries
 
 
-def erase_owner(table: TableStore, cache: TableStore, owner: str, text_hash) -> None:
-    """Remove an owner's rows from the table and the vectors of their texts from the cache."""
-    mine = table.read().filter(F.col("createdBy") == owner)
-    cache.erase(mine.select(text_hash.alias("text_hash")))
+def erase_owner(table: TableStore, cache: TableStore, owner: str, text_hash, audit: str | None = None) -> None:
+    """Remove an owner's rows from the table and the vectors of their texts from the cache, in the files as well.
+
+    ``text_hash`` is the hash of the whole text as the cache knows it. A vector stays while a row of somebody else has
+    the same text. With ``audit``, a path, the erasure leaves an audit row there.
+    """
+    rows = table.read().select(table.key, "createdBy", text_hash.alias("text_hash"))
+    mine = staged(rows.filter(F.col("createdBy") == owner), "erased")
+    others = rows.filter(~F.col("createdBy").eqNullSafe(F.lit(owner))).select("text_hash")
+    cache.erase(mine.select("text_hash").join(others, "text_hash", "left_anti"))
     table.erase(mine.select(table.key))
+    table.compact()
+    cache.compact()
+    if audit:
+        erased = mine.agg(F.count("*").alias("rows"))
+        conform(erased.select(
+            F.current_timestamp().alias("timestamp"), F.lit("erase").alias("action"), F.lit(owner).alias("user"),
+            F.lit(table.path).alias("resource"), F.lit("success").alias("status"),
+            F.create_map(F.lit("rows"), F.col("rows").cast("string")).alias("details")), AUDIT).write.mode("append").parquet(audit)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from foliospark.operators.build import admitted, attach_content, build_chunk_rows, has_meaning, with_vectors
 from foliospark.operators.embedding import Embedder, attach_vectors, new_embeddings
-from foliospark.plans.indexing import IndexSettings
+from foliospark.plans.indexing import IndexSettings, complete_files
 from foliospark.schemas import FILE_LISTING
 from foliospark.session import staged
 from foliospark.sinks.store import TableStore, latest_version
@@ -77,11 +77,13 @@ def ingest_stream(stream: DataFrame, table: TableStore, state: TableStore, cache
         metadata = file_metadata(files).join(properties, "file_path", "left")
         good = metadata.filter(F.col("error").isNull() & has_meaning("content"))
         chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks")
-        cache.append(new_embeddings(chunks, embedder, cache.read()), tag=tag)
-        embedded = staged(with_vectors(attach_vectors(chunks, cache.read())), "embedded")
+        cache.append(new_embeddings(chunks, embedder, cache.read(), max_tokens=settings.max_tokens), tag=tag)
+        tried = staged(attach_vectors(chunks, cache.read()), "embedded")
+        embedded = with_vectors(tried)
         contents = extracted.select(F.col("path").alias("filePath"), "content")
-        table.upsert(attach_content(embedded, contents, settings.content_in_first_chunk_only), tag=tag)
-        written = files.join(embedded.select(F.col("filePath").alias("path")).distinct(), "path", "left_semi")
+        table.upsert(attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit),
+                     tag=tag, unique=True)
+        written = files.join(complete_files(tried), "path", "left_semi")
         state.upsert(written.select(F.col("path").alias("filePath"), F.col("modificationTime").alias("mtime")), tag=tag)
 
     return run_available(stream, handle, checkpoint)

@@ -164,19 +164,31 @@ def _(spark, d):
                        "lastModifiedBy", "fileType", "url", "author")
 
 
-@register("build_chunks", with_parts("""
-    SELECT md5(concat(filePath, '_chunk_', CAST(chunkNumber AS VARCHAR))) AS id, md5(left(content, 50000)) AS content,
+_CHUNK_ROWS = """
+    SELECT md5(concat(filePath, '_chunk_', CAST(chunkNumber AS VARCHAR))) AS id, {content} AS content,
       md5(chunk) AS chunk, chunkNumber, totalChunks, coalesce(document_title, concat('doc', CAST(doc_id AS VARCHAR))) AS title,
       name, filePath, extension, size, createdBy, 'File' AS fileType, concat('author ', lang) AS author
-    FROM long_chunks""", "long_chunks"))
-def _(spark, d):
+    FROM long_chunks"""
+
+
+def _chunk_rows(spark, d, first_only: bool) -> DataFrame:
     meta = rel.metadata(spark, d, spread=True)
     chunks = B.build_chunk_rows(meta, CHUNK_SIZE, CHUNK_OVERLAP)
-    rows = B.attach_content(chunks, meta.select(F.col("file_path").alias("filePath"), "content"))
+    rows = B.attach_content(chunks, meta.select(F.col("file_path").alias("filePath"), "content"), first_only)
     return rows.select("id", X.text_hash("content").alias("content"), X.text_hash("chunk").alias("chunk"), "chunkNumber",
                        "totalChunks", "title", "name", "filePath", "extension", "size", "createdBy", "fileType", "author")
 
 
+@register("build_chunks", with_parts(_CHUNK_ROWS.format(content="CASE WHEN chunkNumber = 0 THEN md5(left(content, 50000)) END"), "long_chunks"))
+def _(spark, d):
+    return _chunk_rows(spark, d, first_only=True)
+
+
+@register("build_chunks_full_content", with_parts(_CHUNK_ROWS.format(content="md5(left(content, 50000))"), "long_chunks"))
+def _(spark, d):
+    return _chunk_rows(spark, d, first_only=False)
+
+
 @register("truncate_content", """
     SELECT doc_id, md5(left(text, 50000)) AS stored, length(text) > 50000 AS truncated, md5(left(text, 1000)) AS short,
       length(text) > 1000 AS short_truncated FROM documents""")

@@ -162,10 +162,10 @@ def _(spark, d):
 
 @register("rrf_fusion", with_parts("""
     SELECT coalesce(k.id, v.id) AS id, round(coalesce(1.0 / (60 + k.r), 0.0) + coalesce(1.0 / (60 + v.r), 0.0), 6) AS score
-    FROM (SELECT * FROM kw_ranked WHERE r <= 100) k FULL JOIN near v ON k.id = v.id""", "kw_ranked", "near"))
+    FROM kw_ranked k FULL JOIN near v ON k.id = v.id""", "kw_ranked", "near"))
 def _(spark, d):
     table = rel.search_table(spark, d)
-    words = with_rank(top(keyword.keyword_scores(table, QUERY), 100))
+    words = hybrid.all_ranks(staged(keyword.keyword_scores(table, QUERY), "scores"))
     near = with_rank(vector.vector_search(table, rel.one_vector(spark, d), 50))
     return hybrid.fuse(words, near).withColumn("score", F.round("score", 6))
 
