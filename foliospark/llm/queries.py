@@ -69,8 +69,11 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE))
-    return found.select("doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
+    def of(*kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(*kinds))
+
+    base = of(*pii.BASE)
+    return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
                         F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
