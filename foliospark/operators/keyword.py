@@ -8,7 +8,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from foliospark.functions.scoring import BM25_B, BM25_K1, bm25, idf_value, rounded
 from foliospark.functions.text import query_terms, word_tokens
 from foliospark.operators.topk import MATRIX_CELLS, BetterCounts, Finder, Leaders, query_passes, ranked, top
-from foliospark.session import local_rows
+from foliospark.session import local_rows, staged
 
 QUERIES_PER_MATRIX = 256
 TERMS_PER_PASS = 200_000
@@ -42,23 +42,28 @@ def term_frequencies(docs: DataFrame, fields: Sequence[str] = ("content",)) -> D
         .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
 
 
-def term_table(docs: DataFrame, terms: list[str], fields: Sequence[str], id_col: str,
-               where: Column | None = None) -> DataFrame:
-    """(id, keep, length, one count per query term), a few numbers per document.
+def term_hits(docs: DataFrame, terms: list[str], fields: Sequence[str], id_col: str,
+              where: Column | None = None) -> tuple[DataFrame, dict]:
+    """The rows that hold a query word and pass ``where``, as (id, length, one count per term), and the statistics.
 
-    The text ends here: it is read and tokenised once, query words are counted before the
-    shuffle, and statistics, scores and ranks of a search all reuse the one exchange of
-    these narrow rows. (The counts are aggregates, so no later filter on them is pushed
-    back into the tokenising stage, which would tokenise again per condition.)
+    The text is read and tokenised once and nothing is shuffled: words are counted in each row, rows without any are
+    dropped by the task that read them, and the others are written as a few numbers each. Number of documents, mean
+    length and document frequencies of the whole table are observed by the same pass.
     """
     keep = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
     tokens = docs.select(F.col(id_col).alias("id"), keep.alias("keep"), field_tokens(fields).alias("_tokens"))
-    # Stated here so that joins on the id infer nothing new and all branches keep the same plan.
-    hits = tokens.filter(F.col("id").isNotNull()).select(
-        "id", "keep", F.size("_tokens").alias("length"),
-        F.explode_outer(F.filter("_tokens", lambda t: t.isin(terms))).alias("_word"))
-    counts = [F.count_if(F.col("_word") == w).alias(f"tf{i}") for i, w in enumerate(terms)]
-    return hits.groupBy("id").agg(F.bool_or("keep").alias("keep"), F.max("length").alias("length"), *counts)
+    found = tokens.filter(F.col("id").isNotNull()).select(
+        "id", "keep", F.size("_tokens").alias("length"), F.filter("_tokens", lambda t: t.isin(terms)).alias("_found"))
+    def occurrences(word: str) -> Column:
+        return F.size(F.filter("_found", lambda t: t == word))
+
+    counts = [occurrences(w).alias(f"tf{i}") for i, w in enumerate(terms)]
+    seen = Observation()
+    rows = found.select("id", "keep", "length", *counts).observe(
+        seen, F.count(F.lit(1)).alias("documents"), F.avg("length").alias("mean_length"),
+        *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
+    hit = reduce(lambda a, b: a | b, [F.col(f"tf{i}") > 0 for i in range(len(terms))])
+    return staged(rows.filter(F.col("keep") & hit).drop("keep"), "hits"), seen.get
 
 
 def keyword_scores(docs: DataFrame, query: str, fields: Sequence[str] = ("content",), id_col: str = "id",
@@ -74,17 +79,11 @@ def keyword_scores(docs: DataFrame, query: str, fields: Sequence[str] = ("conten
     terms = query_terms(docs.sparkSession, query)
     if not terms:
         return docs.select(F.col(id_col).alias("id"), F.lit(0.0).alias("score")).limit(0)
-    table = term_table(docs, terms, fields, id_col, where)
-    columns = [f"tf{i}" for i in range(len(terms))]
-    stats = table.agg(
-        F.count(F.lit(1)).alias("documents"), F.avg("length").alias("mean_length"), F.count_if("keep").alias("kept"),
-        *[F.count_if(F.col(c) > 0).alias(f"df_{c}") for c in columns])
-    found = reduce(lambda a, b: a | b, [F.col(c) > 0 for c in columns])
-    scored = table.filter(F.col("keep") & found).withColumn("_s", stats.select(F.struct("*")).scalar())
+    hits, stats = term_hits(docs, terms, fields, id_col, where)
     score = reduce(lambda a, b: a + b, [
-        bm25(F.col(c), F.col("length"), F.col("_s.mean_length"), F.col("_s.documents"), F.col(f"_s.df_{c}"))
-        for c in columns])
-    return scored.select("id", rounded(score).alias("score"))
+        bm25(F.col(f"tf{i}"), F.col("length"), F.lit(stats["mean_length"]), F.lit(stats["documents"]), F.lit(stats[f"df{i}"]))
+        for i in range(len(terms))])
+    return hits.select("id", rounded(score).alias("score"))
 
 
 def keyword_search(docs: DataFrame, query: str, k: int = 5, fields: Sequence[str] = ("content",),
@@ -95,17 +94,12 @@ def keyword_search(docs: DataFrame, query: str, k: int = 5, fields: Sequence[str
 def bm25_weights(docs: DataFrame, terms: list[str], fields: Sequence[str] = ("content",),
                  id_col: str = "id") -> DataFrame:
     """(id, term, tf, weight) of every given term in every document that holds it."""
-    table = term_table(docs, terms, fields, id_col)
-    stats = table.agg(
-        F.count(F.lit(1)).alias("documents"), F.avg("length").alias("mean_length"), F.count_if("keep").alias("kept"),
-        F.array(*[F.count_if(F.col(f"tf{i}") > 0) for i in range(len(terms))]).alias("doc_freq"))
-    pairs = F.array(*[F.struct(F.lit(w).alias("term"), F.col(f"tf{i}").cast("int").alias("tf"), F.lit(i).alias("pos"))
-                      for i, w in enumerate(terms)])
-    rows = table.filter("keep").withColumn("_s", stats.select(F.struct("*")).scalar()) \
-        .select("id", "length", "_s", F.inline(pairs)).filter(F.col("tf") > 0)
-    weight = bm25(F.col("tf"), F.col("length"), F.col("_s.mean_length"), F.col("_s.documents"),
-                  F.get(F.col("_s.doc_freq"), F.col("pos")))
-    return rows.select("id", "term", "tf", rounded(weight).alias("weight"))
+    hits, stats = term_hits(docs, terms, fields, id_col)
+    pairs = F.array(*[F.struct(
+        F.lit(w).alias("term"), F.col(f"tf{i}").cast("int").alias("tf"),
+        rounded(bm25(F.col(f"tf{i}"), F.col("length"), F.lit(stats["mean_length"]), F.lit(stats["documents"]), F.lit(stats[f"df{i}"])))
+        .alias("weight")) for i, w in enumerate(terms)])
+    return hits.select("id", F.inline(pairs)).filter(F.col("tf") > 0)
 
 
 class _QueryBlock:

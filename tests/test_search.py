@@ -67,6 +67,14 @@ def test_keyword_search_equals_brute_force(table, corpus):
     assert pairs(keyword.keyword_search(table, " ... ", 5)) == []
 
 
+def test_a_keyword_query_shuffles_nothing_and_keeps_only_hits(table, corpus):
+    hits, stats = keyword.term_hits(table, ["w1", "w7"], ["content"], "id")
+    assert "Exchange" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert hits.count() == len(bm25(corpus, ["w1", "w7"])) and stats["documents"] == len(corpus)
+    restricted, all_rows = keyword.term_hits(table, ["w1", "w7"], ["content"], "id", F.col("id") < "id0100")
+    assert all_rows == stats and restricted.count() < hits.count()
+
+
 def test_batch_keyword_search_over_several_passes(spark, table, corpus, monkeypatch):
     monkeypatch.setattr(keyword, "TERMS_PER_PASS", 3)
     queries = {1: "w1 w7", 2: "w2", 3: "w1 w7", 4: "absent", 5: "w3 w4 w5"}
@@ -227,8 +235,9 @@ def test_model_embedder_calls_once_per_distinct_text(spark):
         return model
 
     embedded = new_embeddings(chunks, ModelEmbedder(load, batch_size=2)).collect()
-    assert len(embedded) == 3 and calls.value == 3
-    cache = spark.createDataFrame(embedded, "text_hash string, embedding array<float>").filter("embedding IS NOT NULL")
+    # A failed call leaves no row that could enter the cache.
+    assert len(embedded) == 2 and calls.value == 3
+    cache = spark.createDataFrame(embedded, "text_hash string, embedding array<float>")
     assert new_embeddings(chunks, HashingEmbedder(4), cache).count() == 1
     assert attach_vectors(chunks, cache).filter("contentVector IS NOT NULL").count() == 20
 
