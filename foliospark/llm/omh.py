@@ -6,7 +6,8 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.llm.common import bounded_batches, mix, shingle_hashes, spread_lookup, word_hashes
@@ -19,8 +20,11 @@ SIMILARITY = 0.8
 #: Two texts at the limit of 0.8 agree in a key with a chance of about 0.8^6, so they miss all 40 with 5 in a million.
 SKETCHES = 40
 ORDERED = 6
-#: Members of a key that are compared with all others of it in one round; further ones follow in the next round.
-PER_ROUND = 16
+#: Sketches in which two texts have to agree to be compared; at the limit they agree in ten on average, and in fewer
+#: than three with 6 in ten thousand.
+AGREE = 3
+#: Members of a key that are compared with each other at once.
+BLOCK_ROWS = 512
 _SEEDS = mix(np.arange(1, 1 + 2 * SKETCHES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _FACTORS, _SHIFTS = _SEEDS[:SKETCHES] | np.uint64(1), _SEEDS[SKETCHES:]
 
@@ -46,22 +50,21 @@ def labelled(shingles: np.ndarray) -> np.ndarray:
 def order_sketch(items: np.ndarray, ordered: int = ORDERED) -> np.ndarray:
     """One key per hash function: the ``ordered`` smallest items under it, in the order of the text."""
     n, least = items.size, min(ordered, items.size)
-    keys = np.empty(SKETCHES, np.uint64)
-    limit = np.uint64(min(2**64 - 1, int(2**64 * min(1.0, (ordered + 14) / n)))) if n else np.uint64(0)
-    step = max(1, (1 << 20) // max(1, n))
+    limit = np.uint64(min(2**64 - 1, int(2**64 * min(1.0, (ordered + 14) / n))))
+    keys = np.arange(1, SKETCHES + 1, dtype=np.uint64)
+    step = max(1, (1 << 20) // n)
     for at in range(0, SKETCHES, step):
         values = items * _FACTORS[at:at + step, None] + _SHIFTS[at:at + step, None]
-        for i, row in enumerate(values, at):
-            low = np.flatnonzero(row <= limit)
-            if low.size < least:
-                low = np.arange(n)
-            if low.size > least:
-                low = low[np.argsort(row[low], kind="stable")[:least]]
-                low.sort()
-            key = np.uint64(i + 1)
-            for item in items[low].tolist():
-                key = np.uint64((int(key) * 0x9E3779B97F4A7C15 + item) & 0xFFFFFFFFFFFFFFFF)
-            keys[i] = key
+        function, place = np.nonzero(values <= limit)
+        many = np.bincount(function, minlength=len(values))
+        if many.min() < least:  # rare: too few items below the limit, so all are ranked
+            function, place = np.divmod(np.arange(values.size), n)
+            many = np.full(len(values), n)
+        order = np.lexsort((values[function, place], function))
+        rank = np.arange(order.size) - np.repeat(np.cumsum(many) - many, many)
+        chosen = np.sort(place[order[rank < least]].reshape(len(values), least), axis=1)
+        for column in chosen.T:
+            keys[at:at + step] = keys[at:at + step] * np.uint64(0x9E3779B97F4A7C15) + items[column]
     return mix(keys)
 
 
@@ -86,28 +89,27 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return texts.mapInArrow(run, "id long, digest binary, keys array<long>")
 
 
-def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Common shingles in text order by all shingles of both texts; 0 if below ``least``.
+def compare(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> tuple[float, float]:
+    """How similar two texts' shingles are in text order, 0 if below ``least``; and in any order.
 
-    The longest common sequence is sought by diagonals, and only in the band that a result of at least ``least``
-    can lie in: with c common ones of n + m, c / (n + m - c) >= least allows few insertions and deletions. How many
-    shingles occur in both texts in any order is an upper bound that spares most hopeless pairs the alignment.
+    Both are common shingles by all shingles of both texts. The second one bounds the first from above and spares
+    most hopeless pairs the alignment. For the first, the longest common sequence is sought by diagonals, and only in
+    the band that a result of at least ``least`` can lie in: with c common ones of n + m, c / (n + m - c) >= least
+    allows few insertions and deletions.
     """
     n, m = a.size, b.size
     if n == 0 or m == 0:
-        return 0.0
-    need = int(np.ceil(least / (1 + least) * (n + m) - 1e-9))
-    if min(n, m) < need:
-        return 0.0
+        return 0.0, 0.0
     both, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
     common = int(np.minimum(np.bincount(inverse[:n], minlength=both.size), np.bincount(inverse[n:], minlength=both.size)).sum())
-    if common < need:
-        return 0.0
-    edits = _edits(inverse[:n], inverse[n:], n + m - 2 * need)
-    if edits is None:
-        return 0.0
-    found = (n + m - edits) // 2
-    return found / (n + m - found)
+    need = int(np.ceil(least / (1 + least) * (n + m) - 1e-9))
+    edits = _edits(inverse[:n], inverse[n:], n + m - 2 * need) if common >= need else None
+    found = 0 if edits is None else (n + m - edits) // 2
+    return found / (n + m - found), common / (n + m - common)
+
+
+def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
+    return compare(a, b, least)[0]
 
 
 def _edits(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
@@ -156,9 +158,10 @@ def _slide(a: np.ndarray, b: np.ndarray, x: int, y: int) -> int:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The rows ``(a, b)`` of ``pairs`` whose texts are similar; ``texts(id, text)`` holds the candidates only.
+    """``(a, b, linked, away)`` for the rows of ``pairs``: whether the texts are similar, and their distance in any order.
 
-    ``a`` may be the same in a third of all pairs, so its text is sent to each task once and not to one task.
+    ``texts(id, text)`` holds the candidates only. ``a`` may be the same in a third of all pairs, so its text is sent
+    to each task once and not to one task.
     """
     bounded_batches(pairs.sparkSession)
     near = spread_lookup(pairs, texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), ["a"], ["b"])
@@ -167,36 +170,68 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     def run(batches):
         known = functools.lru_cache(64)(shingles_of)
         for batch in batches:
-            keep = [aligned_similarity(known(a.as_py()), known(b.as_py()), least) >= least
-                    for a, b in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+            found = [compare(known(a.as_py()), known(b.as_py()), least) for a, b in zip(batch.column(2), batch.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array([x >= least for x, _ in found], pa.bool_()),
+                 pa.array([1 - y for _, y in found], pa.float64())], names=["a", "b", "linked", "away"])
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean, away double")
 
 
-def _first_pairs(members: DataFrame) -> DataFrame:
-    """The smallest id of each key with each other member."""
-    heads = members.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return spread_lookup(members, heads, ["key"], ["id"]).where("a <> id").select("a", F.col("id").alias("b")).distinct()
+def _candidates(table: pa.Table, reach: float, best: int) -> pa.Table:
+    """Pairs ``(a, b)`` of one block of a key's members that may be linked although they are in different components.
 
-
-def _next_pairs(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs still to compare, and the members ``(key, id)`` that have then met all others of their key.
-
-    ``members(key, id, component)`` are keys that hold several components. Any pair of different components has a
-    member outside the key's largest component, so those members are compared with all others, some per round.
+    A pair that agrees in an earlier key as well is left to that key. It has to agree in ``AGREE`` keys, and both
+    distances to the key's smallest id may differ by at most ``reach``: distances in any order obey the triangle
+    inequality and are no larger than those in text order, so nothing that could be linked is left out by this rule.
+    With ``best`` only the members that agree in most keys are paired with each one.
     """
-    sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("n", (-F.col("component")).alias("minus"))).alias("top"), F.count("*").alias("components"))
-    largest = largest.where("components > 1").select("key", (-F.col("top.minus")).alias("largest"))
-    open_keys = spread_lookup(members, largest, ["key"], ["id"])
-    order = Window.partitionBy("key").orderBy("id")
-    chosen = open_keys.where("component <> largest AND NOT met").withColumn("turn", F.row_number().over(order))
-    chosen = staged(chosen.where(F.col("turn") <= PER_ROUND).select("key", "id", "component"), "chosen")
-    centres = chosen.groupBy("key").agg(F.collect_list(F.struct("id", "component")).alias("centres"))  # PER_ROUND at most
-    near = spread_lookup(members, centres, ["key"], ["id"])
-    near = near.select("id", F.explode(F.filter("centres", lambda c: c["component"] != F.col("component"))).alias("c"))
-    pairs = near.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")).distinct()
-    return pairs, chosen.select("key", "id")
+    table = table.combine_chunks()
+    left, right = (table.filter(pc.equal(table.column("side"), side)) for side in (0, 1))
+    none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    if not len(left) or not len(right):
+        return none
+    (a, ca, da, sa), (b, cb, db, sb) = (
+        (t.column("id").to_numpy(), t.column("component").to_numpy(), t.column("away").to_numpy(),
+         np.frombuffer(b"".join(t.column("signs").to_pylist()), np.uint32).reshape(len(t), -1)) for t in (left, right))
+    place = table.column("place")[0].as_py()
+    open_pairs = (ca[:, None] != cb) & (np.abs(da[:, None] - db) <= reach + 1e-9) & (a[:, None] < b)
+    if not open_pairs.any():
+        return none
+    agree = np.zeros(open_pairs.shape, np.int16)
+    for k in range(sa.shape[1]):
+        same = sa[:, k, None] == sb[:, k]
+        if k < place:
+            open_pairs &= ~same
+        agree += same
+    open_pairs &= agree >= AGREE
+    if best and open_pairs.any():
+        score = np.where(open_pairs, agree, 0)
+        top_a, top_b = np.argsort(-score, 1, kind="stable")[:, :best], np.argsort(-score, 0, kind="stable")[:best]
+        chosen = np.zeros_like(open_pairs)
+        chosen[np.arange(len(a))[:, None], top_a] = True
+        chosen[top_b, np.arange(len(b))[None, :]] = True
+        open_pairs &= chosen
+    i, j = np.nonzero(open_pairs)
+    return pa.table({"a": a[i], "b": b[j]})
+
+
+def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the keys that still hold several components, with their component."""
+    named = staged(members.drop("component").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id")), "named")
+    sizes = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"))
+    return named.join(sizes.where("low < high").select("key", "n"), "key")
+
+
+def _further_pairs(members: DataFrame, least: float, best: int) -> DataFrame:
+    """Pairs to compare among open members, key by key in blocks of bounded size."""
+    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    columns = ["key", "place", "id", "component", "away", "signs", "own"]
+    left = dealt.select(*columns, others, F.lit(0).alias("side")).withColumnsRenamed({"own": "left", "other": "right"})
+    right = dealt.select(*columns, others, F.lit(1).alias("side")).withColumnsRenamed({"own": "right", "other": "left"})
+    both = left.unionByName(right)
+    return both.groupBy("key", "left", "right").applyInArrow(lambda t: _candidates(t, 1 - least, best), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -204,8 +239,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two texts are linked if their five-word shingles, aligned in text order, agree to ``least`` or more. Candidates
     share an order sketch. Rows of the same words are first brought to one representative. In each key the smallest
-    id is compared with all members; where several components remain in a key, more members are compared with the
-    rest, round by round, until every pair of the key is in one component or was compared.
+    id is compared with all members, which joins large groups of copies without pairing them. Where a key still
+    holds several components, each member is compared with those most like it in all its sketches, and then all
+    pairs of different components are that agree in ``AGREE`` sketches and are not too far apart for a link by their
+    distances to the smallest id. Copies of one component are not compared with each other again.
 
     Texts of fewer than five words are linked if they have the same words. Null texts and texts without words are
     linked with nothing. Repeated rows get equal results. Rows with a null id stand alone. An empty table gives no
@@ -215,33 +252,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = held.where("id IS NOT NULL AND size(keys) > 0")
     heads = staged(known.groupBy("digest").agg(F.min("id").alias("head"), F.count("*").alias("n")), "heads")
     copies = spread_lookup(known.select("id", "digest"), heads.where("n > 1"), ["digest"], ["id"]).select("id", "head").where("id <> head")
-    rows = known.join(heads.select("digest", F.col("head").alias("id")), ["digest", "id"], "left_semi").select("id", "keys").dropDuplicates(["id"])
-    keys = rows.select("id", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    members = staged(spread_lookup(keys, shared, ["key"], ["id"]), "members")
-
-    links = None
-    tested = None
-    met = None
-    pairs = staged(_first_pairs(members), "pairs")
-    candidates = members.select("id").distinct()
+    rows = known.join(heads.select("digest", F.col("head").alias("id")), ["digest", "id"], "left_semi").dropDuplicates(["id"])
+    keys = rows.select("id", F.posexplode("keys").alias("place", "key"))
+    shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
+    # A key with a large share of the rows is split by adaptive execution, as both sides are plain shuffles.
+    members = staged(keys.join(shared.select("key", "a"), "key"), "members")
+
     text_of = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
+    candidates = members.select("id").distinct()
     texts = staged(text_of.join(candidates.hint("shuffle_hash"), "id", "left_semi").dropDuplicates(["id"]), "texts")
-    while True:
-        found = staged(verified(pairs, texts, least), "links")
-        links = found if links is None else links.union(found)
-        tested = pairs if tested is None else tested.union(pairs)
-        labels = staged(components(links), "labels")
-        named = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        if met is None:
-            named = named.withColumn("met", F.lit(False))
-        else:
-            named = named.join(met.withColumn("met", F.lit(True)), ["key", "id"], "left").withColumn("met", F.coalesce("met", F.lit(False)))
-        following, done = _next_pairs(staged(named, "named"))
-        following = staged(following.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if done.isEmpty():
-            break
-        pairs, met = following, done if met is None else met.union(done)
+    first = members.where("a <> id").select("a", F.col("id").alias("b")).distinct()
+    tested = staged(verified(staged(first, "pairs"), texts, least), "tested")
+    links = tested.where("linked").select("a", "b")
+
+    # Four bytes of each key tell whether two texts agree in it.
+    signs = F.unhex(F.array_join(F.transform("keys", lambda k: F.lpad(F.hex(k.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), ""))
+    open_members = _open_members(members, staged(components(links), "labels"))
+    distance = tested.select("a", F.col("b").alias("id"), "away")
+    open_members = open_members.join(distance, ["a", "id"], "left").withColumn("away", F.coalesce("away", F.lit(0.0)))
+    open_members = staged(open_members.join(rows.select("id", signs.alias("signs")), "id"), "open")
+    for best in (2, 0):
+        pairs = staged(_further_pairs(open_members, least, best).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        tested = tested.unionByName(staged(verified(pairs, texts, least), "tested"))
+        links = tested.where("linked").select("a", "b")
+        if best:
+            open_members = staged(_open_members(open_members.drop("n"), staged(components(links), "labels")), "open")
     linked = links.union(copies.select(F.col("head").alias("a"), F.col("id").alias("b")))
     classes = staged(components(linked), "classes")
     return held.select("id").join(classes, "id", "left").select(
