@@ -129,7 +129,10 @@ def attach_vectors(chunks: DataFrame, embeddings: DataFrame, row_id: Column | st
     """
     row_id = F.col(row_id) if isinstance(row_id, str) else row_id
     keyed = chunks.withColumn("text_hash", text_hash(text))
-    vectors = embeddings.select("text_hash", F.col("embedding").alias("contentVector"))
+    # A cache holds all vectors ever made: those of these chunks are picked by their hashes first, which are few in
+    # an increment, so that the vectors of other texts do not travel.
+    needed = keyed.select("text_hash").distinct()
+    vectors = embeddings.join(needed, "text_hash", "left_semi").select("text_hash", F.col("embedding").alias("contentVector"))
     return lookup_join(keyed, vectors, "text_hash", row_id, **skew).drop("text_hash")
 
 

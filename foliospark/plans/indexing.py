@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterable
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 
 from foliospark.functions.text import word_tokens
 from foliospark.operators.build import (CONTENT_CAP, admitted, attach_content, build_chunk_rows, build_documents, has_meaning,
-                                        with_vectors)
+                                        with_custom_fields, with_vectors)
 from foliospark.operators.embedding import MAX_TOKENS, Embedder, HashingEmbedder, attach_vectors, new_embeddings
-from foliospark.operators.stats import run_summary, vector_run_summary
+from foliospark.operators.stats import run_summary, vector_run_summary, verify_coverage
 from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STORED_DOCUMENT
 from foliospark.session import staged
+from foliospark.sinks.export import audit_append, audit_rows
 from foliospark.sinks.store import TableStore
 from foliospark.sources.extract import EXTRACTORS, Extractor, extract, file_metadata, property_columns
 from foliospark.sources.files import (DEFAULT_EXTENSIONS, DEFAULT_MAX_MB, changed_files, fetch_contents,
@@ -50,7 +51,11 @@ class IndexSettings:
     max_tokens: int | None = MAX_TOKENS  # tokens of a chunk that the model sees; None passes it whole
     rows_per_file: int | None = None
     registry: dict[str, Extractor] = field(default_factory=lambda: dict(EXTRACTORS))
-    hooks: tuple[Column, ...] = ()
+    hooks: tuple[Column, ...] = ()  # a file for which one of them is not true is not indexed
+    metadata: tuple[Callable[[DataFrame], DataFrame], ...] = ()  # each adds columns to the extracted metadata
+    custom_fields: tuple[T.StructField, ...] = ()  # those of these columns that the table stores
+    after: tuple[Callable[[DataFrame], None], ...] = ()  # each is given the outcomes (path, size, status)
+    audit: str | None = None  # a folder that gets one audit row for each file of a run
 
 
 class _Run:
@@ -59,6 +64,7 @@ class _Run:
     def __init__(self, spark: SparkSession, listing: DataFrame, table_path: str, schema: T.StructType,
                  settings: IndexSettings, manifest: DataFrame | None):
         self.spark, self.settings, self.started = spark, settings, time.monotonic()
+        schema = T.StructType([*schema.fields, *settings.custom_fields])
         self.table = TableStore(spark, f"{table_path}/documents", schema, rows_per_file=settings.rows_per_file)
         self.state = TableStore(spark, f"{table_path}/state", INDEX_STATE)
         self.statistics = f"{table_path}/statistics"
@@ -71,7 +77,22 @@ class _Run:
         extracted = extract(self.todo, settings.registry, lambda files: fetch_contents(files, size))
         self.extracted = staged(extracted, "extracted")
         properties = self.extracted.select(F.col("path").alias("file_path"), "content", "error", *property_columns())
-        self.metadata = file_metadata(self.todo, manifest).join(properties, "file_path", "left")
+        metadata = file_metadata(self.todo, manifest).join(properties, "file_path", "left")
+        self.metadata = with_custom_fields(metadata, *settings.metadata)
+
+    def with_custom(self, rows: DataFrame) -> DataFrame:
+        """Add the custom fields of a row's file, if there are any."""
+        names = [f.name for f in self.settings.custom_fields]
+        return rows.join(self.metadata.select(F.col("file_path").alias("filePath"), *names), "filePath", "left") if names else rows
+
+    def tell(self, outcomes: DataFrame) -> None:
+        """Call the hooks that follow a run and write its audit rows."""
+        if self.settings.audit:
+            rows = audit_rows(outcomes, F.lit("index"), F.lit("system"), F.col("path"), F.col("status"), F.current_timestamp(),
+                              F.create_map(F.lit("size"), F.col("size").cast("string")))
+            audit_append(rows, self.settings.audit)
+        for hook in self.settings.after:
+            hook(outcomes)
 
     def outcomes(self, successful: DataFrame) -> DataFrame:
         """(path, size, status) per listed file; ``successful`` holds the paths that were written."""
@@ -116,10 +137,12 @@ def index_standard(spark: SparkSession, roots: str | Iterable[str] | DataFrame,
     listing = roots if isinstance(roots, DataFrame) else _scan(spark, roots, settings)
     run = _Run(spark, listing, table_path, STORED_DOCUMENT, settings, manifest)
     good = run.metadata.filter(F.col("error").isNull() & F.col("content").isNotNull())
-    run.table.upsert(build_documents(good, settings.content_limit), unique=True)
+    run.table.upsert(run.with_custom(build_documents(good, settings.content_limit)), unique=True)
     written = run.extracted.filter(F.col("error").isNull() & F.col("content").isNotNull()).select("path")
     run.record(written)
-    return run.finish(run_summary(run.outcomes(written), run.seconds()), "standard")
+    outcomes = run.outcomes(written)
+    run.tell(outcomes)
+    return run.finish(run_summary(outcomes, run.seconds()), "standard")
 
 
 def index_vector(spark: SparkSession, roots: str | Iterable[str] | DataFrame, table_path: str,
@@ -141,11 +164,13 @@ def index_vector(spark: SparkSession, roots: str | Iterable[str] | DataFrame, ta
     tried = staged(attach_vectors(chunks, cache.read()), "embedded")
     embedded = with_vectors(tried)
     contents = run.extracted.select(F.col("path").alias("filePath"), "content")
-    run.table.upsert(attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit), unique=True)
+    rows = attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit)
+    run.table.upsert(run.with_custom(rows), unique=True)
     per_file = embedded.groupBy(F.col("filePath").alias("path")).agg(F.count(F.lit(1)).alias("chunks"))
     run.record(complete_files(tried))
     outcomes = run.outcomes(per_file).join(per_file, "path", "left") \
         .withColumn("embeddings", F.col("chunks")).withColumn("new_embeddings", F.lit(0))
+    run.tell(outcomes.select("path", "size", "status"))
     summary = vector_run_summary(outcomes, run.seconds()).withColumn("embedding_calls", F.lit(calls))
     return run.finish(summary, "vector")
 
@@ -164,6 +189,21 @@ def index_files(spark: SparkSession, paths: list[str], table_path: str, vectors:
     return job(spark, scan_files(spark, paths), table_path, **options)
 
 
+def recover_table(spark: SparkSession, roots: str | Iterable[str] | DataFrame, table_path: str,
+                  settings: IndexSettings | None = None, vectors: bool = False, **options) -> DataFrame:
+    """Build a table anew at ``table_path`` and verify it: (filePath, problem) for each file that fits and is not in it.
+
+    Everything is indexed, whatever an earlier state says; an empty result is a complete table.
+    """
+    settings = replace(settings or IndexSettings(), incremental=False)
+    listing = roots if isinstance(roots, DataFrame) else _scan(spark, roots, settings)
+    listing = staged(listing.select("path", "modificationTime", "length"), "recovery")
+    (index_vector if vectors else index_standard)(spark, listing, table_path, settings=settings, **options)
+    fitting = listing.filter(within_size("length", settings.max_mb)).select(F.col("path").alias("filePath"))
+    table = TableStore(spark, f"{table_path}/documents", CHUNK_DOCUMENT if vectors else STORED_DOCUMENT)
+    return verify_coverage(fitting, table.read())
+
+
 def run_statistics(spark: SparkSession, path: str) -> DataFrame:
     """The statistics row of the latest run."""
     return spark.read.schema(RUN_STATISTICS).parquet(path).orderBy(F.desc("run_at")).limit(1)

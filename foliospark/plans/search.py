@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 from foliospark.functions.text import text_hash
 from foliospark.operators.embedding import MAX_TOKENS, Embedder, model_input
 from foliospark.operators.filters import metadata_filter
-from foliospark.operators.hybrid import hybrid_search
-from foliospark.operators.keyword import MATCH_ALL, keyword_scores
+from foliospark.operators.hybrid import batch_hybrid_search, hybrid_search
+from foliospark.operators.keyword import MATCH_ALL, batch_keyword_search, keyword_scores
 from foliospark.operators.postings import posting_scores
 from foliospark.operators.rerank import CANDIDATES, extract_answer, rerank, with_captions
 from foliospark.operators.results import DEFAULT_TOP, boost_recent, default_fields, fall_back, fetch_fields, format_hits
+from foliospark.operators.stats import facets
 from foliospark.operators.topk import top as best_of
-from foliospark.operators.vector import vector_search
+from foliospark.operators.vector import batch_vector_search, vector_search
 from foliospark.schemas import SEARCHABLE
 from foliospark.session import local_rows
 
@@ -54,9 +55,9 @@ class SearchTable:
     def _vector(self, query: str, vector: Vector | None) -> Vector:
         return self.query_embedding(query) if vector is None else vector
 
-    def _keyword_scores(self, query: str, where: Column | None) -> DataFrame:
-        if self.postings is None or query.strip() == MATCH_ALL:
-            return keyword_scores(self.table, query, self.fields, self.id_col, where)
+    def _keyword_scores(self, query: str, where: Column | None, fields: Sequence[str] | None = None) -> DataFrame:
+        if self.postings is None or fields is not None or query.strip() == MATCH_ALL:
+            return keyword_scores(self.table, query, list(fields) if fields else self.fields, self.id_col, where)
         allowed = None if where is None else self.table.filter(where).select(F.col(self.id_col).alias("id"))
         return posting_scores(self.table.sparkSession, self.postings, query, allowed)
 
@@ -65,9 +66,43 @@ class SearchTable:
         return fetch_fields(hits, self.table, fields, self.id_col, few=True).orderBy(F.desc("score"), "id")
 
     def keyword(self, query: str, top: int | None = None, where: Column | None = None,
-                select: Sequence[str] | None = None) -> DataFrame:
+                select: Sequence[str] | None = None, fields: Sequence[str] | None = None) -> DataFrame:
+        """Rows by keyword score; ``fields`` limits this search to some of the table's text fields."""
         k = DEFAULT_TOP if top is None else top
-        return self._finish(best_of(self._keyword_scores(query, where), k), "keyword", select)
+        return self._finish(best_of(self._keyword_scores(query, where, fields), k), "keyword", select)
+
+    def facets(self, query: str, names: Sequence[str], where: Column | None = None) -> DataFrame:
+        """(facet, value, count) over all rows that match the query and the filter, not only the best ones."""
+        matching = self._keyword_scores(query, where).select("id")
+        rows = self.table.select(F.col(self.id_col).alias("id"), *names)
+        return facets(rows.join(matching, "id", "left_semi"), list(names))
+
+    def keyword_batch(self, queries: DataFrame, top: int | None = None, where: Column | None = None) -> DataFrame:
+        """(query_id, id, score, rank) for a table of queries (query_id, text)."""
+        return batch_keyword_search(self.table, queries, DEFAULT_TOP if top is None else top, self.fields, self.id_col, where)
+
+    def vector_batch(self, queries: DataFrame, top: int | None = None, where: Column | None = None) -> DataFrame:
+        """The same by vector; queries without a ``vector`` column get one from the table's embedder."""
+        if not self.has_vectors:
+            raise ValueError("this table has no vectors; use keyword search")
+        asked = self._with_vectors(queries).select("query_id", "vector")
+        return batch_vector_search(self.table, asked, DEFAULT_TOP if top is None else top, self.id_col, self.vector_col, where)
+
+    def hybrid_batch(self, queries: DataFrame, top: int | None = None, where: Column | None = None) -> DataFrame:
+        if not self.has_vectors:
+            return self.keyword_batch(queries, top, where)
+        return batch_hybrid_search(self.table, self._with_vectors(queries), DEFAULT_TOP if top is None else top, self.fields,
+                                   self.id_col, self.vector_col, where)
+
+    def _with_vectors(self, queries: DataFrame) -> DataFrame:
+        if "vector" in queries.columns:
+            return queries
+        if self.embedder is None:
+            raise ValueError("vector search needs an embedder or query vectors")
+        hashed = queries.select("query_id", "text", text_hash("text").alias("text_hash"))
+        inputs = hashed.select("text_hash", model_input("text", self.max_tokens).alias("text")).dropDuplicates(["text_hash"])
+        vectors = self.embedder(inputs).withColumnRenamed("embedding", "vector")
+        return hashed.join(vectors, "text_hash").select("query_id", "text", "vector")
 
     def vector(self, query: str, top: int | None = None, where: Column | None = None,
                select: Sequence[str] | None = None, vector: Vector | None = None) -> DataFrame:

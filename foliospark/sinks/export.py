@@ -48,11 +48,6 @@ def audit_append(entries: DataFrame, path: str) -> None:
     entries.select(*AUDIT.fieldNames()).write.mode("append").option("timestampFormat", TIME_FORMAT).json(path)
 
 
-def audit_append_csv(outcomes: DataFrame, path: str) -> None:
-    """Append (path, success, time) lines, as an after-index hook does."""
-    outcomes.select("path", "success", "time").write.mode("append").csv(path)
-
-
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(AUDIT).option("timestampFormat", TIME_FORMAT).json(path)
 
@@ -66,11 +61,11 @@ def routed(rows: DataFrame, routes: dict[str, tuple[str, ...]] | None = None) ->
 
 
 def write_routed(rows: DataFrame, path: str, routes: dict[str, tuple[str, ...]] | None = None) -> None:
-    """One folder per document set, written in one job without a shuffle."""
-    routed(rows, routes).write.partitionBy("route").parquet(path)
+    """One folder per document set. Rows are brought together by set first, large sets over several tasks, so that a
+    folder gets a few files and not one of every task."""
+    routed(rows, routes).hint("rebalance", "route").write.partitionBy("route").parquet(path)
 
 
 def write_by_directory(rows: DataFrame, path: str, directory: Column) -> None:
-    """One folder per top-level directory. Every task writes its own files, so a directory that
-    holds most of the rows is still written by many tasks."""
-    rows.withColumn("directory", directory).write.partitionBy("directory").parquet(path)
+    """One folder per top-level directory; one that holds most of the rows is split over several tasks."""
+    rows.withColumn("directory", directory).hint("rebalance", "directory").write.partitionBy("directory").parquet(path)

@@ -46,12 +46,6 @@ def latest_version(rows: DataFrame, key: str, version: str) -> DataFrame:
     return rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") == 1).drop("_n")
 
 
-def replace_by_key(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """All rows of ``old`` whose key is not in ``new``, and all rows of ``new``."""
-    kept = old.join(new.select(key).distinct(), key, "left_anti").select(*old.columns)
-    return kept.unionByName(new)
-
-
 def checked_vectors(rows: DataFrame, dim: int, column: str = "contentVector") -> DataFrame:
     """Fail the write when a vector has another dimension than the table."""
     wrong = F.raise_error(F.concat(F.lit(f"{column} must have {dim} dimensions, found "),

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import io
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliospark.functions.text import extension, file_name, size_mb
 from foliospark.schemas import DOCUMENT_PROPERTIES, EXTRACTED, conform
 from foliospark.sources.files import decode_text
+from foliospark.sources.html import html_to_text
 from foliospark.sources.office import extract_docx, extract_xlsx
 
 Extractor = Callable[[DataFrame], DataFrame]
@@ -23,46 +22,9 @@ def extract_plain(files: DataFrame) -> DataFrame:
     return conform(files.select("path", decode_text("content").alias("content")), EXTRACTED)
 
 
-def extract_pdf(files: DataFrame) -> DataFrame:
-    """Page-marked text of PDF files where the optional ``pypdf`` package is installed.
-
-    Without it every PDF becomes an error row; page rows from any other reader can be put
-    together by :func:`foliospark.sources.assemble.assemble_pages`.
-    """
-    fields = EXTRACTED.fieldNames()
-
-    def one(path: str, content: bytes) -> dict:
-        try:
-            from pypdf import PdfReader
-        except ImportError:
-            return {"path": path, "error": "No PDF reader installed"}
-        row, pages = {"path": path}, []
-        try:
-            reader = PdfReader(io.BytesIO(content))
-            for number, page in enumerate(reader.pages, 1):
-                try:
-                    text = page.extract_text()
-                except Exception:  # noqa: BLE001 - a broken page does not fail its file
-                    continue
-                if text.strip():
-                    pages.append(f"[Page {number}]\n{text}")
-            row["content"], row["page_count"] = "\n\n".join(pages), len(reader.pages)
-            info = reader.metadata or {}
-            keys = {"title": "/Title", "author": "/Author", "subject": "/Subject", "keywords": "/Keywords",
-                    "creator": "/Creator", "producer": "/Producer", "created": "/CreationDate",
-                    "modified": "/ModDate"}
-            row.update({f"document_{k}": str(info[v]) for k, v in keys.items() if info.get(v)})
-        except Exception as failure:  # noqa: BLE001 - any broken file becomes an error row
-            row["error"] = f"Error extracting content from {path}: {failure}"
-        return row
-
-    def job(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [one(p, c) for p, c in zip(batch["path"], batch["content"])]
-            out = pd.DataFrame(rows, columns=fields, dtype=object)
-            yield out.where(out.notna(), None)
-
-    return files.select("path", "content").mapInPandas(job, EXTRACTED)
+def extract_html(files: DataFrame) -> DataFrame:
+    """Web pages as their text nodes, decoded and stripped of tags without leaving the JVM."""
+    return conform(files.select("path", html_to_text(decode_text("content"), " ").alias("content")), EXTRACTED)
 
 
 EXTRACTORS: dict[str, Extractor] = {
@@ -71,7 +33,8 @@ EXTRACTORS: dict[str, Extractor] = {
     ".log": extract_plain,
     ".docx": extract_docx,
     ".xlsx": extract_xlsx,
-    ".pdf": extract_pdf,
+    ".html": extract_html,
+    ".htm": extract_html,
 }
 
 
@@ -101,12 +64,6 @@ def extract(files: DataFrame, registry: dict[str, Extractor] | None = None,
     return reduce(DataFrame.unionByName, branches)
 
 
-def extraction_status(path: Column | str, registry: dict[str, Extractor] | None = None) -> Column:
-    """What dispatch will say about a path before any content is read: null when it has an extractor."""
-    known = list(EXTRACTORS if registry is None else registry)
-    return F.when(~extension(path).isin(known), unsupported(path))
-
-
 def file_metadata(files: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
     """Filesystem columns of a listing.
 

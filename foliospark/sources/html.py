@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-import html
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Content that is not text: scripts, styles, comments and declarations.
 NON_TEXT = (
@@ -16,11 +12,36 @@ NON_TEXT = (
     r"(?s)<!--.*?-->",
 )
 TAG = r"(?s)<[/!?a-zA-Z][^>]*>"
-
-
-@F.pandas_udf(T.StringType())
-def unescape_entities(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
+# The named entities that are replaced; others stay as they are written.
+ENTITIES = {
+    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0", "middot": "·", "copy": "©", "reg": "®", "trade": "™",
+    "hellip": "…", "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»",
+    "euro": "€", "pound": "£", "sect": "§", "deg": "°", "bull": "•", "times": "×", "amp": "&",
+}
+LARGEST = 0x10FFFF
+
+
+def _character(code: Column) -> Column:
+    """The character of a code point; the replacement character for a number that is none."""
+    sound = (code > 0) & (code <= LARGEST) & ~code.between(0xD800, 0xDFFF)
+    return F.decode(F.unhex(F.lpad(F.hex(F.when(sound, code).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+
+
+def _numbered(text: Column, pattern: str, digits: int, base: int) -> Column:
+    """Replace numeric entities: the text between them and their characters, in turn."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(1))
+    codes = F.transform(found, lambda d: F.coalesce(F.when(F.length(d) <= digits, F.conv(d, base, 10).cast("bigint")), F.lit(0)))
+    # One part more than entities, so the last part has none.
+    whole = F.array_join(F.zip_with(F.split(text, pattern, -1), F.transform(codes, _character), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    return F.when(F.regexp_like(text, F.lit(pattern)), whole).otherwise(text)
+
+
+def unescape_entities(text: Column) -> Column:
+    """Entities as characters: numeric ones and those of the table; ``&amp;`` last, so that nothing is replaced twice."""
+    out = _numbered(_numbered(text, "&#([0-9]+);", 9, 10), "&#[xX]([0-9a-fA-F]+);", 8, 16)
+    for name, character in ENTITIES.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(character))
+    return out
 
 
 def html_to_text(page: Column | str, separator: str = "", decode_entities: bool = True) -> Column:

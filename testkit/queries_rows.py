@@ -202,10 +202,10 @@ def _(spark, d):
 
 
 def _tree(spark, d) -> str:
-    """Text files below source=…/lang=… folders, written by Spark from the documents."""
+    """One text file for each document, below source=…/lang=… folders, written by Spark."""
     path = scratch_path(spark, "tree")
-    rel.table(spark, d, "documents").select("source", "lang", "text").repartition("source", "lang") \
-        .write.partitionBy("source", "lang").text(path)
+    rel.table(spark, d, "documents", "doc_id").select("source", "lang", "text") \
+        .write.partitionBy("source", "lang").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -408,14 +408,27 @@ def _(spark, d):
     return extract.merge_metadata(filesystem, properties)
 
 
-@register("html_to_text", r"""
+_PAGE_TEXT = r"""
     SELECT page_id, replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
       '(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '(?s)<!--.*?-->', '', 'g'),
-      '(?s)<[/!?a-zA-Z][^>]*>', '', 'g'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&') AS text FROM pages""")
+      '(?s)<[/!?a-zA-Z][^>]*>', '{between}', 'g'), '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;', '&') AS text FROM pages"""
+
+
+@register("html_to_text", _PAGE_TEXT.format(between=""))
 def _(spark, d):
     return rel.table(spark, d, "pages", "page_id").select("page_id", html_to_text("html").alias("text"))
 
 
+@register("extract_html", _PAGE_TEXT.format(between=" "))
+def _(spark, d):
+    # Pages as files of both extensions, through the dispatcher.
+    suffix = F.when(F.col("page_id") % 2 == 0, ".html").otherwise(".HTM")
+    pages = rel.table(spark, d, "pages", "page_id").select(
+        F.concat(F.lit("/site/"), F.col("page_id").cast("string"), suffix).alias("path"), F.encode("html", "UTF-8").alias("content"))
+    number = F.regexp_extract("path", r"([0-9]+)\.", 1).cast("bigint")
+    return extract.extract(pages).select(number.alias("page_id"), F.col("content").alias("text"))
+
+
 # ---------------------------------------------------------------- gates and filters
 
 

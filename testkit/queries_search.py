@@ -170,6 +170,13 @@ def _(spark, d):
     return hybrid.fuse(words, near).withColumn("score", F.round("score", 6))
 
 
+@register("search_facets", with_parts("""
+    SELECT 'extension' AS facet, extension AS value, count(*) AS count FROM scores JOIN files USING (id) GROUP BY extension
+    UNION ALL SELECT 'createdBy', createdBy, count(*) FROM scores JOIN files USING (id) GROUP BY createdBy""", "scores", "files"))
+def _(spark, d):
+    return SearchTable(rel.search_table(spark, d), fields=["content"]).facets(QUERY, ["extension", "createdBy"])
+
+
 @register("rerank_search", with_parts("""
     SELECT id, reranker_score, round(score, 6) AS score FROM reranked ORDER BY reranker_score DESC, reranked.score DESC, id LIMIT 10""",
     "reranked"))

@@ -13,7 +13,7 @@ from foliospark.functions.chunking import explode_chunks
 from foliospark.operators import build as B
 from foliospark.operators import embedding as E
 from foliospark.operators import keyword, results
-from foliospark.plans.indexing import IndexSettings, index_standard, index_vector
+from foliospark.plans.indexing import IndexSettings, index_standard, index_vector, recover_table
 from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STANDARD_DOCUMENT, STORED_DOCUMENT
 from foliospark.session import scratch_path
 from foliospark.sinks import catalog, export, store
@@ -21,7 +21,7 @@ from foliospark.sources import files
 from foliospark.streaming import ingest
 from testkit import relations as rel
 from testkit.queries_rows import _tree
-from testkit.registry import CHUNK_OVERLAP, CHUNK_SIZE, QUERY, register, with_parts
+from testkit.registry import CHUNK_OVERLAP, CHUNK_SIZE, QUERY, STRIP, register, with_parts
 
 # ---------------------------------------------------------------- upserts
 
@@ -358,14 +358,14 @@ def _(spark, d):
     return table.read()
 
 
-_TOKENS_BY_DIR = r"""
-    SELECT source, lang, CAST(sum(len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> ''))) AS BIGINT) AS n,
-      CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes, CAST(sum(length(text) + 1) AS BIGINT) AS chars
-    FROM documents GROUP BY source, lang"""
+_FILE_TEXTS = rf"""
+    SELECT concat('source=', source, '/lang=', lang) AS directory, length({STRIP.format('text')}) >= 10 AS sound,
+      len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS n, CAST(octet_length(encode(text)) + 1 AS BIGINT) AS size,
+      CAST(length(text) + 1 AS BIGINT) AS chars, text FROM documents"""
 _SETTINGS = IndexSettings(chunk_size=CHUNK_SIZE, chunk_overlap=CHUNK_OVERLAP)
-_CHUNKED_DIRS = f"""
-    SELECT concat('source=', source, '/lang=', lang) AS directory, bytes AS size,
-      CAST(CASE WHEN n <= {CHUNK_SIZE} THEN 1 ELSE ceil(n / {CHUNK_SIZE - CHUNK_OVERLAP}.0) END AS BIGINT) AS chunks FROM ({_TOKENS_BY_DIR})"""
+_CHUNKED_FILES = f"""
+    SELECT directory, size, CAST(CASE WHEN n <= {CHUNK_SIZE} THEN 1 ELSE ceil(n / {CHUNK_SIZE - CHUNK_OVERLAP}.0) END AS BIGINT) AS chunks
+    FROM ({_FILE_TEXTS}) WHERE sound"""
 
 
 def _by_directory(table: DataFrame, root: str) -> DataFrame:
@@ -373,7 +373,13 @@ def _by_directory(table: DataFrame, root: str) -> DataFrame:
     return table.withColumn("directory", F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/"))
 
 
-@register("stream_ingest", _CHUNKED_DIRS)
+def _chunks_per_file(table: DataFrame, root: str) -> DataFrame:
+    """One row for each file with its folder, size and number of chunks."""
+    return _by_directory(table, root).groupBy("filePath", "directory").agg(
+        F.max("size").alias("size"), F.count(F.lit(1)).alias("chunks")).drop("filePath")
+
+
+@register("stream_ingest", _CHUNKED_FILES)
 def _(spark, d):
     root, base = _tree(spark, d), scratch_path(spark, "streamed")
     table = store.TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT)
@@ -381,38 +387,35 @@ def _(spark, d):
     cache = store.TableStore(spark, f"{base}/embeddings", EMBEDDING_CACHE, key="text_hash")
     stream = ingest.stream_files(spark, root, files_per_batch=50)
     ingest.ingest_stream(stream, table, state, cache, E.HashingEmbedder(64), f"{base}/checkpoint", _SETTINGS)
-    return _by_directory(table.read(), root).groupBy("directory").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("chunks"))
+    return _chunks_per_file(table.read(), root)
 
 
 # ---------------------------------------------------------------- whole runs
 
 
 @register("index_standard_run", f"""
-    SELECT concat('source=', source, '/lang=', lang) AS directory, bytes AS size, least(chars, 50000) AS chars, '.txt' AS extension,
-      80 AS first_successful, 80 AS second_skipped FROM ({_TOKENS_BY_DIR})""".replace(
-          "80 AS first_successful, 80 AS second_skipped",
-          "(SELECT count(DISTINCT (source, lang)) FROM documents) AS first_successful, (SELECT count(DISTINCT (source, lang)) FROM documents) AS second_skipped"))
+    SELECT directory, size, least(chars, 50000) AS chars, md5(left(concat(text, chr(10)), 50000)) AS content, '.txt' AS extension,
+      count(*) OVER () AS first_successful, count(*) OVER () AS second_skipped FROM ({_FILE_TEXTS})""")
 def _(spark, d):
     root, base = _tree(spark, d), scratch_path(spark, "standard")
     first = index_standard(spark, root, base).first()
     second = index_standard(spark, root, base).first()
     table = store.TableStore(spark, f"{base}/documents", STANDARD_DOCUMENT).read()
     return _by_directory(table, root).select(
-        "directory", "size", F.length("content").cast("bigint").alias("chars"), "extension",
+        "directory", "size", F.length("content").cast("bigint").alias("chars"), X.text_hash("content").alias("content"), "extension",
         F.lit(first["successful"]).cast("bigint").alias("first_successful"), F.lit(second["skipped"]).cast("bigint").alias("second_skipped"))
 
 
-@register("index_vector_run", _CHUNKED_DIRS)
+@register("index_vector_run", _CHUNKED_FILES)
 def _(spark, d):
     root, base = _tree(spark, d), scratch_path(spark, "vector")
     index_vector(spark, root, base, _SETTINGS, E.HashingEmbedder(64))
     table = store.TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT).read()
-    return _by_directory(table, root).filter(E.valid_dimensions("contentVector", 64)).groupBy("directory") \
-        .agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("chunks"))
+    return _chunks_per_file(table.filter(E.valid_dimensions("contentVector", 64)), root)
 
 
 @register("retry_failed_embeddings", f"""
-    SELECT directory, chunks, (SELECT CAST(sum(chunks) AS BIGINT) FROM ({_CHUNKED_DIRS})) AS all_chunks, true AS first_run_failed FROM ({_CHUNKED_DIRS})""")
+    SELECT *, CAST(sum(chunks) OVER () AS BIGINT) AS all_chunks, true AS first_run_failed FROM ({_CHUNKED_FILES})""")
 def _(spark, d):
     # In the first run the model fails for every third text, in the second one it works again.
     root, base, works = _tree(spark, d), scratch_path(spark, "retried"), E.HashingEmbedder(64)
@@ -424,14 +427,79 @@ def _(spark, d):
     first = index_vector(spark, root, base, _SETTINGS, flaky).first()
     index_vector(spark, root, base, _SETTINGS, works)
     table = store.TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT).read()
-    chunks = _by_directory(table, root).filter(E.valid_dimensions("contentVector", 64)).groupBy("directory").agg(F.count(F.lit(1)).alias("chunks"))
+    chunks = _chunks_per_file(table.filter(E.valid_dimensions("contentVector", 64)), root)
     total = store.TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT).read().count()
     return chunks.withColumn("all_chunks", F.lit(total).cast("bigint")).withColumn("first_run_failed", F.lit(first["total_chunks"] < total))
 
 
+@register("incremental_vector_run", f"""
+    SELECT *, (SELECT count(*) FROM ({_FILE_TEXTS})) AS known, 20 AS new_files, 20::BIGINT AS taken FROM ({_CHUNKED_FILES})
+    UNION ALL SELECT 'added', size, chunks, (SELECT count(*) FROM ({_FILE_TEXTS})), 20, 20::BIGINT FROM (
+      SELECT size + 2 AS size, CAST(CASE WHEN n + 1 <= {CHUNK_SIZE} THEN 1 ELSE ceil((n + 1) / {CHUNK_SIZE - CHUNK_OVERLAP}.0) END AS BIGINT) AS chunks
+      FROM ({_FILE_TEXTS} WHERE doc_id < 20))""")
+def _(spark, d):
+    # All files are indexed; twenty are added, and the second run takes these alone.
+    root, base = _tree(spark, d), scratch_path(spark, "increment")
+    first = index_vector(spark, root, base, _SETTINGS, E.HashingEmbedder(64)).first()
+    added = rel.table(spark, d, "documents").filter("doc_id < 20").select(F.concat(F.lit("z "), F.col("text")).alias("text"))
+    added.write.option("maxRecordsPerFile", 1).text(f"{root}/added")
+    second = index_vector(spark, root, base, _SETTINGS, E.HashingEmbedder(64)).first()
+    table = store.TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT).read()
+    return _chunks_per_file(table, root).select("*", F.lit(first["total_files"]).cast("bigint").alias("known"),
+                                                F.lit(second["total_files"] - first["total_files"]).cast("int").alias("new_files"),
+                                                F.lit(second["successful"]).cast("bigint").alias("taken"))
+
+
+@register("run_custom_metadata", f"""
+    SELECT directory, upper(split_part(directory, '/', 1)) AS department, CAST(chars AS INTEGER) AS letters FROM ({_FILE_TEXTS})""")
+def _(spark, d):
+    root, base = _tree(spark, d), scratch_path(spark, "custom")
+
+    def department(metadata: DataFrame) -> DataFrame:
+        return metadata.withColumn("department", F.upper(F.split(files.relative_path("file_path", root), "/")[0]))
+
+    def letters(metadata: DataFrame) -> DataFrame:
+        return metadata.withColumn("letters", F.length("content"))
+
+    own = (T.StructField("department", T.StringType()), T.StructField("letters", T.IntegerType()))
+    index_standard(spark, root, base, IndexSettings(metadata=(department, letters), custom_fields=own))
+    table = store.TableStore(spark, f"{base}/documents", T.StructType([*STANDARD_DOCUMENT.fields, *own])).read()
+    return _by_directory(table, root).select("directory", "department", "letters")
+
+
+@register("run_audit", f"""
+    SELECT 'audit' AS place, directory, 'index' AS action, CASE WHEN size > 1000 THEN 'oversize' ELSE 'successful' END AS status,
+      CAST(size AS VARCHAR) AS size FROM ({_FILE_TEXTS})
+    UNION ALL SELECT 'hook', directory, 'index', CASE WHEN size > 1000 THEN 'oversize' ELSE 'successful' END, CAST(size AS VARCHAR) FROM ({_FILE_TEXTS})""")
+def _(spark, d):
+    root, base = _tree(spark, d), scratch_path(spark, "audited")
+    settings = IndexSettings(max_mb=1000 / 2**20, audit=f"{base}/audit", after=(lambda rows: rows.write.parquet(f"{base}/outcomes"),))
+    index_standard(spark, root, base, settings)
+    audit = export.read_audit(spark, f"{base}/audit").select(F.lit("audit").alias("place"), F.col("resource").alias("filePath"), "action", "status",
+                                                             F.col("details")["size"].alias("size"))
+    told = spark.read.parquet(f"{base}/outcomes").select(F.lit("hook").alias("place"), F.col("path").alias("filePath"), F.lit("index").alias("action"),
+                                                         "status", F.col("size").cast("string").alias("size"))
+    return _by_directory(audit.unionByName(told), root).drop("filePath")
+
+
+@register("recover_table", f"""
+    SELECT 'indexed' AS state, directory, size FROM ({_FILE_TEXTS})
+    UNION ALL SELECT 'problems', NULL, 0""")
+def _(spark, d):
+    # The table is built from nothing although the state of a lost one says that all files are known.
+    root, base = _tree(spark, d), scratch_path(spark, "recovered")
+    state = store.TableStore(spark, f"{base}/state", INDEX_STATE)
+    listed = files.scan_directory(spark, root)
+    state.append(listed.select(F.col("path").alias("filePath"), F.col("modificationTime").alias("mtime")))
+    problems = recover_table(spark, root, base)
+    table = store.TableStore(spark, f"{base}/documents", STANDARD_DOCUMENT).read()
+    rows = _by_directory(table, root).select(F.lit("indexed").alias("state"), "directory", "size")
+    return rows.unionByName(problems.agg(F.count(F.lit(1)).alias("size")).select(F.lit("problems").alias("state"), F.lit(None).cast("string").alias("directory"), "size"))
+
+
 @register("run_statistics", f"""
-    SELECT count(*) AS total_files, count(*) AS successful, 0::BIGINT AS failed, CAST(sum(chunks) AS BIGINT) AS total_chunks,
-      round(sum(size) / 1048576.0, 2) AS total_size_mb FROM ({_CHUNKED_DIRS})""")
+    SELECT count(*) AS total_files, count_if(sound) AS successful, count_if(NOT sound) AS failed,
+      CAST((SELECT sum(chunks) FROM ({_CHUNKED_FILES})) AS BIGINT) AS total_chunks, round(sum(size) / 1048576.0, 2) AS total_size_mb FROM ({_FILE_TEXTS})""")
 def _(spark, d):
     root, base = _tree(spark, d), scratch_path(spark, "vector")
     run = index_vector(spark, root, base, _SETTINGS, E.HashingEmbedder(64))

@@ -6,7 +6,7 @@ from foliospark.schemas import CHUNK_DOCUMENT
 from foliospark.session import scratch_path, shared_folder
 from foliospark.sinks import export
 from foliospark.sinks.catalog import SearchTableCatalog
-from foliospark.sinks.store import TableStore, latest_version, replace_by_key
+from foliospark.sinks.store import TableStore, latest_version
 
 SCHEMA = T.StructType([T.StructField("id", T.StringType()), T.StructField("filePath", T.StringType()), T.StructField("n", T.IntegerType())])
 
@@ -72,10 +72,9 @@ def test_many_commits_are_compacted(spark):
     assert content(store) == [("a0", "a", 3)] and len(store.commits()) <= 2
 
 
-def test_latest_version_and_replacement(spark):
+def test_latest_version(spark):
     old = rows(spark, ("a0", "a", 1), ("a0", "a", 5), ("b0", "b", 2))
     assert sorted(tuple(r) for r in latest_version(old, "id", "n").collect()) == [("a0", "a", 5), ("b0", "b", 2)]
-    assert sorted(tuple(r) for r in replace_by_key(old, rows(spark, ("c", "a", 7)), "filePath").collect()) == [("b0", "b", 2), ("c", "a", 7)]
 
 
 def test_catalog_lifecycle(spark):
