@@ -7,7 +7,7 @@ import functools
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliospark.llm.common import bounded_batches, mix, shingle_hashes, spread_lookup, word_hashes
@@ -20,9 +20,11 @@ SIMILARITY = 0.8
 #: Two texts at the limit of 0.8 agree in a key with a chance of about 0.8^6, so they miss all 40 with 5 in a million.
 SKETCHES = 40
 ORDERED = 6
-#: Sketches in which two texts have to agree to be compared; at the limit they agree in ten on average, and in fewer
-#: than three with 6 in ten thousand.
-AGREE = 3
+#: In keys that hold several components after every member was compared with the smallest one: each member of a smaller
+#: component asks for its BEST most similar ones, which agree with it in AGREE sketches or more; then all pairs are
+#: compared that agree in AGREE_ALL. At the limit texts agree in 10.5 on average, in fewer than 3 with 6 in ten thousand
+#: and in fewer than 6 with 3 in a hundred.
+BEST, AGREE, AGREE_ALL = 3, 3, 6
 #: Members of a key that are compared with each other at once.
 BLOCK_ROWS = 512
 _SEEDS = mix(np.arange(1, 1 + 2 * SKETCHES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -180,14 +182,14 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
 def _candidates(table: pa.Table, reach: float, best: int) -> pa.Table:
     """Pairs ``(a, b)`` of one block of a key's members that may be linked although they are in different components.
 
-    A pair that agrees in an earlier key as well is left to that key. It has to agree in ``AGREE`` keys, and both
+    A pair that agrees in an earlier key as well is left to that key. It has to agree in enough keys, and both
     distances to the key's smallest id may differ by at most ``reach``: distances in any order obey the triangle
     inequality and are no larger than those in text order, so nothing that could be linked is left out by this rule.
-    With ``best`` only the members that agree in most keys are paired with each one.
+    With ``best`` each member outside the block's most frequent component asks for those that agree with it in most keys.
     """
     table = table.combine_chunks()
     left, right = (table.filter(pc.equal(table.column("side"), side)) for side in (0, 1))
-    none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    none = pa.table({n: pa.array([], pa.int64()) for n in ("a", "b", "asker", "agree")})
     if not len(left) or not len(right):
         return none
     (a, ca, da, sa), (b, cb, db, sb) = (
@@ -203,16 +205,22 @@ def _candidates(table: pa.Table, reach: float, best: int) -> pa.Table:
         if k < place:
             open_pairs &= ~same
         agree += same
-    open_pairs &= agree >= AGREE
-    if best and open_pairs.any():
-        score = np.where(open_pairs, agree, 0)
-        top_a, top_b = np.argsort(-score, 1, kind="stable")[:, :best], np.argsort(-score, 0, kind="stable")[:best]
-        chosen = np.zeros_like(open_pairs)
-        chosen[np.arange(len(a))[:, None], top_a] = True
-        chosen[top_b, np.arange(len(b))[None, :]] = True
-        open_pairs &= chosen
-    i, j = np.nonzero(open_pairs)
-    return pa.table({"a": a[i], "b": b[j]})
+    open_pairs &= agree >= (AGREE if best else AGREE_ALL)
+    if not best or not open_pairs.any():
+        i, j = np.nonzero(open_pairs)
+        return pa.table({"a": a[i], "b": b[j], "asker": a[i], "agree": agree[i, j].astype(np.int64)})
+    names, many = np.unique(np.concatenate([ca, cb]), return_counts=True)
+    frequent, score, found = names[many.argmax()], np.where(open_pairs, agree, 0), []
+    for axis, asking in ((1, ca != frequent), (0, cb != frequent)):
+        top = np.argsort(-score, axis, kind="stable")
+        top = top[:, :best] if axis else top[:best].T
+        one = np.repeat(np.flatnonzero(asking), top.shape[1])
+        other = top[asking].ravel()
+        found.append((one, other, a[one]) if axis else (other, one, b[one]))
+    i, j, asker = (np.concatenate(x) for x in zip(*found, strict=True))
+    real = open_pairs[i, j]
+    i, j, asker = i[real], j[real], asker[real]
+    return pa.table({"a": a[i], "b": b[j], "asker": asker, "agree": agree[i, j].astype(np.int64)})
 
 
 def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -231,7 +239,12 @@ def _further_pairs(members: DataFrame, least: float, best: int) -> DataFrame:
     left = dealt.select(*columns, others, F.lit(0).alias("side")).withColumnsRenamed({"own": "left", "other": "right"})
     right = dealt.select(*columns, others, F.lit(1).alias("side")).withColumnsRenamed({"own": "right", "other": "left"})
     both = left.unionByName(right)
-    return both.groupBy("key", "left", "right").applyInArrow(lambda t: _candidates(t, 1 - least, best), "a long, b long").distinct()
+    pairs = both.groupBy("key", "left", "right").applyInArrow(
+        lambda t: _candidates(t, 1 - least, best), "a long, b long, asker long, agree long")
+    if best:
+        order = Window.partitionBy("asker").orderBy(F.desc("agree"), "a", "b")
+        pairs = pairs.distinct().withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= best)
+    return pairs.select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -240,8 +253,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two texts are linked if their five-word shingles, aligned in text order, agree to ``least`` or more. Candidates
     share an order sketch. Rows of the same words are first brought to one representative. In each key the smallest
     id is compared with all members, which joins large groups of copies without pairing them. Where a key still
-    holds several components, each member is compared with those most like it in all its sketches, and then all
-    pairs of different components are that agree in ``AGREE`` sketches and are not too far apart for a link by their
+    holds several components, members of the smaller ones are compared with those most like them in all sketches, and then all
+    pairs of different components are that agree in ``AGREE_ALL`` sketches and are not too far apart for a link by their
     distances to the smallest id. Copies of one component are not compared with each other again.
 
     Texts of fewer than five words are linked if they have the same words. Null texts and texts without words are
@@ -271,7 +284,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     distance = tested.select("a", F.col("b").alias("id"), "away")
     open_members = open_members.join(distance, ["a", "id"], "left").withColumn("away", F.coalesce("away", F.lit(0.0)))
     open_members = staged(open_members.join(rows.select("id", signs.alias("signs")), "id"), "open")
-    for best in (2, 0):
+    for best in (BEST, 0):
         pairs = staged(_further_pairs(open_members, least, best).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(staged(verified(pairs, texts, least), "tested"))
         links = tested.where("linked").select("a", "b")
