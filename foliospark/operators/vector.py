@@ -16,7 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliospark.operators.embedding import valid_dimensions
 from foliospark.operators.topk import MATRIX_CELLS, Leaders, query_passes, ranked, top
-from foliospark.session import local_rows
+from foliospark.session import local_rows, staged
 
 BYTES_PER_PASS = 64 * 2**20
 QUERIES_PER_MATRIX = 256
@@ -69,17 +69,24 @@ def _search_passes(rows: DataFrame, queries: DataFrame, k: int, id_col: str, vec
     results = []
     for block in query_passes(wanted, F.size("vector") * 8, BYTES_PER_PASS):
         for dim in sorted({len(q["vector"]) for q in block}):
-            results.append(_search_pass(rows, [q for q in block if len(q["vector"]) == dim], k, schema, cells))
+            # A block's leaders are written before the next block begins, so the driver and the executors hold one block.
+            results.append(staged(_search_pass(rows, [q for q in block if len(q["vector"]) == dim], k, schema, cells), "leaders"))
     hits = reduce(DataFrame.unionByName, results) if results else local_rows(spark, [], schema)
     return ranked(hits, k)
 
 
 def _probes(block: np.ndarray, centroids: np.ndarray, probes: int) -> np.ndarray:
-    """Queries by cells: True for the ``probes`` cells whose centre is nearest to the query."""
-    distance = ((block[:, None, :] - centroids[None, :, :]) ** 2).sum(axis=2)
-    near = np.argsort(distance, axis=1, kind="stable")[:, :probes]
-    mask = np.zeros(distance.shape, dtype=bool)
-    np.put_along_axis(mask, near, True, axis=1)
+    """Queries by cells: True for the ``probes`` cells whose centre is nearest to the query.
+
+    Distances come from a matrix product, for some queries at a time.
+    """
+    mask = np.zeros((len(block), len(centroids)), dtype=bool)
+    half = (centroids ** 2).sum(axis=1) / 2
+    step = max(1, MATRIX_CELLS // len(centroids))
+    for first in range(0, len(block), step):
+        away = half - block[first:first + step] @ centroids.T
+        near = np.argsort(away, axis=1, kind="stable")[:, :probes]
+        np.put_along_axis(mask[first:first + step], near, True, axis=1)
     return mask
 
 
@@ -144,6 +151,20 @@ def assign_cells(table: DataFrame, centroids: np.ndarray, vector_col: str = "con
     return table.filter(valid_dimensions(vector_col, centroids.shape[1])).mapInArrow(assign, schema)
 
 
+def write_cells(table: DataFrame, path: str, cells: int, vector_col: str = "contentVector", seed: int = 7) -> None:
+    """Train cells on a table and write it with one folder for each cell, large cells in several files."""
+    centroids = train_cells(table, cells, vector_col, seed)
+    schema = "cell int, centre array<double>"
+    local_rows(table.sparkSession, [(i, [float(x) for x in c]) for i, c in enumerate(centroids)], schema).write.parquet(f"{path}/centres")
+    assign_cells(table, centroids, vector_col).hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/rows")
+
+
+def read_cells(spark: SparkSession, path: str) -> tuple[DataFrame, np.ndarray]:
+    """The table that `write_cells` wrote and its centres; a search reads the folders of the cells that it probes."""
+    centres = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()  # as many rows as cells
+    return spark.read.parquet(f"{path}/rows"), np.array([r["centre"] for r in centres])
+
+
 def ann_search(celled: DataFrame, centroids: np.ndarray, queries: DataFrame, k: int = 5, probes: int = 4,
                id_col: str = "id", vector_col: str = "contentVector") -> DataFrame:
     """Approximate batch search: each query looks only into its ``probes`` nearest cells.
@@ -153,6 +174,13 @@ def ann_search(celled: DataFrame, centroids: np.ndarray, queries: DataFrame, k:
     return _search_passes(celled, queries, k, id_col, vector_col, (centroids, probes))
 
 
+def probed(celled: DataFrame, centroids: np.ndarray, queries: DataFrame, probes: int) -> DataFrame:
+    """The rows of the cells that a block of queries probes; on a table written by cell a filter on folders."""
+    rows = queries.select(F.col("vector").cast("array<double>")).collect()
+    mask = _probes(_scaled(np.array([r[0] for r in rows]))[0], centroids, probes)
+    return celled.filter(F.col("cell").isin([int(c) for c in np.flatnonzero(mask.any(axis=0))]))
+
+
 def recall(approximate: DataFrame, exact: DataFrame) -> DataFrame:
     """One row: the share of exact hits that the approximate search also returned."""
     found = approximate.select("query_id", "id", F.lit(1).alias("_hit"))

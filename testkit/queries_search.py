@@ -138,6 +138,21 @@ def _(spark, d):
     return vector.ann_search(vector.assign_cells(table, centroids), centroids, rel.query_vectors(spark, d), 10, probes=6)
 
 
+@register("ann_recall", """
+    SELECT count(*) AS queries, true AS found, true AS folders_pruned FROM benchmark JOIN embeddings ON vec_id = item_id""")
+def _(spark, d):
+    # Written by cell once; a search reads probed folders only. Shares of the exact hits are measured query by query.
+    path, queries = scratch_path(spark, "cells"), rel.query_vectors(spark, d)
+    vector.write_cells(rel.vectors(spark, d), path, 16)
+    rows, centres = vector.read_cells(spark, path)
+    near = vector.ann_search(rows, centres, queries, 10, probes=12).select("query_id", "id", F.lit(1).alias("hit"))
+    exact = vector.batch_vector_search(rel.vectors(spark, d), queries, 10)
+    shares = exact.join(near, ["query_id", "id"], "left").groupBy("query_id").agg(F.avg(F.coalesce("hit", F.lit(0))).alias("share"))
+    one = queries.orderBy("query_id").limit(1)
+    pruned = vector.probed(rows, centres, one, probes=2).select("cell").distinct().count() <= 2
+    return shares.agg(F.count("*").alias("queries"), (F.avg("share") >= 0.95).alias("found")).withColumn("folders_pruned", F.lit(pruned))
+
+
 @register("ann_search_all_cells", _BATCH_VECTOR)
 def _(spark, d):
     # Probing every cell must give the exact result.
