@@ -145,9 +145,11 @@ class TableStore:
         if key is not None:
             written.select(key).distinct().write.parquet(f"{self.path}/{folder}/keys")
         self._log("rows", folder, key, tag, entries)
+        count = written.count()
         if len(earlier) >= self.compact_after:
-            self.compact()
-        return written.count()
+            # Those who read the table now go on with its present folders; the next compaction removes them.
+            self.compact(retain=len(earlier) + 1)
+        return count
 
     def _write(self, rows: DataFrame, folder: str) -> None:
         writer = rows.write
