@@ -29,7 +29,6 @@ class Unigram:
     """
 
     scores: dict[str, float]
-    longest: int
     byte_score: float
 
     @classmethod
@@ -39,7 +38,7 @@ class Unigram:
                  if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))]
         total = math.log(sum(1 / (r + 1) for r in range(len(plain))))
         scores = {model.id_to_piece(i): -math.log(r + 1) - total for r, i in enumerate(plain)}
-        return cls(scores, max(map(len, scores)), -math.log(len(plain) + 1) - total)
+        return cls(scores, -math.log(len(plain) + 1) - total)
 
 
 class Trie:
@@ -52,10 +51,13 @@ class Trie:
 
     def __init__(self, model: Unigram, held: int = HELD):
         self.model, self.most, self.known = model, held, {}
+        # Every end of a piece with the piece's score, None where it is no piece itself: where a text's end is none of
+        # them, no longer end of the text is a piece either.
+        self.ends = dict.fromkeys(piece[i:] for piece in model.scores for i in range(len(piece))) | model.scores
 
     def insert(self, words) -> None:
         """Store the counts of ``words`` at the ends of their paths."""
-        scores, longest, byte = self.model.scores, self.model.longest, self.model.byte_score
+        scores, byte, ends = self.model.scores, self.model.byte_score, self.ends
         best, tokens, path = [0.0], [0], ""
         for word in sorted(words):
             text = MARK + word
@@ -67,9 +69,12 @@ class Trie:
             del best[same + 1:], tokens[same + 1:]
             for end in range(same + 1, len(text) + 1):
                 top, count = -math.inf, 0
-                for start in range(max(0, end - longest), end):
-                    piece = scores.get(text[start:end])
-                    if piece is not None and best[start] + piece > top:
+                for start in range(end - 1, -1, -1):
+                    part = text[start:end]
+                    if part not in ends:
+                        break
+                    piece = ends[part]
+                    if piece is not None and best[start] + piece >= top:
                         top, count = best[start] + piece, tokens[start] + 1
                 if text[end - 1] not in scores:
                     size = len(text[end - 1].encode("utf-8", "surrogatepass"))
@@ -80,17 +85,15 @@ class Trie:
             path = text
             self.known[word] = tokens[len(text)]
 
-    def count(self, text: str) -> tuple[int, int]:
-        """Words and tokens of a text."""
-        words = _WORD.findall(text)
-        known = self.known
-        fresh = set(words).difference(known)
-        if fresh:
-            if len(known) + len(fresh) > self.most:
-                known.clear()
-                fresh = set(words)
-            self.insert(fresh)
-        return len(words), sum(map(known.__getitem__, words))
+    def count(self, texts: list[str]) -> list[tuple[int, int]]:
+        """Words and tokens of each text of a batch; the new words of all of them make one trie."""
+        words = [_WORD.findall(text) for text in texts]
+        fresh = set().union(*words).difference(self.known)
+        if len(self.known) + len(fresh) > self.most:
+            self.known.clear()
+            fresh = set().union(*words)
+        self.insert(fresh)
+        return [(len(w), sum(map(self.known.__getitem__, w))) for w in words]
 
 
 def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,7 +110,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     def run(batches):
         trie = once(("trie", model_path), lambda: Trie(held.value))
         for batch in batches:
-            made = [trie.count(t.as_py() or "") for t in batch.column(1)]
+            made = trie.count([t or "" for t in batch.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w for w, _ in made], pa.int64()), pa.array([t for _, t in made], pa.int64())],
                                              names=[id_col, "n_words", "n_tokens"])
     rows = docs.select(docs[id_col], docs[text_col].cast("string").alias("text"))
