@@ -16,7 +16,7 @@ from foliospark.operators.build import (CONTENT_CAP, admitted, attach_content, b
 from foliospark.operators.embedding import MAX_TOKENS, Embedder, HashingEmbedder, attach_vectors, new_embeddings
 from foliospark.operators.stats import run_summary, vector_run_summary, verify_coverage
 from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STORED_DOCUMENT
-from foliospark.session import staged
+from foliospark.session import remove_folder, staged
 from foliospark.sinks.export import audit_append, audit_rows
 from foliospark.sinks.store import TableStore
 from foliospark.sources.extract import EXTRACTORS, Extractor, extract, file_metadata, property_columns
@@ -64,18 +64,19 @@ class _Run:
     def __init__(self, spark: SparkSession, listing: DataFrame, table_path: str, schema: T.StructType,
                  settings: IndexSettings, manifest: DataFrame | None):
         self.spark, self.settings, self.started = spark, settings, time.monotonic()
+        self.folders: list[str] = []
         schema = T.StructType([*schema.fields, *settings.custom_fields])
         self.table = TableStore(spark, f"{table_path}/documents", schema, rows_per_file=settings.rows_per_file)
         self.state = TableStore(spark, f"{table_path}/state", INDEX_STATE)
         self.statistics = f"{table_path}/statistics"
         # Listing is metadata only; it is kept because every later step starts from it.
-        self.listing = staged(admitted(listing.select("path", "modificationTime", "length"), settings.hooks), "listing")
+        self.listing = staged(admitted(listing.select("path", "modificationTime", "length"), settings.hooks), "listing", self.folders)
         fitting = self.listing.filter(within_size("length", settings.max_mb))
         todo = changed_files(fitting, self.state.read()) if settings.incremental else fitting
-        self.todo = staged(todo, "todo")
+        self.todo = staged(todo, "todo", self.folders)
         size = self.todo.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
         extracted = extract(self.todo, settings.registry, lambda files: fetch_contents(files, size))
-        self.extracted = staged(extracted, "extracted")
+        self.extracted = staged(extracted, "extracted", self.folders)
         properties = self.extracted.select(F.col("path").alias("file_path"), "content", "error", *property_columns())
         metadata = file_metadata(self.todo, manifest).join(properties, "file_path", "left")
         self.metadata = with_custom_fields(metadata, *settings.metadata)
@@ -115,6 +116,8 @@ class _Run:
         known = set(row.columns)
         row.select(*[(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name)
                      for f in RUN_STATISTICS.fields]).write.mode("append").parquet(self.statistics)
+        for folder in self.folders:  # copies of the texts that only this run has read
+            remove_folder(self.spark, folder)
         return run_statistics(self.spark, self.statistics)
 
     def seconds(self) -> float:
@@ -159,9 +162,9 @@ def index_vector(spark: SparkSession, roots: str | Iterable[str] | DataFrame, ta
     run = _Run(spark, listing, table_path, CHUNK_DOCUMENT, settings, manifest)
     cache = TableStore(spark, f"{table_path}/embeddings", EMBEDDING_CACHE, key="text_hash")
     good = run.metadata.filter(F.col("error").isNull() & has_meaning("content"))
-    chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks")
+    chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks", run.folders)
     calls = cache.append(new_embeddings(chunks, embedder, cache.read(), max_tokens=settings.max_tokens))
-    tried = staged(attach_vectors(chunks, cache.read()), "embedded")
+    tried = staged(attach_vectors(chunks, cache.read()), "embedded", run.folders)
     embedded = with_vectors(tried)
     contents = run.extracted.select(F.col("path").alias("filePath"), "content")
     rows = attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit)

@@ -54,13 +54,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder by the file system that Spark itself uses for it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def staged(df: DataFrame, name: str, written: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where several later jobs need the same costly result: they read columns they need
-    from parquet, and a lost executor costs a re-read instead of a re-extraction.
+    from parquet, and a lost executor costs a re-read instead of a re-extraction. ``written``
+    gets the path, for a caller that removes it when its work is done.
     """
     path = scratch_path(df.sparkSession, f"stage-{name}")
+    if written is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from foliospark.operators.embedding import valid_dimensions
 from foliospark.schemas import AUDIT, conform
-from foliospark.session import local_rows, staged
+from foliospark.session import local_rows, remove_folder, staged
 
 LOG = T.StructType([
     T.StructField("version", T.LongType()),
@@ -123,14 +123,8 @@ class TableStore:
         entries, folder = self._entries(), self._folder()
         self._write(self.read(), folder)
         self._log("base", folder, None, None, entries)
-        for old in entries[:len(entries) - retain] if retain else entries:
-            self._delete(old["folder"])
-
-    def _delete(self, folder: str) -> None:
-        """Remove a commit's folder by the file system that Spark itself uses for it."""
-        jvm, conf = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
-        path.getFileSystem(conf).delete(path, True)
+        for old in entries[:max(0, len(entries) - retain)]:
+            remove_folder(self.spark, f"{self.path}/{old['folder']}")
 
     def _commit(self, rows: DataFrame, key: str | None, tag: str | None) -> int:
         entries = self._entries()
