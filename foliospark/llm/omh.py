@@ -20,11 +20,11 @@ SIMILARITY = 0.8
 #: Two texts at the limit of 0.8 agree in a key with a chance of about 0.8^6, so they miss all 40 with 5 in a million.
 SKETCHES = 40
 ORDERED = 6
-#: In keys that hold several components after every member was compared with the smallest one: each member of a smaller
-#: component asks for its BEST most similar ones, which agree with it in AGREE sketches or more; then all pairs are
-#: compared that agree in AGREE_ALL. At the limit texts agree in 10.5 on average, in fewer than 3 with 6 in ten thousand
-#: and in fewer than 6 with 3 in a hundred.
-BEST, AGREE, AGREE_ALL = 3, 3, 6
+#: In keys that hold several components after every member was compared with the smallest one, each member of a smaller
+#: component first asks for its BEST most similar ones. That only sets the order: all pairs still open are compared then.
+BEST = 3
+#: Bits of a text's profile: how many of its shingles fall on a bit, odd or even.
+PROFILE = 1024
 #: Members of a key that are compared with each other at once.
 BLOCK_ROWS = 512
 _SEEDS = mix(np.arange(1, 1 + 2 * SKETCHES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -70,25 +70,41 @@ def order_sketch(items: np.ndarray, ordered: int = ORDERED) -> np.ndarray:
     return mix(keys)
 
 
+def profile(items: np.ndarray) -> bytes:
+    """For each of ``PROFILE`` bits whether an odd number of items falls on it.
+
+    Two texts differ in at least as many items as their profiles do in bits.
+    """
+    many = np.bincount((items % np.uint64(PROFILE)).astype(np.int64), minlength=PROFILE)
+    return np.packbits((many & 1).astype(np.uint8)).tobytes()
+
+
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, digest, keys)``: digest of the word sequence and the order sketch; no keys for texts without words."""
+    """``(id, digest, keys, size, profile)``: digest of the word sequence, order sketch, number and profile of the shingles.
+
+    Texts without words have no keys.
+    """
     bounded_batches(docs.sparkSession)
 
     def run(batches):
         for batch in batches:
-            digests, keys = [], []
+            digests, keys, sizes, profiles = [], [], [], []
             for text in batch.column(1):
                 words = word_hashes(text.as_py() or "", lower=True)
                 places = np.arange(1, words.size + 1, dtype=np.uint64)
                 # Two sums over words and places: a 128-bit digest of the sequence.
                 digests.append((np.array([np.sum(mix(words + places * _FACTORS[k]), dtype=np.uint64) for k in (0, 1)])).tobytes())
-                keys.append(order_sketch(labelled(shingle_hashes(words, SHINGLE))).view(np.int64) if words.size else np.zeros(0, np.int64))
+                items = labelled(shingle_hashes(words, SHINGLE))
+                keys.append(order_sketch(items).view(np.int64) if words.size else np.zeros(0, np.int64))
+                sizes.append(items.size)
+                profiles.append(profile(items))
             offsets = np.concatenate([[0], np.cumsum([k.size for k in keys])]).astype(np.int32)
             flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, flat)],
-                                             names=["id", "digest", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, flat),
+                                              pa.array(sizes, pa.int64()), pa.array(profiles, pa.binary())],
+                                             names=["id", "digest", "keys", "size", "profile"])
     texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-    return texts.mapInArrow(run, "id long, digest binary, keys array<long>")
+    return texts.mapInArrow(run, "id long, digest binary, keys array<long>, size long, profile binary")
 
 
 def compare(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> tuple[float, float]:
@@ -104,12 +120,17 @@ def compare(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> tuple[fl
         return 0.0, 0.0
     both, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
     common = int(np.minimum(np.bincount(inverse[:n], minlength=both.size), np.bincount(inverse[n:], minlength=both.size)).sum())
-    need = int(np.ceil(least / (1 + least) * (n + m) - 1e-9))
+    need = int(_needed(n + m, least))
     edits = _edits(inverse[:n], inverse[n:], n + m - 2 * need) if common >= need else None
     found = 0 if edits is None else (n + m - edits) // 2
     return found / (n + m - found), common / (n + m - common)
 
 
+def _needed(total, least: float):
+    """Common shingles that two texts of ``total`` shingles together need for a similarity of ``least``."""
+    return np.ceil(least / (1 + least) * total - 1e-9)
+
+
 def aligned_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     return compare(a, b, least)[0]
 
@@ -179,48 +200,56 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, linked boolean, away double")
 
 
-def _candidates(table: pa.Table, reach: float, best: int) -> pa.Table:
+def _alike(i: np.ndarray, j: np.ndarray, sizes: tuple, profiles: tuple, least: float) -> np.ndarray:
+    """Which pairs of places can be similar by the numbers and the profiles of their shingles."""
+    total = sizes[0][i] + sizes[1][j]
+    most = total - 2 * _needed(total, least)
+    keep = np.abs(sizes[0][i] - sizes[1][j]) <= most
+    at = np.flatnonzero(keep)
+    for part in np.split(at, range(1 << 15, at.size, 1 << 15)):
+        keep[part] = np.bitwise_count(profiles[0][i[part]] ^ profiles[1][j[part]]).sum(1, dtype=np.int64) <= most[part]
+    return keep
+
+
+def _candidates(table: pa.Table, least: float, best: int) -> pa.Table:
     """Pairs ``(a, b)`` of one block of a key's members that may be linked although they are in different components.
 
-    A pair that agrees in an earlier key as well is left to that key. It has to agree in enough keys, and both
-    distances to the key's smallest id may differ by at most ``reach``: distances in any order obey the triangle
-    inequality and are no larger than those in text order, so nothing that could be linked is left out by this rule.
-    With ``best`` each member outside the block's most frequent component asks for those that agree with it in most keys.
+    A pair that agrees in an earlier key as well is left to that key. Both distances to the key's smallest id may differ
+    by at most ``1 - least``: distances in any order obey the triangle inequality and are no larger than those in text
+    order. Nor may the texts differ in more shingles than a link allows, by their numbers and profiles. Nothing that
+    could be linked is left out by these rules. With ``best`` each member outside the block's most frequent component
+    asks for those that agree with it in most keys.
     """
     table = table.combine_chunks()
     left, right = (table.filter(pc.equal(table.column("side"), side)) for side in (0, 1))
     none = pa.table({n: pa.array([], pa.int64()) for n in ("a", "b", "asker", "agree")})
     if not len(left) or not len(right):
         return none
-    (a, ca, da, sa), (b, cb, db, sb) = (
-        (t.column("id").to_numpy(), t.column("component").to_numpy(), t.column("away").to_numpy(),
-         np.frombuffer(b"".join(t.column("signs").to_pylist()), np.uint32).reshape(len(t), -1)) for t in (left, right))
     place = table.column("place")[0].as_py()
-    open_pairs = (ca[:, None] != cb) & (np.abs(da[:, None] - db) <= reach + 1e-9) & (a[:, None] < b)
-    if not open_pairs.any():
-        return none
-    agree = np.zeros(open_pairs.shape, np.int16)
+    (a, ca, da, na, sa, fa), (b, cb, db, nb, sb, fb) = (
+        (*(t.column(c).to_numpy() for c in ("id", "component", "away", "size")),
+         *(np.frombuffer(b"".join(t.column(c).to_pylist()), kind).reshape(len(t), -1) for c, kind in (("signs", np.uint32), ("profile", np.uint64))))
+        for t in (left, right))
+    open_pairs = (ca[:, None] != cb) & (np.abs(da[:, None] - db) <= 1 - least + 1e-9) & (a[:, None] < b)
+    i, j = np.nonzero(open_pairs)
+    keep = _alike(i, j, (na, nb), (fa, fb), least)
+    for k in range(place):
+        keep &= sa[i, k] != sb[j, k]
+    i, j = i[keep], j[keep]
+    agree = np.zeros(i.size, np.int64)
     for k in range(sa.shape[1]):
-        same = sa[:, k, None] == sb[:, k]
-        if k < place:
-            open_pairs &= ~same
-        agree += same
-    open_pairs &= agree >= (AGREE if best else AGREE_ALL)
-    if not best or not open_pairs.any():
-        i, j = np.nonzero(open_pairs)
-        return pa.table({"a": a[i], "b": b[j], "asker": a[i], "agree": agree[i, j].astype(np.int64)})
+        agree += sa[i, k] == sb[j, k]
+    if not best or not i.size:
+        return pa.table({"a": a[i], "b": b[j], "asker": a[i], "agree": agree})
     names, many = np.unique(np.concatenate([ca, cb]), return_counts=True)
-    frequent, score, found = names[many.argmax()], np.where(open_pairs, agree, 0), []
-    for axis, asking in ((1, ca != frequent), (0, cb != frequent)):
-        top = np.argsort(-score, axis, kind="stable")
-        top = top[:, :best] if axis else top[:best].T
-        one = np.repeat(np.flatnonzero(asking), top.shape[1])
-        other = top[asking].ravel()
-        found.append((one, other, a[one]) if axis else (other, one, b[one]))
-    i, j, asker = (np.concatenate(x) for x in zip(*found, strict=True))
-    real = open_pairs[i, j]
-    i, j, asker = i[real], j[real], asker[real]
-    return pa.table({"a": a[i], "b": b[j], "asker": asker, "agree": agree[i, j].astype(np.int64)})
+    frequent, found = names[many.argmax()], []
+    for side, (one, component, name) in enumerate(((i, ca, a), (j, cb, b))):
+        order = np.lexsort((a[i] if side else b[j], -agree, one))
+        asker = one[order]
+        turn = np.arange(order.size) - np.searchsorted(asker, asker)
+        order = order[(turn < best) & (component[asker] != frequent)]
+        found.append((a[i[order]], b[j[order]], name[one[order]], agree[order]))
+    return pa.table(dict(zip(("a", "b", "asker", "agree"), (np.concatenate(x) for x in zip(*found, strict=True)), strict=True)))
 
 
 def _open_members(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -235,12 +264,12 @@ def _further_pairs(members: DataFrame, least: float, best: int) -> DataFrame:
     blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int")
     dealt = members.withColumn("own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
     others = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-    columns = ["key", "place", "id", "component", "away", "signs", "own"]
+    columns = ["key", "place", "id", "component", "away", "signs", "size", "profile", "own"]
     left = dealt.select(*columns, others, F.lit(0).alias("side")).withColumnsRenamed({"own": "left", "other": "right"})
     right = dealt.select(*columns, others, F.lit(1).alias("side")).withColumnsRenamed({"own": "right", "other": "left"})
     both = left.unionByName(right)
     pairs = both.groupBy("key", "left", "right").applyInArrow(
-        lambda t: _candidates(t, 1 - least, best), "a long, b long, asker long, agree long")
+        lambda t: _candidates(t, least, best), "a long, b long, asker long, agree long")
     if best:
         order = Window.partitionBy("asker").orderBy(F.desc("agree"), "a", "b")
         pairs = pairs.distinct().withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= best)
@@ -254,8 +283,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     share an order sketch. Rows of the same words are first brought to one representative. In each key the smallest
     id is compared with all members, which joins large groups of copies without pairing them. Where a key still
     holds several components, members of the smaller ones are compared with those most like them in all sketches, and then all
-    pairs of different components are that agree in ``AGREE_ALL`` sketches and are not too far apart for a link by their
-    distances to the smallest id. Copies of one component are not compared with each other again.
+    pairs of different components are that are not too far apart for a link by their distances to the smallest id and
+    by the numbers and profiles of their shingles. Copies of one component are not compared with each other again.
 
     Texts of fewer than five words are linked if they have the same words. Null texts and texts without words are
     linked with nothing. Repeated rows get equal results. Rows with a null id stand alone. An empty table gives no
@@ -283,7 +312,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_members = _open_members(members, staged(components(links), "labels"))
     distance = tested.select("a", F.col("b").alias("id"), "away")
     open_members = open_members.join(distance, ["a", "id"], "left").withColumn("away", F.coalesce("away", F.lit(0.0)))
-    open_members = staged(open_members.join(rows.select("id", signs.alias("signs")), "id"), "open")
+    open_members = staged(open_members.join(rows.select("id", signs.alias("signs"), "size", "profile"), "id"), "open")
     for best in (BEST, 0):
         pairs = staged(_further_pairs(open_members, least, best).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         tested = tested.unionByName(staged(verified(pairs, texts, least), "tested"))

@@ -137,3 +137,40 @@ def test_components_of_paths_and_stars(spark):
         x, y = sorted((find(a), find(b)))
         parent[y] = x
     assert found == {n: find(n) for n in parent}
+
+
+def keys_of(text):
+    return omh.order_sketch(omh.labelled(omh.shingles_of(text)))
+
+
+def test_pairs_that_agree_in_few_sketches_are_compared(spark):
+    """Two texts at 0.8 that share one or two keys, in all of which a text that is similar to neither has the smallest id."""
+    rng = random.Random(8)
+
+    def changed(text, places):
+        return " ".join(f"new{rng.randrange(10**9)}" if i in places else w for i, w in enumerate(text.split()))
+    while True:
+        one = " ".join(f"v{rng.randrange(10**6)}" for _ in range(94))
+        two = changed(one, {rng.randrange(5, 40), rng.randrange(50, 88)})
+        same = keys_of(one) == keys_of(two)
+        if not 1 <= same.sum() <= 2:
+            continue
+        heads = (changed(one, {rng.randrange(5, 25), rng.randrange(35, 55), rng.randrange(65, 88)}) for _ in range(500))
+        head = next((h for h in heads if (keys_of(h) == keys_of(one))[same].all() and max(similarity(h, one), similarity(h, two)) < 0.8), None)
+        if head:
+            break
+    assert similarity(one, two) >= 0.8
+    got = {r.doc_id: r.component for r in omh.near_duplicates(awkward(spark, [(1, head), (2, one), (3, two)])).collect()}
+    assert got == {1: 1, 2: 2, 3: 2}
+
+
+def test_profiles_leave_out_no_similar_pair():
+    rng = np.random.default_rng(9)
+    for n in (4, 5, 9, 60, 700, 4000):
+        for gone in range(1 + n // 9):
+            a = rng.integers(0, 1 << 60, n).astype(np.uint64)
+            b = np.concatenate([np.delete(a, rng.choice(n, gone, replace=False)), rng.integers(0, 1 << 60, int(rng.integers(0, gone + 1))).astype(np.uint64)])
+            similar = omh.compare(a, b)[0] > 0
+            sizes = tuple(np.array([x.size]) for x in (a, b))
+            profiles = tuple(np.frombuffer(omh.profile(omh.labelled(x)), np.uint64)[None] for x in (a, b))
+            assert not similar or omh._alike(np.array([0]), np.array([0]), sizes, profiles, 0.8).all()
