@@ -174,3 +174,26 @@ def test_profiles_leave_out_no_similar_pair():
             sizes = tuple(np.array([x.size]) for x in (a, b))
             profiles = tuple(np.frombuffer(omh.profile(omh.labelled(x)), np.uint64)[None] for x in (a, b))
             assert not similar or omh._alike(np.array([0]), np.array([0]), sizes, profiles, 0.8).all()
+
+
+def test_short_texts_that_differ_by_one_word_at_an_end(spark):
+    rng = random.Random(10)
+    rows = []
+    for words in (7, 8, 9, 10, 11, 13):  # 3 and 4 shingles are 0.75, all others 0.8 or more
+        for k in range(20):
+            text = [f"s{rng.randrange(10**6)}" for _ in range(words + 1)]
+            rows += [(len(rows) + 1, " ".join(text)), (len(rows) + 2, " ".join(text[1:] if k % 2 else text[:-1]))]
+    want = classes(rows, lambda a, b: similarity(a, b) >= 0.8)
+    assert sum(i == c for i, c in want.items()) == 140
+    assert {r.doc_id: r.component for r in omh.near_duplicates(awkward(spark, rows)).collect()} == want
+
+
+def test_short_texts_of_any_length_share_a_key():
+    rng = np.random.default_rng(11)
+    for more in range(5, omh.SHORT + 1):
+        fewer = -(-4 * more // 5)
+        for _ in range(20):
+            a = rng.integers(0, 1 << 60, more).astype(np.uint64)
+            b = np.delete(a, rng.choice(more, more - fewer, replace=False))
+            one, two = (omh.text_keys(omh.labelled(x)) for x in (a, b))
+            assert (one == two).any()
