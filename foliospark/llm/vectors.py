@@ -19,8 +19,13 @@ from foliospark.session import staged
 COSINE = 0.9
 #: Share of the true links of the sample queries that the traversal has to reach.
 RECALL = 0.995
-#: Bounds of the samples: vectors that the codebooks are fitted on, and queries that the depth is measured with.
+#: Bounds of the samples: vectors that the codebooks are fitted on, and queries that the depth is measured with. Queries
+#: come in blocks, each four times as large as the one before up to BLOCK_QUERIES, until LINKED_QUERIES of them have
+#: links; with fewer after MOST_QUERIES or QUERY_NUMBERS components, the search visits each cell that a link can lie in.
 FIT_ROWS, FIT_QUERIES = 20_000, 256
+LINKED_QUERIES, MOST_QUERIES, BLOCK_QUERIES, QUERY_NUMBERS = 200, 65_536, 16_384, 1 << 24
+#: Queries that are compared at once.
+QUERY_ROWS = 256
 #: Vectors that a cell should hold on average, and rows of a block of a cell.
 CELL_ROWS, BLOCK_ROWS = 200, 2048
 BINS, WIDEST = 2048, 8.0
@@ -28,11 +33,15 @@ BINS, WIDEST = 2048, 8.0
 
 @dataclass
 class MultiIndex:
-    """Two codebooks, one for each half of a vector; a cell is a pair of their entries."""
+    """Two codebooks, one for each half of a vector; a cell is a pair of their entries.
+
+    Cells are searched down to ``depth``, or with None all that a vector within the squared distance ``reach`` can lie in.
+    """
 
     first: np.ndarray
     second: np.ndarray
-    depth: float = 0.0
+    depth: float | None = 0.0
+    reach: float = 0.0
 
     def distances(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Squared distances of both halves to the entries of their codebooks."""
@@ -59,6 +68,8 @@ class MultiIndex:
 
     def visits(self, one: np.ndarray, two: np.ndarray) -> list[int]:
         """The cells to search for a vector; the first one is its own."""
+        if self.depth is None:
+            return self._possible(one, two)
         out = []
         for cell, away in self.traverse(one, two):
             if away > self.depth and out:
@@ -67,6 +78,18 @@ class MultiIndex:
         return out
 
 
+    def _possible(self, one: np.ndarray, two: np.ndarray) -> list[int]:
+        """All cells that can hold a link: half a vector is at least as far from a cell as from the plane before it."""
+        away = []
+        for book, d in ((self.first, one), (self.second, two)):
+            apart = 2 * np.sqrt(((book - book[d.argmin()]) ** 2).sum(1))
+            away.append(np.divide(d - d.min(), apart, out=np.zeros_like(d), where=apart > 0) ** 2)
+        i, j = np.nonzero(away[0][:, None] + away[1] <= self.reach + 1e-9)
+        home = int(one.argmin()) * two.size + int(two.argmin())
+        cells = i * two.size + j
+        return [home, *cells[cells != home].tolist()]
+
+
 def _fit(points: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Codebook of at most ``k`` entries by Lloyd's rounds, started from points spread over the sample."""
     book = np.unique(points[np.linspace(0, len(points) - 1, min(k, len(points))).astype(int)], axis=0)
@@ -112,15 +135,37 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def fit_index(rows: DataFrame, count: int, least: float = COSINE, recall: float = RECALL) -> MultiIndex:
-    """Codebooks from at most ``FIT_ROWS`` vectors, and the depth at which ``FIT_QUERIES`` queries find their links.
+    """Codebooks from at most ``FIT_ROWS`` vectors, and the depth at which sample queries find their links.
 
-    The queries are compared with every vector; only a histogram per query of how deep its links lie comes back.
+    The queries are compared with every vector; only a histogram per query of how deep its links lie comes back. The
+    depth holds for ``LINKED_QUERIES`` queries with links, or for all vectors if there are not so many. Where links are
+    too rare for that, no depth is set and the index searches all cells that a link can lie in.
     """
     sample = rows.orderBy(F.xxhash64("id"), "id").select("unit").limit(FIT_ROWS).toPandas()["unit"]
     points = np.array([np.asarray(x) for x in sample])
     half, k = (points.shape[1] + 1) // 2, max(1, round((count / CELL_ROWS) ** 0.5))
-    index = MultiIndex(_fit(points[:, :half], k), _fit(points[:, half:], k) if points.shape[1] > half else np.zeros((1, 0)))
-    asked = rows.orderBy(F.xxhash64("id", F.lit(1)), "id").select("id", "dims", "unit").limit(FIT_QUERIES).toPandas()
+    index = MultiIndex(_fit(points[:, :half], k), _fit(points[:, half:], k) if points.shape[1] > half else np.zeros((1, 0)),
+                       reach=2 - 2 * least)
+    tables, asked, block = [np.zeros((0, BINS))], 0, FIT_QUERIES
+    most = max(FIT_QUERIES, min(MOST_QUERIES, QUERY_NUMBERS // points.shape[1]))
+    while asked < min(count, most) and sum(map(len, tables)) < LINKED_QUERIES:
+        block = min(block, most - asked, BLOCK_QUERIES)
+        tables.append(_link_depths(rows, index, asked, block, least))
+        asked, block = asked + block, block * 4
+    table = np.concatenate(tables)
+    if len(table) < LINKED_QUERIES and asked < count:
+        index.depth = None
+    elif len(table):
+        reached = np.minimum(np.cumsum(table.sum(0)) / table.sum(), (np.cumsum(table, 1) / table.sum(1, keepdims=True)).mean(0))
+        index.depth = float(np.argmax(reached >= recall) * WIDEST / BINS)
+    return index
+
+
+def _link_depths(rows: DataFrame, index: MultiIndex, skip: int, many: int, least: float) -> np.ndarray:
+    """Histograms of how deep the links of ``many`` sample queries lie, after the first ``skip``; one per query with links."""
+    asked = rows.orderBy(F.xxhash64("id", F.lit(1)), "id").select("id", "dims", "unit").limit(skip + many).offset(skip).toPandas()
+    if asked.empty:
+        return np.zeros((0, BINS))
     queries = (asked["id"].to_numpy(), asked["dims"].to_numpy(), np.array([np.asarray(x) for x in asked["unit"]]))
     held = rows.sparkSession.sparkContext.broadcast((index, queries))
 
@@ -128,31 +173,31 @@ def fit_index(rows: DataFrame, count: int, least: float = COSINE, recall: float
         index, (ids, dims, units) = held.value
         q1, q2 = index.distances(units)
         q_best, q_home = q1.min(1) + q2.min(1), (q1.argmin(1), q2.argmin(1))
-        found = np.zeros((ids.size, BINS), np.int64)
         for batch in batches:
             x = _matrix(batch.column("unit"))
             if not len(x):
                 continue
             x1, x2 = index.distances(x)
-            near = (units @ x.T >= least) & (ids[:, None] != batch.column("id").to_numpy()) & (dims[:, None] == batch.column("dims").to_numpy())
-            q, r = np.nonzero(near)
-            there = q1[q, x1.argmin(1)[r]] + q2[q, x2.argmin(1)[r]] - q_best[q]
-            back = x1[r, q_home[0][q]] + x2[r, q_home[1][q]] - (x1.min(1) + x2.min(1))[r]
-            bins = np.minimum(np.ceil(np.minimum(there, back) * (BINS / WIDEST)).astype(int), BINS - 1)
-            np.add.at(found, (q, bins), 1)
-        q, b = np.nonzero(found)
-        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(b), pa.array(found[q, b])], names=["q", "bin", "n"])
+            x_ids, x_dims, x_best, x_home = batch.column("id").to_numpy(), batch.column("dims").to_numpy(), x1.min(1) + x2.min(1), (x1.argmin(1), x2.argmin(1))
+            found = []
+            for at in range(0, ids.size, QUERY_ROWS):
+                part = slice(at, at + QUERY_ROWS)
+                q, r = np.nonzero(units[part] @ x.T >= least)
+                q += at
+                real = (ids[q] != x_ids[r]) & (dims[q] == x_dims[r])
+                q, r = q[real], r[real]
+                there = q1[q, x_home[0][r]] + q2[q, x_home[1][r]] - q_best[q]
+                back = x1[r, q_home[0][q]] + x2[r, q_home[1][q]] - x_best[r]
+                bins = np.minimum(np.ceil(np.minimum(there, back) * (BINS / WIDEST)).astype(np.int64), BINS - 1)
+                found.append(q * BINS + bins)
+            places, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(places // BINS), pa.array(places % BINS), pa.array(n)], names=["q", "bin", "n"])
     seen = rows.select("id", "dims", "unit").mapInArrow(run, "q long, bin long, n long").groupBy("q", "bin").agg(F.sum("n").alias("n")).collect()
-    table = np.zeros((max(1, len(asked)), BINS))
+    place = {q: i for i, q in enumerate(sorted({r["q"] for r in seen}))}
+    table = np.zeros((len(place), BINS))
     for q, b, n in seen:
-        table[q, b] = n
-    table = table[table.sum(1) > 0]
-    if len(table):
-        reached = np.minimum(np.cumsum(table.sum(0)) / table.sum(), (np.cumsum(table, 1) / table.sum(1, keepdims=True)).mean(0))
-        index.depth = float(np.argmax(reached >= recall) * WIDEST / BINS)
-    else:
-        index.depth = 2 - 2 * least
-    return index
+        table[place[q], b] = n
+    return table
 
 
 def _placed(rows: DataFrame, index: MultiIndex) -> DataFrame:

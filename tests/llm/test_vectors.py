@@ -82,3 +82,30 @@ def test_recall_on_the_given_table(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()]
     want, got = brute(rows), {r.vec_id: (r.n_links, r.component_id) for r in QUERIES["op10_vectors"](spark, "/root/testdata/sf0.01").collect()}
     assert sum(n for n, _ in got.values()) >= 0.98 * sum(n for n, _ in want.values())
+
+
+def test_recall_where_links_are_rare(spark):
+    """One vector in a hundred has a link; the queries of the sample have to be those with links."""
+    for seed in (1, 2):
+        rng = np.random.default_rng(seed)
+        points = rng.normal(size=(4000, 64))
+        points[1:40:2] = points[:40:2] + rng.normal(scale=0.45, size=(20, 64))
+        rows = [(int(i), [float(np.float32(x)) for x in p]) for i, p in zip(rng.permutation(4000), points, strict=True)]
+        units = np.array([p for _, p in rows])
+        units /= np.linalg.norm(units, axis=1)[:, None]
+        true = int((units @ units.T >= 0.9).sum()) - 4000
+        assert 20 <= true <= 40
+        assert sum(r.n_links for r in vectors.near_vectors(frame(spark, rows)).collect()) >= 0.98 * true
+
+
+def test_all_cells_that_can_hold_a_link(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 8))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    index = vectors.MultiIndex(x[:9, :4], x[:9, 4:], None, 0.2)
+    cells = [index.visits(a, b) for a, b in zip(*index.distances(x), strict=True)]
+    assert all(cells[j][0] in cells[i] for i, j in np.argwhere(x @ x.T >= 0.9))
+    monkeypatch.setattr(vectors, "MOST_QUERIES", 16)
+    monkeypatch.setattr(vectors, "FIT_QUERIES", 8)
+    rows = [(i, [float(np.float32(v)) for v in p]) for i, p in enumerate(x)]
+    assert {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(frame(spark, rows)).collect()} == brute(rows)
