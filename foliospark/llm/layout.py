@@ -13,7 +13,10 @@ from foliospark.llm.common import map_rows
 
 # Element names by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript title datalist iframe object audio video canvas svg math textarea select".split())
+HIDDEN = frozenset("head script style template noscript title datalist iframe object audio video canvas".split())
+#: Elements of drawings and formulas that are not shown, and those whose parts are set apart by a blank.
+UNSEEN_IN = {"svg": frozenset("desc metadata defs symbol".split()), "math": frozenset("annotation annotation-xml".split())}
+APART = frozenset("mfrac mtable mtr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer
     form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol p pre search section summary table ul
@@ -33,7 +36,8 @@ BARRIERS = frozenset(("table", "td", "th", "caption", "html"))
 
 _TAG = re.compile(r"<(?:!--(?P<c>.*?)(?:-->|$)|[!?](?P<d>[^>]*)>?|(?P<e>/)?(?P<n>[a-zA-Z][^\s/>]*)(?P<a>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|$))", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
+_UNSEEN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.IGNORECASE)
 _SPACE = re.compile(r"[ \t\r\n\f]+")
 
 
@@ -110,6 +114,7 @@ def parse(page: str) -> Node:
         if match["e"]:
             stack.close(name)
             continue
+        foreign = next((n for n in ("svg", "math") if name == n or stack.count[n]), None)
         attributes = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(match["a"])} if match["a"].strip(" /") else {}
         if name in ("html", "body") and stack.count[name]:
             continue
@@ -118,16 +123,40 @@ def parse(page: str) -> Node:
         if name in IMPLIED:
             stack.imply(*IMPLIED[name])
         node = Node(name, attributes)
+        if foreign and name in UNSEEN_IN[foreign]:
+            node.attributes["hidden"] = ""
         stack.nodes[-1].children.append(node)
+        if foreign and match["a"].endswith("/"):
+            continue
         if name in RAW:
             close = re.compile(f"</{re.escape(name)}\\s*>", re.IGNORECASE).search(page, at)
-            node.children.append(page[at:close.start() if close else len(page)])
+            raw = page[at:close.start() if close else len(page)]
+            node.children.append(html.unescape(raw) if name == "textarea" else raw)
             at = close.end() if close else len(page)
         elif name not in VOID:
             stack.push(node)
     return root
 
 
+def settle(root: Node) -> None:
+    """Take out what is invisible by style; an element inherits it, and a visible one below an invisible one stays."""
+    order, at = [[root, True]], 0
+    while at < len(order):
+        node, seen = order[at]
+        if found := _VISIBILITY.findall(node.attributes.get("style", "")):
+            order[at][1] = seen = found[-1].lower() == "visible"
+        order.extend([c, seen] for c in node.children if isinstance(c, Node))
+        at += 1
+    gone = set()
+    for node, seen in reversed(order):
+        node.children = [c for c in node.children if (seen if isinstance(c, str) else id(c) not in gone)]
+        if not seen:
+            if not node.children:
+                gone.add(id(node))
+            elif node.name == "li":  # its mark is invisible too
+                node.name = "div"
+
+
 class Writer:
     """Lines of text; white space between words is one blank, blank lines stand between spaced blocks."""
 
@@ -189,7 +218,7 @@ def render(node: Node, out: Writer) -> None:
             for line in _table(item):
                 out.put(line)
             out.blank = True
-        elif name == "pre":
+        elif name in ("pre", "textarea"):
             out.end(True)
             for line in _plain(item).strip("\n").split("\n"):
                 out.put(line.rstrip())
@@ -200,7 +229,13 @@ def render(node: Node, out: Writer) -> None:
             turn = int(n) if name == "ol" and re.fullmatch(r"-?[0-9]{1,9}", n := item.attributes.get("start", "1")) else 1
             for child in reversed(_items(item, turn)):
                 todo.append(child)
-        elif name in BLOCK:
+        elif name == "select":
+            out.end()
+            todo.append(out.end)
+            todo.extend(reversed(_options(item)))
+        elif name in APART:
+            todo.extend(x for child in reversed(item.children) for x in (" ", child))
+        elif name in BLOCK or name == "text":
             out.end(name in SPACED)
             todo.append(lambda spaced=name in SPACED: out.end(spaced))
             todo.extend(reversed(item.children))
@@ -208,6 +243,22 @@ def render(node: Node, out: Writer) -> None:
             todo.extend(reversed(item.children))
 
 
+def _options(node: Node) -> list:
+    """What a select element shows: all of a list box, and of a drop-down menu the options that are marked as selected."""
+    size = node.attributes.get("size", "")
+    if "multiple" in node.attributes or re.fullmatch(r"\s*\+?0*([2-9]|[1-9][0-9]+)\s*", size):
+        return node.children
+    todo, found = list(reversed(node.children)), []
+    while todo:
+        item = todo.pop()
+        if isinstance(item, Node) and not item.hidden():
+            if item.name == "option":
+                found += [item] if "selected" in item.attributes else []
+            else:
+                todo.extend(reversed(item.children))
+    return found[-1:]
+
+
 def _items(node: Node, turn: int) -> list:
     """Children of a list with the mark of each item before it: a dash, or its number in an ordered list."""
     made: list = []
@@ -309,8 +360,10 @@ def _table(table: Node) -> list[str]:
 
 
 def page_text(page: str) -> str:
-    out = Writer()
-    render(parse(page), out)
+    out, root = Writer(), parse(page)
+    if _VISIBILITY.search(page):
+        settle(root)
+    render(root, out)
     out.end()
     return "\n".join(out.lines)
 
@@ -319,8 +372,9 @@ def rendered_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "h
     """``text`` of each row of ``pages``: id and all its visible text in reading order.
 
     Blocks start on new lines, with a blank line around paragraphs, headings, lists and tables; list items have a dash
-    or their number; cells of a table are padded to aligned columns. Scripts, styles, comments and elements that are
-    hidden by name, attribute or inline style are left out. Null and empty pages give an empty text. Repeated rows get
+    or their number; cells of a table are padded to aligned columns. Text of drawings, formulas, text areas and list boxes
+    is kept, of a drop-down menu the option that is marked as selected. Scripts, styles, comments and elements that are
+    hidden by name, attribute or inline style are left out; a visible element below an invisible one stays. Null and empty pages give an empty text. Repeated rows get
     equal results; an empty table gives no rows; further columns are ignored.
     """
     rows = pages.select(pages[id_col], F.coalesce(pages[html_col].cast("string"), F.lit("")).alias("html"))

@@ -56,3 +56,20 @@ def test_awkward_rows(spark):
     got = layout.rendered_pages(pages)
     assert sorted(map(tuple, got.collect()), key=str) == [(1, ""), (2, ""), (3, "x"), (3, "x"), (None, "x")]
     assert layout.rendered_pages(pages.limit(0)).count() == 0
+
+
+SHOWN = [
+    ("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><annotation>no</annotation></math></p>", "so x=1 2"),
+    ("<svg><title>no</title><desc>no</desc><style>no</style><defs/><path d='M0'/><text>one <tspan>a</tspan></text><text>two</text></svg>", "one a\ntwo"),
+    ("a<textarea>\nb &amp; <i>\n c</textarea>d", "a\n\nb & <i>\n c\n\nd"),
+    ("<select multiple><option>a<option>b</select>c", "a\nb\nc"), ("<select size=3><optgroup><option>a<option>b</select>c", "a\nb\nc"),
+    ("<select><option>a<option selected>b</select>c", "b\nc"),
+    ("<div style='visibility:hidden'>no<p style='visibility: visible'>yes <b>too</b></p>no<img alt=no></div>", "yes too"),
+    ("<ul><li style='visibility:hidden'>no<b style='visibility:visible'>yes</b><li>a</ul>", "yes\n- a"),
+    ("<pre style='visibility:hidden'>no <b style='visibility:visible'>yes</b></pre>z", "yes\n\nz"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), SHOWN)
+def test_what_a_browser_shows_is_kept(page, text):
+    assert layout.page_text(page) == text
