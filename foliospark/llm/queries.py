@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import exact, language, layout, mixing, omh, packing, pii, quality, tokens, vectors
+from foliospark.llm import exact, language, layout, lexical, mixing, omh, packing, pii, quality, tokens, vectors
 from foliospark.llm.common import remainder
 from foliospark.session import ship_packages
 
@@ -133,3 +133,25 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_vectors")
 def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op11_lexical_search", r"""
+    WITH numbered AS (SELECT doc_id, text, row_number() OVER () AS row FROM documents),
+    words AS (SELECT doc_id, row, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM numbered),
+    tfs AS (SELECT row, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM words GROUP BY row, term),
+    sizes AS (SELECT row, CAST(sum(tf) AS BIGINT) AS n FROM tfs GROUP BY row),
+    total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS len FROM sizes),
+    weights AS (SELECT term, CAST(floor(1000 * ln(((2 * docs + 2) / (2 * df + 1))::DOUBLE)) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), total),
+    asked AS (SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+    scores AS (SELECT item_id, row, any_value(doc_id) AS doc_id,
+        CAST(sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // len)))) AS BIGINT) AS score
+      FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sizes USING (row), total GROUP BY item_id, row)
+    SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0
+    WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 10""")
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
