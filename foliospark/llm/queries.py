@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import exact, language, layout, lexical, mixing, omh, packing, pii, quality, tokens, vectors
+from foliospark.llm import exact, language, layout, lexical, mixing, omh, packing, pii, quality, repair, tokens, vectors
 from foliospark.llm.common import remainder
 from foliospark.session import ship_packages
 
@@ -155,3 +155,73 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 10""")
 def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Rows of ``conversations`` after the damage that `op13_conversation_repair` mends; nulls count as one space."""
+    def text_of(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(text_of("conv_id"), F.lit(":"), text_of("turn")).cast("binary")) % 20
+    marked = turns.withColumn("damage", kind).where("damage <> 0")
+    text = F.when(F.col("damage") == 1, F.lit("")).when(F.col("damage") == 2, F.regexp_replace(text_of("text"), "[.!?]", "")).otherwise(text_of("text"))
+    role = F.when(F.col("damage") == 4, F.lit("user")).otherwise(text_of("role"))
+    copies = F.when(F.col("damage") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return marked.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(copies).alias("copy")).drop("copy")
+
+
+@query("op13_conversation_repair", r"""
+    WITH RECURSIVE given AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        list_transform(string_split(concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')), ''),
+          lambda c: CAST(ord(c) AS BIGINT)) AS bytes FROM conversations),
+    kinds AS (SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda crc, b:
+        list_reduce(list_prepend(xor(crc, b), range(8)), lambda c, i:
+          CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)), 4294967295::BIGINT) % 20 AS kind FROM given),
+    rows AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
+      FROM kinds, (VALUES (0), (1)) AS copies(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place,
+        regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last FROM rows),
+    faults AS (SELECT *, CASE WHEN last = '' THEN 1
+        WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 2
+        WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, left(role, 1) AS initial FROM placed),
+    pairs AS (SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY place) || initial AS pair FROM faults),
+    counts AS (SELECT conv_id, CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+        count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+        count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM pairs GROUP BY conv_id),
+    inserts(a, b, cost, edits, said) AS (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+      (0, 2, 5, 'I', E'
+user:'), (1, 2, 5, 'I', E'
+user:'), (3, 2, 5, 'I', E'
+user:'), (2, 3, 5, 'I', E'
+assistant:'),
+      (0, 3, 10, 'II', E'
+user:
+assistant:'), (1, 3, 10, 'II', E'
+user:
+assistant:')),
+    edits AS (SELECT conv_id, place, a, a AS b, 2 AS cost, 'D' AS edit, '' AS said FROM faults, range(4) AS states(a)
+      UNION ALL SELECT conv_id, place, a, b, CASE WHEN initial = name THEN 0 ELSE 1 END + CASE fault WHEN 3 THEN 5 ELSE 0 END,
+        CASE WHEN initial = name THEN 'K' ELSE 'R' END, concat(E'
+', CASE WHEN initial = name THEN role ELSE full_name END, ':', text)
+      FROM faults, (VALUES (0, 1, 's', ''), (0, 2, 'u', 'user'), (1, 2, 'u', 'user'), (3, 2, 'u', 'user'), (2, 3, 'a', 'assistant')) AS moves(a, b, name, full_name)
+      WHERE fault IN (0, 3) AND (initial = name OR name <> 's')),
+    moves AS (SELECT conv_id, place, inserts.a, edits.b, CAST(inserts.cost + edits.cost AS BIGINT) AS cost, inserts.edits || edit AS edits,
+        inserts.said || edits.said AS said FROM edits JOIN inserts ON inserts.b = edits.a),
+    walks AS (SELECT conv_id, 1::BIGINT AS place, 0 AS state, 0::BIGINT AS cost, '' AS audit, '' AS said FROM (SELECT DISTINCT conv_id FROM conversations)
+      UNION ALL SELECT conv_id, place, state, best.cost, best.audit, best.said FROM (
+        SELECT walks.conv_id, walks.place + 1 AS place, moves.b AS state,
+          min({'cost': walks.cost + moves.cost, 'audit': walks.audit || moves.edits, 'said': walks.said || moves.said}) AS best
+        FROM walks JOIN moves ON walks.conv_id IS NOT DISTINCT FROM moves.conv_id AND walks.place = moves.place AND walks.state = moves.a
+        GROUP BY ALL)),
+    ends AS (SELECT walks.conv_id, min({'cost': walks.cost + inserts.cost, 'audit': audit || inserts.edits, 'said': walks.said || inserts.said}) AS best
+      FROM walks LEFT JOIN counts ON walks.conv_id IS NOT DISTINCT FROM counts.conv_id
+      JOIN inserts ON inserts.a = walks.state AND inserts.b IN (0, 3) WHERE walks.place = coalesce(n, 0) + 1 GROUP BY walks.conv_id)
+    SELECT ends.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.cost AS cost, best.audit AS audit,
+      sha256(substr(best.said, 2)) AS repaired_sha256
+    FROM ends LEFT JOIN counts ON ends.conv_id IS NOT DISTINCT FROM counts.conv_id""")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns = damaged(given)
+    return repair.repaired_digests(turns, repair.repair_plans(turns, ids=given))
