@@ -9,9 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm import exact, language, layout, lexical, mixing, omh, packing, pii, quality, repair, tokens, vectors
+from foliospark.llm import exact, language, layout, lexical, mixing, omh, packing, pii, quality, repair, tokens, vectors, warc
 from foliospark.llm.common import remainder
-from foliospark.session import ship_packages
+from foliospark.session import scratch_path, ship_packages, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -181,7 +181,9 @@ def damaged(turns: DataFrame) -> DataFrame:
         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, copy
       FROM kinds, (VALUES (0), (1)) AS copies(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
     placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place,
-        regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last FROM rows),
+        regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS last FROM rows),
     faults AS (SELECT *, CASE WHEN last = '' THEN 1
         WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 2
         WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault, left(role, 1) AS initial FROM placed),
@@ -225,3 +227,29 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     turns = damaged(given)
     return repair.repaired_digests(turns, repair.repair_plans(turns, ids=given))
+
+
+@query("op12_warc_index", r"""
+    WITH given AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+    heads AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS head, row_number() OVER (PARTITION BY html ORDER BY page_id DESC, url DESC) AS turn,
+        sha1(html) AS hex, regexp_extract(url, '^(?:([A-Za-z][A-Za-z0-9+.-]*):)?//(?:[^/?#@]*@)?([^/?#:]*)(?::([0-9]*))?([^#]*)', ['scheme', 'host', 'port', 'path']) AS u,
+        '2000-01-01'::TIMESTAMP + to_seconds(page_id) AS captured FROM given),
+    keyed AS (SELECT *, CASE WHEN NOT contains(url, '//') THEN url ELSE concat(
+        array_to_string(list_reverse(string_split(regexp_replace(lower(u.host), '^www[0-9]*\.', ''), '.')), ','),
+        CASE WHEN u.port = '' OR (lower(u.scheme), u.port) IN (('http', '80'), ('https', '443')) THEN '' ELSE ':' || u.port END, ')',
+        CASE WHEN u.path LIKE '/%' THEN '' ELSE '/' END, u.path) END AS url_key FROM heads)
+    SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+      array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS BIGINT), 5))::BIGINT >> CAST(15 - 5 * (i % 4) AS INTEGER)) % 32 + 1 AS BIGINT), 1)), '') AS payload_digest,
+      CASE WHEN turn = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN turn > 1 THEN head END AS refers_to,
+      url_key, row_number() OVER (ORDER BY url_key, captured, page_id) AS place,
+      row_number() OVER (PARTITION BY url_key ORDER BY captured, page_id) AS capture
+    FROM keyed""")
+def op12_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    captures = warc.capture_index(staged(warc.read_archives(spark, path), "runs"))
+    return captures.select(
+        warc.page_id(F.col("record_id")).cast("long").alias("page_id"), "payload_bytes",
+        F.coalesce("computed_digest", "payload_digest").alias("payload_digest"), F.col("type").alias("record_type"),
+        warc.page_id(F.col("refers_to")).cast("long").alias("refers_to"), "url_key", "place", "capture")
