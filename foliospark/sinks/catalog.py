@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliospark.schemas import CHUNK_DOCUMENT, STANDARD_DOCUMENT, conform
+from foliospark.schemas import CHUNK_DOCUMENT, STORED_DOCUMENT, conform
 from foliospark.sinks.store import checked_vectors
 
 DEFAULT_DIMENSIONS = 3072
@@ -69,8 +69,8 @@ class SearchTableCatalog:
         return self.spark.catalog.tableExists(self._name(name))
 
     def create_standard(self, name: str) -> bool:
-        """One row per file; an existing table is left as it is."""
-        return self._create(name, STANDARD_DOCUMENT)
+        """One row per file, with the hash of its whole text; an existing table is left as it is."""
+        return self._create(name, STORED_DOCUMENT)
 
     def create_vector(self, name: str, dimensions: int = DEFAULT_DIMENSIONS) -> bool:
         """One row per chunk with a vector of fixed dimension."""

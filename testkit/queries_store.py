@@ -253,7 +253,7 @@ def _catalog(spark) -> tuple[catalog.SearchTableCatalog, str]:
 _STATS = with_parts("""
     SELECT count(*) AS documentCount, CAST(sum(length(id) + octet_length(encode(left(content, 50000))) + octet_length(encode(title))
       + octet_length(encode(name)) + 2 * octet_length(encode(filePath)) + length(extension) + 8 + 8 + 2 * length(createdBy) + 4
-      + length(concat('author ', lang))) AS BIGINT) AS storageSize FROM titled""", "titled")
+      + length(concat('author ', lang)) + length(md5(content))) AS BIGINT) AS storageSize FROM titled""", "titled")
 
 
 @register("create_standard_table", _STATS)
@@ -296,7 +296,7 @@ def _two_tables(spark, d) -> catalog.SearchTableCatalog:
     SELECT CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END AS "table", count(*) AS documents,
       round(sum(length(id) + octet_length(encode(left(content, 50000))) + octet_length(encode(title))
       + octet_length(encode(name)) + 2 * octet_length(encode(filePath)) + length(extension) + 8 + 8 + 2 * length(createdBy) + 4
-      + length(concat('author ', lang))) / 1048576.0, 2) AS storage_mb FROM titled GROUP BY 1""", "titled"))
+      + length(concat('author ', lang)) + length(md5(content))) / 1048576.0, 2) AS storage_mb FROM titled GROUP BY 1""", "titled"))
 def _(spark, d):
     return _two_tables(spark, d).all_statistics()
 
