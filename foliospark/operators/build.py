@@ -84,14 +84,16 @@ def build_chunk_rows(metadata: DataFrame, size: int | None = None, overlap: int
 
 def attach_content(chunks: DataFrame, contents: DataFrame, first_only: bool = True,
                    content_limit: int | None = CONTENT_CAP) -> DataFrame:
-    """Add the file content to the first chunk row of a file, or to every row without ``first_only``.
+    """Add the file content to one chunk row of a file, the one with the smallest number that ``chunks`` has, or to every
+    row without ``first_only``.
 
-    ``contents`` (filePath, content) is unique per file. The join is last so that the long
-    text travels through no other shuffle. Content in every row makes a table many times larger.
+    That is not always chunk 0, which may have no vector. ``contents`` (filePath, content) is unique per file; ``chunks``
+    is read twice, the first time its numbers only, and should be a stored table. The long text meets one small row
+    per file and then one chunk. Content in every row makes a table many times larger.
     """
     full = contents.select("filePath", capped("content", content_limit).alias("content"))
     if first_only:
-        full = full.withColumn("chunkNumber", F.lit(0))
+        full = full.join(chunks.groupBy("filePath").agg(F.min("chunkNumber").alias("chunkNumber")), "filePath")
     keys = ["filePath", "chunkNumber"] if first_only else ["filePath"]
     return conform(chunks.join(full, keys, "left"), CHUNK_DOCUMENT)
 

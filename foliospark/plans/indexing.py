@@ -16,7 +16,7 @@ from foliospark.operators.build import (CONTENT_CAP, admitted, attach_content, b
 from foliospark.operators.embedding import MAX_TOKENS, Embedder, HashingEmbedder, attach_vectors, new_embeddings
 from foliospark.operators.stats import run_summary, vector_run_summary, verify_coverage
 from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STORED_DOCUMENT
-from foliospark.session import remove_folder, staged
+from foliospark.session import scratch, staged
 from foliospark.sinks.export import audit_append, audit_rows
 from foliospark.sinks.store import TableStore
 from foliospark.sources.extract import EXTRACTORS, Extractor, extract, file_metadata, property_columns
@@ -62,9 +62,9 @@ class _Run:
     """The part both kinds of indexing share: listing, gates, extraction, metadata."""
 
     def __init__(self, spark: SparkSession, listing: DataFrame, table_path: str, schema: T.StructType,
-                 settings: IndexSettings, manifest: DataFrame | None):
+                 settings: IndexSettings, manifest: DataFrame | None, folders: list[str]):
         self.spark, self.settings, self.started = spark, settings, time.monotonic()
-        self.folders: list[str] = []
+        self.folders = folders  # copies of the texts that only this run reads
         schema = T.StructType([*schema.fields, *settings.custom_fields])
         self.table = TableStore(spark, f"{table_path}/documents", schema, rows_per_file=settings.rows_per_file)
         self.state = TableStore(spark, f"{table_path}/state", INDEX_STATE)
@@ -116,8 +116,6 @@ class _Run:
         known = set(row.columns)
         row.select(*[(F.col(f.name) if f.name in known else F.lit(None)).cast(f.dataType).alias(f.name)
                      for f in RUN_STATISTICS.fields]).write.mode("append").parquet(self.statistics)
-        for folder in self.folders:  # copies of the texts that only this run has read
-            remove_folder(self.spark, folder)
         return run_statistics(self.spark, self.statistics)
 
     def seconds(self) -> float:
@@ -138,14 +136,15 @@ def index_standard(spark: SparkSession, roots: str | Iterable[str] | DataFrame,
     """
     settings = settings or IndexSettings()
     listing = roots if isinstance(roots, DataFrame) else _scan(spark, roots, settings)
-    run = _Run(spark, listing, table_path, STORED_DOCUMENT, settings, manifest)
-    good = run.metadata.filter(F.col("error").isNull() & F.col("content").isNotNull())
-    run.table.upsert(run.with_custom(build_documents(good, settings.content_limit)), unique=True)
-    written = run.extracted.filter(F.col("error").isNull() & F.col("content").isNotNull()).select("path")
-    run.record(written)
-    outcomes = run.outcomes(written)
-    run.tell(outcomes)
-    return run.finish(run_summary(outcomes, run.seconds()), "standard")
+    with scratch(spark) as folders:
+        run = _Run(spark, listing, table_path, STORED_DOCUMENT, settings, manifest, folders)
+        good = run.metadata.filter(F.col("error").isNull() & F.col("content").isNotNull())
+        run.table.upsert(run.with_custom(build_documents(good, settings.content_limit)), unique=True)
+        written = run.extracted.filter(F.col("error").isNull() & F.col("content").isNotNull()).select("path")
+        run.record(written)
+        outcomes = run.outcomes(written)
+        run.tell(outcomes)
+        return run.finish(run_summary(outcomes, run.seconds()), "standard")
 
 
 def index_vector(spark: SparkSession, roots: str | Iterable[str] | DataFrame, table_path: str,
@@ -159,23 +158,24 @@ def index_vector(spark: SparkSession, roots: str | Iterable[str] | DataFrame, ta
     settings = settings or IndexSettings()
     embedder = embedder or HashingEmbedder()
     listing = roots if isinstance(roots, DataFrame) else _scan(spark, roots, settings)
-    run = _Run(spark, listing, table_path, CHUNK_DOCUMENT, settings, manifest)
-    cache = TableStore(spark, f"{table_path}/embeddings", EMBEDDING_CACHE, key="text_hash")
-    good = run.metadata.filter(F.col("error").isNull() & has_meaning("content"))
-    chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks", run.folders)
-    calls = cache.append(new_embeddings(chunks, embedder, cache.read(), max_tokens=settings.max_tokens))
-    tried = staged(attach_vectors(chunks, cache.read()), "embedded", run.folders)
-    embedded = with_vectors(tried)
-    contents = run.extracted.select(F.col("path").alias("filePath"), "content")
-    rows = attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit)
-    run.table.upsert(run.with_custom(rows), unique=True)
-    per_file = embedded.groupBy(F.col("filePath").alias("path")).agg(F.count(F.lit(1)).alias("chunks"))
-    run.record(complete_files(tried))
-    outcomes = run.outcomes(per_file).join(per_file, "path", "left") \
-        .withColumn("embeddings", F.col("chunks")).withColumn("new_embeddings", F.lit(0))
-    run.tell(outcomes.select("path", "size", "status"))
-    summary = vector_run_summary(outcomes, run.seconds()).withColumn("embedding_calls", F.lit(calls))
-    return run.finish(summary, "vector")
+    with scratch(spark) as folders:
+        run = _Run(spark, listing, table_path, CHUNK_DOCUMENT, settings, manifest, folders)
+        cache = TableStore(spark, f"{table_path}/embeddings", EMBEDDING_CACHE, key="text_hash")
+        good = run.metadata.filter(F.col("error").isNull() & has_meaning("content"))
+        chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks", run.folders)
+        calls = cache.append(new_embeddings(chunks, embedder, cache.read(), max_tokens=settings.max_tokens))
+        tried = staged(attach_vectors(chunks, cache.read()), "embedded", run.folders)
+        embedded = with_vectors(tried)
+        contents = run.extracted.select(F.col("path").alias("filePath"), "content")
+        rows = attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit)
+        run.table.upsert(run.with_custom(rows), unique=True)
+        per_file = embedded.groupBy(F.col("filePath").alias("path")).agg(F.count(F.lit(1)).alias("chunks"))
+        run.record(complete_files(tried))
+        outcomes = run.outcomes(per_file).join(per_file, "path", "left") \
+            .withColumn("embeddings", F.col("chunks")).withColumn("new_embeddings", F.lit(0))
+        run.tell(outcomes.select("path", "size", "status"))
+        summary = vector_run_summary(outcomes, run.seconds()).withColumn("embedding_calls", F.lit(calls))
+        return run.finish(summary, "vector")
 
 
 def complete_files(tried: DataFrame) -> DataFrame:
@@ -200,6 +200,7 @@ def recover_table(spark: SparkSession, roots: str | Iterable[str] | DataFrame, t
     """
     settings = replace(settings or IndexSettings(), incremental=False)
     listing = roots if isinstance(roots, DataFrame) else _scan(spark, roots, settings)
+    # The listing stays as long as the result that is compared with it.
     listing = staged(listing.select("path", "modificationTime", "length"), "recovery")
     (index_vector if vectors else index_standard)(spark, listing, table_path, settings=settings, **options)
     fitting = listing.filter(within_size("length", settings.max_mb)).select(F.col("path").alias("filePath"))

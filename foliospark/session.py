@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -74,6 +75,17 @@ def staged(df: DataFrame, name: str, written: list[str] | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
+    """A list for the paths that ``staged`` writes; their folders are deleted at the end, also after a failure."""
+    folders: list[str] = []
+    try:
+        yield folders
+    finally:
+        for folder in folders:
+            remove_folder(spark, folder)
+
+
 def local_rows(spark: SparkSession, rows: Sequence[Sequence], schema: StructType | str) -> DataFrame:
     """A handful of rows of the driver as a table, without starting Python workers for them."""
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from foliospark.operators.embedding import valid_dimensions
 from foliospark.schemas import AUDIT, conform
-from foliospark.session import local_rows, remove_folder, staged
+from foliospark.session import local_rows, remove_folder, scratch, staged
 
 LOG = T.StructType([
     T.StructField("version", T.LongType()),
@@ -176,15 +176,16 @@ def erase_owner(table: TableStore, cache: TableStore, owner: str, text_hash, aud
     the same text. With ``audit``, a path, the erasure leaves an audit row there.
     """
     rows = table.read().select(table.key, "createdBy", text_hash.alias("text_hash"))
-    mine = staged(rows.filter(F.col("createdBy") == owner), "erased")
-    others = rows.filter(~F.col("createdBy").eqNullSafe(F.lit(owner))).select("text_hash")
-    cache.erase(mine.select("text_hash").join(others, "text_hash", "left_anti"))
-    table.erase(mine.select(table.key))
-    table.compact()
-    cache.compact()
-    if audit:
-        erased = mine.agg(F.count("*").alias("rows"))
-        conform(erased.select(
-            F.current_timestamp().alias("timestamp"), F.lit("erase").alias("action"), F.lit(owner).alias("user"),
-            F.lit(table.path).alias("resource"), F.lit("success").alias("status"),
-            F.create_map(F.lit("rows"), F.col("rows").cast("string")).alias("details")), AUDIT).write.mode("append").parquet(audit)
+    with scratch(table.spark) as folders:  # paths, owner and hashes of what is erased do not stay behind
+        mine = staged(rows.filter(F.col("createdBy") == owner), "erased", folders)
+        others = rows.filter(~F.col("createdBy").eqNullSafe(F.lit(owner))).select("text_hash")
+        cache.erase(mine.select("text_hash").join(others, "text_hash", "left_anti"))
+        table.erase(mine.select(table.key))
+        table.compact()
+        cache.compact()
+        if audit:
+            erased = mine.agg(F.count("*").alias("rows"))
+            conform(erased.select(
+                F.current_timestamp().alias("timestamp"), F.lit("erase").alias("action"), F.lit(owner).alias("user"),
+                F.lit(table.path).alias("resource"), F.lit("success").alias("status"),
+                F.create_map(F.lit("rows"), F.col("rows").cast("string")).alias("details")), AUDIT).write.mode("append").parquet(audit)

@@ -12,7 +12,7 @@ from foliospark.operators.build import admitted, attach_content, build_chunk_row
 from foliospark.operators.embedding import Embedder, attach_vectors, new_embeddings
 from foliospark.plans.indexing import IndexSettings, complete_files
 from foliospark.schemas import FILE_LISTING
-from foliospark.session import staged
+from foliospark.session import scratch, staged
 from foliospark.sinks.store import TableStore, latest_version
 from foliospark.sources.extract import extract, file_metadata, property_columns
 from foliospark.sources.files import DEFAULT_EXTENSIONS, name_glob, changed_files, plain_path, within_size
@@ -57,9 +57,10 @@ def upsert_stream(stream: DataFrame, table: TableStore, checkpoint: str, version
         if state is None or version is None:
             table.upsert(batch, tag=tag)
             return
-        rows = staged(fresh_rows(batch, state, version, table.key), "batch")
-        table.upsert(rows, tag=tag)
-        state.upsert(rows.select(F.col(table.key).alias("filePath"), F.col(version).alias("mtime")), tag=tag)
+        with scratch(batch.sparkSession) as folders:
+            rows = staged(fresh_rows(batch, state, version, table.key), "batch", folders)
+            table.upsert(rows, tag=tag)
+            state.upsert(rows.select(F.col(table.key).alias("filePath"), F.col(version).alias("mtime")), tag=tag)
 
     return run_available(stream, handle, checkpoint)
 
@@ -70,20 +71,22 @@ def ingest_stream(stream: DataFrame, table: TableStore, state: TableStore, cache
     settings = settings or IndexSettings()
 
     def handle(batch: DataFrame, tag: str) -> None:
-        fitting = admitted(batch.filter(within_size("length", settings.max_mb)), settings.hooks)
-        files = staged(changed_files(fitting, state.read()), "files")
-        extracted = staged(extract(files, settings.registry), "extracted")
-        properties = extracted.select(F.col("path").alias("file_path"), "content", "error", *property_columns())
-        metadata = file_metadata(files).join(properties, "file_path", "left")
-        good = metadata.filter(F.col("error").isNull() & has_meaning("content"))
-        chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks")
-        cache.append(new_embeddings(chunks, embedder, cache.read(), max_tokens=settings.max_tokens), tag=tag)
-        tried = staged(attach_vectors(chunks, cache.read()), "embedded")
-        embedded = with_vectors(tried)
-        contents = extracted.select(F.col("path").alias("filePath"), "content")
-        table.upsert(attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit),
-                     tag=tag, unique=True)
-        written = files.join(complete_files(tried), "path", "left_semi")
-        state.upsert(written.select(F.col("path").alias("filePath"), F.col("modificationTime").alias("mtime")), tag=tag)
+        # What only this batch reads is deleted with it, so that a stream that runs for ever fills no disk.
+        with scratch(batch.sparkSession) as folders:
+            fitting = admitted(batch.filter(within_size("length", settings.max_mb)), settings.hooks)
+            files = staged(changed_files(fitting, state.read()), "files", folders)
+            extracted = staged(extract(files, settings.registry), "extracted", folders)
+            properties = extracted.select(F.col("path").alias("file_path"), "content", "error", *property_columns())
+            metadata = file_metadata(files).join(properties, "file_path", "left")
+            good = metadata.filter(F.col("error").isNull() & has_meaning("content"))
+            chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks", folders)
+            cache.append(new_embeddings(chunks, embedder, cache.read(), max_tokens=settings.max_tokens), tag=tag)
+            tried = staged(attach_vectors(chunks, cache.read()), "embedded", folders)
+            embedded = with_vectors(tried)
+            contents = extracted.select(F.col("path").alias("filePath"), "content")
+            table.upsert(attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit),
+                         tag=tag, unique=True)
+            written = files.join(complete_files(tried), "path", "left_semi")
+            state.upsert(written.select(F.col("path").alias("filePath"), F.col("modificationTime").alias("mtime")), tag=tag)
 
     return run_available(stream, handle, checkpoint)

@@ -368,6 +368,12 @@ _CHUNKED_FILES = f"""
     FROM ({_FILE_TEXTS}) WHERE sound"""
 
 
+# The same with the hash of the stored text, of which there is one for each file.
+_CHUNKED_CONTENT = f"""
+    SELECT directory, size, CAST(CASE WHEN n <= {CHUNK_SIZE} THEN 1 ELSE ceil(n / {CHUNK_SIZE - CHUNK_OVERLAP}.0) END AS BIGINT) AS chunks,
+      1::BIGINT AS contents, md5(left(concat(text, chr(10)), 50000)) AS content FROM ({_FILE_TEXTS}) WHERE sound"""
+
+
 def _by_directory(table: DataFrame, root: str) -> DataFrame:
     parts = F.split(files.relative_path("filePath", root), "/")
     return table.withColumn("directory", F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/"))
@@ -379,7 +385,14 @@ def _chunks_per_file(table: DataFrame, root: str) -> DataFrame:
         F.max("size").alias("size"), F.count(F.lit(1)).alias("chunks")).drop("filePath")
 
 
-@register("stream_ingest", _CHUNKED_FILES)
+def _chunks_and_content(table: DataFrame, root: str) -> DataFrame:
+    """The same with the number of rows that hold the file's content, and its hash."""
+    return _by_directory(table, root).groupBy("filePath", "directory").agg(
+        F.max("size").alias("size"), F.count(F.lit(1)).alias("chunks"), F.count("content").alias("contents"),
+        X.text_hash(F.max("content")).alias("content")).drop("filePath")
+
+
+@register("stream_ingest", _CHUNKED_CONTENT)
 def _(spark, d):
     root, base = _tree(spark, d), scratch_path(spark, "streamed")
     table = store.TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT)
@@ -387,11 +400,44 @@ def _(spark, d):
     cache = store.TableStore(spark, f"{base}/embeddings", EMBEDDING_CACHE, key="text_hash")
     stream = ingest.stream_files(spark, root, files_per_batch=50)
     ingest.ingest_stream(stream, table, state, cache, E.HashingEmbedder(64), f"{base}/checkpoint", _SETTINGS)
-    return _chunks_per_file(table.read(), root)
+    return _chunks_and_content(table.read(), root)
 
 
 # ---------------------------------------------------------------- whole runs
 
+_RULED = f"""
+    SELECT directory, concat(repeat('-- ', {CHUNK_SIZE}), text, chr(10)) AS whole, list_concat(list_resize([]::VARCHAR[], {CHUNK_SIZE}, '--'),
+      list_filter(regexp_split_to_array(text, '\\s+'), lambda x: x <> '')) AS w FROM ({_FILE_TEXTS})"""
+_RULED_CHUNKS = rf"""
+    SELECT directory, min(s) AS first_chunk, count(*) AS chunks, 1::BIGINT AS contents, any_value(md5(left(whole, 50000))) AS content FROM (
+      SELECT directory, whole, file, CAST(t.s // {CHUNK_SIZE - CHUNK_OVERLAP} AS INTEGER) AS s, array_to_string(CASE WHEN len(w) <= {CHUNK_SIZE} THEN w ELSE w[t.s + 1 : t.s + {CHUNK_SIZE}] END, ' ') AS chunk
+      FROM (SELECT *, row_number() OVER () AS file FROM ({_RULED})),
+        unnest(CASE WHEN len(w) <= {CHUNK_SIZE} THEN [0] ELSE range(0, len(w), {CHUNK_SIZE - CHUNK_OVERLAP}) END) AS t(s))
+    WHERE regexp_matches(chunk, '[\p{{L}}\p{{N}}]') GROUP BY file, directory"""
+
+
+def _ruled_tree(spark, d) -> str:
+    """A tree in which every file begins with a chunk of rule lines, which have no word and so no vector."""
+    root = scratch_path(spark, "ruled")
+    ruled = F.concat(F.lit("-- " * CHUNK_SIZE), F.col("text"))
+    rel.table(spark, d, "documents").select(ruled.alias("text"), "source", "lang").write.option(
+        "maxRecordsPerFile", 1).partitionBy("source", "lang").text(root)
+    return root
+
+
+def _kept_content(table: DataFrame, root: str) -> DataFrame:
+    """One row per file: which chunk has the content, how many there are, how often the content is stored, its hash."""
+    return _by_directory(table, root).groupBy("filePath", "directory").agg(
+        F.min(F.when(F.col("content").isNotNull(), F.col("chunkNumber"))).alias("first_chunk"), F.count(F.lit(1)).alias("chunks"),
+        F.count("content").alias("contents"), X.text_hash(F.max("content")).alias("content")).drop("filePath")
+
+
+@register("content_without_first_vector", _RULED_CHUNKS)
+def _(spark, d):
+    root, base = _ruled_tree(spark, d), scratch_path(spark, "ruledtable")
+    index_vector(spark, root, base, _SETTINGS, E.HashingEmbedder(64))
+    return _kept_content(store.TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT).read(), root)
+
 
 @register("index_standard_run", f"""
     SELECT directory, size, least(chars, 50000) AS chars, md5(left(concat(text, chr(10)), 50000)) AS content, '.txt' AS extension,
@@ -406,12 +452,12 @@ def _(spark, d):
         F.lit(first["successful"]).cast("bigint").alias("first_successful"), F.lit(second["skipped"]).cast("bigint").alias("second_skipped"))
 
 
-@register("index_vector_run", _CHUNKED_FILES)
+@register("index_vector_run", _CHUNKED_CONTENT)
 def _(spark, d):
     root, base = _tree(spark, d), scratch_path(spark, "vector")
     index_vector(spark, root, base, _SETTINGS, E.HashingEmbedder(64))
     table = store.TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT).read()
-    return _chunks_per_file(table.filter(E.valid_dimensions("contentVector", 64)), root)
+    return _chunks_and_content(table.filter(E.valid_dimensions("contentVector", 64)), root)
 
 
 @register("retry_failed_embeddings", f"""

@@ -3,12 +3,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from foliospark.functions.text import text_hash
 from foliospark.operators.embedding import HashingEmbedder
 from foliospark.operators.stats import extraction_statistics
 from foliospark.plans.indexing import IndexSettings, index_files, index_standard, index_vector, run_statistics
 from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STANDARD_DOCUMENT
-from foliospark.session import scratch_path
-from foliospark.sinks.store import TableStore
+from foliospark.session import scratch_path, shared_folder
+from foliospark.sinks.store import TableStore, erase_owner
 from foliospark.streaming.ingest import ingest_stream, stream_files
 from testkit import archives
 
@@ -88,6 +89,36 @@ def test_settings_hooks_manifest_and_first_chunk_content(spark, share):
     assert [r["content"] is None for r in rows] == [False, True] and rows[0]["createdBy"] == "dom\\ann"
 
 
+def test_content_stays_when_the_first_chunk_has_no_vector(spark, share):
+    base, ruled = scratch_path(spark, "ruled"), "-- -- -- -- -- one two three four five six seven eight"
+    write(share / "ruled.txt", ruled)
+    index_files(spark, [str(share / "ruled.txt")], base, vectors=True, settings=SMALL, embedder=EMBED)
+    rows = TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT).read().orderBy("chunkNumber").collect()
+    assert [(r["chunkNumber"], r["content"]) for r in rows] == [(1, ruled), (2, None), (3, None)]
+
+
+def scratch_folders(spark):
+    return {n for n in os.listdir(shared_folder(spark)) if n.startswith("stage-")}
+
+
+def test_runs_and_streams_leave_no_copies_behind(spark, share):
+    before, base = scratch_folders(spark), scratch_path(spark, "clean")
+    table = TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT)
+    state = TableStore(spark, f"{base}/state", INDEX_STATE)
+    cache = TableStore(spark, f"{base}/embeddings", EMBEDDING_CACHE, key="text_hash")
+    index_vector(spark, str(share), base, SMALL, EMBED)
+    index_standard(spark, str(share), scratch_path(spark, "clean"), SMALL)
+    ingest_stream(stream_files(spark, str(share), (".txt",), files_per_batch=2), table, state, cache, EMBED, f"{base}/checkpoint", SMALL)
+    erase_owner(table, cache, "Unknown", text_hash("chunk"))
+    assert table.read().count() == 0 and scratch_folders(spark) == before
+
+    def failing(texts):
+        raise RuntimeError("no model")
+    with pytest.raises(RuntimeError):
+        index_vector(spark, str(share), scratch_path(spark, "broken"), SMALL, failing)
+    assert scratch_folders(spark) == before
+
+
 def test_single_files(spark, share):
     base = scratch_path(spark, "one")
     write(share / "_hidden.txt", "taken when it is named")
