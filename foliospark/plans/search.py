@@ -16,10 +16,12 @@ from foliospark.operators.postings import posting_scores
 from foliospark.operators.rerank import CANDIDATES, extract_answer, rerank, with_captions
 from foliospark.operators.results import DEFAULT_TOP, boost_recent, default_fields, fall_back, fetch_fields, format_hits
 from foliospark.operators.stats import facets
+from foliospark.operators.term_index import TermIndex, TermSnapshot
 from foliospark.operators.topk import top as best_of
 from foliospark.operators.vector import batch_vector_search, vector_search
 from foliospark.schemas import SEARCHABLE
 from foliospark.session import local_rows
+from foliospark.sinks.store import TableStore
 
 Vector = Sequence[float] | DataFrame
 
@@ -28,19 +30,27 @@ class SearchTable:
     """Keyword, vector, hybrid, semantic and filtered search over one table.
 
     Without vectors, vector search raises and the hybrid types fall back to keyword search;
-    with reranking off, semantic search is hybrid search. With ``postings``, the folder of a
-    term index written from this table, keyword scores come from there.
+    with reranking off, semantic search is hybrid search. With ``postings`` keyword scores come from a term index of
+    this table: the folder of one written from it, or a snapshot of one that follows it; see `of_store`.
     """
 
     def __init__(self, table: DataFrame, embedder: Embedder | None = None, fields: Sequence[str] | None = None,
                  id_col: str = "id", vector_col: str = "contentVector", reranking: bool = True,
-                 postings: str | None = None, max_tokens: int | None = MAX_TOKENS):
+                 postings: str | TermSnapshot | None = None, max_tokens: int | None = MAX_TOKENS):
         self.max_tokens = max_tokens
         self.table, self.embedder, self.id_col, self.vector_col = table, embedder, id_col, vector_col
         self.fields = list(fields) if fields else [c for c in table.columns if c in SEARCHABLE]
         self.reranking, self.postings = reranking, postings
         self.text = "chunk" if "chunk" in table.columns else "content"
 
+    @classmethod
+    def of_store(cls, store: TableStore, index: TermIndex, embedder: Embedder | None = None, refresh: bool = True, **options) -> SearchTable:
+        """The table as it is now with its term index. Commits that the index lacks are taken in first, or, without
+        ``refresh``, raise `StaleIndex`; what is committed later is seen neither by the table nor by the index."""
+        if refresh:
+            index.refresh(store)
+        return cls(store.read(), embedder, fields=index.fields, id_col=index.id_col, postings=index.snapshot(store), **options)
+
     @property
     def has_vectors(self) -> bool:
         return self.vector_col in self.table.columns
@@ -56,9 +66,12 @@ class SearchTable:
         return self.query_embedding(query) if vector is None else vector
 
     def _keyword_scores(self, query: str, where: Column | None, fields: Sequence[str] | None = None) -> DataFrame:
-        if self.postings is None or fields is not None or query.strip() == MATCH_ALL:
+        indexed = self.postings is not None and (fields is None or list(fields) == self.fields)
+        if not indexed or query.strip() == MATCH_ALL:
             return keyword_scores(self.table, query, list(fields) if fields else self.fields, self.id_col, where)
         allowed = None if where is None else self.table.filter(where).select(F.col(self.id_col).alias("id"))
+        if isinstance(self.postings, TermSnapshot):
+            return self.postings.scores(query, allowed)
         return posting_scores(self.table.sparkSession, self.postings, query, allowed)
 
     def _finish(self, hits: DataFrame, search_type: str, select: Sequence[str] | None) -> DataFrame:

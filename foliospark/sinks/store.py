@@ -73,16 +73,24 @@ class TableStore:
         """Commits since the last clean folder, oldest first."""
         return _since_base(self._entries())
 
+    def rows_of(self, commit: Row) -> DataFrame:
+        """The rows that one commit wrote."""
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{commit['folder']}/rows")
+
+    def replaced_keys(self, commit: Row) -> DataFrame:
+        """The keys whose earlier rows one commit replaced or erased."""
+        return self.spark.read.parquet(f"{self.path}/{commit['folder']}/keys")
+
     def read(self) -> DataFrame:
         commits = self.commits()
-        parts = [self._rows(c).withColumn("_version", F.lit(c["version"]))
+        parts = [self.rows_of(c).withColumn("_version", F.lit(c["version"]))
                  for c in commits if c["kind"] in ("base", "rows")]
         if not parts:
             return local_rows(self.spark, [], self.schema)
         table = reduce(DataFrame.unionByName, parts)
         for key in sorted({c["key"] for c in commits if c["key"]}):
             replaced = reduce(DataFrame.unionByName, [
-                self.spark.read.parquet(f"{self.path}/{c['folder']}/keys").withColumn("_at", F.lit(c["version"]))
+                self.replaced_keys(c).withColumn("_at", F.lit(c["version"]))
                 for c in commits if c["key"] == key])
             newest = replaced.groupBy(key).agg(F.max("_at").alias("_at"))
             table = table.join(newest, key, "left").filter(F.col("_at").isNull() | (F.col("_version") >= F.col("_at")))
@@ -151,9 +159,6 @@ class TableStore:
             writer = writer.option("maxRecordsPerFile", self.rows_per_file)
         writer.parquet(f"{self.path}/{folder}/rows")
 
-    def _rows(self, commit: Row) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{commit['folder']}/rows")
-
     @staticmethod
     def _folder() -> str:
         return f"commit-{uuid.uuid4().hex}"

@@ -10,10 +10,12 @@ from foliospark.functions.chunking import explode_chunks
 from foliospark.functions.scoring import cosine, rounded
 from foliospark.operators import embedding as E
 from foliospark.operators import filters as C
-from foliospark.operators import hybrid, keyword, postings, rerank, results, stats, vector
+from foliospark.operators import hybrid, keyword, postings, rerank, results, stats, term_index, vector
 from foliospark.operators.topk import top, with_rank
 from foliospark.plans.search import SearchTable
+from foliospark.schemas import STANDARD_DOCUMENT
 from foliospark.session import scratch_path, staged
+from foliospark.sinks import store
 from testkit import relations as rel
 from testkit.registry import CHUNK_OVERLAP, CHUNK_SIZE, QUERY, TERM_LIST, TERM_SET, TERMS, register, with_parts, words_sql
 
@@ -57,6 +59,65 @@ def _(spark, d):
         postings.posting_search(spark, path, QUERY, 5, allowed).select(F.lit("pdf").alias("way"), "id", "score"))
 
 
+def _moving_table(spark, d, compacted: bool, fan_in: int = 3) -> tuple[store.TableStore, term_index.TermIndex]:
+    """A table of all files that took many commits, and the index that followed it.
+
+    Every file comes first with a wrong text; then the files are replaced in three groups, one of which was erased and
+    comes back, another one twice, with a compaction in between. At last some files are erased.
+    """
+    table = store.TableStore(spark, scratch_path(spark, "moving"), STANDARD_DOCUMENT)
+    index = term_index.TermIndex(spark, scratch_path(spark, "terms"), per_file=20_000, fan_in=fan_in)
+    rows = rel.files(spark, d, spread=True)
+    groups = [rows.filter(F.col("doc_id") % 3 == g) for g in range(3)]
+    table.upsert(rows.withColumn("content", F.concat(F.lit("thea thea rely "), F.reverse("content"))), unique=True)
+    index.refresh(table)
+    table.erase(groups[0].select("filePath"))
+    table.upsert(groups[0], unique=True)
+    index.refresh(table)  # two commits at once
+    table.upsert(groups[1].withColumn("content", F.concat(F.col("content"), F.lit(" nicht"))), unique=True)
+    index.refresh(table)
+    if compacted:
+        table.upsert(groups[1], unique=True)
+        table.compact()  # the index has not seen the last commit
+    else:
+        table.upsert(groups[1], unique=True)
+    index.refresh(table)
+    table.upsert(groups[2], unique=True)
+    table.erase(rows.filter(F.col("doc_id") % 11 == 3).select("filePath"))
+    return table, index
+
+
+_ERASED = """
+    live AS MATERIALIZED (SELECT * FROM words JOIN (SELECT id, doc_id FROM files) USING (id) WHERE doc_id % 11 <> 3),
+    live_stats AS (SELECT count(*) AS n, avg(len(toks)) AS m, CAST(sum(len(toks)) AS BIGINT) AS tokens FROM live),
+    live_tf AS (SELECT id, extension, dl, term, count(*) AS tf FROM (SELECT id, extension, len(toks) AS dl, unnest(toks) AS term FROM live) GROUP BY ALL),
+    live_df AS (SELECT term, count(*) AS df FROM live_tf GROUP BY term),
+    live_scores AS (SELECT id, extension, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * (tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / m)))), 6) AS score
+      FROM live_tf JOIN live_df USING (term), live_stats WHERE term IN """ + TERM_SET + " GROUP BY id, extension)"
+
+
+@register("postings_after_upsert", with_parts(f""", {_ERASED}
+    SELECT 'all' AS way, id, score FROM live_scores
+    UNION ALL SELECT 'pdf', id, score FROM (SELECT * FROM live_scores WHERE extension = '.pdf' ORDER BY score DESC, id LIMIT 5)""", "words", "files"))
+def _(spark, d):
+    table, index = _moving_table(spark, d, compacted=True)
+    asked = SearchTable.of_store(table, index)
+    pdf = table.read().filter(C.equals("extension", ".pdf")).select("id")
+    return asked.postings.scores(QUERY).select(F.lit("all").alias("way"), "id", "score").unionByName(
+        asked.postings.search(QUERY, 5, pdf).select(F.lit("pdf").alias("way"), "id", "score"))
+
+
+@register("maintained_statistics", with_parts(f""", {_ERASED}
+    SELECT term, df AS doc_freq, n AS documents, tokens FROM live_df, live_stats WHERE term IN {TERM_SET}""", "words", "files"))
+def _(spark, d):
+    # Added and subtracted commit by commit, equal to a recount of what the table holds now.
+    table, index = _moving_table(spark, d, compacted=False, fan_in=2)
+    index.refresh(table)
+    now = index.snapshot(table)
+    return now.document_frequencies(TERMS).select(
+        "term", "doc_freq", F.lit(now.documents).cast("long").alias("documents"), F.lit(now.tokens).cast("long").alias("tokens"))
+
+
 @register("match_all", with_parts("SELECT id, 1.0::DOUBLE AS score FROM files ORDER BY id LIMIT 10", "files"))
 def _(spark, d):
     return keyword.keyword_search(rel.files(spark, d), "*", 10)
