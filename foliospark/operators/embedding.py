@@ -15,6 +15,8 @@ from foliospark.schemas import EMBEDDING_CACHE
 
 MAX_TOKENS = 8000
 CALL_BATCH = 100
+#: The column by which a written cache is laid out in folders, and how many digits of the hash make a folder.
+CACHE_FOLDER, CACHE_DIGITS = "folder", 2
 ROWS_PER_MATRIX = 1024
 
 # (text_hash, text) rows in, (text_hash, embedding) rows out
@@ -91,6 +93,21 @@ def distinct_texts(chunks: DataFrame, text: str = "chunk") -> DataFrame:
     return chunks.select(text_hash(text).alias("text_hash"), F.col(text).alias("text")).dropDuplicates(["text_hash"])
 
 
+def hash_folder(text_hash: Column | str, digits: int) -> Column:
+    """The folder of a cached vector: the first hexadecimal digits of its hash."""
+    return F.left(F.col(text_hash) if isinstance(text_hash, str) else text_hash, F.lit(digits))
+
+
+def needed_part(cache: DataFrame, chunks: DataFrame, digits: int, text: str = "chunk", folder: str = CACHE_FOLDER) -> DataFrame:
+    """The folders of a cache that the hashes of these chunks lie in; the others are not read.
+
+    The folders asked for are at most 16 to the power of ``digits`` short strings, so they are broadcast, and Spark
+    prunes the scan of the cache by them when it runs.
+    """
+    asked = chunks.select(hash_folder(text_hash(text), digits).alias(folder)).filter(F.col(folder) >= "").distinct()
+    return cache.join(F.broadcast(asked), folder, "left_semi")
+
+
 def cache_hits(texts: DataFrame, cache: DataFrame) -> DataFrame:
     return texts.join(cache.select("text_hash"), "text_hash", "left_semi")
 

@@ -13,10 +13,11 @@ from pyspark.sql import types as T
 from foliospark.functions.text import word_tokens
 from foliospark.operators.build import (CONTENT_CAP, admitted, attach_content, build_chunk_rows, build_documents, has_meaning,
                                         with_custom_fields, with_vectors)
-from foliospark.operators.embedding import MAX_TOKENS, Embedder, HashingEmbedder, attach_vectors, new_embeddings
+from foliospark.operators.embedding import CACHE_DIGITS, MAX_TOKENS, Embedder, HashingEmbedder
 from foliospark.operators.stats import run_summary, vector_run_summary, verify_coverage
-from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STORED_DOCUMENT
+from foliospark.schemas import CHUNK_DOCUMENT, INDEX_STATE, STORED_DOCUMENT
 from foliospark.session import scratch, staged
+from foliospark.sinks.cache import EmbeddingCache, fill, look_up
 from foliospark.sinks.export import audit_append, audit_rows
 from foliospark.sinks.store import TableStore
 from foliospark.sources.extract import EXTRACTORS, Extractor, extract, file_metadata, property_columns
@@ -49,6 +50,7 @@ class IndexSettings:
     content_in_first_chunk_only: bool = True
     content_limit: int | None = CONTENT_CAP  # characters of a text that are stored; None stores it whole
     max_tokens: int | None = MAX_TOKENS  # tokens of a chunk that the model sees; None passes it whole
+    cache_digits: int = CACHE_DIGITS  # the vectors by text hash lie in 16 ** cache_digits folders
     rows_per_file: int | None = None
     registry: dict[str, Extractor] = field(default_factory=lambda: dict(EXTRACTORS))
     hooks: tuple[Column, ...] = ()  # a file for which one of them is not true is not indexed
@@ -160,11 +162,11 @@ def index_vector(spark: SparkSession, roots: str | Iterable[str] | DataFrame, ta
     listing = roots if isinstance(roots, DataFrame) else _scan(spark, roots, settings)
     with scratch(spark) as folders:
         run = _Run(spark, listing, table_path, CHUNK_DOCUMENT, settings, manifest, folders)
-        cache = TableStore(spark, f"{table_path}/embeddings", EMBEDDING_CACHE, key="text_hash")
+        cache = EmbeddingCache(spark, f"{table_path}/embeddings", settings.cache_digits)
         good = run.metadata.filter(F.col("error").isNull() & has_meaning("content"))
         chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks", run.folders)
-        calls = cache.append(new_embeddings(chunks, embedder, cache.read(), max_tokens=settings.max_tokens))
-        tried = staged(attach_vectors(chunks, cache.read()), "embedded", run.folders)
+        calls = fill(cache, chunks, embedder, settings.max_tokens)
+        tried = staged(look_up(cache, chunks), "embedded", run.folders)
         embedded = with_vectors(tried)
         contents = run.extracted.select(F.col("path").alias("filePath"), "content")
         rows = attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit)

@@ -13,7 +13,7 @@ import uuid
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,15 +54,20 @@ def checked_vectors(rows: DataFrame, dim: int, column: str = "contentVector") ->
 
 
 class TableStore:
-    """A table at ``path`` whose rows are replaced by ``key``."""
+    """A table at ``path`` whose rows are replaced by ``key``.
+
+    With ``folders`` a join on that column reads only the folders that the other side asks for.
+    """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, key: str = "filePath",
                  rows_per_file: int | None = None, compact_after: int = 50, row_id: str = "id",
-                 version: str = "modifiedDateTime"):
+                 version: str = "modifiedDateTime", folders: tuple[str, Column] | None = None):
         self.spark, self.path, self.schema, self.key = spark, path.rstrip("/"), schema, key
         self.rows_per_file, self.compact_after = rows_per_file, compact_after
         self.row_id = row_id if row_id in schema.fieldNames() else key
         self.version = version if version in schema.fieldNames() else None
+        # A string column (name, expression) by whose values rows are written in folders; ``read`` returns it as well.
+        self.folders = folders
 
     def _entries(self) -> list[Row]:
         """The whole log, oldest first: one small row per commit."""
@@ -75,7 +80,10 @@ class TableStore:
 
     def rows_of(self, commit: Row) -> DataFrame:
         """The rows that one commit wrote."""
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{commit['folder']}/rows")
+        return self.spark.read.schema(self._stored()).parquet(f"{self.path}/{commit['folder']}/rows")
+
+    def _stored(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField(self.folders[0], T.StringType())]) if self.folders else self.schema
 
     def replaced_keys(self, commit: Row) -> DataFrame:
         """The keys whose earlier rows one commit replaced or erased."""
@@ -86,7 +94,7 @@ class TableStore:
         parts = [self.rows_of(c).withColumn("_version", F.lit(c["version"]))
                  for c in commits if c["kind"] in ("base", "rows")]
         if not parts:
-            return local_rows(self.spark, [], self.schema)
+            return local_rows(self.spark, [], self._stored())
         table = reduce(DataFrame.unionByName, parts)
         for key in sorted({c["key"] for c in commits if c["key"]}):
             replaced = reduce(DataFrame.unionByName, [
@@ -95,7 +103,7 @@ class TableStore:
             newest = replaced.groupBy(key).agg(F.max("_at").alias("_at"))
             table = table.join(newest, key, "left").filter(F.col("_at").isNull() | (F.col("_version") >= F.col("_at")))
             table = table.drop("_at")
-        return table.select(*self.schema.fieldNames())
+        return table.select(*self._stored().fieldNames())
 
     def upsert(self, rows: DataFrame, key: str | None = None, tag: str | None = None, unique: bool = False) -> int:
         """Replace all rows that share a key with ``rows``; returns the number of rows written.
@@ -129,7 +137,7 @@ class TableStore:
         The folders of the last ``retain`` commits before it stay, for readers that began with them.
         """
         entries, folder = self._entries(), self._folder()
-        self._write(self.read(), folder)
+        self._write(self.read().select(*self.schema.fieldNames()), folder)
         self._log("base", folder, None, None, entries)
         for old in entries[:max(0, len(entries) - retain)]:
             remove_folder(self.spark, f"{self.path}/{old['folder']}")
@@ -140,7 +148,7 @@ class TableStore:
             return 0
         folder = self._folder()
         self._write(conform(rows, self.schema), folder)
-        written = self.spark.read.schema(self.schema).parquet(f"{self.path}/{folder}/rows")
+        written = self.spark.read.schema(self._stored()).parquet(f"{self.path}/{folder}/rows")
         earlier = _since_base(entries)
         if not any(e["kind"] in ("base", "rows") for e in earlier):
             key = None  # nothing to replace, so the first load needs no keys and no join when reading
@@ -154,7 +162,11 @@ class TableStore:
         return count
 
     def _write(self, rows: DataFrame, folder: str) -> None:
-        writer = rows.write
+        if self.folders:
+            name, value = self.folders
+            writer = rows.withColumn(name, value).repartition(name).write.partitionBy(name)
+        else:
+            writer = rows.write
         if self.rows_per_file:
             writer = writer.option("maxRecordsPerFile", self.rows_per_file)
         writer.parquet(f"{self.path}/{folder}/rows")

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from foliospark.operators.build import admitted, attach_content, build_chunk_rows, has_meaning, with_vectors
-from foliospark.operators.embedding import Embedder, attach_vectors, new_embeddings
+from foliospark.operators.embedding import Embedder
 from foliospark.plans.indexing import IndexSettings, complete_files
 from foliospark.schemas import FILE_LISTING
 from foliospark.session import scratch, staged
+from foliospark.sinks.cache import fill, look_up
 from foliospark.sinks.store import TableStore, latest_version
 from foliospark.sources.extract import extract, file_metadata, property_columns
 from foliospark.sources.files import DEFAULT_EXTENSIONS, name_glob, changed_files, plain_path, within_size
@@ -80,8 +81,8 @@ def ingest_stream(stream: DataFrame, table: TableStore, state: TableStore, cache
             metadata = file_metadata(files).join(properties, "file_path", "left")
             good = metadata.filter(F.col("error").isNull() & has_meaning("content"))
             chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks", folders)
-            cache.append(new_embeddings(chunks, embedder, cache.read(), max_tokens=settings.max_tokens), tag=tag)
-            tried = staged(attach_vectors(chunks, cache.read()), "embedded", folders)
+            fill(cache, chunks, embedder, settings.max_tokens, tag)
+            tried = staged(look_up(cache, chunks), "embedded", folders)
             embedded = with_vectors(tried)
             contents = extracted.select(F.col("path").alias("filePath"), "content")
             table.upsert(attach_content(embedded, contents, settings.content_in_first_chunk_only, settings.content_limit),

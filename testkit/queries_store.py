@@ -17,6 +17,7 @@ from foliospark.plans.indexing import IndexSettings, index_standard, index_vecto
 from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STANDARD_DOCUMENT, STORED_DOCUMENT
 from foliospark.session import scratch_path
 from foliospark.sinks import catalog, export, store
+from foliospark.sinks.cache import EmbeddingCache
 from foliospark.sources import files
 from foliospark.streaming import ingest
 from testkit import relations as rel
@@ -397,7 +398,7 @@ def _(spark, d):
     root, base = _tree(spark, d), scratch_path(spark, "streamed")
     table = store.TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT)
     state = store.TableStore(spark, f"{base}/state", INDEX_STATE)
-    cache = store.TableStore(spark, f"{base}/embeddings", EMBEDDING_CACHE, key="text_hash")
+    cache = EmbeddingCache(spark, f"{base}/embeddings")
     stream = ingest.stream_files(spark, root, files_per_batch=50)
     ingest.ingest_stream(stream, table, state, cache, E.HashingEmbedder(64), f"{base}/checkpoint", _SETTINGS)
     return _chunks_and_content(table.read(), root)
@@ -478,22 +479,31 @@ def _(spark, d):
     return chunks.withColumn("all_chunks", F.lit(total).cast("bigint")).withColumn("first_run_failed", F.lit(first["total_chunks"] < total))
 
 
+_ADDED = f"{_FILE_TEXTS} WHERE doc_id % 10 = 3"
+
+
 @register("incremental_vector_run", f"""
-    SELECT *, (SELECT count(*) FROM ({_FILE_TEXTS})) AS known, 20 AS new_files, 20::BIGINT AS taken FROM ({_CHUNKED_FILES})
-    UNION ALL SELECT 'added', size, chunks, (SELECT count(*) FROM ({_FILE_TEXTS})), 20, 20::BIGINT FROM (
+    SELECT *, (SELECT count(*) FROM ({_FILE_TEXTS})) AS known, (SELECT count(*) FROM ({_ADDED})) AS new_files,
+      (SELECT count(*) FROM ({_ADDED})) AS taken, 0::BIGINT AS folders_beyond FROM ({_CHUNKED_FILES})
+    UNION ALL SELECT 'added', size, chunks, (SELECT count(*) FROM ({_FILE_TEXTS})), (SELECT count(*) FROM ({_ADDED})), (SELECT count(*) FROM ({_ADDED})), 0 FROM (
       SELECT size + 2 AS size, CAST(CASE WHEN n + 1 <= {CHUNK_SIZE} THEN 1 ELSE ceil((n + 1) / {CHUNK_SIZE - CHUNK_OVERLAP}.0) END AS BIGINT) AS chunks
-      FROM ({_FILE_TEXTS} WHERE doc_id < 20))""")
+      FROM ({_ADDED}))""")
 def _(spark, d):
-    # All files are indexed; twenty are added, and the second run takes these alone.
+    # All files are indexed; a tenth as many are added, and the second run takes these alone and reads the part of the
+    # cache that their texts can lie in.
     root, base = _tree(spark, d), scratch_path(spark, "increment")
     first = index_vector(spark, root, base, _SETTINGS, E.HashingEmbedder(64)).first()
-    added = rel.table(spark, d, "documents").filter("doc_id < 20").select(F.concat(F.lit("z "), F.col("text")).alias("text"))
+    added = rel.table(spark, d, "documents").filter("doc_id % 10 = 3").select(F.concat(F.lit("z "), F.col("text")).alias("text"))
     added.write.option("maxRecordsPerFile", 1).text(f"{root}/added")
     second = index_vector(spark, root, base, _SETTINGS, E.HashingEmbedder(64)).first()
     table = store.TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT).read()
+    new = _by_directory(table, root).filter("directory = 'added'")
+    asked = new.select(E.hash_folder(X.text_hash("chunk"), E.CACHE_DIGITS).alias(E.CACHE_FOLDER)).distinct()
+    read = E.needed_part(EmbeddingCache(spark, f"{base}/embeddings").read(), new, E.CACHE_DIGITS)
+    beyond = read.select(E.CACHE_FOLDER).distinct().join(asked, E.CACHE_FOLDER, "left_anti").count()
     return _chunks_per_file(table, root).select("*", F.lit(first["total_files"]).cast("bigint").alias("known"),
-                                                F.lit(second["total_files"] - first["total_files"]).cast("int").alias("new_files"),
-                                                F.lit(second["successful"]).cast("bigint").alias("taken"))
+                                                F.lit(second["total_files"] - first["total_files"]).cast("bigint").alias("new_files"),
+                                                F.lit(second["successful"]).cast("bigint").alias("taken"), F.lit(beyond).cast("bigint").alias("folders_beyond"))
 
 
 @register("run_custom_metadata", f"""

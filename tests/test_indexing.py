@@ -1,14 +1,16 @@
+import hashlib
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from foliospark.functions.text import text_hash
-from foliospark.operators.embedding import HashingEmbedder
+from foliospark.operators.embedding import HashingEmbedder, needed_part
 from foliospark.operators.stats import extraction_statistics
 from foliospark.plans.indexing import IndexSettings, index_files, index_standard, index_vector, run_statistics
 from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STANDARD_DOCUMENT
-from foliospark.session import scratch_path, shared_folder
+from foliospark.session import local_rows, scratch_path, shared_folder, staged
+from foliospark.sinks.cache import EmbeddingCache, fill, look_up
 from foliospark.sinks.store import TableStore, erase_owner
 from foliospark.streaming.ingest import ingest_stream, stream_files
 from testkit import archives
@@ -105,7 +107,7 @@ def test_runs_and_streams_leave_no_copies_behind(spark, share):
     before, base = scratch_folders(spark), scratch_path(spark, "clean")
     table = TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT)
     state = TableStore(spark, f"{base}/state", INDEX_STATE)
-    cache = TableStore(spark, f"{base}/embeddings", EMBEDDING_CACHE, key="text_hash")
+    cache = EmbeddingCache(spark, f"{base}/embeddings")
     index_vector(spark, str(share), base, SMALL, EMBED)
     index_standard(spark, str(share), scratch_path(spark, "clean"), SMALL)
     ingest_stream(stream_files(spark, str(share), (".txt",), files_per_batch=2), table, state, cache, EMBED, f"{base}/checkpoint", SMALL)
@@ -119,6 +121,33 @@ def test_runs_and_streams_leave_no_copies_behind(spark, share):
     assert scratch_folders(spark) == before
 
 
+def test_a_run_reads_the_folders_of_its_hashes(spark):
+    cache = EmbeddingCache(spark, scratch_path(spark, "cache"), digits=1)
+    known = local_rows(spark, [(f"text number {i}",) for i in range(300)], "chunk string")
+    assert fill(cache, known, EMBED, None) == 300 and fill(cache, known, EMBED, None) == 0
+    few = staged(local_rows(spark, [("a", "text number 7"), ("b", "new words"), ("c", None)], "id string, chunk string"), "few")
+    part = needed_part(cache.read(), few, 1)
+    assert "dynamicpruning" in part._jdf.queryExecution().executedPlan().toString()
+    def folders(rows):
+        return {r["folder"] for r in rows.select("folder").distinct().collect()}
+    assert len(folders(cache.read())) == 16
+    assert folders(part) == {text_hash_of("text number 7")[0], text_hash_of("new words")[0]}
+    found = {r["id"]: r["contentVector"] is not None for r in look_up(cache, few).collect()}
+    assert found == {"a": True, "b": False, "c": False}
+    assert fill(cache, few.filter("chunk IS NOT NULL"), EMBED, None) == 1
+    assert all(r["contentVector"] for r in look_up(cache, few.filter("id <> 'c'")).collect())
+    # Erasure and compaction keep the layout, other digits lay it out anew.
+    cache.erase(local_rows(spark, [(text_hash_of("new words"),)], "text_hash string"))
+    other = EmbeddingCache(spark, cache.path, digits=2)
+    other.compact()
+    assert other.read().filter(F.length("folder") == 2).count() == 300
+    assert [r["contentVector"] is not None for r in look_up(other, few).orderBy("id").collect()] == [True, False, False]
+
+
+def text_hash_of(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
 def test_single_files(spark, share):
     base = scratch_path(spark, "one")
     write(share / "_hidden.txt", "taken when it is named")
