@@ -17,13 +17,12 @@ from foliospark.llm.components import components
 from foliospark.session import staged
 
 COSINE = 0.9
-#: Share of the true links of the sample queries that the traversal has to reach.
-RECALL = 0.995
-#: Bounds of the samples: vectors that the codebooks are fitted on, and queries that the depth is measured with. Queries
-#: come in blocks, each four times as large as the one before up to BLOCK_QUERIES, until LINKED_QUERIES of them have
-#: links; with fewer after MOST_QUERIES or QUERY_NUMBERS components, the search visits each cell that a link can lie in.
-FIT_ROWS, FIT_QUERIES = 20_000, 256
-LINKED_QUERIES, MOST_QUERIES, BLOCK_QUERIES, QUERY_NUMBERS = 200, 65_536, 16_384, 1 << 24
+#: Share of the true links of the sample queries, and of sample vectors turned by the angle of the limit, that the traversal
+#: has to reach.
+RECALL, TURNED_RECALL = 0.995, 0.99
+#: Bounds of the samples: vectors that the codebooks are fitted on and that are turned, and queries that are compared with
+#: every vector.
+FIT_ROWS, TURNED_ROWS, FIT_QUERIES = 20_000, 8192, 256
 #: Queries that are compared at once.
 QUERY_ROWS = 256
 #: Vectors that a cell should hold on average, and rows of a block of a cell.
@@ -77,7 +76,6 @@ class MultiIndex:
             out.append(cell)
         return out
 
-
     def _possible(self, one: np.ndarray, two: np.ndarray) -> list[int]:
         """All cells that can hold a link: half a vector is at least as far from a cell as from the plane before it."""
         away = []
@@ -134,33 +132,43 @@ def _matrix(column: pa.Array) -> np.ndarray:
         if len(column) else np.zeros((0, 0))
 
 
-def fit_index(rows: DataFrame, count: int, least: float = COSINE, recall: float = RECALL) -> MultiIndex:
-    """Codebooks from at most ``FIT_ROWS`` vectors, and the depth at which sample queries find their links.
+def fit_index(rows: DataFrame, count: int, least: float = COSINE, recall: float = RECALL, all_cells: bool = False) -> MultiIndex:
+    """Codebooks from at most ``FIT_ROWS`` vectors, and the depth that the traversal has to reach for links.
 
-    The queries are compared with every vector; only a histogram per query of how deep its links lie comes back. The
-    depth holds for ``LINKED_QUERIES`` queries with links, or for all vectors if there are not so many. Where links are
-    too rare for that, no depth is set and the index searches all cells that a link can lie in.
+    A link at the limit is a vector turned by the angle of the limit, so sample vectors are turned so far in random
+    directions: the depth at which ``TURNED_RECALL`` of the pairs meet needs no links in the table, however rare they
+    are. Real links may lie in worse directions; ``FIT_QUERIES`` sample queries are therefore compared with every
+    vector, and if they have links the larger depth counts. The same is done at every size. ``all_cells`` sets no
+    depth: all cells that a link can lie in are searched, which is exact and visits most of them.
     """
     sample = rows.orderBy(F.xxhash64("id"), "id").select("unit").limit(FIT_ROWS).toPandas()["unit"]
     points = np.array([np.asarray(x) for x in sample])
     half, k = (points.shape[1] + 1) // 2, max(1, round((count / CELL_ROWS) ** 0.5))
     index = MultiIndex(_fit(points[:, :half], k), _fit(points[:, half:], k) if points.shape[1] > half else np.zeros((1, 0)),
                        reach=2 - 2 * least)
-    tables, asked, block = [np.zeros((0, BINS))], 0, FIT_QUERIES
-    most = max(FIT_QUERIES, min(MOST_QUERIES, QUERY_NUMBERS // points.shape[1]))
-    while asked < min(count, most) and sum(map(len, tables)) < LINKED_QUERIES:
-        block = min(block, most - asked, BLOCK_QUERIES)
-        tables.append(_link_depths(rows, index, asked, block, least))
-        asked, block = asked + block, block * 4
-    table = np.concatenate(tables)
-    if len(table) < LINKED_QUERIES and asked < count:
+    if all_cells:
         index.depth = None
-    elif len(table):
+        return index
+    index.depth = turned_depth(index, points[:TURNED_ROWS], least)
+    table = _link_depths(rows, index, 0, FIT_QUERIES, least)
+    if len(table):
         reached = np.minimum(np.cumsum(table.sum(0)) / table.sum(), (np.cumsum(table, 1) / table.sum(1, keepdims=True)).mean(0))
-        index.depth = float(np.argmax(reached >= recall) * WIDEST / BINS)
+        index.depth = max(index.depth, float(np.argmax(reached >= recall) * WIDEST / BINS))
     return index
 
 
+def turned_depth(index: MultiIndex, units: np.ndarray, least: float) -> float:
+    """The depth at which one of a unit vector and its copy, turned to the cosine ``least``, searches the other's cell."""
+    away = np.random.default_rng(0).normal(size=units.shape) * (units != 0).any(0)  # not into the padding
+    away -= (away * units).sum(1, keepdims=True) * units
+    turned = least * units + (1 - least * least) ** 0.5 * away / np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-12)
+    row, depths = np.arange(len(units)), []
+    both = index.distances(units), index.distances(turned)
+    for (a1, a2), (b1, b2) in (both, both[::-1]):
+        depths.append(a1[row, b1.argmin(1)] + a2[row, b2.argmin(1)] - a1.min(1) - a2.min(1))
+    return float(np.quantile(np.minimum(*depths), TURNED_RECALL, method="higher"))
+
+
 def _link_depths(rows: DataFrame, index: MultiIndex, skip: int, many: int, least: float) -> np.ndarray:
     """Histograms of how deep the links of ``many`` sample queries lie, after the first ``skip``; one per query with links."""
     asked = rows.orderBy(F.xxhash64("id", F.lit(1)), "id").select("id", "dims", "unit").limit(skip + many).offset(skip).toPandas()
@@ -272,16 +280,19 @@ def _compare(table: pa.Table, least: float) -> pa.Table:
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", least: float = COSINE,
-                 recall: float = RECALL) -> DataFrame:
+                 recall: float = RECALL, all_cells: bool = False) -> DataFrame:
     """One row per vector: id, ``n_links``, ``component_id``, ``kept``.
 
     Equal vectors are one entry of the index and count as links of each other. Every entry lies in the cell of its
-    nearest codebook entries and asks the members of the nearest cells, as deep as the sample says; what it finds is
-    compared in double precision. A cell is compared in blocks of bounded size.
+    nearest codebook entries and asks the members of the nearest cells, as deep as `fit_index` says; what it finds is
+    compared in double precision. A cell is compared in blocks of bounded size. With ``all_cells`` each cell that can
+    hold a link is asked, for a result without misses at the cost of most pairs.
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors of
-    different lengths. Ids are expected to be unique; rows with a null id link with nothing. An empty table gives no
-    rows; further columns are ignored.
+    different lengths. Rows of one id are one vector: repeated rows count once, and of different vectors under one id the
+    one with the smallest MD5 is compared; each row is returned with the result of its id. Rows with a null id link with
+    nothing. Ids are cast to long; a text that is no number is an error. Very long vectors are compared whole. An empty
+    table gives no rows; further columns are ignored.
     """
     width = vectors.agg(F.max(F.size(vectors[vec_col]))).first()[0] or 0
     every = vectors.select(vectors[id_col].cast("long").alias("id"))
@@ -289,12 +300,13 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     if width <= 0:
         return alone
     rows = staged(_units(vectors, id_col, vec_col, width), "units")
-    groups = staged(rows.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("n")), "groups")
+    single = staged(rows.groupBy("id").agg(F.min("digest").alias("digest")), "single")
+    groups = staged(single.groupBy("digest").agg(F.min("id").alias("id"), F.count("*").alias("n")), "groups")
     entries = staged(rows.join(groups, ["digest", "id"]).dropDuplicates(["id"]).select("id", "dims", "n", "unit"), "entries")
     count = entries.count()
     if count == 0:
         return alone
-    index = fit_index(entries, count, least, recall)
+    index = fit_index(entries, count, least, recall, all_cells)
     placed = staged(_placed(entries, index), "placed")
     parts = placed.groupBy("cell").agg(*[F.ceil(F.count_if(c) / BLOCK_ROWS).cast("int").alias(n) for n, c in
                                          (("member_blocks", ~F.col("asks")), ("asker_blocks", F.col("asks")))])
@@ -313,8 +325,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     entry = entries.select("id", "n").join(links, "id", "left").join(named, "id", "left").select(
         "id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
     by_digest = groups.select("digest", "id").join(entry, "id").drop("id")
-    known = spread_lookup(rows.select("id", "digest"), by_digest, ["digest"], ["id"]).select("id", "n_links", "component_id")
-    known = known.dropDuplicates(["id"])
+    known = spread_lookup(single, by_digest, ["digest"], ["id"]).select("id", "n_links", "component_id")
     return every.join(known, "id", "left").select(
         F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component_id", "id"), F.lit(True)).alias("kept"))

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from foliospark.llm import vectors
@@ -77,10 +78,14 @@ def test_awkward_rows(spark):
     assert vectors.near_vectors(frame(spark, rows[2:8])).where(F.col("n_links") > 0).count() == 0
 
 
-def test_recall_on_the_given_table(spark):
-    from foliospark.llm.queries import QUERIES
-    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()]
-    want, got = brute(rows), {r.vec_id: (r.n_links, r.component_id) for r in QUERIES["op10_vectors"](spark, "/root/testdata/sf0.01").collect()}
+def test_recall_on_the_given_table_with_links(spark):
+    """The given vectors have no link at the limit, so each has a partner that is turned a little."""
+    given = [(r.vec_id, np.array(r.embedding, np.float64)) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()]
+    rng = np.random.default_rng(7)
+    rows = [(i, v.tolist()) for i, v in given]
+    rows += [(i + 10_000, (v + 0.05 * rng.normal(size=v.size) * np.linalg.norm(v)).tolist()) for i, v in given]
+    want, got = brute(rows), {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(frame(spark, rows)).collect()}
+    assert sum(n for n, _ in want.values()) >= 900
     assert sum(n for n, _ in got.values()) >= 0.98 * sum(n for n, _ in want.values())
 
 
@@ -98,14 +103,47 @@ def test_recall_where_links_are_rare(spark):
         assert sum(r.n_links for r in vectors.near_vectors(frame(spark, rows)).collect()) >= 0.98 * true
 
 
-def test_all_cells_that_can_hold_a_link(spark, monkeypatch):
+def test_all_cells_that_can_hold_a_link(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(600, 8))
     x /= np.linalg.norm(x, axis=1)[:, None]
     index = vectors.MultiIndex(x[:9, :4], x[:9, 4:], None, 0.2)
     cells = [index.visits(a, b) for a, b in zip(*index.distances(x), strict=True)]
     assert all(cells[j][0] in cells[i] for i, j in np.argwhere(x @ x.T >= 0.9))
-    monkeypatch.setattr(vectors, "MOST_QUERIES", 16)
-    monkeypatch.setattr(vectors, "FIT_QUERIES", 8)
     rows = [(i, [float(np.float32(v)) for v in p]) for i, p in enumerate(x)]
-    assert {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(frame(spark, rows)).collect()} == brute(rows)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(frame(spark, rows), all_cells=True).collect()} == brute(rows)
+
+
+def linked(seed, n, pairs, dims=64):
+    """Random vectors of which ``pairs`` have a partner at a cosine of just over 0.9, and their true number of links."""
+    rng = np.random.default_rng(seed)
+    points = rng.normal(size=(n, dims))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    away = rng.normal(size=(pairs, dims))
+    first = points[:2 * pairs:2]
+    away -= (away * first).sum(1)[:, None] * first
+    points[1:2 * pairs:2] = 0.905 * first + (1 - 0.905 ** 2) ** 0.5 * away / np.linalg.norm(away, axis=1)[:, None]
+    return rng.permutation(n), points, 2 * pairs
+
+
+def test_recall_and_visits_where_no_sample_query_has_a_link(spark, monkeypatch):
+    """One vector in a hundred and in a thousand has a link and 8 queries are compared: the turned vectors set the depth."""
+    monkeypatch.setattr(vectors, "FIT_QUERIES", 8)
+    for pairs in (100, 10):
+        ids, points, true = linked(pairs, 20_000, pairs)
+        table = spark.createDataFrame(pa.table({"vec_id": pa.array(ids), "embedding": pa.array(list(points), pa.list_(pa.float64()))}))
+        assert sum(r.n_links for r in vectors.near_vectors(table).where("n_links > 0").collect()) >= 0.95 * true
+    index = vectors.MultiIndex(vectors._fit(points[:, :32], 10), vectors._fit(points[:, 32:], 10))
+    index.depth = vectors.turned_depth(index, points[:4000], 0.9)
+    one, two = index.distances(points[4000:5000])
+    assert np.mean([len(index.visits(a, b)) for a, b in zip(one, two, strict=True)]) < 10  # of 100 cells
+    large = vectors.MultiIndex(vectors._fit(points[:, :32], 50, 4), vectors._fit(points[:, 32:], 50, 4))
+    large.depth = vectors.turned_depth(large, points[:4000], 0.9)
+    one, two = large.distances(points[4000:5000])
+    assert np.mean([len(large.visits(a, b)) for a, b in zip(one, two, strict=True)]) < 50  # of 2500 cells
+
+
+def test_rows_of_one_id_are_one_vector(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [0.0, 2.0]), (3, [0.0, 2.0]), (4, [-1.0, 0.0]), (4, [-1.0, 0.1]), (5, [-1.0, 0.05])]
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in vectors.near_vectors(frame(spark, rows)).collect())
+    assert got == [(1, 0, 1), (1, 0, 1), (2, 1, 2), (3, 1, 2), (3, 1, 2), (4, 1, 4), (4, 1, 4), (5, 1, 4)]
