@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,9 @@ from foliospark.llm.common import bounded_batches, once
 LONGEST = 3
 PROFILE = 400
 BLOCK = 1 << 18
+#: How many documents the threshold of a language is fitted on, the share of them that may score lower, and the part of
+#: that score which is the threshold.
+THRESHOLD_ROWS, THRESHOLD_SHARE, THRESHOLD_PART = 10_000, 0.01, 0.5
 
 
 def letter_table() -> np.ndarray:
@@ -171,17 +175,43 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     return rows.mapInArrow(run, schema)
 
 
-def in_known_language(docs: DataFrame, profiles: Profiles, text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """The rows of ``docs``, with their columns, whose text is in a learnt language with a score of at least ``least``."""
+def least_score(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", rows: int = THRESHOLD_ROWS,
+                share: float = THRESHOLD_SHARE, part: float = THRESHOLD_PART) -> float:
+    """The score below which a text counts as being in no learnt language, from the scores of texts that are in one.
+
+    Of about ``rows`` documents, those whose id has a hash that the number of blocks divides, the score is taken that
+    all but ``share`` of them reach; the threshold is ``part`` of it, so that texts of the learnt languages, also odd
+    ones, stay well above it. Texts without letters do not count; without any text the threshold is 0.
+    """
+    blocks = max(1, docs.count() // rows)
+    scored = identify(docs.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == 0), profiles, id_col, text_col)
+    low = scored.where("lang_pred <> 'und'").agg(F.percentile("score", share)).first()[0]
+    return part * (low or 0.0)
+
+
+def in_known_language(docs: DataFrame, profiles: Profiles, text_col: str = "text", least: float = 0.0,
+                      lang_col: str | None = None) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose text is in a learnt language with a score of at least ``least``.
+
+    Null texts, texts without letters and all texts when no language was learnt are dropped. With ``lang_col`` a null
+    language becomes the one found. Long texts count whole; repeated rows are judged alike and all stay or go; further
+    columns stay as they are.
+    """
     bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(profiles)
+    place = docs.columns.index(lang_col) if lang_col else None
 
     def run(batches):
         grams_of, known = once(("grams",), Grams), held.value
         for batch in batches:
-            keep = []
+            keep, langs = [], []
             for text in batch.column(text_col):
                 grams, counts = grams_of(text.as_py() or "")
-                keep.append(bool(grams.size and known.languages and known.best(ranked(grams, counts, known.size))[1] >= least))
+                lang, score = known.best(ranked(grams, counts, known.size)) if grams.size and known.languages else (None, -1.0)
+                keep.append(lang is not None and score >= least)
+                langs.append(lang)
+            if place is not None:
+                filled = pc.coalesce(batch.column(place), pa.array(langs, batch.schema.field(place).type))
+                batch = batch.set_column(place, batch.schema.field(place), filled)
             yield batch.filter(pa.array(keep, pa.bool_()))
     return docs.mapInArrow(run, docs.schema)

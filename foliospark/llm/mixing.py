@@ -116,15 +116,21 @@ def _taken(rows: DataFrame, weights, share: float, repeats: int, seed: str) -> D
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a document taken twice is two rows, one taken in part is cut.
 
-    A cut document keeps its first words, one blank between them. Documents of which nothing is taken are
-    not in the result; the other rules are those of `queue_documents`.
+    A cut document keeps its first words, one blank between them; very long ones are cut in the same way. Documents of
+    which nothing is taken are not in the result. What is taken of repeated rows, that is of rows with one id and size,
+    is dealt evenly over them, the remainder to the first ones, so that the mix has every word of the plan; such rows
+    meet in one task, one after the other. The other rules are those of `queue_documents`.
     """
-    spread = docs.select(F.struct("*").alias("doc"), docs[id_col].alias("id"), words_in(docs[text_col]).alias("words"))
+    def key(column: Column) -> Column:
+        return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
+
+    spread = docs.select(F.struct("*").alias("doc"), key(docs[id_col]).alias("key"), words_in(docs[text_col]).alias("words"))
     plan = queue_documents(docs, id_col, text_col, source_col, **how)
-    # Rows of one id and size share what is taken of them; they are counted so that repeated rows stay apart.
-    plan = plan.groupBy(F.col(id_col).alias("of"), F.col("size").alias("of_size")).agg(
-        (F.sum("taken") / F.count("*")).cast("long").alias("taken"))
-    joined = spread.join(plan.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("of")) & (F.col("words") == F.col("of_size")))
+    plan = plan.groupBy(key(F.col(id_col)).alias("key"), F.col("size").alias("words")).agg(
+        F.sum("taken").alias("total"), F.count("*").alias("rows")).where("total > 0")
+    turn = F.row_number().over(Window.partitionBy("key", "words").orderBy(F.lit(1)))
+    share = F.floor(F.col("total") / F.col("rows")) + F.when(F.col("turn") <= F.col("total") % F.col("rows"), 1).otherwise(0)
+    joined = spread.join(plan, ["key", "words"]).withColumn("turn", turn).withColumn("taken", share)
     parts = F.transform(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("words")).cast("int") - 1),
                         lambda i: F.least(F.col("words"), F.col("taken") - i * F.col("words")))
     rows = joined.where("taken > 0").select("doc", "words", F.explode(parts).alias("keep"))

@@ -68,6 +68,17 @@ def test_rows_of_the_mix(spark):
     assert {k: v for k, v in plan.items() if v} == dict(held)
 
 
+def test_repeated_rows_lose_no_word(spark):
+    docs = awkward(spark, [*[(1, "a b c d e")] * 7, *[(2, "f g h")] * 5, (3, "i"), (None, "j k"), (None, "j k")])
+    plan, held = defaultdict(int), defaultdict(int)
+    for r in mixing.queue_documents(docs).collect():
+        plan[r.doc_id] += r.taken
+    for r in mixing.mixed_documents(docs).collect():
+        held[r.doc_id] += len(words(r.text))
+        assert len(words(r.text)) <= {1: 5, 2: 3, 3: 1, None: 2}[r.doc_id]
+    assert {k: v for k, v in plan.items() if v} == dict(held)
+
+
 def test_empty_table(spark):
     assert mixing.queue_documents(awkward(spark, [])).count() == 0
     assert mixing.mixed_documents(awkward(spark, [])).count() == 0
