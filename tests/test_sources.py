@@ -1,3 +1,5 @@
+import html
+import html.entities
 import io
 import zipfile
 
@@ -5,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark.functions import text as X
+from foliospark.session import local_rows
 from foliospark.sources import assemble, extract, files, office
-from foliospark.sources.html import html_to_text
+from foliospark.sources.html import html_to_text, unescape_entities
 from testkit import archives
 
 
@@ -170,3 +173,18 @@ def test_redaction_order_and_patterns(spark):
     assert other.select(X.redact("t")).first()[0] == "(743) 555-3824"
     assert other.select(X.redact("t", wide)).first()[0] == "[PHONE]"
     assert df.select(*[X.pii_count("t", c) for c in X.PII_PATTERNS]).first()[:] == (1, 2, 1, 1)
+
+
+def test_every_named_entity_and_number(spark):
+    names = sorted(n for n in html.entities.html5 if n.endswith(";"))
+    texts = [f"a &{n} b" for n in names] + [f"&#{n};" for n in (65, 128, 150, 159, 160, 233, 8364, 128512, 0, 55296, 1114112, 10**12)]
+    texts += ["&#xe9;&#XE9;", "&amp;lt;", "&eacute;t&eacute; &szlig;&rarr;&nbsp;", "&nosuchname;", "&", "&;", "&#;", "AT&T; &amp", "caf&Eacute;;"]
+    rows = local_rows(spark, list(enumerate(texts)), "i int, text string")
+    found = {r["i"]: r["out"] for r in rows.select("i", unescape_entities(F.col("text")).alias("out")).collect()}
+    for i, text in enumerate(texts):
+        # Names without a semicolon stay as they are here.
+        assert found[i] == ("AT&T; &amp" if text.endswith("&amp") else html.unescape(text)), text
+
+
+def test_a_null_page_stays_null(spark):
+    assert local_rows(spark, [(None,)], "text string").select(unescape_entities(F.col("text")).alias("t")).first()["t"] is None
