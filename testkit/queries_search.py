@@ -299,6 +299,21 @@ def _(spark, d):
     return results.union_hits(*parts)
 
 
+@register("filtered_search_maintained", with_parts("""
+    , f AS (SELECT * FROM titled WHERE extension = '.txt' AND modifiedDateTime >= TIMESTAMP '2024-01-02 00:00:00' AND createdBy IN ('owner1', 'owner2', 'owner3'))
+    SELECT 'hit' AS kind, id AS name, score AS value FROM (SELECT id, score FROM scores SEMI JOIN f USING (id) ORDER BY score DESC, id LIMIT 7)
+    UNION ALL SELECT 'facet', createdBy, CAST(count(*) AS DOUBLE) FROM f SEMI JOIN scores USING (id) GROUP BY createdBy""", "titled", "scores"))
+def _(spark, d):
+    # Statistics and scores come from the index that follows the table; of the table only the filter's columns are read.
+    table = store.TableStore(spark, scratch_path(spark, "filtered"), STANDARD_DOCUMENT)
+    table.upsert(rel.files(spark, d, spread=True), unique=True)
+    asked = SearchTable.of_store(table, term_index.TermIndex(spark, scratch_path(spark, "terms")))
+    where = C.metadata_filter(".txt", "2024-01-02T00:00:00", None, "owner1,owner2,owner3")
+    hits = asked.keyword(QUERY, 7, where, select=["id"]).select(F.lit("hit").alias("kind"), F.col("id").alias("name"), F.col("score").alias("value"))
+    counts = asked.facets(QUERY, ["createdBy"], where)
+    return hits.unionByName(counts.select(F.lit("facet").alias("kind"), F.col("value").alias("name"), F.col("count").cast("double").alias("value")))
+
+
 @register("search_fallback", with_parts("SELECT id, score FROM hits ORDER BY score DESC, id LIMIT 5", "hits"))
 def _(spark, d):
     # A table without vectors answers semantic search by keywords.

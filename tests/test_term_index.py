@@ -104,3 +104,15 @@ def test_a_search_reads_the_buckets_of_its_words_and_no_text(spark, table):
     assert "PartitionFilters: [isnotnull(bucket" in plan and "content" not in plan
     filtered = asked.keyword("hot", where=F.col("extension") == ".txt")._jdf.queryExecution().optimizedPlan().toString()
     assert "content" not in filtered.split("LeftSemi")[-1].split("Relation")[0]
+
+
+def test_a_filtered_search_reads_only_the_columns_of_its_filter(spark, table):
+    index = TermIndex(spark, scratch_path(spark, "index"))
+    table.upsert(rows(spark, *[(str(i), f"f{i}", f"w{i % 3} text") for i in range(9)]))
+    asked = SearchTable.of_store(table, index)
+    where = F.col("extension") == ".txt"
+    for found in (asked._keyword_scores("w1", where), asked.facets("w1", ["extension"], where)):
+        scans = re.findall(r"FileScan parquet [^\n]*", found._jdf.queryExecution().executedPlan().toString())
+        of_table = [s for s in scans if "extension#" in s]
+        assert of_table and all("content" not in s for s in scans)
+        assert any("EqualTo(extension,.txt)" in s for s in of_table)
