@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliospark.functions.scoring import RRF_CONSTANT, reciprocal_rank
 from foliospark.operators.keyword import keyword_passes, keyword_scores
@@ -101,24 +102,26 @@ def batch_hybrid_search(table: DataFrame, queries: DataFrame, k: int = 5, fields
 
     Per block of queries: one pass for the nearest vectors, one for word statistics, one for
     the keyword leaders and the keyword scores of the vector pools, and one that counts the exact
-    rank of pool members behind the leaders. Blocks and pools are bounded, and only per-task
-    leaders and counts are shuffled.
+    rank of pool members behind the leaders. Blocks and pools are bounded, a block's ranks are written before
+    the next one begins, and only per-task leaders and counts are shuffled.
     """
     near = batch_vector_search(table, queries.select("query_id", "vector"), pool, id_col, vector_col, where)
     lists = []
     for one in keyword_passes(table, queries.select("query_id", "text"), fields, id_col, where):
         # pool rows per query of this bounded block
-        mine = near.filter(F.col("query_id").isin(one.query_ids)).select("query_id", "id").collect()
+        block = local_rows(table.sparkSession, [(q,) for q in one.query_ids], T.StructType([near.schema["query_id"]]))
+        mine = near.join(F.broadcast(block), "query_id", "left_semi").select("query_id", "id").collect()
         wanted: dict = {}
         for row in mine:
             wanted.setdefault(row["query_id"], []).append(row["id"])
-        leading = ranked(one.leaders(k + pool), k + pool).select("query_id", "id", "rank")
+        leading = staged(ranked(one.leaders(k + pool), k + pool).select("query_id", "id", "rank"), "leading")
         known = {(r["query_id"], r["id"]) for r in leading.select("query_id", "id").collect()}
         marks: dict = {}
         for row in one.scores_of(wanted).collect():
             if (row["query_id"], row["id"]) not in known:
                 marks.setdefault(row["query_id"], []).append((row["id"], row["score"]))
-        lists += [leading, one.ranks_of(marks)] if marks else [leading]
+        lists += [leading, staged(one.ranks_of(marks), "ranks")] if marks else [leading]
+        one.shared.unpersist()
     words = reduce(DataFrame.unionByName, lists, near.select("query_id", "id", "rank").limit(0))
     both = words.withColumnRenamed("rank", "_kw").join(
         near.select("query_id", "id", F.col("rank").alias("_vec")), ["query_id", "id"], "full_outer")

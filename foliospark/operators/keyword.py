@@ -133,12 +133,16 @@ def batch_keyword_search(docs: DataFrame, queries: DataFrame, k: int = 5, fields
     """(query_id, id, score, rank) for a whole table of queries (query_id, text).
 
     Repeated query texts are searched once. Reads the corpus twice per pass over the
-    queries: for the document frequencies of the query words, then for the scores.
+    queries: for the document frequencies of the query words, then for the scores. A pass writes its
+    leaders before the next one begins, so the driver and the executors hold one block of queries.
     """
     text_key = F.md5(F.col("text").cast("binary"))
     texts = queries.select(text_key.alias("query_id"), "text").dropDuplicates(["query_id"])
-    passes = keyword_passes(docs, texts, fields, id_col, where)
-    hits = reduce(DataFrame.unionByName, [p.leaders(k) for p in passes], _no_hits(docs, texts, id_col))
+    written = []
+    for one in keyword_passes(docs, texts, fields, id_col, where):
+        written.append(staged(one.leaders(k), "leaders"))
+        one.shared.unpersist()
+    hits = reduce(DataFrame.unionByName, written, _no_hits(docs, texts, id_col))
     best = ranked(hits, k).withColumnRenamed("query_id", "_text")
     return queries.select("query_id", text_key.alias("_text")).join(best, "_text") \
         .select("query_id", "id", "score", "rank")
@@ -154,14 +158,15 @@ def _no_hits(docs: DataFrame, queries: DataFrame, id_col: str) -> DataFrame:
 
 
 def keyword_passes(docs: DataFrame, queries: DataFrame, fields: Sequence[str], id_col: str,
-                   where: Column | None = None) -> list[KeywordPass]:
-    """One pass over the corpus per bounded block of queries (query_id, text)."""
+                   where: Column | None = None) -> Iterator[KeywordPass]:
+    """One pass over the corpus per bounded block of queries (query_id, text), each made when the one before is done."""
     worded = queries.select("query_id", F.array_distinct(word_tokens("text")).alias("terms")) \
         .filter(F.size("terms") > 0)
     tokens = docs.select(F.col(id_col).alias("id"), field_tokens(fields).alias("tokens"),
                          (F.lit(True) if where is None else F.coalesce(where, F.lit(False))).alias("keep"))
     schema = _hit_schema(docs, queries, id_col)
-    return [KeywordPass(tokens, rows, schema) for rows in query_passes(worded, F.size("terms"), TERMS_PER_PASS)]
+    for rows in query_passes(worded, F.size("terms"), TERMS_PER_PASS):
+        yield KeywordPass(tokens, rows, schema)
 
 
 class KeywordPass:

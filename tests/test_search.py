@@ -121,6 +121,17 @@ def test_hybrid_search_equals_brute_force(spark, table, corpus):
     assert got == {"a": fused(corpus, ["w1", "w9"], v, 9), "b": fused(corpus, ["w2"], [1.0] * 8, 9), "c": fused(corpus, ["absent"], v, 9)}
 
 
+def test_batch_hybrid_search_over_several_passes(spark, table, corpus, monkeypatch):
+    monkeypatch.setattr(keyword, "TERMS_PER_PASS", 2)
+    v = [1.0, -1.0, 2.0, 0.0, 0.0, 1.0, 1.0, -0.25]
+    asked = {"a": "w1 w9", "b": "w2", "c": "absent", "d": "w3 w4 w5"}
+    queries = spark.createDataFrame([(q, t, v) for q, t in asked.items()], "query_id string, text string, vector array<double>")
+    got = {}
+    for r in hybrid.batch_hybrid_search(table, queries, 9).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["id"], r["score"]))
+    assert got == {q: fused(corpus, t.split(), v, 9) for q, t in asked.items()}
+
+
 def test_ranks_of_chosen_rows(table, corpus):
     order = [i for i, _ in bm25(corpus, ["w1"])]
     wanted = order[3:300:25] + ["missing"]
