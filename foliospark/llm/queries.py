@@ -74,7 +74,9 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     base = of(*pii.BASE)
     return found.select("doc_id", *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.BASE],
-                        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+                        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+                        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in pii.KINDS if k not in pii.BASE],
+                        F.size("spans").cast("long").alias("n_spans"))
 
 
 @query("op5_packing")

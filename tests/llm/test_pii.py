@@ -58,6 +58,60 @@ def test_extra_kinds():
     assert spans("accounting 123456789") == [] and spans("myaccount 123456789") == []
 
 
+def extra(text):
+    return [(text[a:b], k) for a, b, k in pii.find_spans(text, MACHINE) if k not in pii.BASE]
+
+
+def test_cues_in_any_case_and_their_values():
+    assert extra("Customer ID: 12345678 and CusTomer iD 87654321") == [("12345678", "account"), ("87654321", "account")]
+    assert extra("HTTPS://a.b/c Http://d.e") == [("HTTPS://a.b/c", "url"), ("Http://d.e", "url")]
+    assert extra("Passport No. C01X00T47.") == [("C01X00T47", "passport")]
+    assert extra("İİ PASSWORD = 'p w d' password: hunter2x, İ") == [("hunter2x", "secret")]
+    assert extra('token = "04dbebab91ab85687d33" thha') == [("04dbebab91ab85687d33", "secret")]
+    assert extra('{"api_key": "abcdefgh", "pwd":"short"}') == [("abcdefgh", "secret")]
+    assert extra("Authorization: Bearer eyJhbGci.0iJIUz.") == [("eyJhbGci.0iJIUz", "secret")]
+    assert extra("Account number:" + " " * 200 + "123-456-789") == [("123-456-789", "account")]
+
+
+def test_plain_sentences_hold_no_values():
+    for text in ("the token: something odd", "a secret password is better", "tokens = 4x8a9b7c6d5e", "passport control office",
+                 "bearer of the ring", "password: unknown-to-me", "passport for 2 people", "token", "token =", "token = '", "secret: 1234"):
+        assert extra(text) == [], text
+
+
+def plain_secrets(text):
+    """Every cue by a search from each position on, one pattern after the other."""
+    found, upto = [], 0
+    for at in range(len(text)):
+        if at < upto or (at and text[at - 1].isalnum()):
+            continue
+        for cue in sorted(pii.CUES["secret"], key=len):
+            if text[at:at + len(cue)].lower() == cue:
+                m = re.match(r"""["']?\s*(?::=|=>|[:=])\s*(["'`]?)([^\s"'`<>,;|]+)""", text[at + len(cue):])
+                if not m or (m[1] and text[at + len(cue) + m.end():][:1] != m[1]):
+                    continue
+                value = m[2] if m[1] else m[2].rstrip(".:!?)]}")
+                start = at + len(cue) + m.start(2)
+                if len(value) >= 8 and start >= upto and (m[1] or (re.search(r"\d", value) and re.search(r"[^\W\d_]", value))):
+                    found.append((start, start + len(value), "secret"))
+                    upto = start + len(value)
+    return found
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.sampled_from(["token", "Secret", "secret key", "pwd", " ", "=", ":", ":=", '"', "'", "a1b2c3d4", "abcdefgh", ".", ",", "x", "é", "İ"]), max_size=14))
+def test_secrets_equal_a_plain_search(parts):
+    text = "".join(parts)
+    assert [s for s in pii.find_spans(text, MACHINE) if s[2] == "secret"] == plain_secrets(text)
+
+
+def test_tokens_of_the_given_documents_are_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {r.doc_id for r in pii.personal_data(docs).collect() if any(s.kind == "secret" for s in r.spans)}
+    lines = {r.doc_id for r in docs.collect() if re.search(r'\btoken = "[0-9a-f]{40}"', r.text or "")}
+    assert lines and found == lines
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark, [*TEXTS, (60, "é a@b.co"), (61, "1" * 100_000), (62, "a@" * 50_000), (63, "+1" * 50_000)])
     got = {r.doc_id: r.spans for r in pii.personal_data(docs).collect()}
