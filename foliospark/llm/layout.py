@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+import unicodedata
+from bisect import bisect_left
+from collections import defaultdict
+from functools import lru_cache
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +37,11 @@ IMPLIED = {
 }
 #: An end tag does not reach beyond these.
 BARRIERS = frozenset(("table", "td", "th", "caption", "html"))
+TABLE_PARTS = frozenset(("table", "tr", "thead", "tbody", "tfoot"))
+#: Most columns and rows that a cell spans in HTML.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+#: A table whose blanks for alignment would be over this many times its text, and over that many, is written without them.
+PADDING, LEAST_PADDING = 32, 1 << 16
 
 _TAG = re.compile(r"<(?:!--(?P<c>.*?)(?:-->|$)|[!?](?P<d>[^>]*)>?|(?P<e>/)?(?P<n>[a-zA-Z][^\s/>]*)(?P<a>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|$))", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -54,42 +63,42 @@ class Node:
 
 
 class Open:
-    """The open elements, with how many there are of each name, so that a search for none ends at once."""
+    """The open elements with their places by name and those of the barriers, so that no search walks down the stack."""
 
     def __init__(self, root: Node):
-        self.nodes, self.count = [root], Counter([root.name])
+        self.nodes: list[Node] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.barriers: list[int] = []
+        self.push(root)
 
     def push(self, node: Node) -> None:
+        self.places[node.name].append(len(self.nodes))
+        if node.name in BARRIERS:
+            self.barriers.append(len(self.nodes))
         self.nodes.append(node)
-        self.count[node.name] += 1
+
+    def last(self, names) -> int:
+        """The place of the innermost open element of these names; 0, that of the root, if there is none."""
+        return max((self.places[n][-1] for n in names if self.places[n]), default=0)
 
     def cut(self, at: int) -> None:
         for node in self.nodes[at:]:
-            self.count[node.name] -= 1
+            self.places[node.name].pop()
         del self.nodes[at:]
+        while self.barriers[-1] >= at:
+            self.barriers.pop()
 
     def close(self, name: str) -> None:
         """End the innermost element of that name, if no barrier stands before it."""
-        if not self.count[name]:
-            return
-        for i in range(len(self.nodes) - 1, 0, -1):
-            if self.nodes[i].name == name:
-                self.cut(i)
-                return
-            if self.nodes[i].name in BARRIERS and name not in ("table", "tr", "thead", "tbody", "tfoot"):
-                return
+        at = self.last((name,))
+        if at and (name in TABLE_PARTS or self.barriers[-1] <= at):
+            self.cut(at)
 
     def imply(self, ends: set[str], limit: set[str]) -> None:
         """End open elements of these names up to the innermost of the limit."""
-        while any(self.count[n] for n in ends):
-            for i in range(len(self.nodes) - 1, 0, -1):
-                if self.nodes[i].name in limit:
-                    return
-                if self.nodes[i].name in ends:
-                    self.cut(i)
-                    break
-            else:
-                return
+        least = self.last(limit)
+        while (at := self.last(ends)) > least:
+            self.cut(at)
 
 
 def parse(page: str) -> Node:
@@ -114,9 +123,9 @@ def parse(page: str) -> Node:
         if match["e"]:
             stack.close(name)
             continue
-        foreign = next((n for n in ("svg", "math") if name == n or stack.count[n]), None)
+        foreign = next((n for n in ("svg", "math") if name == n or stack.places[n]), None)
         attributes = {k.lower(): html.unescape(a or b or c) for k, a, b, c in _ATTRIBUTE.findall(match["a"])} if match["a"].strip(" /") else {}
-        if name in ("html", "body") and stack.count[name]:
+        if name in ("html", "body") and stack.places[name]:
             continue
         if name in CLOSES_P:
             stack.close("p")
@@ -215,9 +224,9 @@ def render(node: Node, out: Writer) -> None:
             out.words(item.attributes.get("alt", ""))
         elif name == "table" and _is_grid(item):
             out.end(True)
-            for line in _table(item):
-                out.put(line)
-            out.blank = True
+            todo.append(lambda: out.end(True))
+            for part in reversed(_table(item)):
+                todo.append((lambda line=part: (out.end(), out.put(line))) if isinstance(part, str) else part)
         elif name in ("pre", "textarea"):
             out.end(True)
             for line in _plain(item).strip("\n").split("\n"):
@@ -244,19 +253,25 @@ def render(node: Node, out: Writer) -> None:
 
 
 def _options(node: Node) -> list:
-    """What a select element shows: all of a list box, and of a drop-down menu the options that are marked as selected."""
+    """What a select element shows: all of a list box, and of a drop-down menu the option that is marked as selected.
+
+    Of several marked ones the last is shown, without any the first one that can be chosen.
+    """
     size = node.attributes.get("size", "")
     if "multiple" in node.attributes or re.fullmatch(r"\s*\+?0*([2-9]|[1-9][0-9]+)\s*", size):
         return node.children
-    todo, found = list(reversed(node.children)), []
+    todo, marked, free = [(c, False) for c in reversed(node.children)], [], []
     while todo:
-        item = todo.pop()
+        item, off = todo.pop()
         if isinstance(item, Node) and not item.hidden():
-            if item.name == "option":
-                found += [item] if "selected" in item.attributes else []
-            else:
-                todo.extend(reversed(item.children))
-    return found[-1:]
+            off = off or "disabled" in item.attributes
+            if item.name != "option":
+                todo.extend((c, off) for c in reversed(item.children))
+            elif "selected" in item.attributes:
+                marked.append(item)
+            elif not off:
+                free.append(item)
+    return marked[-1:] or free[:1]
 
 
 def _items(node: Node, turn: int) -> list:
@@ -284,16 +299,26 @@ def _without_leading_space(children: list) -> list:
 
 
 def _is_grid(table: Node) -> bool:
-    """Whether a table holds cells and no other table, so that its columns can be aligned."""
-    todo, cells = list(table.children), False
+    """Whether a table has cells of its own, which stand in columns."""
+    todo = list(table.children)
+    while todo:
+        item = todo.pop()
+        if isinstance(item, Node) and item.name != "table":
+            if item.name in ("td", "th"):
+                return True
+            todo.extend(item.children)
+    return False
+
+
+def _holds_table(node: Node) -> bool:
+    todo = [node]
     while todo:
         item = todo.pop()
-        if isinstance(item, Node):
+        if isinstance(item, Node) and not item.hidden():
             if item.name == "table":
-                return False
-            cells = cells or item.name in ("td", "th")
+                return True
             todo.extend(item.children)
-    return cells
+    return False
 
 
 def _plain(node: Node) -> str:
@@ -309,54 +334,136 @@ def _plain(node: Node) -> str:
     return "".join(out)
 
 
-def _table(table: Node) -> list[str]:
-    """Rows of a table, cells padded to the width of their column and set apart by a bar; other text stays in place."""
-    rows: list[list[str] | str] = []
-
-    def text_of(node: Node) -> str:
-        part = Writer()
-        for child in node.children:
-            if isinstance(child, str):
-                part.words(child)
-            else:
-                render(child, part)
-        part.end()
-        return " ".join(line for line in part.lines if line)
-
-    def walk(node: Node) -> None:
-        for child in node.children:
-            if isinstance(child, str):
-                if child.strip():
-                    rows.append(_SPACE.sub(" ", child).strip())
-            elif child.hidden():
-                continue
-            elif child.name in ("thead", "tbody", "tfoot"):
-                walk(child)
-            elif child.name == "tr" or child.name in ("td", "th"):
-                cells: list[str] = []
-                for cell in child.children if child.name == "tr" else [child]:
-                    if isinstance(cell, Node) and cell.name in ("td", "th"):
-                        if cell.hidden():
-                            continue
-                        span = cell.attributes.get("colspan", "1")
-                        cells += [text_of(cell)] + [""] * (min(int(span), 1000) - 1 if re.fullmatch(r"[1-9][0-9]{0,3}", span) else 0)
-                    elif isinstance(cell, Node):
-                        if not cell.hidden() and (other := text_of(cell)):
-                            rows.append(other)
-                    elif cell.strip():
-                        rows.append(_SPACE.sub(" ", cell).strip())
-                if any(cells):
-                    rows.append(cells)
-            elif other := text_of(child):
-                rows.append(other)
-
-    walk(table)
-    widths: dict[int, int] = {}
-    for row in rows:
-        if isinstance(row, list):
-            for i, cell in enumerate(row):
-                widths[i] = max(widths.get(i, 0), len(cell))
-    return [row if isinstance(row, str) else " | ".join(c.ljust(widths[i]) for i, c in enumerate(row)).rstrip() for row in rows]
+class Grid:
+    """The columns of a table's cells: a cell takes the first one that no cell above reaches into."""
+
+    def __init__(self):
+        self.row, self.reach = 0, []  # (first column, end, row that is free again) of cells over several rows, in order
+
+    def group(self) -> None:
+        """Cells do not reach beyond their group of rows."""
+        self.reach = []
+
+    def place(self, spans: list[tuple[int, int]]) -> list[int]:
+        """Columns of the cells of the next row, given how many columns and rows they span, and the end of the last."""
+        above, column, at, made, new = [r for r in self.reach if r[2] > self.row], 0, 0, [], []
+        for wide, high in spans:
+            while at < len(above) and above[at][0] <= column:
+                column, at = max(column, above[at][1]), at + 1
+            made.append(column)
+            if high > 1:
+                new.append((column, column + wide, self.row + high))
+            column += wide
+        self.reach = []
+        for first, end, free in sorted(above + new):
+            if self.reach and self.reach[-1][1:] == (first, free):
+                first = self.reach.pop()[0]
+            self.reach.append((first, end, free))
+        self.row += 1
+        return [*made, column]
+
+
+def _span(cell: Node) -> tuple[int, int]:
+    """How many columns and rows a cell spans; 0 rows are all of its group."""
+    wide, high = (int(v) if re.fullmatch(r"[0-9]{1,6}", v := cell.attributes.get(a, "1").strip()) else 1 for a in ("colspan", "rowspan"))
+    return min(max(wide, 1), MOST_COLUMNS), min(high, MOST_ROWS) or MOST_ROWS
+
+
+@lru_cache(1 << 14)
+def _columns_of(character: str) -> int:
+    if unicodedata.category(character) in ("Mn", "Me", "Cf"):
+        return 0
+    return 2 if unicodedata.east_asian_width(character) in "WF" else 1
+
+
+def width(text: str) -> int:
+    """Columns that a text takes on a screen: wide East Asian characters two, combining marks none."""
+    return len(text) if text.isascii() else sum(map(_columns_of, text))
+
+
+def _text_of(node: Node) -> str:
+    part = Writer()
+    for child in node.children:
+        if isinstance(child, str):
+            part.words(child)
+        else:
+            render(child, part)
+    part.end()
+    return " ".join(line for line in part.lines if line)
+
+
+def _table(table: Node) -> list[str | Node]:
+    """The lines of a table, and in their place the cells and other elements that hold a table, to be written as blocks.
+
+    Rows are lines of cells, padded to the width of their column and set apart by a bar; other text stays in place.
+    """
+    rows: list[list[tuple[int, str]] | str | Node] = []
+    grid, todo = Grid(), list(reversed(table.children))
+
+    def other(item: Node | str) -> None:
+        if isinstance(item, str):
+            if item.strip():
+                rows.append(_SPACE.sub(" ", item).strip())
+        elif _holds_table(item):
+            rows.append(item)
+        elif not item.hidden():
+            part = Node("div")
+            part.children = [item]
+            if text := _text_of(part):
+                rows.append(text)
+
+    while todo:
+        item = todo.pop()
+        if item is grid:
+            grid.group()
+        elif isinstance(item, str):
+            other(item)
+        elif item.hidden():
+            continue
+        elif item.name in ("thead", "tbody", "tfoot"):
+            grid.group()
+            todo += [grid, *reversed(item.children)]
+        elif item.name == "form":
+            todo += reversed(item.children)
+        elif item.name in ("tr", "td", "th"):
+            cells: list[Node] = []
+            for cell in item.children if item.name == "tr" else [item]:
+                if not isinstance(cell, Node) or cell.name not in ("td", "th"):
+                    other(cell)
+                elif not cell.hidden():
+                    cells.append(cell)
+            columns = grid.place([_span(c) for c in cells])
+            if any(map(_holds_table, cells)):
+                rows.extend(cells)
+            elif any(texts := [_text_of(c) for c in cells]):
+                rows.append([*zip(columns, texts), (columns[-1], "")])
+        else:
+            other(item)
+    return _aligned(rows)
+
+
+def _aligned(rows: list) -> list[str | Node]:
+    """Lines for rows of ``(column, text)``, each with the end of its last cell; columns in which no cell starts are left out."""
+    grid = [row for row in rows if isinstance(row, list)]
+    columns = sorted({c for row in grid for c, _ in row[:-1]})
+    at = {c: i for i, c in enumerate(columns)}
+    widths = [0] * len(columns)
+    for row in grid:
+        for c, text in row[:-1]:
+            widths[at[c]] = max(widths[at[c]], width(text))
+    upto = [0, *accumulate(w + 3 for w in widths)]
+    blanks, words = sum(upto[bisect_left(columns, row[-1][0])] for row in grid), sum(len(text) for row in grid for _, text in row)
+    padded = blanks <= max(LEAST_PADDING, PADDING * words)
+
+    def line(row: list) -> str:
+        if not padded:
+            return " | ".join(text for _, text in row if text)
+        cells = [""] * bisect_left(columns, row[-1][0])
+        for c, text in row[:-1]:
+            cells[at[c]] = text
+        return " | ".join(text + " " * (widths[i] - width(text)) for i, text in enumerate(cells)).rstrip(" ")
+
+    return [line(row) if isinstance(row, list) else row for row in rows]
 
 
 def page_text(page: str) -> str:
@@ -372,10 +479,14 @@ def rendered_pages(pages: DataFrame, id_col: str = "page_id", html_col: str = "h
     """``text`` of each row of ``pages``: id and all its visible text in reading order.
 
     Blocks start on new lines, with a blank line around paragraphs, headings, lists and tables; list items have a dash
-    or their number; cells of a table are padded to aligned columns. Text of drawings, formulas, text areas and list boxes
-    is kept, of a drop-down menu the option that is marked as selected. Scripts, styles, comments and elements that are
-    hidden by name, attribute or inline style are left out; a visible element below an invisible one stays. Null and empty pages give an empty text. Repeated rows get
-    equal results; an empty table gives no rows; further columns are ignored.
+    or their number. Cells of a table, also such as span columns or rows, are padded to aligned columns by their width on a
+    screen; rows whose cells hold a table are written cell by cell as blocks, and a table that would be mostly padding
+    (`PADDING`) is written without it. Text of drawings, formulas, text areas and list boxes is kept, of a drop-down menu
+    the option that it shows at first. Scripts, styles, comments and elements that are hidden by name, attribute or inline
+    style are left out; a visible element below an invisible one stays.
+
+    Null and empty pages give an empty text. Pages of any length and depth are rendered whole, in time that grows with
+    their length. Repeated rows get equal results; an empty table gives no rows; further columns are ignored.
     """
     rows = pages.select(pages[id_col], F.coalesce(pages[html_col].cast("string"), F.lit("")).alias("html"))
     return map_rows(rows, lambda: lambda row: (row[0], page_text(row[1])), rows.select(rows[0]).schema.add("text", "string"))

@@ -1,6 +1,8 @@
 import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from foliospark.llm import layout
 from foliospark.session import local_rows
@@ -19,7 +21,7 @@ CASES = [
     ("</p></div>stray <b>un</i>closed", "stray unclosed"),
     ("<table><tr><td><table><tr><td>in</table><td>out</table>", "in\n\nout"),
     ("1 < 2 and <", "1 < 2 and <"),
-    ("<select><option>a<option>b</select>c<dialog>no</dialog><dialog open>d</dialog>", "c\nd"),
+    ("<select><option>a<option>b</select>c<dialog>no</dialog><dialog open>d</dialog>", "a\nc\nd"),
     ("<img alt='pic'> <img>", "pic"), ("<dl><dt>t<dd>d<dt>u</dl>", "t\nd\nu"),
     ("", ""), ("<", "<"), ("<p", ""), ("<!-- open", ""), ("<p title=\"a>b\">x", "x"),
 ]
@@ -70,6 +72,71 @@ SHOWN = [
 ]
 
 
+TABLES = [
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e</table>", "a | b\n  | c\nd | e"),
+    ("<table><tr><td>x<td rowspan=0>y<tr><td>z<td>w</table>", "x | y\nz |   | w"),
+    ("<table><tbody><tr><td rowspan=9>a<td>b<tbody><tr><td>c<td>d</table>", "a | b\nc | d"),
+    ("<table><tr><td>漢字<td>b<tr><td>abcd<td>c<tr><td>e\u0301<td>d</table>", "漢字 | b\nabcd | c\ne\u0301    | d"),
+    ("<table><tr><td colspan=1000>a<td>b<tr><td>c</table>", "a | b\nc"),
+    ("<table><form><tr><td>a<td>bb</form><tr><td>ccc<td>d</table>", "a   | bb\nccc | d"),
+    ("<table><tr><td>a<td>b<tr><td><table><tr><td>in<td>x</table><td>out<tr><td>long<td>c</table>", "a    | b\n\nin | x\n\nout\nlong | c"),
+    ("<table><caption>t<table><tr><td>in</table></caption><tr><td>a<td>b</table>z", "t\n\nin\n\na | b\n\nz"),
+    ("<select><optgroup disabled><option>a</optgroup><option disabled>b<option>c<option>d</select>", "c"),
+    ("<select><option disabled>a</select>z", "z"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), TABLES)
+def test_tables_and_menus(page, text):
+    assert layout.page_text(page) == text
+
+
+def grid_by_marks(rows):
+    """Each cell in the first place of its row that is not marked, with all places it spans marked."""
+    marked, at = set(), {}
+    for r, cells in enumerate(rows):
+        c = 0
+        for text, wide, high in cells:
+            while (r, c) in marked:
+                c += 1
+            at[r, c] = text
+            marked |= {(r + i, c + j) for i in range(high) for j in range(wide)}
+            c += wide
+    return at
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.lists(st.tuples(st.sampled_from(["a", "bb", "ccc", "漢"]), st.integers(1, 3), st.integers(1, 4)), min_size=1, max_size=5), min_size=1, max_size=6))
+def test_cells_stand_where_a_plain_grid_has_them(rows):
+    page = "<table>" + "".join("<tr>" + "".join(f"<td colspan={w} rowspan={h}>{t}" for t, w, h in r) for r in rows) + "</table>"
+    at = grid_by_marks(rows)
+    columns = sorted({c for _, c in at})
+    first, widths = {}, {c: max(2 if t == "漢" else len(t) for (_, k), t in at.items() if k == c) for c in columns}
+    for n, c in enumerate(columns):
+        first[c] = sum(widths[k] + 3 for k in columns[:n])
+    lines = layout.page_text(page).split("\n")
+    assert len(lines) == len(rows)
+    for r, line in enumerate(lines):
+        shown = "".join(x + "\0" if x == "漢" else x for x in line)  # one character for each column of the screen
+        for c in columns:
+            text = at.get((r, c), "")
+            cell = shown[first[c]:first[c] + widths[c]].replace("\0", "").strip()
+            assert cell == text
+
+
+def test_tables_take_time_and_room_by_their_length():
+    wide = "<table><tr>" + "<td rowspan=60000>a" * 5000 + "<tr><td>b" * 5000 + "</table>"
+    assert len(got := layout.page_text(wide)) < 40 * len(wide) and got.count("a") == got.count("b") == 5000
+    long = "<table><tr><td>" + "x" * 500_000 + "<tr><td>a<td>b" * 20_000 + "</table>"
+    assert len(got := layout.page_text(long)) < 2 * PADDED * len(long) and got.count("a") == 20_000
+    assert layout.page_text("<table><tr><td>" * 20_000 + "x") == "x"
+    assert layout.page_text("<p><table><tr><td>" + "<div>" * 30_000 + "x") == "x"
+    assert layout.page_text("<table><tr><td colspan=1000 rowspan=60000>y" * 3000).count("y") == 3000
+
+
+PADDED = layout.PADDING + 1
+
+
 @pytest.mark.parametrize(("page", "text"), SHOWN)
 def test_what_a_browser_shows_is_kept(page, text):
     assert layout.page_text(page) == text
