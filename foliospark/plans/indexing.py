@@ -22,7 +22,8 @@ from foliospark.sinks.export import audit_append, audit_rows
 from foliospark.sinks.store import TableStore
 from foliospark.sources.extract import EXTRACTORS, Extractor, extract, file_metadata, property_columns
 from foliospark.sources.files import (DEFAULT_EXTENSIONS, DEFAULT_MAX_MB, changed_files, fetch_contents,
-                                      scan_files, scan_roots, within_size)
+                                      scan_files, within_size)
+from foliospark.sources.walk import walk
 
 RUN_STATISTICS = T.StructType([
     T.StructField("run_at", T.TimestampType()),
@@ -124,10 +125,10 @@ class _Run:
         return time.monotonic() - self.started
 
 
-def _scan(spark: SparkSession, roots: str | Iterable[str], settings: IndexSettings) -> DataFrame:
-    roots = [roots] if isinstance(roots, str) else list(roots)
-    return scan_roots(spark, roots, recursive=settings.recursive, exclude=settings.exclude_directories,
-                      extensions=settings.extensions)
+def _scan(spark: SparkSession, roots: str | Iterable[str] | DataFrame, settings: IndexSettings, written: list[str] | None = None) -> DataFrame:
+    if isinstance(roots, DataFrame):
+        return roots
+    return walk(spark, roots, settings.recursive, settings.exclude_directories, settings.extensions, written=written)
 
 
 def index_standard(spark: SparkSession, roots: str | Iterable[str] | DataFrame, table_path: str,
@@ -137,9 +138,8 @@ def index_standard(spark: SparkSession, roots: str | Iterable[str] | DataFrame,
     ``roots`` may also be a listing (path, modificationTime, length).
     """
     settings = settings or IndexSettings()
-    listing = roots if isinstance(roots, DataFrame) else _scan(spark, roots, settings)
     with scratch(spark) as folders:
-        run = _Run(spark, listing, table_path, STORED_DOCUMENT, settings, manifest, folders)
+        run = _Run(spark, _scan(spark, roots, settings, folders), table_path, STORED_DOCUMENT, settings, manifest, folders)
         good = run.metadata.filter(F.col("error").isNull() & F.col("content").isNotNull())
         run.table.upsert(run.with_custom(build_documents(good, settings.content_limit)), unique=True)
         written = run.extracted.filter(F.col("error").isNull() & F.col("content").isNotNull()).select("path")
@@ -159,9 +159,8 @@ def index_vector(spark: SparkSession, roots: str | Iterable[str] | DataFrame, ta
     """
     settings = settings or IndexSettings()
     embedder = embedder or HashingEmbedder()
-    listing = roots if isinstance(roots, DataFrame) else _scan(spark, roots, settings)
     with scratch(spark) as folders:
-        run = _Run(spark, listing, table_path, CHUNK_DOCUMENT, settings, manifest, folders)
+        run = _Run(spark, _scan(spark, roots, settings, folders), table_path, CHUNK_DOCUMENT, settings, manifest, folders)
         cache = EmbeddingCache(spark, f"{table_path}/embeddings", settings.cache_digits)
         good = run.metadata.filter(F.col("error").isNull() & has_meaning("content"))
         chunks = staged(build_chunk_rows(good, settings.chunk_size, settings.chunk_overlap, settings.tokenizer), "chunks", run.folders)
@@ -201,7 +200,7 @@ def recover_table(spark: SparkSession, roots: str | Iterable[str] | DataFrame, t
     Everything is indexed, whatever an earlier state says; an empty result is a complete table.
     """
     settings = replace(settings or IndexSettings(), incremental=False)
-    listing = roots if isinstance(roots, DataFrame) else _scan(spark, roots, settings)
+    listing = _scan(spark, roots, settings)
     # The listing stays as long as the result that is compared with it.
     listing = staged(listing.select("path", "modificationTime", "length"), "recovery")
     (index_vector if vectors else index_standard)(spark, listing, table_path, settings=settings, **options)

@@ -87,7 +87,10 @@ def scan_roots(spark: SparkSession, roots: Iterable[str], **options) -> DataFram
     return reduce(DataFrame.unionByName, [scan_directory(spark, r, **options) for r in roots])
 
 
-def _open(path: str) -> tuple[fs.FileSystem, str]:
+def open_path(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a path and the path inside it, for use in a task."""
+    if path.startswith(("s3a://", "s3n://")):  # the names that Spark's readers have for it
+        path = "s3" + path[3:]
     return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
@@ -102,7 +105,7 @@ def scan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("path").to_pylist()
-            found = [system.get_file_info(inner) for system, inner in map(_open, names)]
+            found = [system.get_file_info(inner) for system, inner in map(open_path, names)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("path"), pa.array([(i.mtime_ns or 0) // 1000 for i in found], pa.timestamp("us", "UTC")),
                  pa.array([i.size or 0 for i in found], pa.int64())], names=schema.fieldNames())
@@ -143,7 +146,7 @@ def fetch_contents(files: DataFrame, total_bytes: int) -> DataFrame:
     tasks = max(files.sparkSession.sparkContext.defaultParallelism, -(-total_bytes // READ_BYTES_PER_TASK))
 
     def read(path: str) -> bytes | None:
-        system, inner = _open(path)
+        system, inner = open_path(path)
         try:
             with system.open_input_file(inner) as stream:
                 return stream.readall()

@@ -13,6 +13,7 @@ from foliospark.operators import filters as C
 from foliospark.session import scratch_path
 from foliospark.sources import assemble, extract, files, office
 from foliospark.sources.html import html_to_text
+from foliospark.sources.walk import walk
 from testkit import archives, relations as rel
 from testkit.registry import CHUNK_OVERLAP, CHUNK_SIZE, QUERY, STRIP, TERM_LIST, register, with_parts, words_sql
 
@@ -245,6 +246,24 @@ def _(spark, d):
     return _by_directory(files.scan_directory(spark, root, exclude=["lang=fr", "source=src1", "source=src2", "LANG=de"]), root)
 
 
+@register("walk_levels", _DIRS.format(where="WHERE lang <> 'fr' AND source NOT IN ('src1', 'src2')"))
+def _(spark, d):
+    # The excluded names are those of whole subtrees; they are not listed at all.
+    root = _tree(spark, d)
+    return _by_directory(walk(spark, root, exclude=["lang=fr", "source=src1", "source=src2", "LANG=de"]), root)
+
+
+@register("walk_flat", """
+    SELECT lang, CAST(sum(octet_length(encode(text)) + 1) AS BIGINT) AS bytes FROM documents
+    WHERE source = 'src1' AND lang = 'en' GROUP BY lang""")
+def _(spark, d):
+    # The root and the first folder hold folders only; the files of the second are listed, those of its neighbours are not.
+    root = _tree(spark, d)
+    flat = [root, f"{root}/source=src1", f"{root}/source=src1/lang=en"]
+    found = walk(spark, flat, recursive=False)
+    return found.groupBy(F.regexp_extract("path", "/lang=([^/]*)/", 1).alias("lang")).agg(F.sum("length").alias("bytes"))
+
+
 @register("filter_extension_allowlist", with_parts("SELECT doc_id, filePath FROM files WHERE extension IN ('.txt', '.pdf')", "files"))
 def _(spark, d):
     # Names in upper case must pass as well.

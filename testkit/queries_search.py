@@ -16,6 +16,7 @@ from foliospark.plans.search import SearchTable
 from foliospark.schemas import STANDARD_DOCUMENT
 from foliospark.session import scratch_path, staged
 from foliospark.sinks import store
+from foliospark.sinks.clustered import value_ranges, write_clustered
 from testkit import relations as rel
 from testkit.registry import CHUNK_OVERLAP, CHUNK_SIZE, QUERY, TERM_LIST, TERM_SET, TERMS, register, with_parts, words_sql
 
@@ -278,6 +279,21 @@ def _(spark, d):
     return rerank.extract_answer(_captioned(spark, d))
 
 
+@register("filter_skipping", with_parts("""
+    SELECT id, extension, true AS most_files_skipped FROM files WHERE extension = '.txt' AND createdBy = 'owner1'
+      AND modifiedDateTime BETWEEN TIMESTAMP '2024-01-02 00:00:00' AND TIMESTAMP '2024-01-05 00:00:00'""", "files"))
+def _(spark, d):
+    # Written along a curve through the columns of the filter; of most files the smallest and largest values rule out a hit.
+    path, columns = scratch_path(spark, "clustered"), ["extension", "modifiedDateTime", "createdBy"]
+    write_clustered(rel.files(spark, d).select("id", *columns), path, columns, files=32)
+    table = spark.read.parquet(path)
+    wanted = C.metadata_filter(".txt", "2024-01-02T00:00:00", "2024-01-05T00:00:00", "owner1")
+    may_hold = F.expr("""low_extension <= '.txt' AND high_extension >= '.txt' AND low_createdBy <= 'owner1' AND high_createdBy >= 'owner1'
+        AND low_modifiedDateTime <= timestamp_ntz'2024-01-05 00:00:00' AND high_modifiedDateTime >= timestamp_ntz'2024-01-02 00:00:00'""")
+    skipped = value_ranges(table, columns).agg((F.count_if(may_hold) * 2 < F.count("*")).alias("most")).first()["most"]
+    return table.filter(wanted).select("id", "extension").withColumn("most_files_skipped", F.lit(skipped))
+
+
 @register("filtered_search", with_parts("""
     WITH f AS (SELECT * FROM titled WHERE extension = '.txt' AND modifiedDateTime >= TIMESTAMP '2024-01-02 00:00:00'
           AND createdBy IN ('owner1', 'owner2', 'owner3')),
@@ -587,3 +603,16 @@ def _(spark, d):
     indexed = source.filter("doc_id % 2 = 0").select("filePath").unionByName(
         source.filter("doc_id % 10 = 0").select(F.concat(F.lit("/gone"), F.col("filePath")).alias("filePath")))
     return stats.verify_coverage(source, indexed)
+
+
+@register("verify_versions", with_parts("""
+    SELECT filePath, CASE WHEN doc_id % 7 = 0 THEN 'missing in table' ELSE 'other version' END AS problem FROM files
+      WHERE lang = 'fr' AND (doc_id % 7 = 0 OR doc_id % 11 = 0)
+    UNION ALL SELECT concat('/gone', filePath), 'missing in source' FROM files WHERE lang = 'en' AND doc_id % 10 = 0""", "files"))
+def _(spark, d):
+    source = rel.files(spark, d).select("filePath", "modifiedDateTime", "lang", "doc_id")
+    french = F.col("lang") == "fr"
+    held = source.filter(~(french & (F.col("doc_id") % 7 == 0))).withColumn("modifiedDateTime", F.when(
+        french & (F.col("doc_id") % 11 == 0), F.col("modifiedDateTime") - F.expr("INTERVAL 1 HOUR")).otherwise(F.col("modifiedDateTime")))
+    gone = source.filter("lang = 'en' AND doc_id % 10 = 0").withColumn("filePath", F.concat(F.lit("/gone"), F.col("filePath")))
+    return stats.verify_versions(source, held.unionByName(gone), version="modifiedDateTime")

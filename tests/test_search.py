@@ -1,8 +1,10 @@
 import math
 import random
+import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from foliospark.operators import hybrid, keyword, postings, topk, vector
@@ -281,3 +283,15 @@ def test_plans_have_no_cross_join_and_limit_before_the_shuffle(spark, table):
     assert "Exchange" not in single[single.index("TakeOrderedAndProject"):]  # hits are ranked where they were found
     for text in (batch, single, plan(hybrid.hybrid_search(table, "w1", [1.0] * 8, 3))):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_hashed_vectors_equal_a_plain_loop(spark):
+    texts = ["one two two", "Füße 漢字 one", "a", "x y z " * 50]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "text_hash string, text string")
+    for row in HashingEmbedder(64)(df).collect():
+        expected = np.zeros(64)
+        for word in re.findall(r"[^\W_]+", texts[int(row.text_hash)].lower()):
+            code = xxhash.xxh64_intdigest(word.encode(), seed=42) % 2 ** 64
+            code = (code - 2 ** 64 if code >= 2 ** 63 else code) % 128
+            expected[code // 2] += 1 - 2 * (code % 2)
+        assert np.allclose(row.embedding, expected / np.linalg.norm(expected), atol=1e-6)

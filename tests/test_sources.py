@@ -10,6 +10,7 @@ from foliospark.functions import text as X
 from foliospark.session import local_rows
 from foliospark.sources import assemble, extract, files, office
 from foliospark.sources.html import html_to_text, unescape_entities
+from foliospark.sources.walk import walk
 from testkit import archives
 
 
@@ -44,6 +45,35 @@ def test_flat_scan_and_all_types(spark, tree):
     assert names(files.scan_directory(spark, str(tree), recursive=False, extensions=None), tree) == ["a.txt", "n.xyz", "x.pdf"]
 
 
+def test_walk_equals_the_scan(spark, tree):
+    for how in ({}, {"exclude": ["excl"]}, {"exclude": ["EXCL"]}, {"recursive": False}, {"extensions": None}):
+        walked, scanned = walk(spark, str(tree), **how), files.scan_directory(spark, str(tree), **how)
+        columns = ["path", "modificationTime", "length"]
+        assert sorted(walked.collect()) == sorted(scanned.select(*columns).collect())
+    assert names(walk(spark, f"file://{tree}", where=F.col("length") > 18), tree) == ["sub/b c.TXT", "sub/deep/d.Docx", "sub/excl/e.txt"]
+    assert names(walk(spark, [str(tree), str(tree / "sub") + "/"]), tree) == names(walk(spark, str(tree)), tree)
+
+
+def test_walk_never_lists_excluded_folders(spark, tree):
+    """An excluded folder that holds itself has no end, and one that vanishes while it is listed has no entries."""
+    (tree / "sub" / "excl" / "loop").symlink_to(tree / "sub" / "excl")
+    assert names(walk(spark, str(tree), exclude=["excl"]), tree) == ["a.txt", "sub/b c.TXT", "sub/deep/d.Docx", "x.pdf"]
+    written = []
+    assert names(walk(spark, str(tree), recursive=False, written=written), tree) == ["a.txt", "x.pdf"] and len(written) == 1
+
+
+def test_walk_of_awkward_roots(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    assert walk(spark, str(tmp_path / "empty")).count() == 0 and walk(spark, []).count() == 0
+    with pytest.raises(Exception, match="gone"):
+        walk(spark, str(tmp_path / "gone")).count()
+    wide = tmp_path / "wide"
+    for i in range(300):
+        (wide / f"d{i}" / "e").mkdir(parents=True)
+        (wide / f"d{i}" / "e" / f"{i} [é].txt").write_text("x")
+    assert walk(spark, str(wide)).count() == 300
+
+
 def test_explicit_files_may_have_hidden_names(spark, tree):
     found = files.scan_files(spark, [str(tree / "_u.txt"), str(tree / "a.txt")])
     assert names(found, tree) == ["_u.txt", "a.txt"]

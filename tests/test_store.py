@@ -2,9 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliospark.operators import stats
 from foliospark.schemas import CHUNK_DOCUMENT
 from foliospark.session import scratch_path, shared_folder
-from foliospark.sinks import export
+from foliospark.sinks import clustered, export
 from foliospark.sinks.catalog import SearchTableCatalog
 from foliospark.sinks.store import TableStore, latest_version
 
@@ -107,3 +108,39 @@ def test_audit_rows_round_trip(spark):
 
 def test_shared_folder_is_read_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_rows_of_near_values_share_files(spark, tmp_path):
+    rows = [(i, f"owner{i % 50:02d}", i * 7919 % 5000, None if i % 9 == 0 else f"k{i % 3}") for i in range(6000)]
+    rows += [(10_000 + i, "owner07", 1, "k1") for i in range(3000)]  # a third of all rows in one place
+    df = spark.createDataFrame(rows, "id long, owner string, day int, kind string")
+    path = str(tmp_path / "clustered")
+    clustered.write_clustered(df, path, ["owner", "day"], files=32)
+    table = spark.read.parquet(path)
+    assert sorted(table.collect(), key=lambda r: r.id) == sorted(df.collect(), key=lambda r: r.id)
+    ends = clustered.value_ranges(table, ["owner", "day"]).collect()
+    one = [r for r in ends if r.low_owner <= "owner30" <= r.high_owner]
+    both = [r for r in one if r.low_day <= 2500 <= r.high_day]
+    assert len(ends) >= 24 and len(one) <= len(ends) // 2 and len(both) <= len(ends) // 4
+    held = [r["n"] for r in table.groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n")).collect()]
+    assert max(held) <= 3000  # the hot place is dealt over several files
+
+
+def test_clustering_of_awkward_values(spark, tmp_path):
+    schema = "id long, a string, b timestamp, c date, d double"
+    for n, rows in enumerate(([], [(1, None, None, None, None)] * 3, [(i, "same", None, None, float("nan")) for i in range(5)])):
+        df = spark.createDataFrame(rows, schema)
+        clustered.write_clustered(df, str(tmp_path / str(n)), ["a", "b", "c", "d"], files=4)
+        assert spark.read.schema(schema).parquet(str(tmp_path / str(n))).count() == len(rows)
+
+
+def test_versions_are_compared_in_differing_ranges_only(spark):
+    one = spark.range(5000).select(F.concat(F.lit("f"), "id").alias("filePath"), (F.col("id") % 17).alias("v"))
+    other = one.filter("filePath <> 'f7'").withColumn("v", F.when(F.col("filePath") == "f9", None).otherwise(F.col("v"))) \
+        .unionByName(one.limit(1).withColumn("filePath", F.lit("new")))
+    got = {tuple(r) for r in stats.verify_versions(one, other, version="v", ranges=64).collect()}
+    assert got == {("f7", "missing in table"), ("f9", "other version"), ("new", "missing in source")}
+    assert {tuple(r) for r in stats.verify_versions(one, other, ranges=1).collect()} == {("f7", "missing in table"), ("new", "missing in source")}
+    assert stats.differing_ranges(one, other, "filePath", F.col("v"), 512).count() <= 3
+    assert stats.verify_versions(one, one.repartition(3), version="v").count() == 0
+    assert stats.verify_versions(one.limit(0), one.limit(0), version="v").count() == 0
