@@ -65,3 +65,32 @@ def test_nothing_learnt_and_empty_table(spark):
     none = language.learn_profiles(docs.limit(0))
     assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
     assert language.identify(docs.limit(0), none).count() == 0
+
+
+def test_predictions_equal_plain_ranking(spark):
+    """Profiles, ranks, out-of-place distances and scores by sorted lists, for every document of the small table."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    held = {r[0] for r in docs.where(remainder("doc_id", 3) == 1).select("doc_id").collect()}
+    rows, counts = docs.select("doc_id", "text", "lang").collect(), {}
+    for r in rows:
+        if r.doc_id not in held and r.lang is not None and r.text is not None:
+            mine = counts.setdefault(r.lang, {})
+            for gram, n in simple_grams(r.text).items():
+                mine[gram] = mine.get(gram, 0) + n
+
+    def order(grams):
+        return sorted(grams, key=lambda g: (-grams[g], g))[:language.PROFILE]
+    profiles = {lang: {g: i for i, g in enumerate(order(grams))} for lang, grams in counts.items()}
+    expected = {}
+    for r in rows:
+        top = order(simple_grams(r.text or ""))
+        if not top:
+            expected[r.doc_id] = (r.doc_id in held, "und", 0.0)
+            continue
+        away = {lang: sum(abs(ranks[g] - i) if g in ranks else language.PROFILE for i, g in enumerate(top)) for lang, ranks in profiles.items()}
+        best = min(away, key=lambda lang: (away[lang], lang))
+        expected[r.doc_id] = (r.doc_id in held, best, 1 - away[best] / (language.PROFILE * len(top)))
+    got = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in QUERIES["op9_language"](spark, "/root/testdata/sf0.001").collect()}
+    assert got.keys() == expected.keys()
+    for i, (out, lang, score) in expected.items():
+        assert got[i][:2] == (out, lang) and abs(got[i][2] - score) < 1e-12

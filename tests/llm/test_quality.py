@@ -46,3 +46,38 @@ def test_awkward_rows(spark):
     none = quality.train(labelled.limit(0))
     assert {r.score for r in quality.score(docs, none).collect()} == {0.5}
     assert quality.score(docs.limit(0), none).count() == 0
+
+
+def test_training_equals_a_plain_loop(spark):
+    """All shards, epochs and updates with dictionaries, one coordinate after the other."""
+    texts = {i: " ".join(("good" if i % 2 else "bad") + str(j * i % 5) for j in range(1 + i % 4)) for i in range(1, 25)}
+    rows = [(i, t, i % 2) for i, t in texts.items()]
+    df = spark.createDataFrame(rows, "id long, text string, label int")
+    shard = {r.id: r.s for r in df.select("id", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(quality.SHARDS)).alias("s")).collect()}
+    total = {}
+    for s in set(shard.values()):
+        mine, z, n = [i for i in sorted(texts) if shard[i] == s], {}, {}
+
+        def weight(k):
+            a = z.get(k, 0.0)
+            return 0.0 if abs(a) <= quality.L1 else -(a - np.sign(a) * quality.L1) / ((quality.BETA + n.get(k, 0.0) ** 0.5) / quality.ALPHA + quality.L2)
+        order = np.random.default_rng(1)
+        for _ in range(quality.EPOCHS):
+            for at in order.permutation(len(mine)):
+                slots = quality.features(texts[mine[at]]).tolist()
+                values = {k: quality.SCALE * slots.count(k) / len(slots) for k in slots} | {"bias": 1.0}
+                w = {k: weight(k) for k in values}
+                error = 1 / (1 + np.exp(-sum(w[k] * v for k, v in values.items()))) - mine[at] % 2
+                for k, v in values.items():
+                    g = error * v
+                    before = n.get(k, 0.0)
+                    z[k] = z.get(k, 0.0) + g - ((before + g * g) ** 0.5 - before ** 0.5) / quality.ALPHA * w[k]
+                    n[k] = before + g * g
+        for k in z:
+            total[k] = total.get(k, 0.0) + weight(k) * len(mine) / len(texts)
+    weights = quality.train(df)
+    assert set(np.flatnonzero(weights).tolist()) == {1 << quality.BITS if k == "bias" else k for k, w in total.items() if abs(w) > 1e-9}
+    for r in quality.score(df, weights, "id").collect():
+        slots = quality.features(texts[r.id]).tolist()
+        margin = total["bias"] + quality.SCALE * sum(total.get(k, 0.0) for k in slots) / len(slots)
+        assert abs(r.score - 1 / (1 + np.exp(-margin))) < 1e-5
