@@ -295,3 +295,14 @@ def test_hashed_vectors_equal_a_plain_loop(spark):
             code = (code - 2 ** 64 if code >= 2 ** 63 else code) % 128
             expected[code // 2] += 1 - 2 * (code % 2)
         assert np.allclose(row.embedding, expected / np.linalg.norm(expected), atol=1e-6)
+
+
+def test_salts_follow_the_count_of_a_hot_key(spark):
+    facts = spark.range(3000).select("id", F.when(F.col("id") < 2000, "hot").when(F.col("id") < 2600, "warm").otherwise(
+        F.concat(F.lit("k"), F.col("id"))).alias("key"))
+    lookup = facts.select("key", F.xxhash64("key").alias("v")).distinct().filter("key <> 'k2999'")
+    assert dict(map(tuple, hot_keys(facts, "key", 10, 100).collect())) == {"hot": 2000, "warm": 600}
+    for how in ({"rows_per_salt": 150}, {"rows_per_salt": 10**6}, {"salts": 1}):
+        got = lookup_join(facts, lookup, "key", F.col("id"), share=10, min_rows=100, **how)
+        assert got.columns == ["key", "id", "v"] and got.count() == 3000 and got.select("id").distinct().count() == 3000
+        assert got.filter("v IS NULL OR v <> xxhash64(key)").select("key", "v").collect() == [("k2999", None)]
