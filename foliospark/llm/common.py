@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from foliospark.session import BATCH_BYTES, bounded_batches  # noqa: F401 - the operators import them from here
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
-#: Bytes of text that one Arrow batch may hold, so that long texts do not fill a Python worker.
-BATCH_BYTES = 8 << 20
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -44,13 +44,6 @@ def remainder(column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Limit Arrow batches by bytes as well as by rows."""
-    if spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) != str(BATCH_BYTES):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-
-
 _KEPT: dict[tuple, object] = {}
 
 
