@@ -25,7 +25,7 @@ from foliospark.functions.text import query_terms
 from foliospark.operators.keyword import field_tokens
 from foliospark.operators.postings import postings
 from foliospark.operators.topk import top
-from foliospark.session import local_rows, remove_folder, scratch, staged
+from foliospark.session import local_rows, remove_folder
 from foliospark.sinks.store import TableStore, read_or_empty
 
 POSTINGS_PER_FILE = 2_000_000
@@ -61,11 +61,13 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _written(docs: DataFrame, path: str) -> tuple[int, int]:
-    """Write (id, ..., length) and return how many rows and how many tokens there were, observed by the same job."""
+def _written(docs: DataFrame, path: str, words: Column | None = None) -> tuple[int, int, int]:
+    """Write (id, ..., length) and return how many rows, tokens and, by ``words``, postings there were, observed by the same job."""
     seen = Observation()
-    docs.observe(seen, F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens")).write.parquet(path)
-    return seen.get["documents"], seen.get["tokens"]
+    docs.withColumn("_words", F.lit(0) if words is None else words).observe(
+        seen, F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"),
+        F.coalesce(F.sum("_words"), F.lit(0)).alias("postings")).drop("_words", "_tokens").write.option("compression", "zstd").parquet(path)
+    return seen.get["documents"], seen.get["tokens"], seen.get["postings"]
 
 
 class TermIndex:
@@ -137,7 +139,7 @@ class TermIndex:
     def _segment(self, table: TableStore, commit: Row, earlier: list[Segment]) -> tuple[tuple[int, int], tuple[int, int], Segment]:
         """Write the segment of one commit: what it adds and removes as (documents, tokens), and the segment."""
         folder = self._folder()
-        lost = (0, 0)
+        lost = (0, 0, 0)
         if commit["key"] and earlier:
             if commit["key"] not in (self.id_col, self.key):
                 raise ValueError(f"rows were replaced by {commit['key']}, the index knows {self.id_col} and {self.key}")
@@ -146,30 +148,32 @@ class TermIndex:
             gone = self._live_docs(earlier).join(keys, name, "left_semi").select("id", "length")
             lost = _written(gone, f"{self.path}/{folder}/removed")
         if commit["kind"] == "erase":
-            return (0, 0), lost, Segment(folder, commit["version"], 0, 0, 0)
+            return (0, 0), lost[:2], Segment(folder, commit["version"], 0, 0, 0)
         rows = table.rows_of(commit).withColumn(self.id_col, F.col(self.id_col).cast("string"))
         key = F.col(self.key) if self.key in rows.columns else F.lit(None)
-        gained = _written(rows.select(F.col(self.id_col).alias("id"), key.cast("string").alias("key"),
-                                      F.size(field_tokens(self.fields)).alias("length")), f"{self.path}/{folder}/docs")
-        size, buckets = self._write(postings(rows, self.fields, self.id_col), folder)
-        return gained, lost, Segment(folder, commit["version"], size, self._tier(size), buckets)
-
-    def _write(self, found: DataFrame, folder: str) -> tuple[int, int]:
-        """Write postings by bucket and sorted by term; returns their number and that of the buckets."""
-        with scratch(self.spark) as folders:
-            seen = Observation()
-            kept = staged(found.observe(seen, F.count(F.lit(1)).alias("size")), "postings", folders)
-            size = seen.get["size"]
-            buckets = min(MOST_BUCKETS, max(1, math.ceil(size / self.per_file)))
-            share = F.lit(0)
-            if buckets > 1:  # else no word can be that common; there are fewer than size / per_file such words
-                common = kept.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > self.per_file)
-                kept = kept.join(common, "term", "left")
-                share = F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("n", F.lit(1)) / self.per_file))
-            dealt = kept.withColumn("bucket", _bucket(F.col("term"), buckets)).withColumn("share", share)
-            dealt.drop("n").repartition("bucket", "share").drop("share").sortWithinPartitions("bucket", "term") \
-                .write.partitionBy("bucket").parquet(f"{self.path}/{folder}/postings")
-        return size, buckets
+        tokens = rows.select(F.col(self.id_col).alias("id"), key.cast("string").alias("key"), field_tokens(self.fields).alias("_tokens"))
+        docs, words, size = _written(tokens.select("id", "key", F.size("_tokens").alias("length"), "_tokens"), f"{self.path}/{folder}/docs",
+                                     F.size(F.array_distinct("_tokens")))
+        terms = tokens.select(F.explode(F.array_distinct("_tokens")).alias("term"))
+        size, buckets = self._write(postings(rows, self.fields, self.id_col), terms, size, folder)
+        return (docs, words), lost[:2], Segment(folder, commit["version"], size, self._tier(size), buckets)
+
+    def _write(self, found: DataFrame, terms: DataFrame, most: int, folder: str) -> tuple[int, int]:
+        """Write postings by bucket and sorted by term; returns their number and that of the buckets.
+
+        There are at most ``most`` postings, and ``terms`` has at least one row for each of them, its word. Both are known
+        before the postings are made, which so are shuffled and written once and never kept beside.
+        """
+        buckets, share, seen = min(MOST_BUCKETS, max(1, math.ceil(most / self.per_file))), F.lit(0), Observation()
+        found = found.observe(seen, F.count(F.lit(1)).alias("size"))
+        if buckets > 1:  # else no word can be that common; there are fewer than most / per_file such words
+            common = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > self.per_file)
+            found = found.join(F.broadcast(common), "term", "left")
+            share = F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("n", F.lit(1)) / self.per_file))
+        dealt = found.withColumn("bucket", _bucket(F.col("term"), buckets)).withColumn("share", share)
+        dealt.drop("n").repartition("bucket", "share").drop("share").sortWithinPartitions("bucket", "term") \
+            .write.option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/{folder}/postings")
+        return seen.get["size"], buckets
 
     def _tier(self, size: int) -> int:
         return max(0, math.floor(math.log(max(1, size) / self.per_file, self.fan_in)) + 1) if size > self.per_file else 0
@@ -195,7 +199,8 @@ class TermIndex:
         self._live_docs(run).drop("version").write.parquet(f"{self.path}/{folder}/docs")
         if not oldest:  # there are earlier rows that these removals hide
             _union([self._removed(s.folder) for s in run]).dropDuplicates(["id"]).write.parquet(f"{self.path}/{folder}/removed")
-        size, buckets = self._write(self._live(run, self._postings(run)).drop("version"), folder)
+        every = self._postings(run)
+        size, buckets = self._write(self._live(run, every).drop("version"), every.select("term"), sum(s.postings for s in run), folder)
         return Segment(folder, run[-1].version, size, max(tier, self._tier(size)), buckets)
 
     # ---- reading
