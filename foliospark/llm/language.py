@@ -16,9 +16,9 @@ from foliospark.llm.common import bounded_batches, once
 LONGEST = 3
 PROFILE = 400
 BLOCK = 1 << 18
-#: How many documents the threshold of a language is fitted on, the share of them that may score lower, and the part of
-#: that score which is the threshold.
-THRESHOLD_ROWS, THRESHOLD_SHARE, THRESHOLD_PART = 10_000, 0.01, 0.5
+#: The share of documents that may score lower than the score the threshold is taken from, the part of that score which is
+#: the threshold, and the steps that scores are counted in.
+THRESHOLD_SHARE, THRESHOLD_PART, THRESHOLD_STEPS = 0.01, 0.5, 10_000
 
 
 def letter_table() -> np.ndarray:
@@ -175,18 +175,23 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     return rows.mapInArrow(run, schema)
 
 
-def least_score(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", rows: int = THRESHOLD_ROWS,
-                share: float = THRESHOLD_SHARE, part: float = THRESHOLD_PART) -> float:
+def least_score(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text",
+                share: float = THRESHOLD_SHARE, part: float = THRESHOLD_PART, steps: int = THRESHOLD_STEPS) -> float:
     """The score below which a text counts as being in no learnt language, from the scores of texts that are in one.
 
-    Of about ``rows`` documents, those whose id has a hash that the number of blocks divides, the score is taken that
-    all but ``share`` of them reach; the threshold is ``part`` of it, so that texts of the learnt languages, also odd
-    ones, stay well above it. Texts without letters do not count; without any text the threshold is 0.
+    All of ``docs`` are scored and counted by score, rounded down to one of ``steps``; the highest step is taken that at
+    most ``share`` of them score lower than. The threshold is ``part`` of it, so that texts of the learnt languages, also
+    odd ones, stay well above it. Texts without letters do not count; without any text the threshold is 0. The driver gets
+    one count for each step.
     """
-    blocks = max(1, docs.count() // rows)
-    scored = identify(docs.where(F.pmod(F.xxhash64(id_col), F.lit(blocks)) == 0), profiles, id_col, text_col)
-    low = scored.where("lang_pred <> 'und'").agg(F.percentile("score", share)).first()[0]
-    return part * (low or 0.0)
+    scored = identify(docs, profiles, id_col, text_col).where("lang_pred <> 'und'")
+    counts = {r["step"]: r["count"] for r in scored.groupBy(F.floor(F.col("score") * steps).alias("step")).count().collect()}
+    lower, most = 0, share * sum(counts.values())
+    for step in sorted(counts):
+        lower += counts[step]
+        if lower > most:
+            return part * step / steps
+    return 0.0
 
 
 def in_known_language(docs: DataFrame, profiles: Profiles, text_col: str = "text", least: float = 0.0,

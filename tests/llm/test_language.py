@@ -94,3 +94,16 @@ def test_predictions_equal_plain_ranking(spark):
     assert got.keys() == expected.keys()
     for i, (out, lang, score) in expected.items():
         assert got[i][:2] == (out, lang) and abs(got[i][2] - score) < 1e-12
+
+
+def test_threshold_counts_every_document(spark):
+    """The lowest scores decide; a sample of 10,000 rows by a hash of the id missed most of them."""
+    good = "the quick brown fox jumps over the lazy dog and then the dog sleeps"
+    texts = spark.range(30_000).selectExpr("id AS doc_id", f"CASE WHEN id < 29600 THEN '{good}' ELSE 'жщ' END AS text", "'en' AS lang")
+    docs = texts.repartition(8)
+    profiles = language.learn_profiles(docs.where("doc_id < 29600"))
+    scores = sorted(r.score for r in language.identify(docs, profiles).select("score").collect())
+    for share in (0.01, 0.0133, 0.014, 0.5):
+        lowest = scores[int(share * len(scores))]
+        assert abs(language.least_score(docs, profiles, share=share) - 0.5 * int(lowest * 10_000) / 10_000) < 1e-9
+    assert language.least_score(docs.limit(0), profiles) == 0.0
