@@ -22,8 +22,7 @@ def not_blank(text: Column | str) -> Column:
 
 def _joined(order: str, text: str, separator: str) -> Column:
     """Aggregate: the texts of a group in ascending order, joined."""
-    return F.array_join(
-        F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda s: s[text]), separator)
+    return F.array_join(F.sort_array(F.collect_list(F.struct(order, text))).getField(text), separator)
 
 
 def ordered_join(parts: DataFrame, keys: list[str], position: str, text: str, separator: str,
@@ -50,19 +49,32 @@ def assemble_sheets(cells: DataFrame, doc: str = "doc", sheet: str = "sheet", ti
     """(doc, sheet number, title, row, column, value) rows to text: a header per sheet, then one
     line per row with its non-null cells; a row without values gives no line.
 
-    Cells are shuffled once, by runs of rows; that placement serves both the joining of cells
-    to lines and of lines to runs. The headers are a small table of their own, put in front as
-    run -1 of each sheet.
+    Two groupings, each combined before its shuffle: cells to runs of rows, whose title goes with them, and runs to
+    documents. In a document's sorted parts the headers of a sheet come first and the least one of them is kept.
     """
-    placed = cells.filter(F.col(value).isNotNull()) \
-        .withColumn("_run", F.floor(F.col(row) / run_length)).repartition(doc, sheet, "_run")
-    lines = placed.groupBy(doc, sheet, "_run", row).agg(_joined(column, value, " | ").alias("_text"))
-    runs = lines.groupBy(doc, sheet, "_run").agg(_joined(row, "_text", "\n").alias("_text"))
-    headers = cells.groupBy(doc, sheet).agg(F.min(title).alias("_title")).select(
-        doc, sheet, F.lit(-1).cast("bigint").alias("_run"),
-        F.concat(F.lit("[Sheet: "), F.col("_title"), F.lit("]")).alias("_text"))
-    parts = headers.unionByName(runs).withColumn("_place", F.struct(sheet, "_run"))
-    return parts.groupBy(doc).agg(_joined("_place", "_text", "\n").alias("content"))
+    cell = F.struct(F.col(row).alias("row"), F.col(column).alias("column"), F.col(value).alias("value"))
+    runs = cells.withColumn("_run", F.floor(F.col(row) / run_length)).groupBy(doc, sheet, "_run").agg(
+        F.sort_array(F.collect_list(F.when(F.col(value).isNotNull(), cell))).alias("_cells"), F.min(title).alias("_title"))
+
+    def placed(x: Column, i: Column) -> Column:
+        same = F.get("_cells", i - 1)["row"].eqNullSafe(x["row"])
+        return F.concat(F.when(i == 0, "").when(same, " | ").otherwise("\n"), x["value"])
+
+    runs = runs.withColumn("_text", F.when(F.size("_cells") > 0, F.array_join(F.transform("_cells", placed), "")))
+
+    def part(kind: int, text: Column, title: Column, run: Column) -> Column:
+        return F.collect_list(F.when(text.isNotNull(), F.struct(
+            F.col(sheet).alias("sheet"), F.lit(kind).alias("kind"), title.alias("title"), run.alias("run"), text.alias("text"))))
+
+    header = F.concat(F.lit("[Sheet: "), F.col("_title"), F.lit("]"))
+    parts = F.concat(part(0, header, F.col("_title"), F.lit(None).cast("bigint")),
+                     part(1, F.col("_text"), F.lit(None).cast("string"), F.col("_run")))
+
+    def kept(x: Column, i: Column) -> Column:
+        return F.when((x["kind"] == 1) | (i == 0) | ~F.get("_parts", i - 1)["sheet"].eqNullSafe(x["sheet"]), x["text"])
+
+    return runs.groupBy(doc).agg(F.sort_array(parts).alias("_parts")).select(
+        doc, F.array_join(F.transform("_parts", kept), "\n").alias("content"))
 
 
 def assemble_paragraphs(parts: DataFrame, doc: str = "doc", kind: str = "kind", position: str = "position",

@@ -179,6 +179,19 @@ def test_sheet_without_values_keeps_its_header(spark):
     assert assemble.assemble_sheets(cells).first()["content"] == "[Sheet: Empty]\n[Sheet: Full]\na | b\nz"
 
 
+def test_sheets_read_their_cells_once(spark, tmp_path):
+    # Titles differ within a sheet of several runs, rows and titles are missing: the least title of a sheet stands once.
+    rows = [("d", 7, "T" if r % 2000 else "S", r, c, f"v{r}.{c}" if (r + c) % 3 else None) for r in range(0, 4100, 50) for c in (2, 1)]
+    rows += [("d", 3, None, 5, 1, "x"), ("d", 3, None, None, 1, "y"), ("d", 8, None, 1, 1, None), ("d", None, "N", 1, 1, "n"), ("e", 1, None, 1, 1, None),
+             (None, 1, "E", 2, 1, ""), (None, 1, "E", 1, 1, None), (None, 1, "E", 3, 2, "b"), (None, 1, "E", 3, 1, "a")]
+    spark.createDataFrame(rows, "doc string, sheet int, title string, row int, column int, value string").write.parquet(str(tmp_path / "cells"))
+    out = assemble.assemble_sheets(spark.read.parquet(str(tmp_path / "cells")))
+    lines = [" | ".join(f"v{r}.{c}" for c in (1, 2) if (r + c) % 3) for r in range(0, 4100, 50)]
+    expected = "\n".join(["[Sheet: N]", "n", "y", "x", "[Sheet: S]", *[x for x in lines if x]])
+    assert {r["doc"]: r["content"] for r in out.collect()} == {"d": expected, "e": "", None: "[Sheet: E]\n\na | b"}
+    assert out._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+
+
 def test_html_entities_and_hidden_parts(spark):
     page = "<html><head><STYLE>p{}</STYLE><script>var a='<p>';</script></head><body><!-- no --><p>A &amp; B &#8364; &lt;x&gt;</p>2 < 3</body>"
     df = spark.createDataFrame([(page,)], "html string")
