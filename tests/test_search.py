@@ -13,6 +13,7 @@ from foliospark.operators.results import fall_back, sort_by
 from foliospark.operators.skew import hot_keys, lookup_join
 from foliospark.session import scratch_path
 from foliospark.plans.search import SearchTable, render_results
+from testkit import relations
 
 WORDS = [f"w{i}" for i in range(30)]
 
@@ -306,3 +307,11 @@ def test_salts_follow_the_count_of_a_hot_key(spark):
         got = lookup_join(facts, lookup, "key", F.col("id"), share=10, min_rows=100, **how)
         assert got.columns == ["key", "id", "v"] and got.count() == 3000 and got.select("id").distinct().count() == 3000
         assert got.filter("v IS NULL OR v <> xxhash64(key)").select("key", "v").collect() == [("k2999", None)]
+
+
+def test_search_table_is_stored_once(spark):
+    # A search reads its table several times: no join behind it, and the same files for every query of a session.
+    first, again = (relations.search_table(spark, "/root/testdata/sf0.001") for _ in range(2))
+    assert "Join" not in first._jdf.queryExecution().optimizedPlan().toString()
+    assert first.inputFiles() == again.inputFiles() and first.count() == 200
+    assert first.where("contentVector is not null").count() > 0
