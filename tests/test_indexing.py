@@ -177,3 +177,36 @@ def test_stream_takes_each_file_once(spark, share):
     run()
     assert table.read().count() == 4 and cache.read().count() == 4
     assert {r["name"] for r in table.read().collect()} == {"a.txt", "b.txt", "new.txt"}
+
+
+def stream_tables(spark):
+    base = scratch_path(spark, "stream")
+    return base, TableStore(spark, f"{base}/documents", CHUNK_DOCUMENT), TableStore(spark, f"{base}/state", INDEX_STATE), \
+        EmbeddingCache(spark, f"{base}/embeddings")
+
+
+def test_batches_of_a_stream_are_indexed_together(spark, share):
+    for group_bytes, commits in ((1 << 20, [1]), (1, [2, 3])):
+        base, table, state, cache = stream_tables(spark)
+        stream = stream_files(spark, str(share), (".txt",), files_per_batch=1)
+        ingest_stream(stream, table, state, cache, EMBED, f"{base}/checkpoint", SMALL, group_bytes=group_bytes)
+        assert sorted(os.path.basename(r["filePath"]) for r in state.read().collect()) == ["a.txt", "b.txt"]
+        assert table.read().count() == 3 and len(state.commits()) in commits
+        assert not os.path.exists(f"{base}/checkpoint-inbox")
+
+
+def test_a_stream_goes_on_where_it_was_interrupted(spark, share):
+    base, table, state, cache = stream_tables(spark)
+
+    def run(embedder):
+        ingest_stream(stream_files(spark, str(share), (".txt",), files_per_batch=1), table, state, cache, embedder, f"{base}/checkpoint", SMALL)
+
+    def failing(texts):
+        raise RuntimeError("no model")
+    with pytest.raises(RuntimeError):
+        run(failing)
+    assert table.read().count() == 0
+    run(EMBED)  # the stream has nothing new
+    assert table.read().count() == 3 and state.read().count() == 2
+    run(failing)  # and now there is nothing to index
+    assert table.read().count() == 3
