@@ -37,10 +37,10 @@ def components(edges: DataFrame) -> DataFrame:
     Edges from an id to itself count as the id alone. An empty table gives no rows.
     """
     alone = edges.where("a = b").select("a")
-    held = staged(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    held = staged(edges.where("a <> b").select("a", "b").distinct(), "edges", short=True)
     before = _mark(held)
     while before[0]:
-        held = staged(_small_star(_large_star(held)), "edges")
+        held = staged(_small_star(_large_star(held)), "edges", short=True)
         after = _mark(held)
         if after == before:
             break

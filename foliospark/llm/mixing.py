@@ -95,7 +95,7 @@ def _taken(rows: DataFrame, weights, share: float, repeats: int, seed: str) -> D
     sums = rows.groupBy("key", "bucket").agg(F.sum("size").alias("size")).withColumn("ahead", F.coalesce(ahead, F.lit(0))).drop("size")
     inside = F.sum("size").over(Window.partitionBy("key", "bucket").orderBy("place", "id", "size").rowsBetween(Window.unboundedPreceding, -1))
     queued = rows.withColumn("inside", F.coalesce(inside, F.lit(0))).join(sums.join(targets, "key"), ["key", "bucket"])
-    queued = staged(queued.withColumn("before", F.col("ahead") + F.col("inside")).drop("inside", "ahead", "bucket"), "queue")
+    queued = staged(queued.withColumn("before", F.col("ahead") + F.col("inside")).drop("inside", "ahead", "bucket"), "queue", short=True)
 
     queue = queued.where("size > 0").select("row", "id", "place", F.inline(_pieces(repeats))).withColumn("slot", _slot(F.col("finish")))
     budget = int(targets.agg(F.floor(F.coalesce(F.sum("target"), F.lit(0.0)))).first()[0])

@@ -305,35 +305,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     held = staged(sketches(docs, id_col, text_col), "sketches")
     known = held.where("id IS NOT NULL AND size(keys) > 0")
-    heads = staged(known.groupBy("digest").agg(F.min("id").alias("head"), F.count("*").alias("n")), "heads")
+    heads = staged(known.groupBy("digest").agg(F.min("id").alias("head"), F.count("*").alias("n")), "heads", short=True)
     copies = spread_lookup(known.select("id", "digest"), heads.where("n > 1"), ["digest"], ["id"]).select("id", "head").where("id <> head")
     rows = known.join(heads.select("digest", F.col("head").alias("id")), ["digest", "id"], "left_semi").dropDuplicates(["id"])
     keys = rows.select("id", F.posexplode("keys").alias("place", "key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
     # A key with a large share of the rows is split by adaptive execution, as both sides are plain shuffles.
-    members = staged(keys.join(shared.select("key", "a"), "key"), "members")
+    members = staged(keys.join(shared.select("key", "a"), "key"), "members", short=True)
 
     text_of = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     candidates = members.select("id").distinct()
     texts = staged(text_of.join(candidates.hint("shuffle_hash"), "id", "left_semi").dropDuplicates(["id"]), "texts")
     first = members.where("a <> id").select("a", F.col("id").alias("b")).distinct()
-    tested = staged(verified(staged(first, "pairs"), texts, least), "tested")
+    tested = staged(verified(staged(first, "pairs", short=True), texts, least), "tested", short=True)
     links = tested.where("linked").select("a", "b")
 
     # Four bytes of each key tell whether two texts agree in it.
     signs = F.unhex(F.array_join(F.transform("keys", lambda k: F.lpad(F.hex(k.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), ""))
-    open_members = _open_members(members, staged(components(links), "labels"))
+    open_members = _open_members(members, staged(components(links), "labels", short=True))
     distance = tested.select("a", F.col("b").alias("id"), "away")
     open_members = open_members.join(distance, ["a", "id"], "left").withColumn("away", F.coalesce("away", F.lit(0.0)))
     open_members = staged(open_members.join(rows.select("id", signs.alias("signs"), "size", "profile"), "id"), "open")
     for best in (BEST, 0):
-        pairs = staged(_further_pairs(open_members, least, best).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        tested = tested.unionByName(staged(verified(pairs, texts, least), "tested"))
+        pairs = staged(_further_pairs(open_members, least, best).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs", short=True)
+        tested = tested.unionByName(staged(verified(pairs, texts, least), "tested", short=True))
         links = tested.where("linked").select("a", "b")
         if best:
-            open_members = staged(_open_members(open_members.drop("n"), staged(components(links), "labels")), "open")
+            open_members = staged(_open_members(open_members.drop("n"), staged(components(links), "labels", short=True)), "open")
     linked = links.union(copies.select(F.col("head").alias("a"), F.col("id").alias("b")))
-    classes = staged(components(linked), "classes")
+    classes = staged(components(linked), "classes", short=True)
     return held.select("id").join(classes, "id", "left").select(
         F.col("id").alias(id_col), F.coalesce("component", "id").alias("component"))
 

@@ -3,12 +3,13 @@
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from foliospark.session import local_rows, scratch_path
+from foliospark.session import local_rows, scratch_path, shared_folder
 from tests.llm.helpers import words
 from tests.llm.test_omh import classes, mutated, similarity
 
@@ -108,3 +109,29 @@ def test_awkward_documents_go_through_all_stages(spark):
             assert docs.where("doc_id >= 900").count() == 1
             assert docs.groupBy("doc_id").count().where("count > 1").count() == 0
     assert docs.agg({"length": "sum"}).first()[0] > 0
+
+
+def test_tables_of_short_rows_are_written_in_few_files(spark):
+    """With many shuffle partitions, which are not put together, a table of short rows is no file per partition."""
+    docs = local_rows(spark, [r for r in documents() if r[1]], SCHEMA)
+    stages = dict(corpus_pipeline.STAGES)
+    names = ("exact_dedup", "near_dedup", "mix_sources")
+    want = [sorted(map(str, stages[n](spark, docs, "").collect())) for n in names]
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    shared = Path(shared_folder(spark))
+    old = {*shared.iterdir()}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = [sorted(map(str, stages[n](spark, docs, "").collect())) for n in names]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == want
+    most = spark.sparkContext.defaultParallelism
+    for name in ("first-seen", "stage-heads", "stage-members", "stage-pairs", "stage-tested", "stage-edges", "stage-labels",
+                 "stage-classes", "stage-queue"):
+        folders = [f for f in shared.glob(f"{name}-*") if f not in old]
+        folders = [b for f in folders for b in f.glob("batch=[0-9]*")] if name == "first-seen" else folders
+        assert folders and all(1 <= len([*f.glob("*.parquet")]) <= most for f in folders), name
