@@ -9,10 +9,11 @@ from foliospark.operators.embedding import HashingEmbedder, needed_part
 from foliospark.operators.stats import extraction_statistics
 from foliospark.plans.indexing import IndexSettings, index_files, index_standard, index_vector, run_statistics
 from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STANDARD_DOCUMENT
-from foliospark.session import local_rows, scratch_path, shared_folder, staged
+from foliospark.session import local_rows, scratch_path, setting, shared_folder, staged
 from foliospark.sinks.cache import EmbeddingCache, fill, look_up
 from foliospark.sinks.store import TableStore, erase_owner
-from foliospark.streaming.ingest import ingest_stream, stream_files
+from foliospark.sources.files import plain_path
+from foliospark.streaming.ingest import ingest_stream, land_files, stream_files
 from testkit import archives
 
 EMBED = HashingEmbedder(32)
@@ -210,3 +211,24 @@ def test_a_stream_goes_on_where_it_was_interrupted(spark, share):
     assert table.read().count() == 3 and state.read().count() == 2
     run(failing)  # and now there is nothing to index
     assert table.read().count() == 3
+
+
+def test_a_batch_lands_whole_and_a_repeated_one_takes_its_place(spark, share, tmp_path):
+    """Without the marks and checksums of Spark's writer, each of which is a file and a started program."""
+    batch = spark.read.format("binaryFile").load(str(share)).withColumn("path", plain_path("path"))
+    inbox = tmp_path / "inbox"
+    for rows in (batch, batch.filter("length < 100"), batch.filter("length < 0")):
+        size = land_files(rows, f"file://{inbox}/batch=7")
+        found = [os.path.join(base, f) for base, _, names in os.walk(inbox) for f in names]
+        assert all(f.endswith(".parquet") for f in found) and sum(map(os.path.getsize, found)) == size
+        landed = spark.read.schema(rows.schema).parquet(*found).collect() if found else []
+        assert sorted(landed) == sorted(rows.collect())
+
+
+def test_a_setting_ends_with_its_block(spark):
+    key = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    before = spark.conf.get(key)
+    with pytest.raises(RuntimeError), setting(spark, key, "7"):
+        assert spark.conf.get(key) == "7"
+        raise RuntimeError
+    assert spark.conf.get(key) == before
