@@ -1,11 +1,12 @@
 """A term index that follows its table: posting segments, one per commit, merged as they grow in number.
 
-A segment is a folder of plain Parquet: ``postings`` (term, id, tf, length) in folders by a hash bucket of the term, sorted
-by term, ``docs`` (id, key, length), and ``removed`` (id), the rows of earlier segments that its commit replaced or erased.
-The number of buckets follows the size of the segment, and a word that is common in it is dealt over as many files as its
-measured count asks for. A posting is live unless a later segment removed its id; that is an anti join of the postings
-of the query's words. Number of documents and of tokens are kept up to date by each refresh, which adds what a commit
-brought and subtracts what it removed.
+Every row that a commit brings gets a number of its own, by its place in the commit's files. A segment is a folder of plain
+Parquet: ``postings`` (term, number, tf) in folders by a hash bucket of the term, sorted by term and number, ``docs`` (number, id,
+key, length), and ``removed`` (number), the rows of earlier segments that its commit replaced or erased. The number of
+buckets follows the size of the segment, and a word that is common in it is dealt over as many files as its measured
+count asks for. Numbers are dense, so those removed are bitmaps of a bit per row, which are broadcast: postings are looked up
+in them and never shuffled to be told from those that are gone. Ids are joined to the hits of a query. Number of documents
+and of tokens are kept up to date by each refresh, which adds what a commit brought and subtracts what it removed.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from foliospark.functions.text import query_terms
 from foliospark.operators.keyword import field_tokens
 from foliospark.operators.postings import postings
 from foliospark.operators.topk import top
-from foliospark.session import local_rows, remove_folder
+from foliospark.session import freeing_shuffles, local_rows, remove_folder
 from foliospark.sinks.store import TableStore, read_or_empty
 
 POSTINGS_PER_FILE = 2_000_000
@@ -37,7 +38,11 @@ SEGMENT = T.StructType([T.StructField("folder", T.StringType()), T.StructField("
                         T.StructField("postings", T.LongType()), T.StructField("tier", T.IntegerType()), T.StructField("buckets", T.IntegerType())])
 STATE = T.StructType([
     T.StructField("number", T.LongType()), T.StructField("table_version", T.LongType()), T.StructField("documents", T.LongType()),
-    T.StructField("tokens", T.LongType()), T.StructField("segments", T.ArrayType(SEGMENT)), T.StructField("obsolete", T.ArrayType(T.StringType()))])
+    T.StructField("tokens", T.LongType()), T.StructField("rows", T.LongType()), T.StructField("segments", T.ArrayType(SEGMENT)), T.StructField("obsolete", T.ArrayType(T.StringType()))])
+
+
+#: Rows of one bitmap, as Spark's bitmap functions make them.
+BITMAP_ROWS = 32_768
 
 
 class StaleIndex(ValueError):
@@ -61,12 +66,28 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _numbered(rows: DataFrame, first: int) -> tuple[DataFrame, int]:
+    """The rows of stored files with ``number``, counted from ``first`` in the order of the files; returns the next number as well.
+
+    A row's number is that of its file's first row, for which the driver gets one count per file, and its place in the file,
+    so it is the same in every job that reads the files.
+    """
+    placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    begins = []
+    for count in sorted(placed.groupBy("_file").count().collect()):
+        begins.append((count["_file"], first))
+        first += count["count"]
+    begin = local_rows(rows.sparkSession, begins, "_file string, _begin long")
+    return placed.join(F.broadcast(begin), "_file").withColumn("number", F.col("_begin") + F.col("_row")).drop("_file", "_row", "_begin"), first
+
+
 def _written(docs: DataFrame, path: str, words: Column | None = None) -> tuple[int, int, int]:
-    """Write (id, ..., length) and return how many rows, tokens and, by ``words``, postings there were, observed by the same job."""
+    """Write (number, ..., length) and return how many rows, tokens and, by ``words``, postings there were, observed by the same job."""
     seen = Observation()
-    docs.withColumn("_words", F.lit(0) if words is None else words).observe(
-        seen, F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"),
-        F.coalesce(F.sum("_words"), F.lit(0)).alias("postings")).drop("_words", "_tokens").write.option("compression", "zstd").parquet(path)
+    with freeing_shuffles(docs.sparkSession):
+        docs.withColumn("_words", F.lit(0) if words is None else words).observe(
+            seen, F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens"),
+            F.coalesce(F.sum("_words"), F.lit(0)).alias("postings")).drop("_words", "_tokens").write.option("compression", "zstd").parquet(path)
     return seen.get["documents"], seen.get["tokens"], seen.get["postings"]
 
 
@@ -82,14 +103,15 @@ class TermIndex:
     # ---- state
 
     def _state(self) -> Row | None:
-        rows = read_or_empty(self.spark, f"{self.path}/state", STATE)
+        # An index of ids, from before rows had numbers, counts as none and is built anew.
+        rows = read_or_empty(self.spark, f"{self.path}/state", STATE).filter(F.col("rows").isNotNull())
         return rows.orderBy(F.desc("number")).first()  # one row per refresh, the newest one counts
 
-    def _save(self, before: Row | None, version: int, documents: int, tokens: int, segments: list[Segment]) -> None:
+    def _save(self, before: Row | None, version: int, documents: int, tokens: int, rows: int, segments: list[Segment]) -> None:
         kept = {s.folder for s in segments}
         # Folders that are superseded now stay until the next refresh, for searches that have begun.
         old = sorted({s["folder"] for s in before["segments"]} - kept) if before else []
-        row = ((before["number"] + 1) if before else 0, version, documents, tokens,
+        row = ((before["number"] + 1) if before else 0, version, documents, tokens, rows,
                [(s.folder, s.version, s.postings, s.tier, s.buckets) for s in segments], old)
         local_rows(self.spark, [row], STATE).coalesce(1).write.mode("append").parquet(f"{self.path}/state")
         for folder in (before["obsolete"] if before else []):
@@ -116,7 +138,7 @@ class TermIndex:
             return 0
         self._made = []
         segments = [Segment(**s.asDict()) for s in state["segments"]] if state else []
-        documents, tokens = (state["documents"], state["tokens"]) if state else (0, 0)
+        documents, tokens, rows = (state["documents"], state["tokens"], state["rows"]) if state else (0, 0, 0)
         for commit in new:
             if commit["kind"] == "base":
                 if commit["version"] == seen + 1 and state:
@@ -124,10 +146,10 @@ class TermIndex:
                     continue
                 segments, documents, tokens = [], 0, 0
             seen = commit["version"]
-            gained, lost, segment = self._segment(table, commit, segments)
+            gained, lost, segment, rows = self._segment(table, commit, segments, rows)
             documents, tokens = documents + gained[0] - lost[0], tokens + gained[1] - lost[1]
             segments = self._merged([*segments, segment])
-        self._save(state, seen, documents, tokens, segments)
+        self._save(state, seen, documents, tokens, rows, segments)
         for folder in set(self._made) - {s.folder for s in segments}:  # merged before anybody could read them
             remove_folder(self.spark, f"{self.path}/{folder}")
         return len(new)
@@ -136,8 +158,10 @@ class TermIndex:
         self._made.append(f"segment-{uuid.uuid4().hex}")
         return self._made[-1]
 
-    def _segment(self, table: TableStore, commit: Row, earlier: list[Segment]) -> tuple[tuple[int, int], tuple[int, int], Segment]:
-        """Write the segment of one commit: what it adds and removes as (documents, tokens), and the segment."""
+    def _segment(self, table: TableStore, commit: Row, earlier: list[Segment],
+                 first: int) -> tuple[tuple[int, int], tuple[int, int], Segment, int]:
+        """Write the segment of one commit, whose rows are numbered from ``first``: what it adds and removes as (documents,
+        tokens), the segment, and the next number."""
         folder = self._folder()
         lost = (0, 0, 0)
         if commit["key"] and earlier:
@@ -145,21 +169,24 @@ class TermIndex:
                 raise ValueError(f"rows were replaced by {commit['key']}, the index knows {self.id_col} and {self.key}")
             name = "id" if commit["key"] == self.id_col else "key"
             keys = table.replaced_keys(commit).select(F.col(commit["key"]).alias(name))
-            gone = self._live_docs(earlier).join(keys, name, "left_semi").select("id", "length")
+            gone = self._live_docs(earlier).join(keys, name, "left_semi").select("number", "length")
             lost = _written(gone, f"{self.path}/{folder}/removed")
         if commit["kind"] == "erase":
-            return (0, 0), lost[:2], Segment(folder, commit["version"], 0, 0, 0)
-        rows = table.rows_of(commit).withColumn(self.id_col, F.col(self.id_col).cast("string"))
+            return (0, 0), lost[:2], Segment(folder, commit["version"], 0, 0, 0), first
+        rows, following = _numbered(table.rows_of(commit), first)
         key = F.col(self.key) if self.key in rows.columns else F.lit(None)
-        tokens = rows.select(F.col(self.id_col).alias("id"), key.cast("string").alias("key"), field_tokens(self.fields).alias("_tokens"))
-        docs, words, size = _written(tokens.select("id", "key", F.size("_tokens").alias("length"), "_tokens"), f"{self.path}/{folder}/docs",
-                                     F.size(F.array_distinct("_tokens")))
+        tokens = rows.select("number", F.col(self.id_col).cast("string").alias("id"), key.cast("string").alias("key"),
+                             field_tokens(self.fields).alias("_tokens"))
+        docs, words, size = _written(tokens.select("number", "id", "key", F.size("_tokens").alias("length"), "_tokens"),
+                                     f"{self.path}/{folder}/docs", F.size(F.array_distinct("_tokens")))
         terms = tokens.select(F.explode(F.array_distinct("_tokens")).alias("term"))
-        size, buckets = self._write(postings(rows, self.fields, self.id_col), terms, size, folder)
-        return (docs, words), lost[:2], Segment(folder, commit["version"], size, self._tier(size), buckets)
+        found = postings(rows, self.fields, "number").select("term", F.col("id").alias("number"), "tf")
+        # Rows of one word that lie together take about half the place in the shuffle.
+        size, buckets = self._write(found.sortWithinPartitions("term", "number"), terms, size, folder, "number")
+        return (docs, words), lost[:2], Segment(folder, commit["version"], size, self._tier(size), buckets), following
 
-    def _write(self, found: DataFrame, terms: DataFrame, most: int, folder: str) -> tuple[int, int]:
-        """Write postings by bucket and sorted by term; returns their number and that of the buckets.
+    def _write(self, found: DataFrame, terms: DataFrame, most: int, folder: str, row: str = "id") -> tuple[int, int]:
+        """Write postings by bucket and sorted by term and ``row``; returns their number and that of the buckets.
 
         There are at most ``most`` postings, and ``terms`` has at least one row for each of them, its word. Both are known
         before the postings are made, which so are shuffled and written once and never kept beside.
@@ -169,10 +196,12 @@ class TermIndex:
         if buckets > 1:  # else no word can be that common; there are fewer than most / per_file such words
             common = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > self.per_file)
             found = found.join(F.broadcast(common), "term", "left")
-            share = F.pmod(F.xxhash64("id"), F.ceil(F.coalesce("n", F.lit(1)) / self.per_file))
-        dealt = found.withColumn("bucket", _bucket(F.col("term"), buckets)).withColumn("share", share)
-        dealt.drop("n").repartition("bucket", "share").drop("share").sortWithinPartitions("bucket", "term") \
-            .write.option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/{folder}/postings")
+            share = F.pmod(F.xxhash64(row), F.ceil(F.coalesce("n", F.lit(1)) / self.per_file))
+        bucket = _bucket(F.col("term"), buckets)  # made from the term on both sides of the shuffle, so that it does not travel
+        dealt = found.withColumn("share", share).drop("n").repartition(bucket, "share") if buckets > 1 else found.repartition(bucket)
+        with freeing_shuffles(self.spark):
+            dealt.drop("share").withColumn("bucket", bucket).sortWithinPartitions("bucket", "term", row) \
+                .write.option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/{folder}/postings")
         return seen.get["size"], buckets
 
     def _tier(self, size: int) -> int:
@@ -196,43 +225,58 @@ class TermIndex:
 
     def _merge(self, run: list[Segment], oldest: bool, tier: int) -> Segment:
         folder = self._folder()
-        self._live_docs(run).drop("version").write.parquet(f"{self.path}/{folder}/docs")
-        if not oldest:  # there are earlier rows that these removals hide
-            _union([self._removed(s.folder) for s in run]).dropDuplicates(["id"]).write.parquet(f"{self.path}/{folder}/removed")
+        with freeing_shuffles(self.spark):
+            self._live_docs(run).write.option("compression", "zstd").parquet(f"{self.path}/{folder}/docs")
+            if not oldest:  # there are earlier rows that these removals hide
+                _union([self._removed(s.folder) for s in run]).write.option("compression", "zstd").parquet(f"{self.path}/{folder}/removed")
         every = self._postings(run)
-        size, buckets = self._write(self._live(run, every).drop("version"), every.select("term"), sum(s.postings for s in run), folder)
+        size, buckets = self._write(self._live(run, every), every.select("term"), sum(s.postings for s in run), folder, "number")
+        for s in run:  # made by this refresh and read by nobody else
+            if s.folder in self._made:
+                remove_folder(self.spark, f"{self.path}/{s.folder}")
         return Segment(folder, run[-1].version, size, max(tier, self._tier(size)), buckets)
 
     # ---- reading
 
     def _docs(self, folder: str) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.path}/{folder}/docs", T.StructType.fromDDL("id string, key string, length int"))
+        return read_or_empty(self.spark, f"{self.path}/{folder}/docs", T.StructType.fromDDL("number long, id string, key string, length int"))
 
     def _removed(self, folder: str) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.path}/{folder}/removed", T.StructType.fromDDL("id string, length int"))
+        return read_or_empty(self.spark, f"{self.path}/{folder}/removed", T.StructType.fromDDL("number long, length int"))
 
     def _postings(self, segments: list[Segment], terms: list[str] | None = None) -> DataFrame:
-        """Postings of all segments, of the given words only if there are any, with their segment's version."""
-        parts = [self._segment_postings(s, terms).withColumn("version", F.lit(s.version)) for s in segments if s.postings]
-        return _union(parts) if parts else local_rows(self.spark, [], "term string, id string, tf int, length int, version long")
+        """Postings of all segments, of the given words only if there are any."""
+        parts = [self._segment_postings(s, terms) for s in segments if s.postings]
+        return _union(parts) if parts else local_rows(self.spark, [], "term string, number long, tf int")
 
     def _segment_postings(self, segment: Segment, terms: list[str] | None) -> DataFrame:
         rows = self.spark.read.parquet(f"{self.path}/{segment.folder}/postings")
         if terms is not None:  # constants, for the pruning of folders and row groups
             words = local_rows(self.spark, [(t,) for t in terms], "term string").select(_bucket(F.col("term"), segment.buckets).alias("b"))
             rows = rows.filter(F.col("bucket").isin([r["b"] for r in words.distinct().collect()]) & F.col("term").isin(terms))
-        return rows.select("term", "id", "tf", "length")
+        return rows.select("term", "number", "tf")
 
     def _live(self, segments: list[Segment], rows: DataFrame) -> DataFrame:
-        """Rows (id, version, ...) that no later segment removed."""
+        """Rows (number, ...) that none of the segments removed.
+
+        Broadcast are bitmaps with one bit for each row of their block, so at most a bit for every row that the table ever got.
+        """
         if len(segments) < 2:
             return rows
-        gone = _union([self._removed(s.folder).select("id", F.lit(s.version).alias("at")) for s in segments[1:]])
-        last = gone.groupBy("id").agg(F.max("at").alias("at"))
-        return rows.join(last, "id", "left").filter(F.col("at").isNull() | (F.col("version") >= F.col("at"))).drop("at")
+        gone = _union([self._removed(s.folder) for s in segments[1:]]).select((F.col("number") + 1).alias("n"))
+        bitmaps = gone.groupBy((F.bitmap_bucket_number("n") - 1).alias("_block")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("_bits"))
+        byte = F.expr(f"CAST(conv(hex(substring(_bits, CAST(number % {BITMAP_ROWS} DIV 8 AS INT) + 1, 1)), 16, 10) AS INT)")
+        removed = F.getbit(byte, (F.col("number") % 8).cast("int")) == 1
+        block = F.floor(F.col("number") / BITMAP_ROWS).cast("long")
+        found = rows.withColumn("_block", block).join(F.broadcast(bitmaps), "_block", "left")
+        return found.filter(F.col("_bits").isNull() | ~removed).drop("_block", "_bits")
+
+    def _all_docs(self, segments: list[Segment]) -> DataFrame:
+        return _union([self._docs(s.folder) for s in segments])
 
     def _live_docs(self, segments: list[Segment]) -> DataFrame:
-        return self._live(segments, _union([self._docs(s.folder).withColumn("version", F.lit(s.version)) for s in segments]))
+        return self._live(segments, self._all_docs(segments))
 
     def snapshot(self, table: TableStore | None = None) -> TermSnapshot:
         """The index as it is now, unchanged by later refreshes.
@@ -260,13 +304,19 @@ class TermSnapshot:
     def mean_length(self) -> float:
         return self.tokens / self.documents if self.documents else 0.0
 
+    def _found(self, terms: list[str]) -> DataFrame:
+        """(term, number, tf) of the live rows that hold one of the words."""
+        return self.index._live(self.segments, self.index._postings(self.segments, terms))
+
     def hits(self, terms: list[str]) -> DataFrame:
         """(term, id, tf, length) of the live rows that hold one of the words."""
-        return self.index._live(self.segments, self.index._postings(self.segments, terms)).drop("version")
+        if not self.segments:
+            return local_rows(self.index.spark, [], "term string, id string, tf int, length int")
+        return self._found(terms).join(self.index._all_docs(self.segments), "number").select("term", "id", "tf", "length")
 
     def document_frequencies(self, terms: list[str]) -> DataFrame:
         """(term, doc_freq) over the live rows, counted from the postings of these words."""
-        return self.hits(terms).groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+        return self._found(terms).groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
 
     def scores(self, query: str, allowed: DataFrame | None = None) -> DataFrame:
         """(id, score) of every live row that holds a query word, with statistics over the whole table; no text is read.
@@ -277,12 +327,12 @@ class TermSnapshot:
         terms = query_terms(self.index.spark, query)
         if not terms or not self.segments:
             return local_rows(self.index.spark, [], "id string, score double")
-        found = self.hits(terms)
+        docs = self.index._all_docs(self.segments).select("number", "id", "length")
         if allowed is not None:
-            found = found.join(allowed.select("id"), "id", "left_semi")
-        found = found.join(F.broadcast(self.document_frequencies(terms)), "term")
+            docs = docs.join(allowed.select("id"), "id", "left_semi")
+        found = self._found(terms).join(F.broadcast(self.document_frequencies(terms)), "term").join(docs, "number")
         weight = bm25(F.col("tf"), F.col("length"), F.lit(self.mean_length), F.lit(self.documents), F.col("doc_freq"))
-        return found.groupBy("id").agg(rounded(F.sum(weight)).alias("score"))
+        return found.groupBy("number", "id").agg(rounded(F.sum(weight)).alias("score")).drop("number")
 
     def search(self, query: str, k: int = 5, allowed: DataFrame | None = None) -> DataFrame:
         return top(self.scores(query, allowed), k)

@@ -1,5 +1,6 @@
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import types as T
 from foliospark.operators import keyword
 from foliospark.operators.term_index import StaleIndex, TermIndex
 from foliospark.plans.search import SearchTable
-from foliospark.session import local_rows, scratch_path
+from foliospark.session import local_rows, scratch_path, staged
 from foliospark.sinks.store import TableStore
 
 SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "filePath", "content", "extension")])
@@ -116,3 +117,56 @@ def test_a_filtered_search_reads_only_the_columns_of_its_filter(spark, table):
         of_table = [s for s in scans if "extension#" in s]
         assert of_table and all("content" not in s for s in scans)
         assert any("EqualTo(extension,.txt)" in s for s in of_table)
+
+
+def test_rows_have_dense_numbers_and_postings_hold_no_ids(spark, table):
+    index = TermIndex(spark, scratch_path(spark, "index"), fan_in=2)
+    for first in (0, 30):
+        table.upsert(rows(spark, *[(str(i), f"f{i}", f"w{i % 3} w{i}") for i in range(first, first + 40)]).repartition(3))
+        index.refresh(table)
+    [segment] = index.snapshot(table).segments  # merged; the ten files that came twice have their later rows
+    docs = {r["number"]: r["id"] for r in index._docs(segment.folder).collect()}
+    assert len(docs) == 70 == len(set(docs.values())) and max(docs) == 79
+    written = spark.read.parquet(f"{index.path}/{segment.folder}/postings")
+    assert set(written.columns) == {"term", "number", "tf", "bucket"}
+    assert {(docs[r["number"]], r["term"]) for r in written.collect()} >= {(str(i), f"w{i}") for i in range(70)}
+    agrees(table, index)
+
+
+def test_rows_that_are_gone_are_looked_up_in_bitmaps(spark, table):
+    """Across the edges of bytes and bitmaps, and without a shuffle of postings however many rows are gone."""
+    gone = [0, 7, 8, 32_767, 32_768, 39_999]
+    table.upsert(spark.range(40_000).select(F.col("id").cast("string").alias("id"), F.concat(F.lit("f"), "id").alias("filePath"),
+                                            F.lit("w1").alias("content"), F.lit(".txt").alias("extension")).repartition(1, "id"))
+    index = TermIndex(spark, scratch_path(spark, "index"), fan_in=9)
+    index.refresh(table)
+    numbers = {r["number"]: r["id"] for r in index._all_docs(index.snapshot(table).segments).collect()}
+    table.erase(local_rows(spark, [(f"f{numbers[n]}",) for n in gone], "filePath string"))
+    index.refresh(table)
+    now = index.snapshot(table)
+    assert (now.documents, now.tokens) == (39_994, 39_994)
+    assert {r["id"] for r in now.hits(["w1"]).collect()} == set(numbers.values()) - {numbers[n] for n in gone}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = now._found(["w1"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def shuffle_files(spark):
+    """Data files of shuffles in the folders of the block manager."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles())
+            if f.getName().startswith("shuffle_") and f.getName().endswith(".data")}
+
+
+def test_a_written_step_leaves_no_shuffle_files(spark):
+    """They stayed until the driver collected its garbage."""
+    before = shuffle_files(spark)
+    staged(spark.range(1000).repartition(3, "id"), "some")
+    for _ in range(50):  # the executors are told to delete them and nobody waits for it
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
