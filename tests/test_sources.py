@@ -84,6 +84,27 @@ def test_listing_does_not_read_contents(spark, tree):
     assert "content" not in plan.split("ReadSchema")[1]
 
 
+def test_a_scan_holds_no_listing_in_the_driver(spark, tree):
+    """Spark's reader does, even of a flat scan, for which it lists the whole tree."""
+    for how in ({}, {"recursive": False}):
+        found = files.scan_directory(spark, f"file://{tree}", **how)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "binaryFile" not in plan and "ArrowEvalPython" in plan
+        assert "Python" not in found.select("path", "length")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_scan_reads_contents_in_parts(spark, tmp_path):
+    texts = {f"{i}.txt": bytes([i]) * (3 << 20) for i in range(7)}  # several times what one part holds
+    texts["none.txt"] = b""
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text)
+    found = files.scan_directory(spark, str(tmp_path)).select("path", "content", F.length("content").alias("n"), "length")
+    assert {r["path"].rpartition("/")[2]: bytes(r["content"]) for r in found.collect()} == texts
+    assert all(r["n"] == r["length"] for r in found.collect())
+    [one] = files.scan_directory(spark, f"{tmp_path}/[0]*.txt").select("path").collect()  # a pattern
+    assert one["path"].endswith("/0.txt")
+
+
 def test_size_gate_is_inclusive(spark):
     rows = spark.createDataFrame([(2**20,), (2**20 + 1,)], "length bigint")
     assert [r[0] for r in rows.filter(files.within_size("length", 1)).collect()] == [2**20]
