@@ -34,6 +34,9 @@ MOST_BUCKETS = 4096
 #: So many segments of one size tier are merged into one of the next; a tier is so many times larger than the one before.
 FAN_IN = 4
 
+#: Sorted numbers are written as differences, which take a byte or two.
+ENCODING = {"compression": "zstd", "parquet.writer.version": "v2", "parquet.enable.dictionary#number": "false"}
+
 SEGMENT = T.StructType([T.StructField("folder", T.StringType()), T.StructField("version", T.LongType()),
                         T.StructField("postings", T.LongType()), T.StructField("tier", T.IntegerType()), T.StructField("buckets", T.IntegerType())])
 STATE = T.StructType([
@@ -191,17 +194,17 @@ class TermIndex:
         There are at most ``most`` postings, and ``terms`` has at least one row for each of them, its word. Both are known
         before the postings are made, which so are shuffled and written once and never kept beside.
         """
-        buckets, share, seen = min(MOST_BUCKETS, max(1, math.ceil(most / self.per_file))), F.lit(0), Observation()
+        buckets, shares, seen = min(MOST_BUCKETS, max(1, math.ceil(most / self.per_file))), [], Observation()
         found = found.observe(seen, F.count(F.lit(1)).alias("size"))
         if buckets > 1:  # else no word can be that common; there are fewer than most / per_file such words
             common = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > self.per_file)
-            found = found.join(F.broadcast(common), "term", "left")
             share = F.pmod(F.xxhash64(row), F.ceil(F.coalesce("n", F.lit(1)) / self.per_file))
+            found, shares = found.join(F.broadcast(common), "term", "left").withColumn("share", share).drop("n"), ["share"]
         bucket = _bucket(F.col("term"), buckets)  # made from the term on both sides of the shuffle, so that it does not travel
-        dealt = found.withColumn("share", share).drop("n").repartition(bucket, "share") if buckets > 1 else found.repartition(bucket)
+        dealt = found.repartition(bucket, *shares).drop(*shares)
         with freeing_shuffles(self.spark):
-            dealt.drop("share").withColumn("bucket", bucket).sortWithinPartitions("bucket", "term", row) \
-                .write.option("compression", "zstd").partitionBy("bucket").parquet(f"{self.path}/{folder}/postings")
+            dealt.withColumn("bucket", bucket).sortWithinPartitions("bucket", "term", row).write.options(**ENCODING) \
+                .partitionBy("bucket").parquet(f"{self.path}/{folder}/postings")
         return seen.get["size"], buckets
 
     def _tier(self, size: int) -> int:

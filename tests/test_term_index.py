@@ -3,6 +3,7 @@ import re
 import time
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -170,3 +171,15 @@ def test_a_written_step_leaves_no_shuffle_files(spark):
             break
         time.sleep(0.1)
     assert not shuffle_files(spark) - before
+
+
+def test_numbers_are_written_as_differences(spark, table):
+    index = TermIndex(spark, scratch_path(spark, "index"))
+    table.upsert(rows(spark, *[(str(i), f"f{i}", "w1 w2") for i in range(500)]))
+    index.refresh(table)
+    [segment] = index.snapshot(table).segments
+    path = spark.read.parquet(f"{index.path}/{segment.folder}/postings").inputFiles()[0]
+    group = pq.ParquetFile(path.removeprefix("file://")).metadata.row_group(0)
+    encodings = {group.column(i).path_in_schema: group.column(i).encodings for i in range(group.num_columns)}
+    assert "DELTA_BINARY_PACKED" in encodings["number"] and "RLE_DICTIONARY" in encodings["term"]
+    agrees(table, index)
