@@ -5,11 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliospark.functions.text import text_hash
+from foliospark.operators.build import attach_content
 from foliospark.operators.embedding import HashingEmbedder, needed_part
 from foliospark.operators.stats import extraction_statistics
 from foliospark.plans.indexing import IndexSettings, index_files, index_standard, index_vector, run_statistics
 from foliospark.schemas import CHUNK_DOCUMENT, EMBEDDING_CACHE, INDEX_STATE, STANDARD_DOCUMENT
-from foliospark.session import local_rows, scratch_path, setting, shared_folder, staged
+from foliospark.session import local_rows, read_table, scratch_path, setting, shared_folder, staged
 from foliospark.sinks.cache import EmbeddingCache, fill, look_up
 from foliospark.sinks.store import TableStore, erase_owner
 from foliospark.sources.files import plain_path
@@ -232,3 +233,35 @@ def test_a_setting_ends_with_its_block(spark):
         assert spark.conf.get(key) == "7"
         raise RuntimeError
     assert spark.conf.get(key) == before
+
+
+def test_long_texts_are_shuffled_once(spark):
+    chunks = staged(local_rows(spark, [("a", 3), ("a", 1), ("a", 2), ("b", 0), ("c", 5)], "filePath string, chunkNumber int"), "chunks")
+    contents = staged(local_rows(spark, [("a", "text a"), ("b", "text b"), ("d", "text d")], "filePath string, content string"), "contents")
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        found = attach_content(chunks, contents)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        rows = {(r["filePath"], r["chunkNumber"], r["content"]) for r in found.collect()}
+    assert rows == {("a", 1, "text a"), ("a", 2, None), ("a", 3, None), ("b", 0, "text b"), ("c", 5, None)}
+    assert plan.count("Exchange hashpartitioning") == 3  # chunks, their numbers, contents
+
+
+def test_chunks_are_deleted_before_the_table_is_written(spark, share, monkeypatch):
+    upsert, seen = TableStore.upsert, []
+
+    def look(self, *args, **options):
+        seen.append([f for f in os.listdir(shared_folder(spark)) if f.startswith("stage-chunks") and f not in before])
+        return upsert(self, *args, **options)
+
+    before = set(os.listdir(shared_folder(spark)))
+    monkeypatch.setattr(TableStore, "upsert", look)
+    index_vector(spark, str(share), scratch_path(spark, "cut"), SMALL, EMBED)
+    assert len(seen) == 2 and not any(seen)
+
+
+def test_a_table_of_many_files_is_not_copied(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    for files, name in ((cores, "many"), (1, "one")):
+        spark.range(200).repartition(files).write.parquet(str(tmp_path / name))
+        read = read_table(spark, str(tmp_path / name), "id")
+        assert read.count() == 200 and ("stage-spread" in read.inputFiles()[0]) == (name == "one")
